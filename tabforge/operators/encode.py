@@ -51,8 +51,9 @@ def indexer(cols: Sequence[str], handle_invalid: str = "keep") -> StringIndexer:
 def one_hot_stages(cols: Sequence[str]) -> list:
     """Indexer + one-hot with the extra 'unknown' slot dropped.
 
-    Known categories keep all k columns; unseen values and NULL become an
-    all-zero block (the dropped last slot is the unknown bucket).
+    The indexer maps unseen values and NULL to the extra index k, so the
+    encoder sees k + 1 categories; dropping the last slot drops exactly that
+    unknown bucket. Known categories keep all k columns, unseen/NULL -> zeros.
     """
     return [
         indexer(cols, "keep"),
@@ -60,7 +61,7 @@ def one_hot_stages(cols: Sequence[str]) -> list:
             inputCols=[f"{c}{IDX}" for c in cols],
             outputCols=[f"{c}{OHE}" for c in cols],
             dropLast=True,
-            handleInvalid="keep",
+            handleInvalid="error",
         ),
     ]
 

@@ -2,10 +2,18 @@
 
 ``hash_split`` gives an exact-size split: rows are ordered by
 ``md5("<seed>:<key>")`` (ties broken by the key) and the first
-``ceil(test_size * n)`` rows form the test part. It never sorts the whole
-table: a histogram over the first 20 bits of the hash (at most 2^20 rows)
-locates the one boundary bucket; only rows of that bucket (about n / 2^20 for
-a unique key) are ranked. Result does not depend on partitioning.
+``ceil(test_size * n)`` rows form the test part. The result does not depend
+on partitioning, and the table is never sorted or shuffled:
+
+1. a histogram of the first 20 hash bits (key column only, at most 2^20
+   rows after map-side partial counts) locates the one bucket holding the
+   k-th row and how many rows of it are still needed;
+2. only that bucket's keys (about n / 2^20 for a unique key) are ranked to
+   find the cutoff ``(hash, key)`` of the k-th row;
+3. the main pass is a narrow projection: ``(hash, key) <= cutoff`` -> test.
+
+Steps 1-2 are scalar subqueries over the key column, so the full rows are
+read exactly once.
 
 ``bucket_split`` is the one-pass approximate-fraction variant.
 """
@@ -23,6 +31,35 @@ def split_hash(key: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
+def split_cutoff(df: DataFrame, key: str, test_size: float, seed: int,
+                 bucket_hex_digits: int = 5) -> Column:
+    """Scalar ``struct(h, k)`` of the last test row in hash order (NULL if none)."""
+    keys = df.select(F.col(key).alias("_k")).withColumn(_H, split_hash("_k", seed)).withColumn(
+        _B, F.conv(F.substring(_H, 1, bucket_hex_digits), 16, 10).cast("long")
+    )
+    hist = keys.groupBy(_B).agg(F.count(F.lit(1)).alias("cnt"))
+    # Running counts over the bounded histogram (one small task by design).
+    w_run = Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    hist = hist.withColumn("before", F.coalesce(F.sum("cnt").over(w_run), F.lit(0))).withColumn(
+        "k", F.ceil(F.lit(float(test_size)) * F.sum("cnt").over(Window.partitionBy()))
+    )
+    boundary = (
+        hist.where((F.col("before") < F.col("k")) & (F.col("before") + F.col("cnt") >= F.col("k")))
+        .select(F.struct(F.col(_B).alias("b"), (F.col("k") - F.col("before")).alias("need")).alias("s"))
+        .scalar()
+    )
+    # Rank only the boundary bucket's keys; pick the needed one.
+    in_bucket = keys.where(F.col(_B) == boundary.getField("b"))
+    ranked = in_bucket.withColumn(
+        "_rn", F.row_number().over(Window.partitionBy(_B).orderBy(F.col(_H), F.col("_k")))
+    )
+    return (
+        ranked.where(F.col("_rn") == boundary.getField("need"))
+        .select(F.struct(F.col(_H).alias("h"), F.col("_k").alias("k")).alias("c"))
+        .scalar()
+    )
+
+
 def hash_split(
     df: DataFrame,
     key: str,
@@ -36,39 +73,11 @@ def hash_split(
         raise ValueError("test_size must be within [0, 1]")
     if key not in df.columns:
         raise ValueError(f"missing required columns: [{key!r}]")
-    tagged = df.withColumn(_H, split_hash(key, seed)).withColumn(
-        _B, F.conv(F.substring(_H, 1, bucket_hex_digits), 16, 10).cast("long")
-    )
-    # Histogram: at most 16**digits rows, partially aggregated per partition.
-    hist = tagged.groupBy(_B).agg(F.count(F.lit(1)).alias("cnt"))
-    # Running counts over the bounded histogram (one small task by design).
-    w_run = Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    w_all = Window.partitionBy()
-    hist = (
-        hist.withColumn("before", F.coalesce(F.sum("cnt").over(w_run), F.lit(0)))
-        .withColumn("k", F.ceil(F.lit(float(test_size)) * F.sum("cnt").over(w_all)))
-    )
-    boundary = (
-        hist.where((F.col("before") < F.col("k")) & (F.col("before") + F.col("cnt") >= F.col("k")))
-        .select(F.struct(F.col(_B).alias("b"), (F.col("k") - F.col("before")).alias("need")).alias("s"))
-        .scalar()
-    )
-    b_star, need = boundary.getField("b"), boundary.getField("need")
-
-    # Rows outside the boundary bucket: decided by the bucket alone (narrow).
-    outside = tagged.where(b_star.isNull() | (F.col(_B) != b_star)).withColumn(
-        label_col,
-        F.when(b_star.isNotNull() & (F.col(_B) < b_star), F.lit("test")).otherwise(F.lit("train")),
-    )
-    # Rows of the boundary bucket: ranked by (hash, key) within that bucket only.
-    w_in = Window.partitionBy(_B).orderBy(F.col(_H), F.col(key))
-    inside = (
-        tagged.where(F.col(_B) == b_star)
-        .withColumn("_rn", F.row_number().over(w_in))
-        .withColumn(label_col, F.when(F.col("_rn") <= need, F.lit("test")).otherwise(F.lit("train")))
-        .drop("_rn")
-    )
-    return outside.unionByName(inside).drop(_H, _B)
+    cut = split_cutoff(df, key, test_size, seed, bucket_hex_digits)
+    h = split_hash(key, seed)
+    ch, ck = cut.getField("h"), cut.getField("k")
+    is_test = cut.isNotNull() & ((h < ch) | ((h == ch) & (F.col(key) <= ck)))
+    return df.withColumn(label_col, F.when(is_test, F.lit("test")).otherwise(F.lit("train")))
 
 
 def bucket_split(
