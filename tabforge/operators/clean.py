@@ -60,24 +60,27 @@ def impute_mean(df: DataFrame, cols: Iterable[str]) -> DataFrame:
 
 def impute_median(df: DataFrame, cols: Iterable[str], approx: bool = False,
                   accuracy: int = 100_000) -> DataFrame:
-    """Fill NULLs with the median (exact interpolated by default).
+    """Fill NULLs with the median (exact, interpolated, by default).
 
-    The exact median keeps a value->count map per column (its size is the
-    number of distinct values, merged partially per partition); use
-    ``approx=True`` for high-cardinality columns at scale.
+    The exact median is found by distributed band narrowing (see
+    ``quantile.exact_quantile``); like an estimator's fit, it runs eagerly and
+    the value is plugged in as a literal. ``approx=True`` stays lazy and uses
+    ``percentile_approx`` in one aggregate.
     """
     cols = list(cols)
     if not cols:
         return df
     require_columns(df, cols)
+    if approx:
+        s = column_stats(df, {c: F.percentile_approx(nan_to_null(F.col(c).cast("double")), 0.5, accuracy)
+                              .cast("double") for c in cols})
+        fills = {c: s.getField(c) for c in cols}
+    else:
+        from tabforge.operators.quantile import exact_median
 
-    def med(c: str) -> Column:
-        x = nan_to_null(F.col(c).cast("double"))
-        return F.percentile_approx(x, 0.5, accuracy).cast("double") if approx else F.median(x)
-
-    s = column_stats(df, {c: med(c) for c in cols})
+        fills = {c: F.lit(exact_median(df, c)).cast("double") for c in cols}
     return df.withColumns(
-        {c: F.coalesce(F.col(c), s.getField(c).cast(df.schema[c].dataType)) for c in cols}
+        {c: F.coalesce(F.col(c), fills[c].cast(df.schema[c].dataType)) for c in cols}
     )
 
 

@@ -96,29 +96,27 @@ def one_hot_long(df: DataFrame, key: str, cols: Sequence[str], model: PipelineMo
                  ) -> DataFrame:
     """Encoded rows in long form ``(key, feature, category, value)``.
 
-    One row per non-zero one-hot slot; the slot -> category mapping comes from
-    the fitted indexer labels (a bounded dictionary).
+    One row per non-zero one-hot slot, produced in a single pass: each row's
+    blocks become an array of (feature, slot) structs that is exploded; the
+    slot -> category mapping is the fitted indexer's (bounded) label list.
     """
     cols = list(cols)
     enc = model.transform(df.select(key, *cols))
     labels = model.stages[0].labelsArray
-    parts = []
+    entries = []
     for c, labs in zip(cols, labels):
         lab_arr = F.array(*[F.lit(v) for v in labs]) if labs else F.array().cast("array<string>")
-        parts.append(
-            enc.select(key, F.posexplode(vector_to_array(F.col(f"{c}{OHE}"))).alias("pos", "value"))
-            .where(F.col("value") != 0)
-            .select(
-                key,
-                F.lit(c).alias("feature"),
-                F.element_at(lab_arr, F.col("pos") + 1).alias("category"),
-                F.col("value").cast("double").alias("value"),
-            )
+        pos = F.array_position(vector_to_array(F.col(f"{c}{OHE}")), F.lit(1.0))
+        entries.append(
+            F.when(pos > 0, F.struct(F.lit(c).alias("feature"),
+                                     F.element_at(lab_arr, pos.cast("int")).alias("category"),
+                                     F.lit(1.0).alias("value")))
         )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return (
+        enc.select(key, F.explode(F.array(*entries)).alias("_e"))
+        .where(F.col("_e").isNotNull())
+        .select(key, "_e.feature", "_e.category", "_e.value")
+    )
 
 
 # Fixed value: stand-in for a missing numeric in tree inputs. It lies below

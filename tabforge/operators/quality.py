@@ -150,16 +150,22 @@ def dataset_fingerprint(df: DataFrame, cols: Sequence[str] | None = None,
                         name: str | None = None, version: str | None = None) -> DataFrame:
     """Order-free identity of a table: row count + sum of per-row md5 prefixes.
 
-    One aggregation; the sum is exact (DECIMAL(38,0)) and rendered as text.
+    One aggregation of long sums; the exact total is rendered as text.
     """
     cols = list(cols or df.columns)
     require_columns(df, cols)
     row_text = F.concat_ws("|", *[canonical_text(df, c) for c in cols])
-    h = F.conv(F.substring(F.md5(row_text), 1, 8), 16, 10).cast("decimal(38,0)")
-    out = df.agg(
+    h = F.conv(F.substring(F.md5(row_text), 1, 8), 16, 10).cast("long")
+    # Two 16-bit halves summed as longs: no overflow below 2^47 rows, and the
+    # exact total is assembled once, on the single aggregated row.
+    agg = df.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.coalesce(F.sum(h), F.lit(0).cast("decimal(38,0)")).cast("string").alias("fingerprint"),
+        F.coalesce(F.sum(F.shiftright(h, 16)), F.lit(0)).alias("_hi"),
+        F.coalesce(F.sum(h.bitwiseAND(F.lit(0xFFFF))), F.lit(0)).alias("_lo"),
     )
+    total = F.col("_hi").cast("decimal(38,0)") * F.lit(65536).cast("decimal(38,0)") + F.col("_lo").cast(
+        "decimal(38,0)")
+    out = agg.select("n_rows", total.cast("decimal(38,0)").cast("string").alias("fingerprint"))
     if name is not None:
         out = out.withColumn("dataset_name", F.lit(name))
     if version is not None:

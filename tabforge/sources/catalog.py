@@ -80,7 +80,8 @@ def create_feature_table(
 
     ``columns`` are ``(name, sql_type)`` pairs; the key is declared NOT NULL.
     The file format does not enforce NOT NULL or a primary key, so with
-    ``check_key`` the union is checked (one aggregation) before the write.
+    ``check_key`` the written key column is checked (one aggregation) and
+    the table is dropped again if the rule is violated.
     Inserts go through ANSI store assignment (lossy casts are errors).
     """
     for part in name.split("."):
@@ -95,9 +96,13 @@ def create_feature_table(
     union = sources[0].select(*names)
     for s in sources[1:]:
         union = union.unionByName(s.select(*names))
+    union.write.insertInto(name)
+    table = spark.table(name)
     if check_key:
-        bad = key_violations(union, key).limit(1).collect()
+        # Checked on the written table: a columnar read of the key only,
+        # instead of computing the sources a second time.
+        bad = key_violations(table.select(key), key).limit(1).collect()
         if bad:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
             raise ValueError(f"key rule violated on {key!r}: {bad[0].asDict()}")
-    union.write.insertInto(name)
-    return spark.table(name)
+    return table
