@@ -83,7 +83,7 @@ def param_conflicts(params: DataFrame, run_col: str = "run_id", key_col: str = "
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str | Sequence[str],
-                  cols: Sequence[str] | None = None) -> DataFrame:
+                  cols: Sequence[str] | None = None, materialize: bool = True) -> DataFrame:
     """Row-level change feed between two snapshots of a keyed table.
 
     Output: key, compared columns, ``_change_type`` in ``insert``, ``delete``,
@@ -94,6 +94,10 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str | Sequence[str],
     NULLs as equal). Only rows whose net count is non-zero - the changed
     ones - are classified by a second, small aggregation on the key. No join
     of the two snapshots, so duplicate keys can never multiply into pairs.
+
+    With ``materialize`` the changed rows are checkpointed to the shared
+    checkpoint folder (eagerly), so the full netting shuffle runs exactly
+    once although both the key classification and the output read it.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if cols is None:
@@ -104,6 +108,10 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str | Sequence[str],
     allc = keys + cols
     u = old.select(*allc, F.lit(-1).alias("_d")).unionByName(new.select(*allc, F.lit(1).alias("_d")))
     net = u.groupBy(*allc).agg(F.sum("_d").alias("_net")).where(F.col("_net") != 0)
+    if materialize:
+        from tabforge.session import cut_lineage
+
+        net = cut_lineage(net)
     kk = [f"_key{i}" for i in range(len(keys))]
     kinds = net.groupBy(*[F.col(k).alias(a) for k, a in zip(keys, kk)]).agg(
         F.max((F.col("_net") < 0).cast("int")).alias("_has_old"),

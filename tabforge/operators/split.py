@@ -43,18 +43,17 @@ def split_cutoff(df: DataFrame, key: str, test_size: float, seed: int,
     hist = hist.withColumn("before", F.coalesce(F.sum("cnt").over(w_run), F.lit(0))).withColumn(
         "k", F.ceil(F.lit(float(test_size)) * F.sum("cnt").over(Window.partitionBy()))
     )
-    boundary = (
-        hist.where((F.col("before") < F.col("k")) & (F.col("before") + F.col("cnt") >= F.col("k")))
-        .select(F.struct(F.col(_B).alias("b"), (F.col("k") - F.col("before")).alias("need")).alias("s"))
-        .scalar()
-    )
-    # Rank only the boundary bucket's keys; pick the needed one.
-    in_bucket = keys.where(F.col(_B) == boundary.getField("b"))
+    # Exactly one row (or none): the bucket holding the k-th row. Joined as a
+    # broadcast equi-join on the bucket id - its size is one row by definition.
+    boundary = hist.where(
+        (F.col("before") < F.col("k")) & (F.col("before") + F.col("cnt") >= F.col("k"))
+    ).select(F.col(_B).alias("_bb"), (F.col("k") - F.col("before")).alias("_need"))
+    in_bucket = keys.join(F.broadcast(boundary), F.col(_B) == F.col("_bb"), "inner")
     ranked = in_bucket.withColumn(
         "_rn", F.row_number().over(Window.partitionBy(_B).orderBy(F.col(_H), F.col("_k")))
     )
     return (
-        ranked.where(F.col("_rn") == boundary.getField("need"))
+        ranked.where(F.col("_rn") == F.col("_need"))
         .select(F.struct(F.col(_H).alias("h"), F.col("_k").alias("k")).alias("c"))
         .scalar()
     )
@@ -74,12 +73,30 @@ def hash_split(
     if key not in df.columns:
         raise ValueError(f"missing required columns: [{key!r}]")
     cut = split_cutoff(df, key, test_size, seed, bucket_hex_digits)
-    h = split_hash(key, seed)
-    ch, ck = cut.getField("h"), cut.getField("k")
-    is_test = cut.isNotNull() & ((h < ch) | ((h == ch) & (F.col(key) <= ck)))
+    # Struct order = (hash, key) lexicographic; NULL cutoff (no test rows) -> train.
+    row = F.struct(split_hash(key, seed).alias("h"), F.col(key).alias("k"))
+    is_test = F.coalesce(row <= cut, F.lit(False))
     return df.withColumn(label_col, F.when(is_test, F.lit("test")).otherwise(F.lit("train")))
 
 
+def train_test(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42,
+               materialize: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Two frames from :func:`hash_split`.
+
+    With ``materialize`` the tagged frame is checkpointed once (like saving
+    the train and test tables), so both parts read it instead of recomputing
+    the upstream plan.
+    """
+    tagged = hash_split(df, key, test_size, seed, label_col="_part")
+    if materialize:
+        from tabforge.session import cut_lineage
+
+        tagged = cut_lineage(tagged)
+    train = tagged.where(F.col("_part") == "train").drop("_part")
+    test = tagged.where(F.col("_part") == "test").drop("_part")
+    return train, test
+
+
 def bucket_split(
     df: DataFrame,
     key: str,
@@ -95,15 +112,6 @@ def bucket_split(
     )
 
 
-def train_test(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42
-               ) -> tuple[DataFrame, DataFrame]:
-    """Two frames from :func:`hash_split` (same plan, filtered)."""
-    tagged = hash_split(df, key, test_size, seed, label_col="_part")
-    train = tagged.where(F.col("_part") == "train").drop("_part")
-    test = tagged.where(F.col("_part") == "test").drop("_part")
-    return train, test
-
-
 def split_check(train: DataFrame, test: DataFrame, full: DataFrame, key: str) -> DataFrame:
     """One-row completeness report of a split.
 

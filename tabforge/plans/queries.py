@@ -178,7 +178,7 @@ def q_bucket_split(spark, sf):
 
 def q_split_check(spark, sf):
     full = q_preprocess(spark, sf)
-    train, test = split.train_test(full, "id", D.TEST_SIZE, D.SPLIT_SEED)
+    train, test = split.train_test(full, "id", D.TEST_SIZE, D.SPLIT_SEED, materialize=True)
     return split.split_check(train, test, full, "id")
 
 
@@ -194,7 +194,7 @@ FEATURE_COLS = (("id", "STRING"), ("frontage", "DOUBLE"), ("veneer_area", "DOUBL
 
 def _parts(spark, sf):
     stamped = clean.audit_stamp(q_preprocess(spark, sf), as_of=D.as_of_ts())
-    return split.train_test(stamped, "id", D.TEST_SIZE, D.SPLIT_SEED)
+    return split.train_test(stamped, "id", D.TEST_SIZE, D.SPLIT_SEED, materialize=True)
 
 
 def q_feature_union(spark, sf):
@@ -276,7 +276,7 @@ def q_map_scorer(spark, sf):
 # ------------------------------------------------------- encoding and ML
 def _part_split(spark, sf):
     part = D.table(spark, sf, "part")
-    return split.train_test(part, P.id_col, D.TEST_SIZE, D.SPLIT_SEED)
+    return split.train_test(part, P.id_col, D.TEST_SIZE, D.SPLIT_SEED, materialize=True)
 
 
 def q_one_hot(spark, sf):
