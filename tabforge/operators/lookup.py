@@ -37,11 +37,37 @@ class FunctionFeature:
     input_bindings: Mapping[str, str]
 
 
-def feature_lookup(df: DataFrame, lookup: Lookup, how: str = "left") -> DataFrame:
+def hot_keys(df: DataFrame, key: str, fraction: float) -> DataFrame:
+    """Keys holding at least ``fraction`` of all rows of ``df``.
+
+    At most ``1 / fraction`` keys can qualify, so the result has a proven size
+    bound and may be broadcast. One partially aggregated count per key.
+    """
+    if not 0.0 < fraction <= 1.0:
+        raise ValueError("fraction must be within (0, 1]")
+    total = df.select(F.count(F.lit(1))).scalar()
+    return (
+        df.where(F.col(key).isNotNull())
+        .groupBy(key).agg(F.count(F.lit(1)).alias("_cnt"))
+        .where(F.col("_cnt") >= F.lit(float(fraction)) * total)
+        .select(key)
+    )
+
+
+def feature_lookup(df: DataFrame, lookup: Lookup, how: str = "left",
+                   hot_key_fraction: float | None = None, salt_buckets: int = 64) -> DataFrame:
     """Left-join the named features onto ``df`` by the lookup key.
 
     Unmatched rows get NULL features. A looked-up name that already exists on
     ``df`` is an error (the caller must drop it first).
+
+    ``hot_key_fraction`` salts hot keys explicitly: rows whose key holds at
+    least that share of ``df`` get a deterministic salt
+    ``xxhash64(row) mod salt_buckets`` and the (at most ``1 / fraction``) hot
+    feature rows are replicated once per salt; every other row uses salt 0.
+    The join on ``(key, salt)`` then spreads a hot key over ``salt_buckets``
+    tasks. ``df`` is read once (plus a key-only scan to find hot keys); the
+    salt is a pure function of the row, so retried tasks agree.
     """
     key = lookup.lookup_key
     if key not in df.columns:
@@ -56,7 +82,18 @@ def feature_lookup(df: DataFrame, lookup: Lookup, how: str = "left") -> DataFram
     right = lookup.table.select(
         F.col(key), *[F.col(c).alias(n) for c, n in zip(lookup.feature_names, out_names)]
     )
-    return df.join(right, on=key, how=how)
+    if hot_key_fraction is None:
+        return df.join(right, on=key, how=how)
+    n = int(salt_buckets)
+    hot = F.broadcast(hot_keys(df, key, hot_key_fraction).withColumn("_hot", F.lit(True)))
+    left = df.join(hot, key, "left").withColumn(
+        "_salt",
+        F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(n)))
+        .otherwise(F.lit(0)).cast("int"),
+    ).drop("_hot")
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
+    right_s = right.join(hot, key, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
+    return left.join(right_s, [key, "_salt"], how).drop("_salt")
 
 
 def training_set(

@@ -183,10 +183,15 @@ def q_split_check(spark, sf):
 
 
 # ----------------------------------------------------- joins and features
+# Share of rows from which a lookup key is treated as hot (split off and
+# joined by broadcast); at most 1 / HOT_KEY_FRACTION keys qualify.
+HOT_KEY_FRACTION = 0.01
+
+
 def q_feature_lookup(spark, sf):
     raw = D.raw_orders(spark, sf).select("id", "cust_id", "target")
     lk = lookup.Lookup(D.customer_features(spark, sf), ("c_acctbal", "c_mktsegment"), "cust_id")
-    return lookup.feature_lookup(raw, lk)
+    return lookup.feature_lookup(raw, lk, hot_key_fraction=HOT_KEY_FRACTION)
 
 
 FEATURE_COLS = (("id", "STRING"), ("frontage", "DOUBLE"), ("veneer_area", "DOUBLE"), ("year_built", "INT"))
@@ -452,7 +457,7 @@ def q_prepare_training(spark, sf):
     clean_df = clean.preprocess(D.raw_orders(spark, sf), S, keep=["cust_id"])
     tagged = split.hash_split(clean_df, "id", D.TEST_SIZE, D.SPLIT_SEED)
     lk = lookup.Lookup(D.customer_features(spark, sf), ("c_acctbal", "c_mktsegment"), "cust_id")
-    out = lookup.feature_lookup(tagged, lk)
+    out = lookup.feature_lookup(tagged, lk, hot_key_fraction=HOT_KEY_FRACTION)
     return out.withColumn("house_age", age_from_year("year_built", D.AS_OF_YEAR)).select(
         "id", *S.cat, *S.num, "house_age", "c_acctbal", "c_mktsegment", S.target, "split"
     )

@@ -74,3 +74,17 @@ def test_training_set_with_sql_function(spark):
     assert (r.OverallQual, r.house_age) == (7, 25) and "update_timestamp_utc" not in ts.columns
     # NULL input -> NULL output (no Python UDF failure)
     assert spark.sql("SELECT age_fn(CAST(NULL AS INT)) AS a").first().a is None
+
+
+def test_lookup_hot_key_split_same_result(spark):
+    # one key holds a third of the rows
+    rows = [(i, 7 if i % 3 == 0 else i % 50) for i in range(3000)]
+    base = spark.createDataFrame(rows, "rid int, k int")
+    feats = spark.createDataFrame([(k, float(k) * 10) for k in range(40)], "k int, f double")
+    lk = lookup.Lookup(feats, ("f",), "k")
+    plain = sorted(tuple(r) for r in lookup.feature_lookup(base, lk).select("rid", "k", "f").collect())
+    split_ = sorted(tuple(r) for r in lookup.feature_lookup(base, lk, hot_key_fraction=0.05, salt_buckets=8)
+                    .select("rid", "k", "f").collect())
+    assert plain == split_ and len(plain) == 3000
+    hot = {r.k for r in lookup.hot_keys(base, "k", 0.05).collect()}
+    assert 7 in hot and len(hot) <= 20
