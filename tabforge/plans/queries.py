@@ -213,8 +213,7 @@ def q_feature_table(spark, sf):
     return catalog.create_feature_table(spark, name, FEATURE_COLS, "id", [train, test])
 
 
-def _training_set(spark, sf, features: DataFrame) -> DataFrame:
-    train, _ = _parts(spark, sf)
+def _training_set(spark, train: DataFrame, features: DataFrame) -> DataFrame:
     fn = register_age_function(spark, "house_age", as_of_year=D.AS_OF_YEAR)
     base = train.drop("frontage", "veneer_area", "year_built")
     return lookup.training_set(
@@ -229,7 +228,7 @@ def _training_set(spark, sf, features: DataFrame) -> DataFrame:
 def q_training_set(spark, sf):
     train, test = _parts(spark, sf)
     features = lookup.feature_union([train, test], [c for c, _ in FEATURE_COLS])
-    return _training_set(spark, sf, features)
+    return _training_set(spark, train, features)
 
 
 def q_score_lookup(spark, sf):

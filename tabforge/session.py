@@ -91,14 +91,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably in the shared checkpoint folder.
+def cut_lineage(df: DataFrame, name: str = "materialized") -> DataFrame:
+    """Materialise ``df`` as Parquet in the shared checkpoint folder.
 
-    ``checkpoint()`` writes to the fault-tolerant folder, so a lost executor
-    does not force recomputation of the whole upstream plan.
+    The plan runs once, the files live on fault-tolerant shared storage, and
+    the returned frame reads them back (columnar, with pushdown), so a lost
+    executor never forces recomputation of the upstream plan.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
