@@ -318,4 +318,6 @@ SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'urgent' WHEN '2-HI
        WHEN '3-MEDIUM' THEN 'medium' WHEN '4-NOT SPECIFIED' THEN 'unspecified' WHEN '5-LOW' THEN 'low'
        END AS label FROM orders""",
     "preview": _with(CLEAN) + f"SELECT {CLEAN_COLS} FROM clean ORDER BY id LIMIT 10",
+    "process_data": _with(SPLIT) + f"""
+SELECT {CLEAN_COLS}, TIMESTAMP '2025-01-01 00:00:00' AS update_timestamp_utc, split FROM tagged""",
 }

@@ -450,6 +450,15 @@ def q_preview(spark, sf):
     return runs.preview(q_preprocess(spark, sf), 10, ["id"])
 
 
+def q_process_data(spark, sf):
+    """Job 1 end to end: clean, split, stamp, one partitioned write + views."""
+    from tabforge.jobs import Namespace, process_data
+
+    ns = Namespace(schema=_uid("tf_job"))
+    process_data(spark, D.raw_orders(spark, sf), S, ns, D.TEST_SIZE, D.SPLIT_SEED, as_of=D.as_of_ts())
+    return spark.table(ns.name(ns.splits))
+
+
 # --------------------------------------------------------------- flagship
 def q_prepare_training(spark, sf):
     """Dirty orders -> clean -> split tag -> customer lookup -> age."""
@@ -524,4 +533,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "save_append": q_save_append,
     "local_rows": q_local_rows,
     "preview": q_preview,
+    "process_data": q_process_data,
 }
