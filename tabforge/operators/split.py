@@ -8,12 +8,16 @@ on partitioning, and the table is never sorted or shuffled:
 1. a histogram of the first 20 hash bits (key column only, at most 2^20
    rows after map-side partial counts) locates the one bucket holding the
    k-th row and how many rows of it are still needed;
-2. only that bucket's keys (about n / 2^20 for a unique key) are ranked to
-   find the cutoff ``(hash, key)`` of the k-th row;
+2. only that bucket's distinct keys (about n / 2^20 for a unique key) are
+   ranked by a running row count to find the cutoff ``(hash, key)`` of the
+   k-th row;
 3. the main pass is a narrow projection: ``(hash, key) <= cutoff`` -> test.
 
 Steps 1-2 are scalar subqueries over the key column, so the full rows are
-read exactly once.
+read exactly once. Rows sharing a key always land in the same part; with a
+unique key the test size is exact, and if the k-th row falls inside a
+duplicated key, that whole key group goes to test (nothing is dropped, and a
+hot key never has to be ranked row by row in one task).
 
 ``bucket_split`` is the one-pass approximate-fraction variant.
 """
@@ -48,12 +52,18 @@ def split_cutoff(df: DataFrame, key: str, test_size: float, seed: int,
     boundary = hist.where(
         (F.col("before") < F.col("k")) & (F.col("before") + F.col("cnt") >= F.col("k"))
     ).select(F.col(_B).alias("_bb"), (F.col("k") - F.col("before")).alias("_need"))
-    in_bucket = keys.join(F.broadcast(boundary), F.col(_B) == F.col("_bb"), "inner")
-    ranked = in_bucket.withColumn(
-        "_rn", F.row_number().over(Window.partitionBy(_B).orderBy(F.col(_H), F.col("_k")))
+    # Distinct keys of that bucket with their row counts (partially
+    # aggregated, so a duplicated hot key collapses to one row), ranked by a
+    # running count: the cutoff is the first key reaching ``need``.
+    in_bucket = (
+        keys.join(F.broadcast(boundary), F.col(_B) == F.col("_bb"), "inner")
+        .groupBy(_B, _H, "_k", "_need").agg(F.count(F.lit(1)).alias("_c"))
     )
+    w = Window.partitionBy(_B).orderBy(F.col(_H), F.col("_k")).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    ranked = in_bucket.withColumn("_run", F.sum("_c").over(w))
     return (
-        ranked.where(F.col("_rn") == F.col("_need"))
+        ranked.where((F.col("_run") >= F.col("_need")) & (F.col("_run") - F.col("_c") < F.col("_need")))
         .select(F.struct(F.col(_H).alias("h"), F.col("_k").alias("k")).alias("c"))
         .scalar()
     )

@@ -354,7 +354,7 @@ EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 def q_run_maps(spark, sf):
     m = runs.run_maps(D.run_metrics(spark, sf))
-    return m.select("run_id", F.size("metrics").alias("n_keys"),
+    return m.select("run_id", F.size("metrics").cast("bigint").alias("n_keys"),
                     *[F.try_element_at("metrics", F.lit(k)).alias(f"m_{k}") for k in EVENT_TYPES])
 
 

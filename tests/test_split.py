@@ -66,3 +66,16 @@ def test_bucket_split_is_one_pass(spark):
     with contextlib.redirect_stdout(buf):
         out.explain()
     assert "Exchange" not in buf.getvalue()
+
+
+def test_duplicated_hot_key_stays_together(spark):
+    # key "hot" holds a third of the rows; every key's rows share one side
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+        F.col("id"))
+    out = split.hash_split(df, "k", 0.2)
+    sides = out.groupBy("k").agg(F.countDistinct("split").alias("n")).where("n > 1").count()
+    assert sides == 0
+    assert out.count() == 3000
+    n_test = out.where("split = 'test'").count()
+    assert n_test >= 600
