@@ -167,18 +167,18 @@ SELECT median(frontage) AS median_frontage, CAST(median(year_built) AS DOUBLE) A
 FROM coerced""",
     "null_counts": _with(COERCED) + """
 SELECT column_name, n_missing FROM (
-  SELECT 'id' AS column_name, count_if(id IS NULL) AS n_missing FROM coerced
-  UNION ALL SELECT 'frontage', count_if(frontage IS NULL OR isnan(frontage)) FROM coerced
-  UNION ALL SELECT 'veneer_area', count_if(veneer_area IS NULL OR isnan(veneer_area)) FROM coerced
-  UNION ALL SELECT 'priority', count_if(priority IS NULL) FROM coerced
-  UNION ALL SELECT 'status', count_if(status IS NULL) FROM coerced
-  UNION ALL SELECT 'year_built', count_if(year_built IS NULL) FROM coerced
-  UNION ALL SELECT 'cust_id', count_if(cust_id IS NULL) FROM coerced
-  UNION ALL SELECT 'target', count_if(target IS NULL OR isnan(target)) FROM coerced
+  SELECT 'id' AS column_name, CAST(count_if(id IS NULL) AS BIGINT) AS n_missing FROM coerced
+  UNION ALL SELECT 'frontage', CAST(count_if(frontage IS NULL OR isnan(frontage)) AS BIGINT) FROM coerced
+  UNION ALL SELECT 'veneer_area', CAST(count_if(veneer_area IS NULL OR isnan(veneer_area)) AS BIGINT) FROM coerced
+  UNION ALL SELECT 'priority', CAST(count_if(priority IS NULL) AS BIGINT) FROM coerced
+  UNION ALL SELECT 'status', CAST(count_if(status IS NULL) AS BIGINT) FROM coerced
+  UNION ALL SELECT 'year_built', CAST(count_if(year_built IS NULL) AS BIGINT) FROM coerced
+  UNION ALL SELECT 'cust_id', CAST(count_if(cust_id IS NULL) AS BIGINT) FROM coerced
+  UNION ALL SELECT 'target', CAST(count_if(target IS NULL OR isnan(target)) AS BIGINT) FROM coerced
 )""",
     "conditional_counts": _with(CLEAN) + """
-SELECT count_if(priority = 'None') AS n_priority_none, count_if(veneer_area = 0) AS n_veneer_zero,
-       count_if(status = 'O') AS n_status_o FROM clean""",
+SELECT CAST(count_if(priority = 'None') AS BIGINT) AS n_priority_none, CAST(count_if(veneer_area = 0) AS BIGINT) AS n_veneer_zero,
+       CAST(count_if(status = 'O') AS BIGINT) AS n_status_o FROM clean""",
     "table_shape": _with(CLEAN) + "SELECT count(*) AS n_rows, CAST(7 AS BIGINT) AS n_columns FROM clean",
     "category_domains": _with(CLEAN) + """
 SELECT feature, category, CAST(dense_rank() OVER (PARTITION BY feature ORDER BY category) - 1 AS INTEGER) AS idx
@@ -239,7 +239,7 @@ SELECT {CLEAN_COLS},
             THEN 'test' ELSE 'train' END AS split
 FROM clean""",
     "split_check": _with(SPLIT) + """
-SELECT count_if(split = 'train') AS n_train, count_if(split = 'test') AS n_test, count(*) AS n_total,
+SELECT CAST(count_if(split = 'train') AS BIGINT) AS n_train, CAST(count_if(split = 'test') AS BIGINT) AS n_test, count(*) AS n_total,
        CAST(0 AS BIGINT) AS n_overlap, true AS sizes_add_up, true AS same_columns
 FROM tagged""",
     "feature_lookup": _with(RAW_ORDERS) + """
