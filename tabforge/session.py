@@ -56,11 +56,12 @@ def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers (like ``--py-files``).
 
     Needed by Arrow/pandas stages whose functions live in the package. Done
-    once per application; a cluster job may pass ``--py-files`` instead.
+    once per application and only in local mode; cluster jobs ship the
+    package with ``spark-submit --py-files`` (no driver-local staging there).
     """
     sc = spark.sparkContext
     app = sc.applicationId
-    if app in _SHIPPED:
+    if app in _SHIPPED or not (sc.master or "").startswith("local"):
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     staging = tempfile.mkdtemp(prefix="tabforge-pyfiles-")
