@@ -53,8 +53,10 @@ def impute_mean(df: DataFrame, cols: Iterable[str]) -> DataFrame:
         return df
     require_columns(df, cols)
     s = column_stats(df, {c: F.avg(nan_to_null(F.col(c).cast("double"))) for c in cols})
+    # A numeric column with missing values becomes floating, so the mean is
+    # never truncated into an integer column.
     return df.withColumns(
-        {c: F.coalesce(F.col(c), s.getField(c).cast(df.schema[c].dataType)) for c in cols}
+        {c: F.coalesce(nan_to_null(F.col(c).cast("double")), s.getField(c)) for c in cols}
     )
 
 
@@ -80,7 +82,7 @@ def impute_median(df: DataFrame, cols: Iterable[str], approx: bool = False,
 
         fills = {c: F.lit(exact_median(df, c)).cast("double") for c in cols}
     return df.withColumns(
-        {c: F.coalesce(F.col(c), fills[c].cast(df.schema[c].dataType)) for c in cols}
+        {c: F.coalesce(nan_to_null(F.col(c).cast("double")), fills[c].cast("double")) for c in cols}
     )
 
 

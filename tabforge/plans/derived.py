@@ -1,7 +1,7 @@
 """Datasets that Spark derives from the driver tables.
 
 The driver tables carry no missing values, so a deterministic "dirty" view of
-``orders`` stands in for the raw house-price file; run history is read from
+``orders`` stands in for the raw house-sale file; run history is read from
 ``events``; two dated snapshots of ``orders`` feed the change feed. Every
 derivation keeps all rows of its source table.
 """

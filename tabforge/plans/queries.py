@@ -349,6 +349,7 @@ def q_metric_latest(spark, sf):
     return runs.metric_latest(D.run_metrics(spark, sf))
 
 
+# The event types of the events table (metric keys of a run).
 EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 

@@ -36,7 +36,7 @@ class FeatureSpec:
         return [*self.cat, *self.num, self.target, self.id_col]
 
 
-# The house-price configuration of the original project
+# Column roles and imputation rules of the original house-sale data
 # (numeric features, categorical features, target, imputation rules).
 HOUSE_SPEC = FeatureSpec(
     num=(

@@ -89,3 +89,10 @@ def test_impute_median_approx_mode(spark):
     df = spark.createDataFrame([(1, 1.0), (2, 2.0), (3, 4.0), (4, None)], "id int, x double")
     out = clean.impute_median(df, ["x"], approx=True).where("id = 4").first().x
     assert out == 2.0
+
+
+def test_impute_mean_int_column_becomes_double(spark):
+    df = spark.createDataFrame([(1, 1), (2, 2), (3, None)], "id int, x int")
+    out = clean.impute_mean(df, ["x"])
+    assert dict(out.dtypes)["x"] == "double"
+    assert out.where("id = 3").first().x == 1.5
