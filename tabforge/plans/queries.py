@@ -361,7 +361,8 @@ def q_run_maps(spark, sf):
 
 def q_run_search(spark, sf):
     r = D.runs(spark, sf)
-    cutoff = _dt.datetime(2024, 1, 30) - _dt.timedelta(hours=1)
+    # "started more than one hour before" the fixed reference time
+    cutoff = (_dt.datetime(2024, 1, 30) - _dt.timedelta(hours=1)).isoformat(sep=" ")
     cond = (
         (F.col("status") == "FINISHED")
         & (F.col("start_time") < F.lit(cutoff).cast("timestamp_ntz"))

@@ -23,6 +23,21 @@ BASE_CONF = {
 }
 
 
+# Sizing for cluster runs over very large inputs (applied when the master is
+# not local). Start with many shuffle partitions and let AQE coalesce them to
+# ~256 MB each, so no reducer has to spill a giant partition; read files in
+# 256 MB splits; split any partition over 512 MB (and 5x the median) in joins.
+SCALE_CONF = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def build_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
@@ -37,6 +52,8 @@ def build_session(
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    if master is None or not master.startswith("local"):
+        conf.update(SCALE_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
