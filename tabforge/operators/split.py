@@ -5,16 +5,19 @@
 ``ceil(test_size * n)`` rows form the test part. The result does not depend
 on partitioning, and the table is never sorted or shuffled:
 
-1. a histogram of the first 20 hash bits (key column only, at most 2^20
-   rows after map-side partial counts) locates the one bucket holding the
-   k-th row and how many rows of it are still needed;
-2. only that bucket's distinct keys (about n / 2^20 for a unique key) are
-   ranked by a running row count to find the cutoff ``(hash, key)`` of the
-   k-th row;
-3. the main pass is a narrow projection: ``(hash, key) <= cutoff`` -> test.
-
-Steps 1-2 are scalar subqueries over the key column, so the full rows are
-read exactly once. Rows sharing a key always land in the same part; with a
+1. level 1: a histogram of the first 12 hash bits (key column only; every
+   task emits at most 4096 partial counts) locates the bucket holding the
+   k-th row and how many of its rows are still needed;
+2. level 2: the same on the next 12 bits, for that bucket's rows only;
+3. the remaining ~n / 2^24 keys of the level-2 bucket are aggregated per
+   distinct key and ranked by a running row count to find the cutoff
+   ``(hash, key)`` of the k-th row;
+4. the main pass is a narrow projection: ``(hash, key) <= cutoff`` -> test.
+
+Steps 1-3 are one scalar subquery over the key column (each level's single
+boundary row is broadcast-joined; its size is one row by definition), so the
+full rows are read exactly once and shuffle volume is bounded by 4096 rows
+per task and level. Rows sharing a key always land in the same part; with a
 unique key the test size is exact, and if the k-th row falls inside a
 duplicated key, that whole key group goes to test (nothing is dropped, and a
 hot key never has to be ranked row by row in one task).
@@ -27,7 +30,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_H, _B = "_split_hash", "_split_bucket"
+_H = "_split_hash"
+_LEVEL_HEX = 3  # 12 bits per histogram level -> at most 4096 buckets
 
 
 def split_hash(key: str, seed: int) -> Column:
@@ -35,33 +39,48 @@ def split_hash(key: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
-def split_cutoff(df: DataFrame, key: str, test_size: float, seed: int,
-                 bucket_hex_digits: int = 5) -> Column:
-    """Scalar ``struct(h, k)`` of the last test row in hash order (NULL if none)."""
-    keys = df.select(F.col(key).alias("_k")).withColumn(_H, split_hash("_k", seed)).withColumn(
-        _B, F.conv(F.substring(_H, 1, bucket_hex_digits), 16, 10).cast("long")
+def _bucket(level: int) -> Column:
+    return F.conv(F.substring(_H, 1 + level * _LEVEL_HEX, _LEVEL_HEX), 16, 10).cast("int")
+
+
+def _boundary(rows: DataFrame, bucket: str, need: Column | None = None,
+              test_size: float | None = None) -> DataFrame:
+    """The one bucket (as a row) where the running count reaches the need.
+
+    The need is a column carried by ``rows`` or, at the first level,
+    ``ceil(test_size * n)`` with n summed from the histogram itself. The
+    histogram has at most 4096 rows, so its running count is one small task.
+    """
+    hist = rows.groupBy(bucket).agg(
+        F.count(F.lit(1)).alias("_cnt"), *([F.max(need).alias("_k")] if need is not None else [])
     )
-    hist = keys.groupBy(_B).agg(F.count(F.lit(1)).alias("cnt"))
-    # Running counts over the bounded histogram (one small task by design).
-    w_run = Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    hist = hist.withColumn("before", F.coalesce(F.sum("cnt").over(w_run), F.lit(0))).withColumn(
-        "k", F.ceil(F.lit(float(test_size)) * F.sum("cnt").over(Window.partitionBy()))
+    w_run = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    if need is None:
+        hist = hist.withColumn(
+            "_k", F.ceil(F.lit(float(test_size)) * F.sum("_cnt").over(Window.partitionBy()))
+        )
+    hist = hist.withColumn("_before", F.coalesce(F.sum("_cnt").over(w_run), F.lit(0)))
+    return hist.where(
+        (F.col("_before") < F.col("_k")) & (F.col("_before") + F.col("_cnt") >= F.col("_k"))
+    ).select(F.col(bucket).alias(f"{bucket}_at"), (F.col("_k") - F.col("_before")).alias(f"{bucket}_need"))
+
+
+def split_cutoff(df: DataFrame, key: str, test_size: float, seed: int) -> Column:
+    """Scalar ``struct(h, k)`` of the last test row in hash order (NULL if none)."""
+    keys = df.select(F.col(key).alias("_k")).withColumn(_H, split_hash("_k", seed)).withColumns(
+        {"_b1": _bucket(0), "_b2": _bucket(1)}
     )
-    # Exactly one row (or none): the bucket holding the k-th row. Joined as a
-    # broadcast equi-join on the bucket id - its size is one row by definition.
-    boundary = hist.where(
-        (F.col("before") < F.col("k")) & (F.col("before") + F.col("cnt") >= F.col("k"))
-    ).select(F.col(_B).alias("_bb"), (F.col("k") - F.col("before")).alias("_need"))
-    # Distinct keys of that bucket with their row counts (partially
+    # Level 1 over all keys, level 2 inside the level-1 boundary bucket.
+    b1 = _boundary(keys, "_b1", test_size=test_size)
+    in1 = keys.join(F.broadcast(b1), F.col("_b1") == F.col("_b1_at"), "inner")
+    b2 = _boundary(in1, "_b2", F.col("_b1_need"))
+    in2 = in1.join(F.broadcast(b2), F.col("_b2") == F.col("_b2_at"), "inner")
+    # Distinct keys of the final bucket with their row counts (partially
     # aggregated, so a duplicated hot key collapses to one row), ranked by a
-    # running count: the cutoff is the first key reaching ``need``.
-    in_bucket = (
-        keys.join(F.broadcast(boundary), F.col(_B) == F.col("_bb"), "inner")
-        .groupBy(_B, _H, "_k", "_need").agg(F.count(F.lit(1)).alias("_c"))
-    )
-    w = Window.partitionBy(_B).orderBy(F.col(_H), F.col("_k")).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    ranked = in_bucket.withColumn("_run", F.sum("_c").over(w))
+    # running count: the cutoff is the first key reaching the need.
+    grouped = in2.groupBy(_H, "_k").agg(F.count(F.lit(1)).alias("_c"), F.max("_b2_need").alias("_need"))
+    w = Window.orderBy(F.col(_H), F.col("_k")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = grouped.withColumn("_run", F.sum("_c").over(w))
     return (
         ranked.where((F.col("_run") >= F.col("_need")) & (F.col("_run") - F.col("_c") < F.col("_need")))
         .select(F.struct(F.col(_H).alias("h"), F.col("_k").alias("k")).alias("c"))
@@ -75,14 +94,13 @@ def hash_split(
     test_size: float = 0.2,
     seed: int = 42,
     label_col: str = "split",
-    bucket_hex_digits: int = 5,
 ) -> DataFrame:
     """Tag every row ``'train'`` or ``'test'`` (exact test size, repeatable)."""
     if not 0.0 <= test_size <= 1.0:
         raise ValueError("test_size must be within [0, 1]")
     if key not in df.columns:
         raise ValueError(f"missing required columns: [{key!r}]")
-    cut = split_cutoff(df, key, test_size, seed, bucket_hex_digits)
+    cut = split_cutoff(df, key, test_size, seed)
     # Struct order = (hash, key) lexicographic; NULL cutoff (no test rows) -> train.
     row = F.struct(split_hash(key, seed).alias("h"), F.col(key).alias("k"))
     is_test = F.coalesce(row <= cut, F.lit(False))

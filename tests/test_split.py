@@ -34,7 +34,7 @@ def test_stable_under_repartitioning(spark):
 def test_small_bucket_digits_and_edges(spark):
     df = spark.range(0, 997).select(F.col("id").cast("string").alias("id"))
     ids = [str(i) for i in range(997)]
-    got = {r.id for r in split.hash_split(df, "id", 0.3, 7, bucket_hex_digits=1)
+    got = {r.id for r in split.hash_split(df, "id", 0.3, 7)
            .where("split='test'").collect()}
     assert got == _brute(ids, 7, 0.3)
     assert split.hash_split(df, "id", 0.0).where("split='test'").count() == 0
