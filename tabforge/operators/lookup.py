@@ -9,6 +9,7 @@ on the key and AQE splits a skewed (hot) key's partition into several tasks.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -37,20 +38,27 @@ class FunctionFeature:
     input_bindings: Mapping[str, str]
 
 
-def hot_keys(df: DataFrame, key: str, fraction: float) -> DataFrame:
-    """Keys holding at least ``fraction`` of all rows of ``df``.
+def hot_keys(df: DataFrame, key: str, fraction: float, max_items_tracked: int = 10_000) -> DataFrame:
+    """Keys holding (approximately) at least ``fraction`` of all rows of ``df``.
 
-    At most ``1 / fraction`` keys can qualify, so the result has a proven size
-    bound and may be broadcast. One partially aggregated count per key.
+    One global aggregation: a mergeable frequent-items sketch
+    (``approx_top_k``, bounded memory per task, no shuffle of the keys) plus
+    the row count. At most ``ceil(1 / fraction)`` keys can qualify, so the
+    result has a proven size bound and may be broadcast. The set only steers
+    salting, so an estimate near the threshold cannot change any result.
     """
     if not 0.0 < fraction <= 1.0:
         raise ValueError("fraction must be within (0, 1]")
-    total = df.select(F.count(F.lit(1))).scalar()
+    k = int(math.ceil(1.0 / fraction))
+    top = df.agg(
+        F.expr(f"approx_top_k(`{key}`, {k}, {int(max(max_items_tracked, 4 * k))})").alias("_top"),
+        F.count(F.lit(1)).alias("_n"),
+    )
     return (
-        df.where(F.col(key).isNotNull())
-        .groupBy(key).agg(F.count(F.lit(1)).alias("_cnt"))
-        .where(F.col("_cnt") >= F.lit(float(fraction)) * total)
-        .select(key)
+        top.select(F.explode("_top").alias("_t"), "_n")
+        .where(F.col("_t.count") >= F.lit(float(fraction)) * F.col("_n"))
+        .select(F.col("_t.item").cast(df.schema[key].dataType).alias(key))
+        .where(F.col(key).isNotNull())
     )
 
 
