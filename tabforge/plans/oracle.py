@@ -278,6 +278,21 @@ SELECT t.p_partkey, d.feature, d.category, CAST(1.0 AS DOUBLE) AS value
 FROM ptagged t JOIN dom d
   ON (d.feature = 'p_brand' AND d.category = t.p_brand) OR (d.feature = 'p_type' AND d.category = t.p_type)
 WHERE t.split = 'test'""",
+    "assemble": _with(PART_SPLIT) + """,
+db AS (SELECT p_brand AS v, CAST(row_number() OVER (ORDER BY p_brand) - 1 AS INTEGER) AS i
+       FROM (SELECT DISTINCT p_brand FROM ptagged WHERE split = 'train')),
+dt AS (SELECT p_type AS v, CAST(row_number() OVER (ORDER BY p_type) - 1 AS INTEGER) AS i
+       FROM (SELECT DISTINCT p_type FROM ptagged WHERE split = 'train')),
+n1 AS (SELECT CAST(count(*) AS INTEGER) AS n FROM db),
+n2 AS (SELECT CAST(count(*) AS INTEGER) AS n FROM dt)
+SELECT t.p_partkey, db.i AS pos, CAST(1.0 AS DOUBLE) AS value
+FROM ptagged t JOIN db ON t.p_brand = db.v WHERE t.split = 'test'
+UNION ALL
+SELECT t.p_partkey, (SELECT n FROM n1) + dt.i, CAST(1.0 AS DOUBLE)
+FROM ptagged t JOIN dt ON t.p_type = dt.v WHERE t.split = 'test'
+UNION ALL
+SELECT p_partkey, (SELECT n FROM n1) + (SELECT n FROM n2), CAST(p_size AS DOUBLE)
+FROM ptagged WHERE split = 'test' AND p_size <> 0""",
     "metric_latest": _with(RUN_LATEST) + "SELECT run_id, key, value, step FROM latest",
     "run_maps": _with(RUN_LATEST) + """
 SELECT run_id, count(*) AS n_keys,
@@ -309,6 +324,7 @@ SELECT 'eval-lineitem' AS run_id, key, value, CAST(0 AS BIGINT) AS step FROM (
 SELECT id, {_na('frontage')} AS frontage, {_na('priority')} AS priority, {_na('status')} AS status
 FROM raw""",
     "table_scan": "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer",
+    "table_exists": "SELECT count(*) AS n_rows, true AS table_exists FROM customer",
     "save_overwrite": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
     "save_append": """
 SELECT o_orderkey, o_custkey, o_totalprice FROM orders

@@ -296,7 +296,12 @@ def q_assemble(spark, sf):
     from pyspark.ml.functions import vector_to_array
 
     m = Pipeline(stages=stages).fit(train)
-    return m.transform(test).select(P.id_col, vector_to_array("features").alias("features"))
+    # non-zero slots of each assembled vector, long form (position, value)
+    return (
+        m.transform(test)
+        .select(P.id_col, F.posexplode(vector_to_array("features")).alias("pos", "value"))
+        .where(F.col("value") != 0)
+    )
 
 
 SMALL_GBT = {"learning_rate": 0.1, "n_estimators": 5, "max_depth": 4}
@@ -421,6 +426,14 @@ def q_table_scan(spark, sf):
     return catalog.table_scan(spark, name, ["c_custkey", "c_mktsegment", "c_acctbal"])
 
 
+def q_table_exists(spark, sf):
+    name = _uid("tf_customer")
+    catalog.save_table(D.table(spark, sf, "customer"), name)
+    t = catalog.table_scan(spark, name)
+    return t.agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
+        "table_exists", F.lit(catalog.table_exists(spark, name)))
+
+
 def q_save_overwrite(spark, sf):
     name = _uid("tf_orders")
     o = D.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
@@ -531,6 +544,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_scan": q_csv_scan,
     "na_tokens": q_na_tokens,
     "table_scan": q_table_scan,
+    "table_exists": q_table_exists,
     "save_overwrite": q_save_overwrite,
     "save_append": q_save_append,
     "local_rows": q_local_rows,
