@@ -7,7 +7,6 @@ from collections.abc import Sequence
 import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabforge.functions.names import qualified_name
