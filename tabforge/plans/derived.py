@@ -38,28 +38,33 @@ SPLIT_SEED = 42
 TEST_SIZE = 0.2
 
 
+_READS: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """Scan of a driver table. The driver tables are read-only, so the scan
+    (file listing + footer schema) is resolved once per application."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    df = _READS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _READS[key] = spark.read.parquet(path)
+    return df
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dirty view of ``orders``: unparsable numbers, NULLs, missing categories."""
-    o = table(spark, sf_dir, "orders")
-    k, c = F.col("o_orderkey"), F.col("o_custkey")
-    return o.select(
-        k.alias("id"),
-        F.when(k % 6 == 0, F.lit("NA"))
-        .when(k % 13 == 0, F.lit("10d"))
-        .otherwise((c % 97 + 20).cast("string"))
-        .alias("frontage"),
-        F.when(k % 11 == 0, F.lit(None).cast("double"))
-        .otherwise((c % 500).cast("double"))
-        .alias("veneer_area"),
-        F.when(k % 9 == 0, F.lit(None).cast("string")).otherwise(F.col("o_orderpriority")).alias("priority"),
-        F.col("o_orderstatus").alias("status"),
-        F.year("o_orderdate").cast("int").alias("year_built"),
-        c.alias("cust_id"),
-        F.col("o_totalprice").alias("target"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS id",
+        "CASE WHEN o_orderkey % 6 = 0 THEN 'NA' WHEN o_orderkey % 13 = 0 THEN '10d' "
+        "ELSE CAST(o_custkey % 97 + 20 AS STRING) END AS frontage",
+        "CASE WHEN o_orderkey % 11 = 0 THEN CAST(NULL AS DOUBLE) "
+        "ELSE CAST(o_custkey % 500 AS DOUBLE) END AS veneer_area",
+        "CASE WHEN o_orderkey % 9 = 0 THEN CAST(NULL AS STRING) ELSE o_orderpriority END AS priority",
+        "o_orderstatus AS status",
+        "CAST(year(o_orderdate) AS INT) AS year_built",
+        "o_custkey AS cust_id",
+        "o_totalprice AS target",
     )
 
 
