@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabforge.functions.sql_udf import apply_function
 
@@ -94,10 +95,11 @@ def feature_lookup(df: DataFrame, lookup: Lookup, how: str = "left",
         return df.join(right, on=key, how=how)
     n = int(salt_buckets)
     hot = F.broadcast(hot_keys(df, key, hot_key_fraction).withColumn("_hot", F.lit(True)))
+    # salt = pure function of the row's hashable columns (maps cannot be hashed)
+    hashable = [F.col(f.name) for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
     left = df.join(hot, key, "left").withColumn(
         "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(n)))
-        .otherwise(F.lit(0)).cast("int"),
+        F.when(F.col("_hot"), F.pmod(F.xxhash64(*hashable), F.lit(n))).otherwise(F.lit(0)).cast("int"),
     ).drop("_hot")
     salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
     right_s = right.join(hot, key, "left").withColumn("_salt", F.explode(salts)).drop("_hot")

@@ -88,3 +88,12 @@ def test_lookup_hot_key_split_same_result(spark):
     assert plain == split_ and len(plain) == 3000
     hot = {r.k for r in lookup.hot_keys(base, "k", 0.05).collect()}
     assert 7 in hot and len(hot) <= 20
+
+
+def test_salted_lookup_with_map_column(spark):
+    base = spark.createDataFrame([(i, 1 if i % 2 else i, {"a": "b"}) for i in range(200)],
+                                 "rid int, k int, m map<string,string>")
+    feats = spark.createDataFrame([(1, 5.0)], "k int, f double")
+    out = lookup.feature_lookup(base, lookup.Lookup(feats, ("f",), "k"), hot_key_fraction=0.2,
+                                salt_buckets=4)
+    assert out.count() == 200 and out.where("f = 5.0").count() == 101
