@@ -1,0 +1,29 @@
+"""Library code never brings data to the driver beyond bounded scalars.
+
+Every driver-side action in the package is listed here with why it is
+bounded; a new one fails this test until it is reviewed and added.
+"""
+
+import pathlib
+import re
+
+ACTION = re.compile(r"\.(collect|toPandas|first|take|head|count|toLocalIterator)\(\)")
+
+# file -> number of allowed actions (all return a single row or scalar)
+ALLOWED = {
+    "jobs.py": 1,                 # the new version number (one row)
+    "operators/runs.py": 1,       # max(version) for one model name (scalar)
+    "operators/quantile.py": 5,   # counts, one candidate row, one aggregate row per round
+    "sources/catalog.py": 1,      # key check: limit(1) of the violations
+    "sources/models.py": 1,       # path of the latest version (one row)
+}
+
+
+def test_driver_actions_are_reviewed():
+    root = pathlib.Path(__file__).resolve().parents[1] / "tabforge"
+    found = {}
+    for p in root.rglob("*.py"):
+        n = len(ACTION.findall(p.read_text()))
+        if n:
+            found[str(p.relative_to(root))] = n
+    assert found == ALLOWED
