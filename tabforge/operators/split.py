@@ -67,8 +67,10 @@ def _boundary(rows: DataFrame, bucket: str, need: Column | None = None,
 
 def split_cutoff(df: DataFrame, key: str, test_size: float, seed: int) -> Column:
     """Scalar ``struct(h, k)`` of the last test row in hash order (NULL if none)."""
-    keys = df.select(F.col(key).alias("_k")).withColumn(_H, split_hash("_k", seed)).withColumns(
-        {"_b1": _bucket(0), "_b2": _bucket(1)}
+    keys = (
+        df.select(F.col(key).alias("_k")).where(F.col("_k").isNotNull())
+        .withColumn(_H, split_hash("_k", seed))
+        .withColumns({"_b1": _bucket(0), "_b2": _bucket(1)})
     )
     # Level 1 over all keys, level 2 inside the level-1 boundary bucket.
     b1 = _boundary(keys, "_b1", test_size=test_size)
@@ -95,15 +97,19 @@ def hash_split(
     seed: int = 42,
     label_col: str = "split",
 ) -> DataFrame:
-    """Tag every row ``'train'`` or ``'test'`` (exact test size, repeatable)."""
+    """Tag every row ``'train'`` or ``'test'`` (exact test size, repeatable).
+
+    Rows with a NULL key are not counted and always go to train.
+    """
     if not 0.0 <= test_size <= 1.0:
         raise ValueError("test_size must be within [0, 1]")
     if key not in df.columns:
         raise ValueError(f"missing required columns: [{key!r}]")
     cut = split_cutoff(df, key, test_size, seed)
-    # Struct order = (hash, key) lexicographic; NULL cutoff (no test rows) -> train.
+    # Struct order = (hash, key) lexicographic; NULL cutoff (no test rows) or
+    # NULL key (not counted in n) -> train.
     row = F.struct(split_hash(key, seed).alias("h"), F.col(key).alias("k"))
-    is_test = F.coalesce(row <= cut, F.lit(False))
+    is_test = F.coalesce(F.col(key).isNotNull() & (row <= cut), F.lit(False))
     return df.withColumn(label_col, F.when(is_test, F.lit("test")).otherwise(F.lit("train")))
 
 

@@ -79,3 +79,11 @@ def test_duplicated_hot_key_stays_together(spark):
     assert out.count() == 3000
     n_test = out.where("split = 'test'").count()
     assert n_test >= 600
+
+
+def test_null_keys_go_to_train_and_are_not_counted(spark):
+    df = spark.range(0, 110).select(
+        F.when(F.col("id") < 100, F.col("id").cast("string")).alias("k"))
+    out = split.hash_split(df, "k", 0.2)
+    assert out.where("k IS NULL AND split = 'test'").count() == 0
+    assert out.where("split = 'test'").count() == 20
