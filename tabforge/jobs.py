@@ -47,14 +47,20 @@ class Namespace:
 
 
 def process_data(spark: SparkSession, raw: DataFrame, spec: FeatureSpec, ns: Namespace = Namespace(),
-                 test_size: float = 0.2, seed: int = 42, as_of: _dt.datetime | None = None
-                 ) -> tuple[str, str]:
-    """Clean, split and save; returns the train and test view names."""
+                 test_size: float = 0.2, seed: int = 42, as_of: _dt.datetime | None = None,
+                 buckets: int | None = None) -> tuple[str, str]:
+    """Clean, split and save; returns the train and test view names.
+
+    With ``buckets`` the table is also bucketed (and sorted) by the key, so
+    later joins on the key with a table bucketed the same way (e.g. the
+    feature table) need no shuffle.
+    """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {qualified_name(ns.schema)}")
     clean = preprocess(raw, spec)
     tagged = audit_stamp(hash_split(clean, spec.id_col, test_size, seed, label_col="split"), as_of)
     splits = ns.name(ns.splits)
-    save_table(tagged, splits, "overwrite", partition_by=["split"])
+    save_table(tagged, splits, "overwrite", partition_by=["split"],
+               bucket_by=(buckets, spec.id_col) if buckets else None)
     cols = ", ".join(f"`{c}`" for c in tagged.columns if c != "split")
     for view, part in ((ns.train, "train"), (ns.test, "test")):
         spark.sql(f"CREATE OR REPLACE VIEW {ns.name(view)} AS SELECT {cols} FROM {splits} "

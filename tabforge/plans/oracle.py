@@ -250,6 +250,10 @@ FROM raw r LEFT JOIN customer c ON r.cust_id = c.c_custkey""",
     "training_set": _with(SPLIT) + """
 SELECT id, priority, status, target, frontage, veneer_area, year_built,
        CAST(2025 - year_built AS INTEGER) AS house_age
+FROM tagged WHERE split = 'train'""",
+    "training_set_bucketed": _with(SPLIT) + """
+SELECT id, priority, status, target, frontage, veneer_area, year_built,
+       CAST(2025 - year_built AS INTEGER) AS house_age
 FROM tagged WHERE split = 'train'""",
     "score_lookup": _with(SPLIT) + """
 SELECT id, priority, status, frontage, veneer_area, year_built,

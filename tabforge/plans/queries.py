@@ -243,6 +243,23 @@ def q_score_lookup(spark, sf):
     )
 
 
+BUCKETS = 8
+
+
+def q_training_set_bucketed(spark, sf):
+    """Training set from saved tables bucketed by the key: the lookup join of
+    the train view and the feature table is shuffle-free (co-located)."""
+    from tabforge.jobs import Namespace, process_data
+
+    ns = Namespace(schema=_uid("tf_job"))
+    train_v, test_v = process_data(spark, D.raw_orders(spark, sf), S, ns, D.TEST_SIZE, D.SPLIT_SEED,
+                                   as_of=D.as_of_ts(), buckets=BUCKETS)
+    train, test = spark.table(train_v), spark.table(test_v)
+    features = catalog.create_feature_table(spark, ns.name("order_features"), FEATURE_COLS, "id",
+                                            [train, test], buckets=BUCKETS)
+    return _training_set(spark, train, features)
+
+
 # ------------------------------------------------------- scalar functions
 def q_house_age(spark, sf):
     raw = D.raw_orders(spark, sf)
@@ -520,6 +537,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feature_union": q_feature_union,
     "feature_table": q_feature_table,
     "training_set": q_training_set,
+    "training_set_bucketed": q_training_set_bucketed,
     "score_lookup": q_score_lookup,
     "house_age": q_house_age,
     "sql_udf": q_sql_udf,

@@ -56,3 +56,16 @@ def test_snapshot_diff_never_joins_the_snapshots(spark):
     main = s.split("===== Subqueries =====")[0]
     assert "Union" in main and "HashAggregate" in main
     assert "CartesianProduct" not in main and "BroadcastNestedLoopJoin" not in main
+
+
+def test_bucketed_training_set_join_is_shuffle_free(spark):
+    E = importlib.import_module("__spark_entry__")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        s = _plan(E.queries()["training_set_bucketed"](spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+    main = s.split("===== Subqueries =====")[0]
+    assert "SortMergeJoin" in main and "Exchange" not in main
+    assert "Bucketed: true" in s
