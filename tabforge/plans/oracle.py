@@ -231,6 +231,19 @@ WHERE o.status IS DISTINCT FROM n.status OR o.total IS DISTINCT FROM n.total
 UNION ALL
 SELECT n.id, n.status, n.total, 'update_postimage'
 FROM old_s o JOIN new_s n ON o.id = n.id
+WHERE o.status IS DISTINCT FROM n.status OR o.total IS DISTINCT FROM n.total""",
+    "snapshot_diff_bucketed": _with(SNAPSHOTS) + """
+SELECT coalesce(n.id, o.id) AS id, coalesce(n.status, o.status) AS status, coalesce(n.total, o.total) AS total,
+       CASE WHEN o.id IS NULL THEN 'insert' ELSE 'delete' END AS _change_type
+FROM old_s o FULL JOIN new_s n ON o.id = n.id
+WHERE o.id IS NULL OR n.id IS NULL
+UNION ALL
+SELECT o.id, o.status, o.total, 'update_preimage'
+FROM old_s o JOIN new_s n ON o.id = n.id
+WHERE o.status IS DISTINCT FROM n.status OR o.total IS DISTINCT FROM n.total
+UNION ALL
+SELECT n.id, n.status, n.total, 'update_postimage'
+FROM old_s o JOIN new_s n ON o.id = n.id
 WHERE o.status IS DISTINCT FROM n.status OR o.total IS DISTINCT FROM n.total""",
     "train_test_split": _with(SPLIT) + f"SELECT {CLEAN_COLS}, split FROM tagged",
     "bucket_split": _with(CLEAN) + f"""

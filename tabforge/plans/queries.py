@@ -22,6 +22,8 @@ from tabforge.sources import catalog, files
 
 S = D.ORDERS_SPEC
 P = D.PART_SPEC
+# bucket count for tables laid out for co-located joins on the key
+BUCKETS = 8
 
 
 def _uid(prefix: str) -> str:
@@ -167,6 +169,17 @@ def q_snapshot_diff(spark, sf):
     return quality.snapshot_diff(old, new, "id")
 
 
+def q_snapshot_diff_bucketed(spark, sf):
+    """Both snapshots saved bucketed by id; the full outer join is co-located."""
+    old, new = D.order_snapshots(spark, sf)
+    names = []
+    for part, df in (("old", old), ("new", new)):
+        name = _uid(f"tf_snapshot_{part}")
+        catalog.save_table(df, name, bucket_by=(BUCKETS, "id"))
+        names.append(name)
+    return quality.snapshot_diff_join(spark.table(names[0]), spark.table(names[1]), "id")
+
+
 # ------------------------------------------------------------------ splits
 def q_train_test_split(spark, sf):
     return split.hash_split(q_preprocess(spark, sf), "id", D.TEST_SIZE, D.SPLIT_SEED)
@@ -243,9 +256,6 @@ def q_score_lookup(spark, sf):
     )
 
 
-BUCKETS = 8
-
-
 def q_training_set_bucketed(spark, sf):
     """Training set from saved tables bucketed by the key: the lookup join of
     the train view and the feature table is shuffle-free (co-located)."""
@@ -530,6 +540,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "key_violations": q_key_violations,
     "param_conflicts": q_param_conflicts,
     "snapshot_diff": q_snapshot_diff,
+    "snapshot_diff_bucketed": q_snapshot_diff_bucketed,
     "train_test_split": q_train_test_split,
     "bucket_split": q_bucket_split,
     "split_check": q_split_check,

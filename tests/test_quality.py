@@ -74,3 +74,13 @@ def test_param_conflicts(spark):
                                 ("r2", "type", "demo")], "run_id string, key string, value string")
     rows = quality.param_conflicts(df).collect()
     assert [(r.run_id, r.key, r.n_values) for r in rows] == [("r1", "type", 2)]
+
+
+def test_snapshot_diff_join_matches_aggregate_form(spark):
+    old = [(1, "a", 1.0), (2, "b", None), (3, "c", 3.0), (4, None, 4.0), (5, "e", 5.0)]
+    new = [(1, "a", 1.0), (2, "b", 2.0), (4, None, 4.0), (5, "E", 5.0), (6, "f", 6.0)]
+    schema = "id int, s string, v double"
+    o, n = spark.createDataFrame(old, schema), spark.createDataFrame(new, schema)
+    a = Counter(tuple(r) for r in quality.snapshot_diff(o, n, "id").collect())
+    b = Counter(tuple(r) for r in quality.snapshot_diff_join(o, n, "id").collect())
+    assert a == b
