@@ -20,12 +20,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabforge.functions.names import qualified_name
-from tabforge.operators.clean import audit_stamp, preprocess
+from tabforge.operators.clean import audit_stamp, preprocess, schema_conform
 from tabforge.operators.metrics import regression_metrics
 from tabforge.operators.model import batch_score, save_model, train_gbt
-from tabforge.operators.runs import next_version_row, record_run
+from tabforge.operators.runs import latest_version, next_version_row, record_run
 from tabforge.operators.split import hash_split
 from tabforge.sources.catalog import save_table
+from tabforge.sources.models import load_latest, load_schema, save_schema, schema_path
 from tabforge.spec import FeatureSpec
 
 
@@ -85,6 +86,8 @@ def train_register(spark: SparkSession, spec: FeatureSpec, params: Mapping[str,
     scored = batch_score(model, test, spec, keep=[spec.target])
     metrics = regression_metrics(scored, spec.target).select("mse", "mae", "r2")
     path = save_model(model, f"{model_root.rstrip('/')}/{model_name}/{run_id}")
+    # the input contract (features only) is stored next to the model
+    save_schema(spark, train.select(spec.id_col, *spec.num, *spec.cat).schema, schema_path(path))
     runs, met, par = record_run(spark, run_id, dict(params), metrics, tags, run_name=model_name)
     _append(runs, ns.name(ns.runs))
     _append(met, ns.name(ns.metrics))
@@ -95,3 +98,22 @@ def train_register(spark: SparkSession, spec: FeatureSpec, params: Mapping[str,
     version = row.select("version").first()[0]
     _append(row, versions_name)
     return run_id, int(version), spark.table(ns.name(ns.metrics)).where(F.col("run_id") == run_id)
+
+
+def score_latest(spark: SparkSession, spec: FeatureSpec, model_name: str, df: DataFrame,
+                 ns: Namespace = Namespace(), adjust_cents: bool = False) -> DataFrame:
+    """Resolve the latest version, conform ``df`` to its stored input
+    contract (missing column -> error, extras dropped, types cast) and score
+    it lazily."""
+    versions = spark.table(ns.name(ns.versions))
+    path = latest_version(versions, model_name).select("path").first()
+    if path is None:
+        raise ValueError(f"no registered versions for {model_name!r}")
+    model = load_latest(versions, model_name)
+    contract = load_schema(spark, schema_path(path[0]))
+    scored = batch_score(model, schema_conform(df, contract), spec)
+    if adjust_cents:
+        from tabforge.functions.numeric import round_cents
+
+        scored = scored.withColumn("prediction", round_cents("prediction"))
+    return scored

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from tabforge.operators.runs import latest_version
 
@@ -24,3 +27,19 @@ def load_latest(versions: DataFrame, name: str) -> PipelineModel:
     if row is None:
         raise ValueError(f"no registered versions for {name!r}")
     return PipelineModel.load(row["path"])
+
+
+def save_schema(spark: SparkSession, schema: T.StructType, path: str) -> str:
+    """Store a schema contract (JSON text, one tiny file) on shared storage."""
+    spark.createDataFrame([(schema.json(),)], "schema string").coalesce(1).write.mode(
+        "overwrite").text(path)
+    return path
+
+
+def load_schema(spark: SparkSession, path: str) -> T.StructType:
+    row = spark.read.text(path).first()
+    return T.StructType.fromJson(json.loads(row[0]))
+
+
+def schema_path(model_path: str) -> str:
+    return model_path.rstrip("/") + "_input_schema"
