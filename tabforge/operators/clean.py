@@ -8,6 +8,7 @@ plugged into the row stage as a scalar subquery. No cross join, no collect.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -182,6 +183,6 @@ def schema_conform(df: DataFrame, schema: T.StructType | str) -> DataFrame:
     Missing column -> error; extra columns -> dropped; types -> cast.
     """
     if isinstance(schema, str):
-        schema = T.StructType.fromJson(__import__("json").loads(schema))
+        schema = T.StructType.fromJson(json.loads(schema))
     require_columns(df, schema.fieldNames())
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])

@@ -11,6 +11,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tabforge.functions.numeric import age_from_year, round_cents, scale_round
 from tabforge.functions.sql_udf import register_age_function
@@ -91,10 +92,8 @@ def q_audit_stamp(spark, sf):
 
 def q_schema_conform(spark, sf):
     raw = D.raw_orders(spark, sf)
-    contract = "id string, year_built bigint, veneer_area double, status string"
-    from pyspark.sql.types import _parse_datatype_string
-
-    return clean.schema_conform(raw, _parse_datatype_string(contract))
+    contract = StructType.fromDDL("id string, year_built bigint, veneer_area double, status string")
+    return clean.schema_conform(raw, contract)
 
 
 # ------------------------------------------------------------ aggregations

@@ -53,13 +53,13 @@ def test_preprocess_contract(spark):
 
 def test_schema_conform(spark):
     df = spark.createDataFrame([(1, "2", "x")], "a int, b string, extra string")
-    target = "a long, b int"
-    from pyspark.sql.types import _parse_datatype_string
+    from pyspark.sql.types import StructType
 
-    out = clean.schema_conform(df, _parse_datatype_string(target))
+    target = StructType.fromDDL("a long, b int")
+    out = clean.schema_conform(df, target)
     assert out.dtypes == [("a", "bigint"), ("b", "int")]
     with pytest.raises(ValueError):
-        clean.schema_conform(df.drop("b"), _parse_datatype_string(target))
+        clean.schema_conform(df.drop("b"), target)
 
 
 def test_audit_stamp_fixed_and_now(spark):
