@@ -47,13 +47,18 @@ def column_stats(df: DataFrame, stats: Mapping[str, Column]) -> Column:
     return row.scalar()
 
 
-def impute_mean(df: DataFrame, cols: Iterable[str]) -> DataFrame:
-    """Fill NULLs with the column mean over the whole frame (mean skips NULLs)."""
+def impute_mean(df: DataFrame, cols: Iterable[str], fit_df: DataFrame | None = None) -> DataFrame:
+    """Fill NULLs with the column mean (mean skips NULLs).
+
+    The mean is taken over ``fit_df`` when given (e.g. the train part only,
+    to keep test statistics out), else over the whole frame.
+    """
     cols = list(cols)
     if not cols:
         return df
     require_columns(df, cols)
-    s = column_stats(df, {c: F.avg(nan_to_null(F.col(c).cast("double"))) for c in cols})
+    src = df if fit_df is None else fit_df
+    s = column_stats(src, {c: F.avg(nan_to_null(F.col(c).cast("double"))) for c in cols})
     # A numeric column with missing values becomes floating, so the mean is
     # never truncated into an integer column.
     return df.withColumns(
@@ -62,7 +67,7 @@ def impute_mean(df: DataFrame, cols: Iterable[str]) -> DataFrame:
 
 
 def impute_median(df: DataFrame, cols: Iterable[str], approx: bool = False,
-                  accuracy: int = 100_000) -> DataFrame:
+                  accuracy: int = 100_000, fit_df: DataFrame | None = None) -> DataFrame:
     """Fill NULLs with the median (exact, interpolated, by default).
 
     The exact median is found by distributed band narrowing (see
@@ -74,14 +79,15 @@ def impute_median(df: DataFrame, cols: Iterable[str], approx: bool = False,
     if not cols:
         return df
     require_columns(df, cols)
+    src = df if fit_df is None else fit_df
     if approx:
-        s = column_stats(df, {c: F.percentile_approx(nan_to_null(F.col(c).cast("double")), 0.5, accuracy)
+        s = column_stats(src, {c: F.percentile_approx(nan_to_null(F.col(c).cast("double")), 0.5, accuracy)
                               .cast("double") for c in cols})
         fills = {c: s.getField(c) for c in cols}
     else:
         from tabforge.operators.quantile import exact_median
 
-        fills = {c: F.lit(exact_median(df, c)).cast("double") for c in cols}
+        fills = {c: F.lit(exact_median(src, c)).cast("double") for c in cols}
     return df.withColumns(
         {c: F.coalesce(nan_to_null(F.col(c).cast("double")), fills[c].cast("double")) for c in cols}
     )

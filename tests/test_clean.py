@@ -96,3 +96,10 @@ def test_impute_mean_int_column_becomes_double(spark):
     out = clean.impute_mean(df, ["x"])
     assert dict(out.dtypes)["x"] == "double"
     assert out.where("id = 3").first().x == 1.5
+
+
+def test_impute_mean_fit_on_other_frame(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, 9.0), (3, None)], "id int, x double")
+    train = df.where("id = 1")
+    assert clean.impute_mean(df, ["x"], fit_df=train).where("id = 3").first().x == 1.0
+    assert clean.impute_median(df, ["x"], fit_df=train).where("id = 3").first().x == 1.0
