@@ -162,17 +162,41 @@ def audit_stamp(df: DataFrame, as_of: _dt.datetime | None = None,
     return df.withColumn(col, ts)
 
 
-def preprocess(df: DataFrame, spec: FeatureSpec, keep: Iterable[str] = ()) -> DataFrame:
+def fit_preprocess(df: DataFrame, spec: FeatureSpec) -> dict[str, float | None]:
+    """Imputation statistics of ``preprocess`` as plain scalars (one aggregate).
+
+    For applying the same cleaning to later data or to a stream, where the
+    statistics must be fixed rather than recomputed per batch.
+    """
+    numeric = [*spec.extra_numeric, *spec.num]
+    require_columns(df, numeric)
+    if not spec.mean_fill:
+        return {}
+    coerced = coerce_numeric(df, numeric)
+    row = coerced.agg(*[F.avg(nan_to_null(F.col(c).cast("double"))).alias(c) for c in spec.mean_fill]).first()
+    return {c: (None if row[c] is None else float(row[c])) for c in spec.mean_fill}
+
+
+def preprocess(df: DataFrame, spec: FeatureSpec, keep: Iterable[str] = (),
+               stats: dict[str, float | None] | None = None) -> DataFrame:
     """The full cleaning step of the pipeline, lazily.
 
     coerce numerics -> mean fill -> constant fill -> category fill ->
     contract column order with the key as text. The mean is taken over the
-    whole frame before any split, as in the original job.
+    whole frame before any split, as in the original job, unless fixed
+    ``stats`` (from :func:`fit_preprocess`) are given - the form used on
+    streams and on later batches.
     """
     numeric = [*spec.extra_numeric, *spec.num]
     require_columns(df, [*numeric, *spec.cat, spec.target, spec.id_col])
     out = coerce_numeric(df, numeric)
-    out = impute_mean(out, spec.mean_fill)
+    if stats is None:
+        out = impute_mean(out, spec.mean_fill)
+    else:
+        out = out.withColumns({
+            c: F.coalesce(nan_to_null(F.col(c).cast("double")), F.lit(stats.get(c)).cast("double"))
+            for c in spec.mean_fill
+        })
     out = impute_constant(out, spec.constant_fill)
     out = fill_category(out, spec.cat, spec.category_fill)
     return select_features(out, spec, keep)

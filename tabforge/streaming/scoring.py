@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tabforge.functions.numeric import round_cents
+from tabforge.operators.clean import preprocess
 from tabforge.operators.model import batch_score
 from tabforge.session import scratch_path
 from tabforge.spec import FeatureSpec
@@ -32,11 +33,16 @@ def score_stream(
     adjust_cents: bool = False,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    clean_spec: FeatureSpec | None = None,
+    clean_stats: dict[str, float | None] | None = None,
 ) -> StreamingQuery:
     """Start a stream that scores every new parquet file under ``source_dir``.
 
     ``available_now`` processes what is there and stops (scheduled jobs);
-    otherwise the query keeps running on a processing-time trigger.
+    otherwise the query keeps running on a processing-time trigger. With
+    ``clean_spec`` raw records are cleaned first, using fixed statistics
+    ``clean_stats`` fitted once on batch data (``fit_preprocess``): the
+    stream stays a stateless per-record transformation.
     """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
@@ -44,6 +50,8 @@ def score_stream(
     stream = reader.parquet(source_dir)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
+        if clean_spec is not None:
+            batch = preprocess(batch, clean_spec, stats=clean_stats or {})
         scored = batch_score(model, batch, spec)
         if adjust_cents:
             scored = scored.withColumn("prediction", round_cents("prediction"))

@@ -11,6 +11,7 @@ ACTION = re.compile(r"\.(collect|toPandas|first|take|head|count|toLocalIterator)
 
 # file -> number of allowed actions (all return a single row or scalar)
 ALLOWED = {
+    "operators/clean.py": 1,      # fit_preprocess: one aggregate row of means
     "jobs.py": 2,                 # the new version number; the latest model path (one row each)
     "operators/runs.py": 1,       # max(version) for one model name (scalar)
     "operators/quantile.py": 5,   # counts, one candidate row, one aggregate row per round
