@@ -103,3 +103,12 @@ def test_impute_mean_fit_on_other_frame(spark):
     train = df.where("id = 1")
     assert clean.impute_mean(df, ["x"], fit_df=train).where("id = 3").first().x == 1.0
     assert clean.impute_median(df, ["x"], fit_df=train).where("id = 3").first().x == 1.0
+
+
+def test_exact_quantile_edge_values(spark):
+    from tabforge.operators.quantile import exact_quantile
+
+    one = spark.createDataFrame([(5.0,), (None,), (float("nan"),)], "x double")
+    assert exact_quantile(one, "x") == 5.0
+    two = spark.createDataFrame([(1.0,), (2.0,)], "x double")
+    assert exact_quantile(two, "x") == 1.5

@@ -84,3 +84,11 @@ def test_snapshot_diff_join_matches_aggregate_form(spark):
     a = Counter(tuple(r) for r in quality.snapshot_diff(o, n, "id").collect())
     b = Counter(tuple(r) for r in quality.snapshot_diff_join(o, n, "id").collect())
     assert a == b
+
+
+def test_snapshot_diff_null_key_is_a_key_like_any_other(spark):
+    schema = "id int, s string"
+    old = spark.createDataFrame([(None, "a"), (1, "x")], schema)
+    new = spark.createDataFrame([(None, "b"), (1, "x")], schema)
+    got = Counter((r.id, r.s, r._change_type) for r in quality.snapshot_diff(old, new, "id").collect())
+    assert got == Counter({(None, "a", "update_preimage"): 1, (None, "b", "update_postimage"): 1})

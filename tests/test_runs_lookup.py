@@ -97,3 +97,14 @@ def test_salted_lookup_with_map_column(spark):
     out = lookup.feature_lookup(base, lookup.Lookup(feats, ("f",), "k"), hot_key_fraction=0.2,
                                 salt_buckets=4)
     assert out.count() == 200 and out.where("f = 5.0").count() == 100
+
+
+def test_salted_lookup_null_keys_stay_unmatched(spark):
+    rows = [(i, None if i % 4 == 0 else (3 if i % 2 else i % 10)) for i in range(400)]
+    base = spark.createDataFrame(rows, "rid int, k int")
+    feats = spark.createDataFrame([(k, float(k)) for k in range(10)], "k int, f double")
+    out = lookup.feature_lookup(base, lookup.Lookup(feats, ("f",), "k"), hot_key_fraction=0.1,
+                                salt_buckets=4)
+    assert out.count() == 400
+    assert out.where("k IS NULL AND f IS NOT NULL").count() == 0
+    assert out.where("k = 3").where("f = 3.0").count() == 200
