@@ -117,9 +117,10 @@ def train_test(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42,
                materialize: bool = False) -> tuple[DataFrame, DataFrame]:
     """Two frames from :func:`hash_split`.
 
-    With ``materialize`` the tagged frame is checkpointed once (like saving
-    the train and test tables), so both parts read it instead of recomputing
-    the upstream plan.
+    With ``materialize`` the tagged frame is written once as Parquet into the
+    shared checkpoint folder (like saving the train and test tables), so both
+    parts read it - with the part filter pushed into the scan - instead of
+    recomputing the upstream plan.
     """
     tagged = hash_split(df, key, test_size, seed, label_col="_part")
     if materialize:
