@@ -185,7 +185,10 @@ def canonical_text(df: DataFrame, c: str, null_marker: str = "\\N") -> Column:
 
 
 def nan_safe_decimal_text(col: Column) -> Column:
-    return F.when(F.isnan(col), F.lit("NaN")).otherwise(col.cast("decimal(38,6)").cast("string"))
+    """Fixed-point text of a double; values beyond DECIMAL(38,6) (|x| >= 1e32)
+    and infinities fall back to Spark's own text instead of failing."""
+    return F.when(F.isnan(col), F.lit("NaN")).otherwise(
+        F.coalesce(col.try_cast("decimal(38,6)").cast("string"), col.cast("string")))
 
 
 def dataset_fingerprint(df: DataFrame, cols: Sequence[str] | None = None,
