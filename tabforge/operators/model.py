@@ -42,7 +42,11 @@ def gbt_params(params: Mapping[str, object]) -> dict:
 def gbt_pipeline(spec: FeatureSpec, params: Mapping[str, object] | None = None, seed: int = 42
                  ) -> Pipeline:
     """One-hot(cat) -> assemble(one-hot + num) -> GBTRegressor(label=target)."""
-    kw = {"seed": seed, **gbt_params(params or {})}
+    # cacheNodeIds keeps each row's current tree node on the executors (trees
+    # are not re-shipped per level); checkpointInterval cuts the growing
+    # lineage of node ids / predictions every 10 rounds into the shared
+    # checkpoint folder, so hundreds of rounds stay recoverable.
+    kw = {"seed": seed, "cacheNodeIds": True, "checkpointInterval": 10, **gbt_params(params or {})}
     reg = GBTRegressor(featuresCol="features", labelCol=spec.target, predictionCol="prediction", **kw)
     return Pipeline(stages=[*one_hot_stages(spec.cat), assembler(spec.cat, spec.num), reg])
 
