@@ -5,6 +5,9 @@ left to Catalyst + AQE: the feature side is broadcast only when its measured
 size is under ``spark.sql.autoBroadcastJoinThreshold`` (planner statistics, and
 again at runtime from real shuffle sizes); otherwise both sides are shuffled
 on the key and AQE splits a skewed (hot) key's partition into several tasks.
+``feature_lookup(hot_key_fraction=...)`` handles hot keys explicitly instead:
+found by a sketch, salted deterministically, feature rows replicated per salt.
+Tables bucketed by the key on both sides join without any shuffle.
 """
 
 from __future__ import annotations
