@@ -21,12 +21,18 @@ from tabforge.operators.clean import require_columns
 IDX, OHE = "__idx", "__ohe"
 
 
-def category_domains(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def category_domains(df: DataFrame, cols: Sequence[str], large: bool = False) -> DataFrame:
     """Distinct non-NULL values per categorical column with their index.
 
     ``(feature, category, idx)``; ``idx`` = alphabetical position (0-based).
-    The distinct runs as a partially aggregated group-by; the ranking window
-    holds one column's domain per task.
+    The distinct runs as a partially aggregated group-by. By default a
+    ranking window holds one column's domain per task (right for
+    categoricals). With ``large`` no task holds a whole domain: the distinct
+    values are range-sorted across partitions, numbered by
+    ``monotonically_increasing_id`` (frozen by materialising to the shared
+    checkpoint folder), and turned into dense positions with per-partition
+    offsets (one row per partition) and per-feature starts (one row per
+    feature).
     """
     cols = list(cols)
     require_columns(df, cols)
@@ -34,8 +40,29 @@ def category_domains(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         [], cols, "feature", "category"
     )
     dom = long.where(F.col("category").isNotNull()).distinct()
-    w = Window.partitionBy("feature").orderBy("category")
-    return dom.withColumn("idx", (F.dense_rank().over(w) - 1).cast("int"))
+    if not large:
+        w = Window.partitionBy("feature").orderBy("category")
+        return dom.withColumn("idx", (F.dense_rank().over(w) - 1).cast("int"))
+    from tabforge.session import cut_lineage
+
+    ranked = cut_lineage(
+        dom.orderBy("feature", "category").withColumn("_mid", F.monotonically_increasing_id()),
+        "domains",
+    ).withColumns({
+        "_pid": F.shiftright(F.col("_mid"), 33),
+        "_local": F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)),
+    })
+    offsets = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_off",
+        F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)),
+    ).select("_pid", "_off")
+    pos = ranked.join(F.broadcast(offsets), "_pid").withColumn("_pos", F.col("_off") + F.col("_local"))
+    starts = pos.groupBy(F.col("feature").alias("_f")).agg(F.min("_pos").alias("_first"))
+    return (
+        pos.join(F.broadcast(starts), F.col("feature") == F.col("_f"))
+        .select("feature", "category", (F.col("_pos") - F.col("_first")).cast("int").alias("idx"))
+    )
 
 
 def indexer(cols: Sequence[str], handle_invalid: str = "keep") -> StringIndexer:

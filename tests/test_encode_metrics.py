@@ -63,3 +63,19 @@ def test_regression_metrics_constant_label_and_nulls(spark):
     df2 = spark.createDataFrame([(1.0, 2.0), (1.0, 1.0)], "y double, prediction double")
     r = metrics.regression_metrics(df2, "y").first()
     assert (r.r2, r.n) == (0.0, 2)
+
+
+def test_category_domains_large_mode_matches_window(spark):
+    df = spark.range(0, 6000).select(
+        (F.col("id") % 2500).cast("string").alias("a"),
+        F.concat(F.lit("v"), (F.col("id") % 1700).cast("string")).alias("b"),
+        F.when(F.col("id") % 5 == 0, F.lit(None)).otherwise((F.col("id") % 7).cast("string")).alias("c"),
+    ).repartition(6)
+    small = {(r.feature, r.category, r.idx) for r in encode.category_domains(df, ["a", "b", "c"]).collect()}
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        big = {(r.feature, r.category, r.idx)
+               for r in encode.category_domains(df, ["a", "b", "c"], large=True).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert big == small and len(big) == 2500 + 1700 + 7
