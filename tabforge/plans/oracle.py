@@ -182,6 +182,10 @@ SELECT CAST(count_if(priority = 'None') AS BIGINT) AS n_priority_none, CAST(coun
     "table_shape": _with(CLEAN) + "SELECT count(*) AS n_rows, CAST(7 AS BIGINT) AS n_columns FROM clean",
     "category_domains": _with(CLEAN) + """
 SELECT feature, category, CAST(dense_rank() OVER (PARTITION BY feature ORDER BY category) - 1 AS INTEGER) AS idx
+FROM (SELECT DISTINCT 'priority' AS feature, priority AS category FROM clean
+      UNION SELECT DISTINCT 'status', status FROM clean)""",
+    "category_domains_large": _with(CLEAN) + """
+SELECT feature, category, CAST(dense_rank() OVER (PARTITION BY feature ORDER BY category) - 1 AS INTEGER) AS idx
 FROM (SELECT DISTINCT 'priority' AS feature, priority AS category FROM clean
       UNION SELECT DISTINCT 'status', status FROM clean)""",
     "dictionary_encode": _with(CLEAN) + """,

@@ -133,6 +133,10 @@ def q_category_domains(spark, sf):
     return encode.category_domains(q_preprocess(spark, sf), S.cat)
 
 
+def q_category_domains_large(spark, sf):
+    return encode.category_domains(q_preprocess(spark, sf), S.cat, large=True)
+
+
 def q_dictionary_encode(spark, sf):
     df = q_preprocess(spark, sf)
     return encode.dictionary_encode(df, S.cat).select("id", *S.cat)
@@ -533,6 +537,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conditional_counts": q_conditional_counts,
     "table_shape": q_table_shape,
     "category_domains": q_category_domains,
+    "category_domains_large": q_category_domains_large,
     "dictionary_encode": q_dictionary_encode,
     "regression_metrics": q_regression_metrics,
     "dataset_fingerprint": q_dataset_fingerprint,
