@@ -104,10 +104,29 @@ def fit_dictionary(df: DataFrame, cols: Sequence[str]) -> PipelineModel:
     return Pipeline(stages=[indexer(cols, "keep")]).fit(df)
 
 
-def dictionary_encode(df: DataFrame, cols: Sequence[str], model: PipelineModel | None = None
-                      ) -> DataFrame:
-    """Replace each categorical by its alphabetical index (unseen -> k)."""
+def dictionary_encode(df: DataFrame, cols: Sequence[str], model: PipelineModel | None = None,
+                      large: bool = False, domains: DataFrame | None = None) -> DataFrame:
+    """Replace each categorical by its alphabetical index (unseen/NULL -> k).
+
+    By default a fitted ``StringIndexer`` (labels on the driver: bounded
+    domains). With ``large`` (or given ``domains`` from ``category_domains``)
+    each column is joined with its distributed dictionary instead; Catalyst
+    broadcasts a dictionary only when its measured size allows, otherwise the
+    join shuffles on the value.
+    """
     cols = list(cols)
+    if large or domains is not None:
+        dom = domains if domains is not None else category_domains(df, cols, large=True)
+        sizes = dom.groupBy("feature").agg(F.count(F.lit(1)).cast("int").alias("_k"))
+        out = df
+        for c in cols:
+            d = dom.where(F.col("feature") == F.lit(c)).select(
+                F.col("category").alias(f"_{c}_v"), F.col("idx").alias(f"_{c}_i"))
+            k = sizes.where(F.col("feature") == F.lit(c)).select("_k").scalar()
+            out = (out.join(d, out[c].cast("string") == F.col(f"_{c}_v"), "left")
+                   .withColumn(c, F.coalesce(F.col(f"_{c}_i"), k, F.lit(0)).cast("int"))
+                   .drop(f"_{c}_v", f"_{c}_i"))
+        return out
     model = model or fit_dictionary(df, cols)
     out = model.transform(df)
     return out.drop(*cols).withColumnsRenamed({f"{c}{IDX}": c for c in cols}).withColumns(

@@ -194,6 +194,13 @@ dp AS (SELECT priority AS v, CAST(row_number() OVER (ORDER BY priority) - 1 AS I
 ds AS (SELECT status AS v, CAST(row_number() OVER (ORDER BY status) - 1 AS INTEGER) AS i
        FROM (SELECT DISTINCT status FROM clean))
 SELECT c.id, dp.i AS priority, ds.i AS status
+FROM clean c JOIN dp ON c.priority = dp.v JOIN ds ON c.status = ds.v""",
+    "dictionary_encode_large": _with(CLEAN) + """,
+dp AS (SELECT priority AS v, CAST(row_number() OVER (ORDER BY priority) - 1 AS INTEGER) AS i
+       FROM (SELECT DISTINCT priority FROM clean)),
+ds AS (SELECT status AS v, CAST(row_number() OVER (ORDER BY status) - 1 AS INTEGER) AS i
+       FROM (SELECT DISTINCT status FROM clean))
+SELECT c.id, dp.i AS priority, ds.i AS status
 FROM clean c JOIN dp ON c.priority = dp.v JOIN ds ON c.status = ds.v""",
     "regression_metrics": _with(METRICS_LINEITEM) + "SELECT n, mse, mae, r2 FROM m",
     "dataset_fingerprint": """

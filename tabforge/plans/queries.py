@@ -142,6 +142,11 @@ def q_dictionary_encode(spark, sf):
     return encode.dictionary_encode(df, S.cat).select("id", *S.cat)
 
 
+def q_dictionary_encode_large(spark, sf):
+    df = q_preprocess(spark, sf)
+    return encode.dictionary_encode(df, S.cat, large=True).select("id", *S.cat)
+
+
 def q_regression_metrics(spark, sf):
     li = D.table(spark, sf, "lineitem").select(
         F.col("l_extendedprice").alias("y"), (F.col("l_quantity") * 1500).alias("prediction")
@@ -539,6 +544,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "category_domains": q_category_domains,
     "category_domains_large": q_category_domains_large,
     "dictionary_encode": q_dictionary_encode,
+    "dictionary_encode_large": q_dictionary_encode_large,
     "regression_metrics": q_regression_metrics,
     "dataset_fingerprint": q_dataset_fingerprint,
     "key_violations": q_key_violations,

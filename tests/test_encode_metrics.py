@@ -79,3 +79,11 @@ def test_category_domains_large_mode_matches_window(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert big == small and len(big) == 2500 + 1700 + 7
+
+
+def test_dictionary_encode_large_matches_indexer(spark):
+    df = spark.createDataFrame([(1, "b", "x"), (2, "a", None), (3, "c", "y"), (4, None, "x")],
+                               "id int, c string, d string")
+    a = {tuple(r) for r in encode.dictionary_encode(df, ["c", "d"]).select("id", "c", "d").collect()}
+    b = {tuple(r) for r in encode.dictionary_encode(df, ["c", "d"], large=True).select("id", "c", "d").collect()}
+    assert a == b
