@@ -29,8 +29,11 @@ _V = "_qv"
 
 
 def kth_smallest(values: DataFrame, ranks: Sequence[int], band_limit: int = 1_000_000,
-                 accuracy: int = 10_000, max_rounds: int = 12) -> dict[int, float]:
-    """Exact values at 0-based ``ranks`` of the single non-NULL column ``_qv``."""
+                 accuracy: int = 10_000, max_rounds: int = 12, n: int | None = None) -> dict[int, float]:
+    """Exact values at 0-based ``ranks`` of the single non-NULL column ``_qv``.
+
+    ``n`` (the row count, if already known) saves the first counting pass.
+    """
     pending = sorted(set(int(r) for r in ranks))
     found: dict[int, float] = {}
     lo = hi = None       # exclusive value bounds of the band
@@ -42,7 +45,7 @@ def kth_smallest(values: DataFrame, ranks: Sequence[int], band_limit: int = 1_00
             band = band.where(F.col(_V) > F.lit(lo))
         if hi is not None:
             band = band.where(F.col(_V) < F.lit(hi))
-        cnt = band.count()
+        cnt = n if (n is not None and lo is None and hi is None) else band.count()
         if cnt <= band_limit or _ == max_rounds - 1:
             ordered = band.orderBy(_V)
             for r in pending:
@@ -92,7 +95,7 @@ def exact_quantile(df: DataFrame, col: str, q: float = 0.5, band_limit: int = 1_
         return None
     pos = q * (n - 1)
     lo_r, hi_r = math.floor(pos), math.ceil(pos)
-    got = kth_smallest(vals, [lo_r, hi_r], band_limit)
+    got = kth_smallest(vals, [lo_r, hi_r], band_limit, n=n)
     a, b = got[lo_r], got[hi_r]
     if lo_r == hi_r:
         return a
