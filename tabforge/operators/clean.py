@@ -189,7 +189,9 @@ def preprocess(df: DataFrame, spec: FeatureSpec, keep: Iterable[str] = (),
     """
     numeric = [*spec.extra_numeric, *spec.num]
     require_columns(df, [*numeric, *spec.cat, spec.target, spec.id_col])
-    out = coerce_numeric(df, numeric)
+    # the target is coerced too (a no-op for numeric input; text from a CSV
+    # read becomes a number, unparsable -> NULL)
+    out = coerce_numeric(df, [*numeric, spec.target])
     if stats is None:
         out = impute_mean(out, spec.mean_fill)
     else:
