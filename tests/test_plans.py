@@ -69,3 +69,15 @@ def test_bucketed_training_set_join_is_shuffle_free(spark):
     main = s.split("===== Subqueries =====")[0]
     assert "SortMergeJoin" in main and "Exchange" not in main
     assert "Bucketed: true" in s
+
+
+def test_split_views_prune_partitions(spark):
+    from tabforge.jobs import Namespace, process_data
+    from tabforge.plans.derived import ORDERS_SPEC, raw_orders
+
+    ns = Namespace(schema="tf_prune_test")
+    train_v, _ = process_data(spark, raw_orders(spark, SF_SMALL), ORDERS_SPEC, ns)
+    s = _plan(spark.table(train_v).select("id", "target"))
+    assert "PartitionFilters: [isnotnull(split" in s and "(split" in s and "= train)" in s
+    assert "ReadSchema: struct<target:double,id:string>" in s
+    spark.sql("DROP DATABASE tf_prune_test CASCADE")
