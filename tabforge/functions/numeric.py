@@ -24,24 +24,33 @@ def nan_to_null(c: Column | str) -> Column:
     return F.nanvl(c, F.lit(None).cast("double"))
 
 
-def to_numeric(c: str, dtype: T.DataType | None = None) -> Column:
+# Fixed value: spelled-out infinities accepted when ``allow_inf`` is set.
+INF_PATTERN = r"^\s*[+-]?(inf|infinity)\s*$"
+
+
+def to_numeric(c: str, dtype: T.DataType | None = None, allow_inf: bool = False) -> Column:
     """Coerce a column to a number; anything unparsable becomes NULL.
 
     Text input is matched against ``NUMERIC_PATTERN`` before ``try_cast`` so
     the accepted shapes are the same on every engine; numeric input keeps its
-    type, with NaN mapped to NULL for floating columns.
+    type, with NaN mapped to NULL for floating columns. Infinities become NULL
+    unless ``allow_inf`` (tree models reject them).
     """
     col = F.col(c)
     if dtype is not None and isinstance(dtype, _NUMERIC):
         if isinstance(dtype, _FLOATING):
-            return nan_to_null(col).alias(c)
+            x = nan_to_null(col)
+            if not allow_inf:
+                x = F.when(F.abs(x) == F.lit(float("inf")), F.lit(None).cast("double")).otherwise(x)
+            return x.cast(dtype).alias(c)
         return col.alias(c)
     text = col.cast("string")
-    return (
-        F.when(text.rlike(NUMERIC_PATTERN), F.trim(text).try_cast("double"))
-        .otherwise(F.lit(None).cast("double"))
-        .alias(c)
-    )
+    out = F.when(text.rlike(NUMERIC_PATTERN), F.trim(text).try_cast("double"))
+    if allow_inf:
+        low = F.lower(F.trim(text))
+        out = out.when(low.rlike(INF_PATTERN),
+                       F.when(low.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf"))))
+    return out.otherwise(F.lit(None).cast("double")).alias(c)
 
 
 def round_cents(c: Column | str) -> Column:

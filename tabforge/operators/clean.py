@@ -27,12 +27,12 @@ def require_columns(df: DataFrame, cols: Iterable[str]) -> None:
         raise ValueError(f"missing required columns: {missing}")
 
 
-def coerce_numeric(df: DataFrame, cols: Iterable[str]) -> DataFrame:
+def coerce_numeric(df: DataFrame, cols: Iterable[str], allow_inf: bool = False) -> DataFrame:
     """Apply ``to_numeric`` to each named column in place."""
     cols = list(dict.fromkeys(cols))
     require_columns(df, cols)
     types = {f.name: f.dataType for f in df.schema.fields}
-    return df.withColumns({c: to_numeric(c, types[c]) for c in cols})
+    return df.withColumns({c: to_numeric(c, types[c], allow_inf) for c in cols})
 
 
 def nan_to_null_all(df: DataFrame) -> DataFrame:

@@ -48,3 +48,12 @@ def test_qualified_name():
     assert qualified_name("c", "s", "t") == "c.s.t"
     with pytest.raises(ValueError):
         qualified_name("c", "bad name")
+
+
+def test_to_numeric_allow_inf(spark):
+    df = spark.createDataFrame([("inf",), ("-Infinity",), ("3",), ("x",)], "s string")
+    got = [r.s for r in coerce_numeric(df, ["s"], allow_inf=True).collect()]
+    assert got[0] == float("inf") and got[1] == float("-inf") and got[2:] == [3.0, None]
+    assert [r.s for r in coerce_numeric(df, ["s"]).collect()] == [None, None, 3.0, None]
+    d = spark.createDataFrame([(float("inf"),), (1.0,)], "x double")
+    assert [r.x for r in coerce_numeric(d, ["x"]).collect()] == [None, 1.0]

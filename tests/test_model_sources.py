@@ -74,3 +74,10 @@ def test_local_rows_nan_to_null(spark):
     pdf = pd.DataFrame({"a": [1.0, float("nan")], "b": ["x", None]})
     rows = catalog.local_rows(spark, pdf, "a double, b string").collect()
     assert [(r.a, r.b) for r in rows] == [(1.0, "x"), (None, None)]
+
+
+def test_feature_table_store_assignment_is_strict(spark):
+    bad = spark.createDataFrame([("1", "not a number")], "Id string, q string")
+    with pytest.raises(Exception):
+        catalog.create_feature_table(spark, "ft_strict", [("Id", "STRING"), ("q", "INT")], "Id", [bad])
+    spark.sql("DROP TABLE IF EXISTS ft_strict")
