@@ -1,8 +1,11 @@
 """Cleaning, imputation, projection and casting (all lazy, narrow stages).
 
-Statistics (mean, median) are computed by ONE global aggregate that Spark
-runs as partial aggregates per partition plus a single-row final merge, then
-plugged into the row stage as a scalar subquery. No cross join, no collect.
+Statistics are computed by ONE global aggregate that Spark runs as partial
+aggregates per partition plus a single-row final merge, then plugged into the
+row stage as a scalar subquery: no cross join, no collect. Two fits are
+eager on purpose and bring back bounded scalars only: the exact median
+(distributed band narrowing) and ``fit_preprocess`` (fixed statistics for
+streams and later batches).
 """
 
 from __future__ import annotations

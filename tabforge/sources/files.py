@@ -52,7 +52,12 @@ def normalize_na_tokens(df: DataFrame, tokens: Sequence[str] = PANDAS_NA_TOKENS,
 def read_csv_na(spark: SparkSession, path: str | Sequence[str],
                 tokens: Sequence[str] = PANDAS_NA_TOKENS, **options: str) -> DataFrame:
     """CSV scan as text with a list of missing-value tokens (``nullValue``
-    accepts only one token, so the rest are mapped after the scan)."""
+    accepts only one token, so the rest are mapped after the scan).
+
+    The default list includes ``"None"``, like the pandas reader: reading
+    back data whose categories were filled with the text ``"None"`` would turn
+    them into NULL again, so pass a list without it for such files.
+    """
     raw = read_csv(spark, path, schema=None, infer_schema=False, **options)
     return normalize_na_tokens(raw, tokens)
 
