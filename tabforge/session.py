@@ -60,7 +60,9 @@ def build_session(
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     ship_package(spark)
     return spark
@@ -69,6 +71,14 @@ def build_session(
 _SHIPPED: set[str] = set()
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None for sessions without one (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions raise on access
+        return None
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in Python workers (like ``--py-files``).
 
@@ -76,7 +86,9 @@ def ship_package(spark: SparkSession) -> None:
     once per application and only in local mode; cluster jobs ship the
     package with ``spark-submit --py-files`` (no driver-local staging there).
     """
-    sc = spark.sparkContext
+    sc = _context(spark)
+    if sc is None:
+        return
     app = sc.applicationId
     if app in _SHIPPED or not (sc.master or "").startswith("local"):
         return
@@ -96,7 +108,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The cluster's setting always wins. Only when it is unset (local tests) is a
     fresh scratch folder created and registered.
     """
-    sc = spark.sparkContext
+    sc = _context(spark)
+    if sc is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder for this session")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
