@@ -81,3 +81,12 @@ def test_feature_table_store_assignment_is_strict(spark):
     with pytest.raises(Exception):
         catalog.create_feature_table(spark, "ft_strict", [("Id", "STRING"), ("q", "INT")], "Id", [bad])
     spark.sql("DROP TABLE IF EXISTS ft_strict")
+
+
+def test_csv_infer_schema_opt_in(spark):
+    df = spark.createDataFrame([(1, "NA", 2.5, "x"), (2, "7", 3.0, None)], "id int, a string, b double, c string")
+    path = files.write_csv(df, scratch_path(spark, "csv"))
+    inferred = dict(files.read_csv(spark, path, infer_schema=True).dtypes)
+    # 'NA' keeps the column textual under inference, as in the original job's reader
+    assert inferred == {"id": "int", "a": "string", "b": "double", "c": "string"}
+    assert set(dict(files.read_csv(spark, path).dtypes).values()) == {"string"}
