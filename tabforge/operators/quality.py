@@ -138,20 +138,29 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str | Sequence[str],
 
 
 def snapshot_diff_join(old: DataFrame, new: DataFrame, key: str,
-                       cols: Sequence[str] | None = None) -> DataFrame:
+                       cols: Sequence[str] | None = None, check_keys: bool = True) -> DataFrame:
     """Change feed by a full outer join on the key (same output as
     :func:`snapshot_diff`).
 
     For snapshots whose key is unique on each side (check with
     ``key_violations``) and that are stored bucketed by the key with the same
     bucket count: the join then reads both sides co-located, with no shuffle.
-    Each key meets at most one row per side, so no pairs can multiply.
+    Each key meets at most one row per side, so no pairs can multiply;
+    ``check_keys`` verifies that first (a key-only aggregation per side, no
+    shuffle on bucketed tables) and refuses duplicated keys, for which the
+    netting form :func:`snapshot_diff` is the right tool.
     """
     if cols is None:
         cols = [c for c in old.columns if c != key]
     cols = list(cols)
     require_columns(old, [key, *cols])
     require_columns(new, [key, *cols])
+    if check_keys:
+        for side, frame in (("old", old), ("new", new)):
+            dup = (frame.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+                   .where(F.col("_n") > 1).limit(1).collect())
+            if dup:
+                raise ValueError(f"{side} snapshot repeats key {dup[0][key]!r}; use snapshot_diff")
     o = old.select(F.col(key), F.struct(*cols).alias("_o"))
     n = new.select(F.col(key), F.struct(*cols).alias("_n"))
     j = o.join(n, key, "full_outer")

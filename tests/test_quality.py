@@ -98,3 +98,12 @@ def test_fingerprint_survives_extreme_doubles(spark):
     df = spark.createDataFrame([(1e300,), (float("inf"),), (-2.5,)], "x double")
     r = quality.dataset_fingerprint(df).first()
     assert r.n_rows == 3 and int(r.fingerprint) > 0
+
+
+def test_snapshot_diff_join_refuses_duplicate_keys(spark):
+    import pytest
+
+    o = spark.createDataFrame([(1, "a"), (1, "b")], "id int, s string")
+    n = spark.createDataFrame([(1, "a")], "id int, s string")
+    with pytest.raises(ValueError):
+        quality.snapshot_diff_join(o, n, "id")
