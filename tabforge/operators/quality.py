@@ -71,10 +71,14 @@ def param_conflicts(params: DataFrame, run_col: str = "run_id", key_col: str = "
                     value_col: str = "value") -> DataFrame:
     """Write-once parameters: ``(run, key)`` logged with more than one value."""
     require_columns(params, [run_col, key_col, value_col])
+    # Two plain aggregations instead of a distinct aggregate (which Spark
+    # expands row-wise): dedupe (run, key, value) with map-side combine, then
+    # count the distinct values per (run, key). NULL values are not counted.
+    distinct = params.select(run_col, key_col, value_col).distinct()
     return (
-        params.groupBy(run_col, key_col)
+        distinct.groupBy(run_col, key_col)
         .agg(
-            F.count_distinct(value_col).alias("n_values"),
+            F.count(value_col).alias("n_values"),
             F.min(value_col).alias("min_value"),
             F.max(value_col).alias("max_value"),
         )
