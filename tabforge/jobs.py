@@ -26,7 +26,7 @@ from tabforge.operators.model import batch_score, save_model, train_gbt
 from tabforge.operators.runs import latest_version, next_version_row, record_run
 from tabforge.operators.split import hash_split
 from tabforge.sources.catalog import save_table
-from tabforge.sources.models import load_latest, load_schema, save_schema, schema_path
+from tabforge.sources.models import load_model, load_schema, save_schema, schema_path
 from tabforge.spec import FeatureSpec
 
 
@@ -109,7 +109,7 @@ def score_latest(spark: SparkSession, spec: FeatureSpec, model_name: str, df: Da
     path = latest_version(versions, model_name).select("path").first()
     if path is None:
         raise ValueError(f"no registered versions for {model_name!r}")
-    model = load_latest(versions, model_name)
+    model = load_model(path[0])
     contract = load_schema(spark, schema_path(path[0]))
     scored = batch_score(model, schema_conform(df, contract), spec)
     if adjust_cents:
