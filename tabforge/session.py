@@ -105,8 +105,9 @@ def ship_package(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when it is unset (local tests) is a
-    fresh scratch folder created and registered.
+    The cluster's setting always wins. Only when it is unset in local mode
+    (tests) is a fresh scratch folder created and registered; a cluster
+    session without the setting is an error, never a machine-local folder.
     """
     sc = _context(spark)
     if sc is None:
@@ -121,6 +122,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
+        if not (sc.master or "").startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for cluster runs")
+        # local runs (tests) only: a fresh scratch folder on this machine
         configured = tempfile.mkdtemp(prefix="tabforge-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
