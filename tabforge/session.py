@@ -23,8 +23,8 @@ BASE_CONF = {
 }
 
 
-# Sizing for cluster runs over very large inputs (applied when the master is
-# not local). Start with many shuffle partitions and let AQE coalesce them to
+# Sizing for cluster runs over very large inputs (applied when the running
+# master is not local, for settings the job did not set itself). Start with many shuffle partitions and let AQE coalesce them to
 # ~256 MB each, so no reducer has to spill a giant partition; read files in
 # 256 MB splits; split any partition over 512 MB (and 5x the median) in joins.
 SCALE_CONF = {
@@ -52,8 +52,6 @@ def build_session(
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
-    if master is None or not master.startswith("local"):
-        conf.update(SCALE_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -63,6 +61,12 @@ def build_session(
     sc = _context(spark)
     if sc is not None:
         sc.setLogLevel("ERROR")
+        if not (sc.master or "").startswith("local"):
+            # cluster sizing (runtime SQL settings), never over the job's own --conf
+            given = sc.getConf()
+            for k, v in SCALE_CONF.items():
+                if not given.contains(k) and k not in conf:
+                    spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
     ship_package(spark)
     return spark
