@@ -81,3 +81,19 @@ def test_split_views_prune_partitions(spark):
     assert "PartitionFilters: [isnotnull(split" in s and "(split" in s and "= train)" in s
     assert "ReadSchema: struct<target:double,id:string>" in s
     spark.sql("DROP DATABASE tf_prune_test CASCADE")
+
+
+def test_preprocess_shuffles_no_full_rows(spark):
+    E = importlib.import_module("__spark_entry__")
+    s = _plan(E.queries()["preprocess"](spark, SF_SMALL))
+    main, subqueries = s.split("===== Subqueries =====")
+    assert "Exchange" not in main
+    # the mean is one global aggregate: partial per partition, one-row final merge
+    assert "partial_avg" in subqueries and "SinglePartition" in subqueries
+
+
+def test_key_violations_single_key_shuffle_after_partial_agg(spark):
+    E = importlib.import_module("__spark_entry__")
+    s = _plan(E.queries()["key_violations"](spark, SF_SMALL))
+    assert s.count("Exchange (") == 1 or s.count("+- Exchange") == 1
+    assert "hashpartitioning(l_orderkey" in s and "partial_count" in s
