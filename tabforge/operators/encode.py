@@ -138,6 +138,30 @@ def fit_one_hot(df: DataFrame, cols: Sequence[str]) -> PipelineModel:
     return Pipeline(stages=one_hot_stages(cols)).fit(df)
 
 
+def one_hot_long_from_domains(df: DataFrame, key: str, cols: Sequence[str], domains: DataFrame
+                              ) -> DataFrame:
+    """Long-form one-hot against a distributed dictionary (any domain size).
+
+    ``domains`` comes from ``category_domains`` on the fitting frame. A value
+    outside the dictionary (or NULL) yields no row, like the all-zero block of
+    the vector form. One equi-join per column, no labels on the driver.
+    """
+    cols = list(cols)
+    parts = []
+    for c in cols:
+        d = domains.where(F.col("feature") == F.lit(c)).select(F.col("category").alias("_cat"))
+        parts.append(
+            df.select(key, F.col(c).cast("string").alias("_cat"))
+            .join(d, "_cat", "inner")
+            .select(key, F.lit(c).alias("feature"), F.col("_cat").alias("category"),
+                    F.lit(1.0).alias("value"))
+        )
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def one_hot_long(df: DataFrame, key: str, cols: Sequence[str], model: PipelineModel
                  ) -> DataFrame:
     """Encoded rows in long form ``(key, feature, category, value)``.

@@ -303,6 +303,15 @@ dom AS (
   UNION SELECT DISTINCT 'p_type', p_type FROM ptagged WHERE split = 'train'
 )
 SELECT t.p_partkey, d.feature, d.category, CAST(1.0 AS DOUBLE) AS value
+FROM ptagged t JOIN dom d
+  ON (d.feature = 'p_brand' AND d.category = t.p_brand) OR (d.feature = 'p_type' AND d.category = t.p_type)
+WHERE t.split = 'test'""",
+    "one_hot_large": _with(PART_SPLIT) + """,
+dom AS (
+  SELECT DISTINCT 'p_brand' AS feature, p_brand AS category FROM ptagged WHERE split = 'train'
+  UNION SELECT DISTINCT 'p_type', p_type FROM ptagged WHERE split = 'train'
+)
+SELECT t.p_partkey, d.feature, d.category, CAST(1.0 AS DOUBLE) AS value
 FROM ptagged t JOIN dom d
   ON (d.feature = 'p_brand' AND d.category = t.p_brand) OR (d.feature = 'p_type' AND d.category = t.p_type)
 WHERE t.split = 'test'""",

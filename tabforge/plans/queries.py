@@ -324,6 +324,12 @@ def q_one_hot(spark, sf):
     return encode.one_hot_long(test, P.id_col, P.cat, m)
 
 
+def q_one_hot_large(spark, sf):
+    train, test = _part_split(spark, sf)
+    dom = encode.category_domains(train, P.cat, large=True)
+    return encode.one_hot_long_from_domains(test, P.id_col, P.cat, dom)
+
+
 def q_assemble(spark, sf):
     train, test = _part_split(spark, sf)
     stages = encode.one_hot_stages(P.cat) + [encode.assembler(P.cat, P.num)]
@@ -566,6 +572,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "adjust_scaled": q_adjust_scaled,
     "map_scorer": q_map_scorer,
     "one_hot": q_one_hot,
+    "one_hot_large": q_one_hot_large,
     "assemble": q_assemble,
     "train_gbt": q_train_gbt,
     "batch_score": q_batch_score,

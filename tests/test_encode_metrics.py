@@ -87,3 +87,12 @@ def test_dictionary_encode_large_matches_indexer(spark):
     a = {tuple(r) for r in encode.dictionary_encode(df, ["c", "d"]).select("id", "c", "d").collect()}
     b = {tuple(r) for r in encode.dictionary_encode(df, ["c", "d"], large=True).select("id", "c", "d").collect()}
     assert a == b
+
+
+def test_one_hot_long_from_domains_matches_vector_form(spark):
+    fit = spark.createDataFrame([(1, "b"), (2, "a"), (3, "b"), (4, "c")], "id int, c string")
+    new = spark.createDataFrame([(1, "a"), (2, "zzz"), (3, None), (4, "c")], "id int, c string")
+    a = {tuple(r) for r in encode.one_hot_long(new, "id", ["c"], encode.fit_one_hot(fit, ["c"])).collect()}
+    dom = encode.category_domains(fit, ["c"], large=True)
+    b = {tuple(r) for r in encode.one_hot_long_from_domains(new, "id", ["c"], dom).collect()}
+    assert a == b == {(1, "c", "a", 1.0), (4, "c", "c", 1.0)}
