@@ -115,17 +115,22 @@ def _rows(docs: DataFrame, tokenizer_path: str, memo: int, make, schema: str) ->
 
 
 def encode(docs: DataFrame, tokenizer_path: str, memo: int = 125_000) -> DataFrame:
-    """Token ids of every whole text: doc_id, input_ids array<int>, n_tokens.
+    """Token ids of every whole text, and their decoded text's digest.
 
-    NULL and empty texts give an empty list; NULL doc_ids stay; repeated rows
+    Result: doc_id, n_tokens, input_ids array<int>, decoded_sha256. NULL and empty texts give an empty list; NULL doc_ids stay; repeated rows
     repeat; further columns of ``docs`` are ignored. No shuffle.
     """
     def make(codec: Codec, texts: list) -> dict:
-        ids = [codec.ids(t or "").astype(np.int32) for t in texts]
-        return {"input_ids": pa.array(ids, pa.list_(pa.int32())),
-                "n_tokens": pa.array([len(x) for x in ids], pa.int64())}
+        ids, dec = [], []
+        for t in texts:
+            pieces = codec.pieces(t or "")
+            ids.append(np.frombuffer(b"".join(p[0] for p in pieces), "<u4").astype(np.int32))
+            dec.append(hashlib.sha256(" ".join(p[1] for p in pieces).encode()).hexdigest())
+        return {"n_tokens": pa.array([len(x) for x in ids], pa.int64()),
+                "input_ids": pa.array(ids, pa.list_(pa.int32())), "decoded_sha256": pa.array(dec, pa.string())}
 
-    return _rows(docs, tokenizer_path, memo, make, "doc_id long, input_ids array<int>, n_tokens long")
+    return _rows(docs, tokenizer_path, memo, make,
+                 "doc_id long, n_tokens long, input_ids array<int>, decoded_sha256 string")
 
 
 def round_trip(docs: DataFrame, tokenizer_path: str, memo: int = 125_000) -> DataFrame:

@@ -33,7 +33,7 @@ _ESCAPED = re.compile(ESC + "([01])")
 TURN_SCHEMA = ("conv_id long, turn_no long, role string, input_ids array<int>, loss_mask array<byte>, "
                "first_token long, formatted string")
 DIGEST_SCHEMA = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
-                 "formatted_chars long, n_tokens long")
+                 "formatted_chars long")
 
 
 def escape(text: str) -> str:
@@ -153,7 +153,7 @@ def read_back(rows: DataFrame, tokenizer_path: str) -> DataFrame:
         def close() -> None:
             if state:
                 done.append((state["conv"], state["n"], state["turns"].hexdigest(), state["chars"],
-                             state["loss"].hexdigest(), state["formatted"], state["tokens"]))
+                             state["loss"].hexdigest(), state["formatted"]))
 
         for b in batches:
             cols = [b.column(c).to_pylist() for c in ("conv_id", "turn_no", "input_ids", "loss_mask", "formatted")]
@@ -161,14 +161,13 @@ def read_back(rows: DataFrame, tokenizer_path: str) -> DataFrame:
                 if number == 0:
                     close()
                     state = {"conv": conv, "n": 0, "turns": hashlib.sha256(), "chars": 0,
-                             "loss": hashlib.sha256(), "formatted": 0, "tokens": 0}
+                             "loss": hashlib.sha256(), "formatted": 0}
                 role, text, learnt = read_turn(enc, ids, mask)
                 state["n"] += 1
                 state["turns"].update(f"{role}\n{text}\n".encode())
                 state["loss"].update(learnt.encode())
                 state["chars"] += len(learnt)
                 state["formatted"] += len(shown)
-                state["tokens"] += len(ids)
             if done:
                 yield pa.RecordBatch.from_pylist([dict(zip(names, d)) for d in done], pa_schema)
                 done = []
@@ -177,5 +176,5 @@ def read_back(rows: DataFrame, tokenizer_path: str) -> DataFrame:
 
     pa_schema = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()),
                            ("loss_chars", pa.int64()), ("loss_sha256", pa.string()),
-                           ("formatted_chars", pa.int64()), ("n_tokens", pa.int64())])
+                           ("formatted_chars", pa.int64())])
     return rows.mapInArrow(run, DIGEST_SCHEMA)

@@ -58,8 +58,8 @@ def _unit(*cols: Column) -> Column:
 
 def _step(seed: int):
     """Fold one document into (pending document, decided documents)."""
-    none = "CAST(NULL AS STRUCT<h: BIGINT, doc_id: BIGINT, size: BIGINT, source_no: INT, base: BIGINT, p: DOUBLE>)"
-    doc = "named_struct('h', {0}.h, 'doc_id', {0}.doc_id, 'size', {0}.size, 'source_no', {0}.source_no, 'base', {0}.base, 'p', {1})"
+    none = "CAST(NULL AS STRUCT<h: BIGINT, doc_id: BIGINT, size: BIGINT, source_no: INT, base: BIGINT, row_no: BIGINT, p: DOUBLE>)"
+    doc = "named_struct('h', {0}.h, 'doc_id', {0}.doc_id, 'size', {0}.size, 'source_no', {0}.source_no, 'base', {0}.base, 'row_no', {0}.row_no, 'p', {1})"
     # words that a can gain from x, or lose to x
     gain = "least((1 - s.a.p) * s.a.size, x.p * x.size)"
     loss = "least(s.a.p * s.a.size, (1 - x.p) * x.size)"
@@ -88,7 +88,7 @@ def round_fractions(rows: DataFrame, n_most: int, seed: int) -> list[DataFrame]:
     parts, level, n = [], 0, n_most
     while True:
         buckets = F.ceil(F.col("n") / float(BUCKET))
-        items = F.array_sort(F.collect_list(F.struct("h", "doc_id", "size", "source_no", "base", "p")))
+        items = F.array_sort(F.collect_list(F.struct("h", "doc_id", "size", "source_no", "base", "row_no", "p")))
         grouped = (rows.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed + level), "h"), buckets))
                    .groupBy("source_no", "bucket").agg(items.alias("items"), F.first("n").alias("n")))
         folded = cut_lineage(grouped.select("n", F.expr(_step(seed + level)).alias("f")), f"mix-level{level}")
@@ -102,16 +102,7 @@ def round_fractions(rows: DataFrame, n_most: int, seed: int) -> list[DataFrame]:
         rows, level = left, level + 1
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: int = 17) -> DataFrame:
-    """How often each document is taken so that sources meet their targets.
-
-    Size: words of the text (NULL: 0). Result: doc_id, size, source_size,
-    target (words), copies, taken = copies * size, source; one row per input
-    row. Documents without words are taken 0 times. NULL sources are one
-    source, the last; repeated rows are rounded one by one; an empty table
-    gives an empty result; further columns are ignored. Equal inputs with
-    equal rows give equal results: the randomness is a hash of row and seed.
-    """
+def _mixed(docs: DataFrame, weights: tuple[int, ...], cap: int, seed: int) -> DataFrame:
     spark = docs.sparkSession
     prepare(spark)
     base = docs.select(
@@ -133,7 +124,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, see
                                         F.when(F.col("often"), F.col("row_no"))))
             .withColumn("base", F.when(F.col("size") > 0, whole).otherwise(F.lit(0)).cast("long"))
             .withColumn("p", F.when(F.col("size") > 0, ratio - whole).otherwise(F.lit(0.0))))
-    rows = rows.select("h", "doc_id", "size", "source_no", "base", "p", "n")
+    rows = rows.select("h", "doc_id", "size", "source_no", "base", "row_no", "p", "n")
     open_ = F.col("p") > EPS
     decided = rows.where(~open_).drop("n").withColumn("p", F.lit(0.0))
     for part in round_fractions(rows.where(open_), n_most, seed):
@@ -141,4 +132,30 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, see
     copies = F.col("base") + F.col("p").cast("long")
     return (decided.join(targets, "source_no")
             .select("doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"),
-                    copies.alias("copies"), "source"))
+                    copies.alias("copies"), "source", "row_no"))
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: int = 17) -> DataFrame:
+    """How often each document is taken so that sources meet their targets.
+
+    Size: words of the text (NULL: 0). Result: doc_id, size, source_size,
+    target (words), copies, taken = copies * size, source; one row per input
+    row. Documents without words are taken 0 times. NULL sources are one
+    source, the last; repeated rows are rounded one by one; an empty table
+    gives an empty result; further columns are ignored. Equal inputs with
+    equal rows give equal results: the randomness is a hash of row and seed.
+    """
+    return _mixed(docs, weights, cap, seed).drop("row_no")
+
+
+def take_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: int = 17) -> DataFrame:
+    """The mixed documents: each row of ``docs`` as often as it is taken.
+
+    ``docs`` must be read from files: its rows are numbered by file split and
+    place, alike in every scan. Columns are those of ``docs``.
+    """
+    mixed = _mixed(docs, weights, cap, seed).where("copies > 0").select("row_no", "copies")
+    rows = docs.select(F.monotonically_increasing_id().alias("row_no"),
+                       F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
+    return (rows.join(mixed, "row_no").select("doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+            .select("doc.*"))

@@ -1,10 +1,7 @@
-import os
-import sys
+"""Cases and fixtures of the training-data operator tests."""
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
-
 SMALL = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard int, kept boolean, slot long, words string"
 
@@ -26,15 +23,6 @@ NASTY = [
 ]
 
 
-@pytest.fixture(scope="session")
-def spark():
-    from tabforge.session import build_session
-
-    s = build_session("local[4]", 4, app_name="tabforge-llm-tests")
-    yield s
-    s.stop()
-
-
 @pytest.fixture(scope="session")
 def nasty(spark):
     return spark.createDataFrame(NASTY, SCHEMA)

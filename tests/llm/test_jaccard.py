@@ -3,9 +3,9 @@
 import random
 from collections import Counter
 
+from llm_cases import NASTY, nasty, empty, small  # noqa: F401
 import numpy as np
 import pytest
-from conftest import NASTY
 
 from tabforge.llm import jaccard_join as jj
 from tabforge.llm.components import components

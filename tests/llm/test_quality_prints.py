@@ -4,7 +4,7 @@ import hashlib
 import re
 from collections import Counter
 
-from conftest import NASTY, key
+from llm_cases import NASTY, key, nasty, empty, small  # noqa: F401
 from pyspark.sql import functions as F
 
 from tabforge.llm import fingerprints as fp

@@ -2,6 +2,7 @@
 
 import random
 
+from llm_cases import nasty, empty  # noqa: F401
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 

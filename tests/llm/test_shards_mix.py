@@ -3,8 +3,8 @@
 import zlib
 from collections import Counter, defaultdict
 
+from llm_cases import NASTY, key, nasty, empty, small  # noqa: F401
 import pytest
-from conftest import NASTY, key
 
 from tabforge.llm import mixing, shards
 
