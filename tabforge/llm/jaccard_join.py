@@ -29,6 +29,7 @@ SHINGLE = 5
 PERCENT = 75
 CELLS = 1 << 22       # count sketch: fixed size whatever the input
 BLOCK = 1 << 14       # cells per sketch row
+MARKS = 1 << 24       # hash marks of asked-for documents: fixed size
 WORDS = 16            # 64-bit words of a bitmap signature
 SLICE = 1 << 20       # bytes of text prepared together in a task (a longer text goes alone)
 TILE = 10_000         # rows of a tile before it is salted, above the mean load
@@ -101,14 +102,18 @@ def prefix_length(n: int, percent: int) -> int:
     return n - (-(-percent * n // 100)) + 1
 
 
-def count_sketch(docs: DataFrame, k: int, cells: int) -> np.ndarray:
-    """Shingle counts by hash cell over all documents; ``cells`` numbers in all."""
+def _fixed_array(rows: DataFrame, fill, size: int, kind: str, merge) -> np.ndarray:
+    """An array of ``size`` numbers that tasks fill and merge block by block.
+
+    ``fill(array, batch)`` works on a task's own array; equal blocks of all
+    tasks meet in one place and are merged as they stream by. The result has
+    the same size whatever the input, so the driver may hold it.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(cells, np.uint32)
+        total = np.zeros(size, kind)
         for b in batches:
-            for s in shingle_sets(b.column("text").to_pylist(), k):
-                np.add.at(total, (s % np.uint64(cells)).astype(np.int64), 1)
-        for i in range(0, cells, BLOCK):
+            fill(total, b)
+        for i in range(0, size, BLOCK):
             if total[i:i + BLOCK].any():
                 yield pa.RecordBatch.from_pydict({"block": pa.array([i // BLOCK], pa.int32()),
                                                   "n": [zlib.compress(total[i:i + BLOCK].tobytes(), 1)]})
@@ -117,21 +122,46 @@ def count_sketch(docs: DataFrame, k: int, cells: int) -> np.ndarray:
         total: dict[int, np.ndarray] = {}
         for b in batches:
             for i, x in zip(b.column("block").to_pylist(), b.column("n").to_pylist()):
-                x = np.frombuffer(zlib.decompress(x), np.uint32).astype(np.uint64)
-                total[i] = total[i] + x if i in total else x
+                x = np.frombuffer(zlib.decompress(x), kind)
+                total[i] = merge(total[i], x) if i in total else x
         for i, x in total.items():
-            # 4 bytes a cell are enough for an order
-            x = np.minimum(x, 0xFFFFFFFF).astype(np.uint32)
             yield pa.RecordBatch.from_pydict({"block": pa.array([i], pa.int32()), "n": [zlib.compress(x.tobytes(), 1)]})
 
-    blocks = docs.select("text").mapInArrow(run, "block int, n binary").repartition("block")
-    out = np.zeros(cells, np.uint32)
-    for r in blocks.mapInArrow(add, "block int, n binary").toLocalIterator():  # fixed size: 4 bytes a cell
-        out[r["block"] * BLOCK:(r["block"] + 1) * BLOCK] = np.frombuffer(zlib.decompress(r["n"]), np.uint32)[:cells]
+    blocks = rows.mapInArrow(run, "block int, n binary").repartition("block").mapInArrow(add, "block int, n binary")
+    out = np.zeros(size, kind)
+    for r in blocks.toLocalIterator():  # `size` numbers in all
+        x = np.frombuffer(zlib.decompress(r["n"]), kind)
+        out[r["block"] * BLOCK:r["block"] * BLOCK + len(x)] = x
     return out
 
 
-PRINT_SCHEMA = ("doc_id long, n_shingles long, s1 long, s2 long, bits array<long>, keys array<long>, "
+def _add_counts(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.minimum(x.astype(np.uint64) + y, 0xFFFFFFFF).astype(np.uint32)  # enough for an order
+
+
+def count_sketch(docs: DataFrame, k: int, cells: int) -> np.ndarray:
+    """Shingle counts by hash cell over all documents; ``cells`` numbers in all."""
+    def fill(total: np.ndarray, batch: pa.RecordBatch) -> None:
+        for s in shingle_sets(batch.column("text").to_pylist(), k):
+            np.add.at(total, (s % np.uint64(cells)).astype(np.int64), 1)
+
+    return _fixed_array(docs.select("text"), fill, cells, "u4", _add_counts)
+
+
+def _cell(ids: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return (_mix(ids.astype(np.int64).view(np.uint64)) % np.uint64(MARKS)).astype(np.int64)
+
+
+def id_marks(ids: DataFrame) -> np.ndarray:
+    """Hash marks of the column ``node``: a text without a mark is not asked for."""
+    def fill(total: np.ndarray, batch: pa.RecordBatch) -> None:
+        total[_cell(batch.column("node").to_numpy(zero_copy_only=False))] = 1
+
+    return _fixed_array(ids.select("node"), fill, MARKS, "u1", np.maximum)
+
+
+PRINT_SCHEMA = ("row_no long, doc_id long, n_shingles long, s1 long, s2 long, bits array<long>, keys array<long>, "
                 "salts array<int>")
 
 
@@ -171,17 +201,24 @@ def signatures(docs: DataFrame, sketch: np.ndarray, k: int, percent: int) -> Dat
                     parts = own[first].astype(np.int64) // crowd + 1
                     salts.append((int(a >> np.uint64(11)) % parts).astype(np.int32) + np.where(parts > 1, 1, 0))
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(n, pa.int64()), _signed(np.array(s1, np.uint64)),
+                [b.column("row_no"), b.column("doc_id"), pa.array(n, pa.int64()), _signed(np.array(s1, np.uint64)),
                  _signed(np.array(s2, np.uint64)), _lists(bits, pa.int64()), _lists(keys, pa.int64()),
                  _lists(salts, pa.int32())],
-                names=["doc_id", "n_shingles", "s1", "s2", "bits", "keys", "salts"])
+                names=["row_no", "doc_id", "n_shingles", "s1", "s2", "bits", "keys", "salts"])
 
-    return docs.mapInArrow(run, PRINT_SCHEMA)
+    return docs.select(F.monotonically_increasing_id().alias("row_no"), "doc_id", "text").mapInArrow(run, PRINT_SCHEMA)
 
 
-def full_sets(docs: DataFrame, k: int) -> DataFrame:
+def full_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """(node, items): sorted shingle arrays of the documents in ``ids`` (node),
+    and of a few others whose hash mark is the same; no text is moved."""
+    marks = docs.sparkSession.sparkContext.broadcast(np.packbits(id_marks(ids)))  # fixed size: MARKS bits
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked = np.unpackbits(marks.value).astype(bool)
         for b in batches:
+            b = b.filter(b.column("doc_id").is_valid())
+            b = b.filter(pa.array(asked[_cell(b.column("doc_id").to_numpy(zero_copy_only=False))], pa.bool_()))
             sets = [s.view(np.int64) for s in shingle_sets(b.column("text").to_pylist(), k)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), _lists(sets, pa.int64())], names=["node", "items"])
 
@@ -245,11 +282,16 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("binary").alias("text"))
     prints = cut_lineage(signatures(texts, count_sketch(texts, k, cells), k, percent), "jaccard-prints")
     digest = ["s1", "s2", "n_shingles"]
-    classes = cut_lineage(
-        prints.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*digest)
-        .agg(F.min("doc_id").alias("node"), F.first("bits").alias("bits"), F.first("keys").alias("keys"),
-             F.first("salts").alias("salts")), "jaccard-classes")
-    linked = _link_classes(texts, classes, k, percent)
+    named = prints.where("n_shingles > 0 AND doc_id IS NOT NULL")
+    classes = cut_lineage(named.groupBy(*digest).agg(F.min(F.struct("doc_id", "row_no")).alias("r"))
+                          .select(*digest, F.col("r.doc_id").alias("node"), F.col("r.row_no").alias("first_row")),
+                          "jaccard-classes")
+    # rows that only repeat a class; usually few, so the anti join can leave the prints where they are
+    repeats = cut_lineage(named.select("row_no", *digest).join(classes, digest).where("row_no <> first_row")
+                          .select("row_no"), "jaccard-repeats")
+    firsts = (named.join(repeats, "row_no", "left_anti")
+              .select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "bits", "keys", "salts"))
+    linked = _link_classes(texts, firsts, k, percent)
     by_digest = classes.select(*digest, "node").join(linked, "node", "left").select(
         *digest, F.coalesce("component", "node").alias("component_id"))
     labelled = prints.select("doc_id", *digest).join(by_digest, digest, "left")
@@ -259,25 +301,34 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
 
 def _link_classes(texts: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
     """(node, component) of all classes that link with another one."""
-    tiles = (classes.select("node", F.col("n_shingles").alias("n"),
-                            F.explode(F.arrays_zip("keys", "salts")).alias("t"))
-             .select("node", "n", F.col("t.keys").alias("key"), F.col("t.salts").alias("salt")))
+    tiles = (classes.select("node", "n", F.explode(F.arrays_zip("keys", "salts")).alias("t"))
+             .select(F.col("t.keys").alias("key"), F.col("t.salts").alias("salt"), "node", "n"))
     # tiles of one class have no pairs; salted ones are judged as a whole later
     within = Window.partitionBy("key", "salt").orderBy("n", "node")
     shared = cut_lineage(
         tiles.withColumn("before", F.lag("node").over(within)).withColumn("next", F.lead("node").over(within))
         .where("before IS NOT NULL OR next IS NOT NULL OR salt > 0").select("key", "salt", "node", "n"),
         "jaccard-tiles")
-    some = shared.select(F.col("node").alias("doc_id")).distinct()
-    sets = cut_lineage(full_sets(texts.join(some, "doc_id", "left_semi").dropDuplicates(), k), "jaccard-sets")
-    sizes = classes.select("node", F.col("n_shingles").alias("n"), "bits")
+    sizes = cut_lineage(classes.select("node", "n", "bits").join(shared.select("node").distinct(), "node", "left_semi"),
+                        "jaccard-bits")
+    sets = None
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Exact links among the pairs, fetching sets not yet at hand."""
+        nonlocal sets
+        pairs = cut_lineage(pairs, "jaccard-pairs")
+        ids = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        ids = ids if sets is None else ids.join(sets.select("node"), "node", "left_anti")
+        new = cut_lineage(full_sets(texts, ids, k).dropDuplicates(["node"]), "jaccard-sets")
+        sets = new if sets is None else sets.unionByName(new)
+        return cut_lineage(exact_links(pairs, sets, percent), "jaccard-links")
 
     def bounded(pairs: DataFrame) -> DataFrame:
         x = sizes.select(F.col("node").alias("a"), F.struct("n", "bits").alias("x"))
         y = sizes.select(F.col("node").alias("b"), F.struct("n", "bits").alias("y"))
         return pairs.join(x, "a").join(y, "b").where(overlap_possible("x", "y", percent)).select("a", "b")
 
-    links, found, labels, turn = None, 0, None, 0
+    links, labels, turn, before = None, None, 0, None
     while True:
         if labels is None:
             rows = shared.withColumn("component", F.col("node"))
@@ -293,15 +344,17 @@ def _link_classes(texts: DataFrame, classes: DataFrame, k: int, percent: int) ->
         left, cross = tot.agg(F.sum("s"), F.sum((F.col("s") * F.col("s") - F.col("q")) / 2.0)).first()
         if not left:
             break
-        last = cross <= 2 * left  # few pairs left: look at each
-        if last or (turn and not found):
-            pairs, last = _cross_pairs(rows, sizes, percent), True
+        # few pairs left, or neighbours no longer halve them: look at each
+        last = cross <= 2 * left or (before is not None and cross > before / 2)
+        before = cross
+        if last:
+            pairs = _cross_pairs(rows, sizes, percent)
         else:
             # by size first, then in random orders that differ from round to round
             order = [F.col("n"), F.col("node")] if not turn else [F.xxhash64(F.lit(turn), "node")]
             pairs = bounded(_neighbours(rows, ["key", "salt"], order).unionByName(
                 _neighbours(_heads(rows), ["key"], order)).distinct())
-        new = cut_lineage(exact_links(pairs, sets, percent), "jaccard-links")
+        new = linked(pairs)
         found = new.agg(F.count(F.lit(1))).first()[0]
         links = new if links is None else links.unionByName(new)
         if found:
@@ -311,7 +364,7 @@ def _link_classes(texts: DataFrame, classes: DataFrame, k: int, percent: int) ->
             break
         turn += 1
     if labels is None:
-        return sets.sparkSession.createDataFrame([], "node long, component long")
+        return texts.sparkSession.createDataFrame([], "node long, component long")
     return labels
 
 
