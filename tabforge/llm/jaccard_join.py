@@ -30,7 +30,7 @@ PERCENT = 75
 CELLS = 1 << 22       # count sketch: fixed size whatever the input
 BLOCK = 1 << 14       # cells per sketch row
 MARKS = 1 << 24       # hash marks of asked-for documents: fixed size
-WORDS = 16            # 64-bit words of a bitmap signature
+WORDS = 32            # 64-bit words of a bitmap signature
 SLICE = 1 << 20       # bytes of text prepared together in a task (a longer text goes alone)
 TILE = 10_000         # rows of a tile before it is salted, above the mean load
 
@@ -192,7 +192,7 @@ def signatures(docs: DataFrame, sketch: np.ndarray, k: int, percent: int) -> Dat
                     s1.append(a)
                     s2.append(c)
                     sig = np.zeros(WORDS * 64, np.uint8)
-                    sig[(s >> np.uint64(54)) % np.uint64(WORDS * 64)] = 1
+                    sig[(s >> np.uint64(48)) % np.uint64(WORDS * 64)] = 1
                     bits.append(np.packbits(sig).view(np.int64))
                     take = prefix_length(len(s), percent) if len(s) else 0
                     own = load[(s % np.uint64(cells)).astype(np.int64)]
@@ -227,8 +227,9 @@ def full_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
 
 def overlap_possible(x: str, y: str, percent: int) -> Column:
     """Bit counts allow a link: shingles whose bit the other lacks are not shared."""
+    # word by word, so that the count is compiled into the join
     def missing(p: str, q: str) -> str:
-        return (f"aggregate(zip_with({p}.bits, {q}.bits, (i, j) -> bit_count(i & ~j)), 0, (s, i) -> s + i)")
+        return "(" + " + ".join(f"bit_count({p}.bits[{i}] & ~{q}.bits[{i}])" for i in range(WORDS)) + ")"
     most = f"least({x}.n - {missing(x, y)}, {y}.n - {missing(y, x)})"
     return F.expr(f"{100 + percent} * {most} >= {percent} * ({x}.n + {y}.n)")
 
@@ -377,17 +378,21 @@ def _heads(rows: DataFrame) -> DataFrame:
 def _cross_pairs(rows: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """All pairs of a tile in different components that size and bits allow.
 
-    Classes meet in size bands: each enters its own band, and the next one as
-    a guest, so a tile and band hold only classes of near sizes.
+    A tile's largest component never stands on the left, so its own pairs
+    (all connected already) are not met. Classes meet in size bands: each
+    stands in its own, and is a guest in the neighbouring ones.
     """
-    full = rows.select("key", "node", "n", "component").join(sizes.select("node", "bits"), "node")
-    home = full.withColumn("band", size_band(F.col("n"), percent))
-    guest = home.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") + 1)))
-    x, y = home.alias("x"), guest.alias("y")
+    per = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"))
+    main = per.groupBy("key").agg(F.max_by("component", F.struct("m", "component")).alias("main"))
+    full = (rows.select("key", "node", "n", "component").join(sizes.select("node", "bits"), "node").join(main, "key")
+            .withColumn("band", size_band(F.col("n"), percent)).withColumn("in_main", F.col("component") == F.col("main")))
+    guest = full.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
+    x, y = full.where(~F.col("in_main")).alias("x"), guest.alias("y")
     meet = ((F.col("x.key") == F.col("y.key")) & (F.col("x.band") == F.col("y.band"))
             & (F.col("x.component") != F.col("y.component"))
-            & (F.struct("y.n", "y.node") < F.struct("x.n", "x.node"))
-            & (F.col("y.n") * 100 >= F.col("x.n") * percent) & overlap_possible("x", "y", percent))
+            & (F.col("y.in_main") | (F.struct("y.n", "y.node") < F.struct("x.n", "x.node")))
+            & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
+            & overlap_possible("x", "y", percent))
     return x.join(y, meet).select(F.least("x.node", "y.node").alias("a"),
                                   F.greatest("x.node", "y.node").alias("b")).distinct()
 
