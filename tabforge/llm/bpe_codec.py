@@ -114,7 +114,7 @@ def _rows(docs: DataFrame, tokenizer_path: str, memo: int, make, schema: str) ->
     return narrow.mapInArrow(run, schema)
 
 
-def encode(docs: DataFrame, tokenizer_path: str, memo: int = 125_000) -> DataFrame:
+def encode(docs: DataFrame, tokenizer_path: str, memo: int = 400_000) -> DataFrame:
     """Token ids of every whole text, and their decoded text's digest.
 
     Result: doc_id, n_tokens, input_ids array<int>, decoded_sha256. NULL and empty texts give an empty list; NULL doc_ids stay; repeated rows
@@ -133,7 +133,7 @@ def encode(docs: DataFrame, tokenizer_path: str, memo: int = 125_000) -> DataFra
                  "doc_id long, n_tokens long, input_ids array<int>, decoded_sha256 string")
 
 
-def round_trip(docs: DataFrame, tokenizer_path: str, memo: int = 125_000) -> DataFrame:
+def round_trip(docs: DataFrame, tokenizer_path: str, memo: int = 400_000) -> DataFrame:
     """Encode every whole text, decode the ids, and return digests of both.
 
     Result: doc_id, n_tokens, ids_sha256 (ids as little-endian uint32),

@@ -111,7 +111,7 @@ class Counter:
         return out
 
 
-def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 2048, memo: int = 200_000) -> DataFrame:
+def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 2048, memo: int = 500_000) -> DataFrame:
     """Tokens of every whole text, as the ``tokenizers`` library counts them.
 
     Result: doc_id, n_bytes (UTF-8), n_tokens, over_limit (n_tokens > limit),
