@@ -44,9 +44,14 @@ def to_numeric(c: str, dtype: T.DataType | None = None, allow_inf: bool = False)
                 x = F.when(F.abs(x) == F.lit(float("inf")), F.lit(None).cast("double")).otherwise(x)
             return x.cast(dtype).alias(c)
         return col.alias(c)
+    if isinstance(dtype, T.BooleanType):
+        return col.cast("int").cast("double").alias(c)
     text = col.cast("string")
     out = F.when(text.rlike(NUMERIC_PATTERN), F.trim(text).try_cast("double"))
-    if allow_inf:
+    if not allow_inf:  # digits beyond the range of a double are no number either
+        out = F.when(text.rlike(NUMERIC_PATTERN) & (F.abs(F.trim(text).try_cast("double")) < F.lit(float("inf"))),
+                     F.trim(text).try_cast("double"))
+    else:
         low = F.lower(F.trim(text))
         out = out.when(low.rlike(INF_PATTERN),
                        F.when(low.startswith("-"), F.lit(float("-inf"))).otherwise(F.lit(float("inf"))))

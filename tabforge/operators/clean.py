@@ -198,6 +198,8 @@ def preprocess(df: DataFrame, spec: FeatureSpec, keep: Iterable[str] = (),
     if stats is None:
         out = impute_mean(out, spec.mean_fill)
     else:
+        if missing := [c for c in spec.mean_fill if c not in stats]:
+            raise ValueError(f"no fitted statistic for {missing}")
         out = out.withColumns({
             c: F.coalesce(nan_to_null(F.col(c).cast("double")), F.lit(stats.get(c)).cast("double"))
             for c in spec.mean_fill

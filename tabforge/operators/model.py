@@ -7,6 +7,7 @@ Fitting and scoring run on the executors (Spark ML); scoring is a lazy
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Mapping, Sequence
 
 import pandas as pd
@@ -24,8 +25,14 @@ def gbt_params(params: Mapping[str, object]) -> dict:
     """Map the project's boosting parameters onto ``GBTRegressor`` names.
 
     ``force_row_wise`` (a histogram-layout switch of another library) has
-    no counterpart and is ignored.
+    no counterpart and is left out with a warning; other unknown names raise.
     """
+    known = {"learning_rate", "n_estimators", "max_depth", "force_row_wise",
+             "maxBins", "subsamplingRate", "minInstancesPerNode", "seed"}
+    if unknown := sorted(set(params) - known):
+        raise ValueError(f"unknown boosting parameters: {unknown}")
+    if "force_row_wise" in params:
+        warnings.warn("force_row_wise has no counterpart here and is left out", stacklevel=2)
     out: dict = {}
     if "learning_rate" in params:
         out["stepSize"] = float(params["learning_rate"])

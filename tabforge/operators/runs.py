@@ -92,10 +92,15 @@ def record_run(
 
 def metric_latest(metrics: DataFrame, run_col: str = "run_id", key_col: str = "key",
                   value_col: str = "value", step_col: str = "step") -> DataFrame:
-    """Last value of every stepped metric: ``max_by(value, step)`` per run/key."""
+    """Last value of every stepped metric per run/key.
+
+    Equal steps are settled by time (column ``ts``, where there is one), then
+    by the larger value, so the result does not depend on row order.
+    """
     require_columns(metrics, [run_col, key_col, value_col, step_col])
+    order = F.struct(step_col, *(["ts"] if "ts" in metrics.columns else []), value_col)
     return metrics.groupBy(run_col, key_col).agg(
-        F.max_by(value_col, step_col).alias("value"), F.max(step_col).alias("step")
+        F.max_by(value_col, order).alias("value"), F.max(step_col).alias("step")
     )
 
 

@@ -38,18 +38,9 @@ SPLIT_SEED = 42
 TEST_SIZE = 0.2
 
 
-_READS: dict[tuple[str, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of a driver table. The driver tables are read-only, so the scan
-    (file listing + footer schema) is resolved once per session."""
-    path = f"{sf_dir}/{name}.parquet"
-    key = (str(id(spark)), path)
-    df = _READS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = _READS[key] = spark.read.parquet(path)
-    return df
+    """Scan of a driver table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -117,7 +117,6 @@ m AS (
   FROM lineitem
 )"""
 
-EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 
 def _na(x: str) -> str:
@@ -332,9 +331,7 @@ SELECT p_partkey, (SELECT n FROM n1) + (SELECT n FROM n2), CAST(p_size AS DOUBLE
 FROM ptagged WHERE split = 'test' AND p_size <> 0""",
     "metric_latest": _with(RUN_LATEST) + "SELECT run_id, key, value, step FROM latest",
     "run_maps": _with(RUN_LATEST) + """
-SELECT run_id, count(*) AS n_keys,
-""" + ",\n".join(f"       max(CASE WHEN key = '{k}' THEN value END) AS m_{k}" for k in EVENT_TYPES) + """
-FROM latest GROUP BY run_id""",
+SELECT run_id, count(*) OVER (PARTITION BY run_id) AS n_keys, key, value FROM latest""",
     "run_search": _with(RUNS) + """
 SELECT run_id, run_name, status, start_time, m_purchase
 FROM runs

@@ -395,14 +395,9 @@ def q_metric_latest(spark, sf):
     return runs.metric_latest(D.run_metrics(spark, sf))
 
 
-# The event types of the events table (metric keys of a run).
-EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
-
-
 def q_run_maps(spark, sf):
     m = runs.run_maps(D.run_metrics(spark, sf))
-    return m.select("run_id", F.size("metrics").cast("bigint").alias("n_keys"),
-                    *[F.try_element_at("metrics", F.lit(k)).alias(f"m_{k}") for k in EVENT_TYPES])
+    return m.select("run_id", F.size("metrics").cast("bigint").alias("n_keys"), F.explode("metrics"))
 
 
 def q_run_search(spark, sf):

@@ -18,7 +18,6 @@ from pyspark.sql.streaming import StreamingQuery
 from tabforge.functions.numeric import round_cents
 from tabforge.operators.clean import preprocess
 from tabforge.operators.model import batch_score
-from tabforge.session import scratch_path
 from tabforge.spec import FeatureSpec
 
 
@@ -29,7 +28,7 @@ def score_stream(
     source_dir: str,
     schema: T.StructType,
     sink_dir: str,
-    checkpoint_dir: str | None = None,
+    checkpoint_dir: str,
     adjust_cents: bool = False,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
@@ -42,8 +41,12 @@ def score_stream(
     otherwise the query keeps running on a processing-time trigger. With
     ``clean_spec`` raw records are cleaned first, using fixed statistics
     ``clean_stats`` fitted once on batch data (``fit_preprocess``): the
-    stream stays a stateless per-record transformation.
+    stream stays a stateless per-record transformation. ``checkpoint_dir``
+    must be the same at every start: it is what makes a restart go on where
+    the last run ended.
     """
+    if clean_spec is not None and clean_stats is None:
+        raise ValueError("clean_spec needs clean_stats fitted on batch data")
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
@@ -51,7 +54,7 @@ def score_stream(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         if clean_spec is not None:
-            batch = preprocess(batch, clean_spec, stats=clean_stats or {})
+            batch = preprocess(batch, clean_spec, stats=clean_stats)
         scored = batch_score(model, batch, spec)
         if adjust_cents:
             scored = scored.withColumn("prediction", round_cents("prediction"))
@@ -61,7 +64,7 @@ def score_stream(
 
     writer = (
         stream.writeStream.foreachBatch(write_batch)
-        .option("checkpointLocation", checkpoint_dir or scratch_path(spark, "score-stream"))
+        .option("checkpointLocation", checkpoint_dir)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()

@@ -12,7 +12,7 @@ def test_score_stream_matches_batch(spark):
     src = scratch_path(spark, "stream-src")
     test.repartition(3).write.parquet(src)
     sink = scratch_path(spark, "stream-sink")
-    q = score_stream(spark, m, PART_SPEC, src, part.schema, sink, max_files_per_trigger=1)
+    q = score_stream(spark, m, PART_SPEC, src, part.schema, sink, scratch_path(spark, "stream-ckpt"), max_files_per_trigger=1)
     q.awaitTermination(300)
     out = spark.read.parquet(sink)
     batch = {r.p_partkey: r.prediction for r in model.batch_score(m, test, PART_SPEC).collect()}
@@ -37,7 +37,7 @@ def test_stream_cleans_raw_records_with_fitted_stats(spark):
     src = scratch_path(spark, "raw-src")
     raw.withColumn("id", F.col("id")).repartition(2).write.parquet(src)
     sink = scratch_path(spark, "raw-sink")
-    q = score_stream(spark, m, ORDERS_SPEC, src, raw.schema, sink,
+    q = score_stream(spark, m, ORDERS_SPEC, src, raw.schema, sink, scratch_path(spark, "stream-ckpt"),
                      clean_spec=ORDERS_SPEC, clean_stats=stats)
     q.awaitTermination(300)
     got = {r.id: r.prediction for r in spark.read.parquet(sink).collect()}
