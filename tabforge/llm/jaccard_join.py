@@ -32,6 +32,7 @@ BLOCK = 1 << 14       # cells per sketch row
 MARKS = 1 << 24       # hash marks of asked-for documents: fixed size
 WORDS = 32            # 64-bit words of a bitmap signature
 SLICE = 1 << 20       # bytes of text prepared together in a task (a longer text goes alone)
+LOOKS = 512           # pairs a row that cost less to look at than another round of neighbours
 TILE = 10_000         # rows of a tile before it is salted, above the mean load
 
 _rng = np.random.default_rng(20240501)
@@ -129,7 +130,7 @@ def _fixed_array(rows: DataFrame, fill, size: int, kind: str, merge) -> np.ndarr
 
     blocks = rows.mapInArrow(run, "block int, n binary").repartition("block").mapInArrow(add, "block int, n binary")
     out = np.zeros(size, kind)
-    for r in blocks.toLocalIterator():  # `size` numbers in all
+    for r in blocks.collect():  # `size` numbers in all
         x = np.frombuffer(zlib.decompress(r["n"]), kind)
         out[r["block"] * BLOCK:r["block"] * BLOCK + len(x)] = x
     return out
@@ -309,7 +310,8 @@ def _link_classes(texts: DataFrame, classes: DataFrame, k: int, percent: int) ->
     shared = cut_lineage(
         tiles.withColumn("before", F.lag("node").over(within)).withColumn("next", F.lead("node").over(within))
         .where("before IS NOT NULL OR next IS NOT NULL OR salt > 0").select("key", "salt", "node", "n"),
-        "jaccard-tiles")
+        "jaccard-shared")
+    shared = cut_lineage(_widest(_distinct_tiles(shared)), "jaccard-tiles")
     sizes = cut_lineage(classes.select("node", "n", "bits").join(shared.select("node").distinct(), "node", "left_semi"),
                         "jaccard-bits")
     sets = None
@@ -329,7 +331,7 @@ def _link_classes(texts: DataFrame, classes: DataFrame, k: int, percent: int) ->
         y = sizes.select(F.col("node").alias("b"), F.struct("n", "bits").alias("y"))
         return pairs.join(x, "a").join(y, "b").where(overlap_possible("x", "y", percent)).select("a", "b")
 
-    links, labels, turn, before = None, None, 0, None
+    links, labels, turn, before = None, None, 0, 0.0
     while True:
         if labels is None:
             rows = shared.withColumn("component", F.col("node"))
@@ -345,8 +347,9 @@ def _link_classes(texts: DataFrame, classes: DataFrame, k: int, percent: int) ->
         left, cross = tot.agg(F.sum("s"), F.sum((F.col("s") * F.col("s") - F.col("q")) / 2.0)).first()
         if not left:
             break
-        # few pairs left, or neighbours no longer halve them: look at each
-        last = cross <= 2 * left or (before is not None and cross > before / 2)
+        # neighbours once, as near copies need no other look; then on to the pairs
+        # left when they are cheap to look at or neighbours no longer halve them
+        last = bool(turn) and (cross <= LOOKS * left or cross > before / 2)
         before = cross
         if last:
             pairs = _cross_pairs(rows, sizes, percent)
@@ -369,6 +372,28 @@ def _link_classes(texts: DataFrame, classes: DataFrame, k: int, percent: int) ->
     return labels
 
 
+def _distinct_tiles(rows: DataFrame) -> DataFrame:
+    """One tile of those with the same classes: a shared passage opens a tile per shingle."""
+    members = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("node")).alias("d1"),
+                                      F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("d2"))
+    kept = members.groupBy("m", "d1", "d2").agg(F.min("key").alias("key")).select("key")
+    return cut_lineage(rows.join(kept, "key", "left_semi"), "jaccard-distinct")
+
+
+def _widest(rows: DataFrame) -> DataFrame:
+    """Tiles without those whose classes all stand in one and the same larger tile too.
+
+    Each class names the largest of its tiles; if all of a tile name the same
+    other one, that one meets all its pairs.
+    """
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
+    largest = rows.join(sizes, "key").groupBy("node").agg(F.max(F.struct("m", "key")).alias("t"))
+    kept = (rows.join(largest.select("node", F.col("t.key").alias("named")), "node")
+            .groupBy("key").agg(F.min("named").alias("lo"), F.max("named").alias("hi"))
+            .where("lo <> hi OR lo = key").select("key"))
+    return rows.join(kept, "key", "left_semi")
+
+
 def _heads(rows: DataFrame) -> DataFrame:
     """The first class of each salted part of a crowded tile."""
     return rows.where("salt > 0").groupBy("key", "salt").agg(
