@@ -31,6 +31,7 @@ CELLS = 1 << 22       # count sketch: fixed size whatever the input
 BLOCK = 1 << 14       # cells per sketch row
 MARKS = 1 << 24       # hash marks of asked-for documents: fixed size
 WORDS = 32            # 64-bit words of a bitmap signature
+FOLDS = 8             # words of the folded bitmap that tiles compare first
 SLICE = 1 << 20       # bytes of text prepared together in a task (a longer text goes alone)
 LOOKS = 512           # pairs a row that cost less to look at than another round of neighbours
 TILE = 10_000         # rows of a tile before it is salted, above the mean load
@@ -352,7 +353,7 @@ def _link_classes(texts: DataFrame, classes: DataFrame, k: int, percent: int) ->
         last = bool(turn) and (cross <= LOOKS * left or cross > before / 2)
         before = cross
         if last:
-            pairs = _cross_pairs(rows, sizes, percent)
+            pairs = bounded(_cross_pairs(rows, sizes, percent))
         else:
             # by size first, then in random orders that differ from round to round
             order = [F.col("n"), F.col("node")] if not turn else [F.xxhash64(F.lit(turn), "node")]
@@ -409,15 +410,21 @@ def _cross_pairs(rows: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """
     per = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"))
     main = per.groupBy("key").agg(F.max_by("component", F.struct("m", "component")).alias("main"))
-    full = (rows.select("key", "node", "n", "component").join(sizes.select("node", "bits"), "node").join(main, "key")
+    # bitmaps folded to FOLDS words: a condition this short is compiled to machine code
+    folds = [F.expr(" | ".join(f"bits[{j}]" for j in range(i, WORDS, FOLDS))).alias(f"w{i}") for i in range(FOLDS)]
+    full = (rows.select("key", "node", "n", "component").join(sizes.select("node", *folds), "node").join(main, "key")
             .withColumn("band", size_band(F.col("n"), percent)).withColumn("in_main", F.col("component") == F.col("main")))
     guest = full.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
     x, y = full.where(~F.col("in_main")).alias("x"), guest.alias("y")
-    meet = ((F.col("x.key") == F.col("y.key")) & (F.col("x.band") == F.col("y.band"))
-            & (F.col("x.component") != F.col("y.component"))
-            & (F.col("y.in_main") | (F.struct("y.n", "y.node") < F.struct("x.n", "x.node")))
-            & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent)
-            & overlap_possible("x", "y", percent))
+
+    def missing(p: str, q: str) -> str:
+        return "(" + " + ".join(f"bit_count({p}.w{i} & ~{q}.w{i})" for i in range(FOLDS)) + ")"
+
+    meet = F.expr(f"""x.key = y.key AND x.band = y.band AND x.component <> y.component
+        AND (y.in_main OR y.n < x.n OR (y.n = x.n AND y.node < x.node))
+        AND 100 * x.n >= {percent} * y.n AND 100 * y.n >= {percent} * x.n
+        AND {100 + percent} * (x.n - {missing("x", "y")}) >= {percent} * (x.n + y.n)
+        AND {100 + percent} * (y.n - {missing("y", "x")}) >= {percent} * (x.n + y.n)""")
     return x.join(y, meet).select(F.least("x.node", "y.node").alias("a"),
                                   F.greatest("x.node", "y.node").alias("b")).distinct()
 
