@@ -24,7 +24,8 @@ def _bin(h: Column, bins: int) -> Column:
 
 def _numbered(h: Column) -> Column:
     """Hashes in text order, later occurrences of a k-mer rehashed with their number."""
-    pairs = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+    # sort_array, as array_sort calls a comparison expression for each step
+    pairs = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
 
     def number(s: Column) -> Column:
         starts = F.filter(F.transform(s, lambda x, i: F.when(
@@ -34,7 +35,7 @@ def _numbered(h: Column) -> Column:
             occurrence = F.flatten(F.transform(b, lambda at, j: F.sequence(
                 F.lit(0), F.coalesce(F.get(b, j + 1), F.size(s)) - at - 1)))
             return let(occurrence, lambda o: F.transform(
-                F.array_sort(F.transform(s, lambda x, i: F.struct(
+                F.sort_array(F.transform(s, lambda x, i: F.struct(
                     x["i"].alias("i"),
                     F.when(F.get(o, i) == 0, x["h"]).otherwise(F.xxhash64(x["h"], F.get(o, i))).alias("h")))),
                 lambda x: x["h"]))
@@ -58,24 +59,26 @@ def tuples(text: Column, k: int = K, bins: int = BINS, keep: int = KEEP) -> Colu
         return F.when(F.size(w) == 0, F.array().cast("array<bigint>")).when(F.size(w) < k, few).otherwise(many)
 
     def chosen(h: Column) -> Column:
-        # sorted by bin, then hash (both unsigned): the first two of each bin
-        ordered = F.sort_array(F.transform(h, lambda x: x.bitwiseXOR(F.lit(-(1 << 63)))))
-        flip = F.lit(-(1 << 63))
-
-        def pick(s: Column) -> Column:
-            b = lambda x: _bin(x.bitwiseXOR(flip), bins)
-            firsts = F.filter(F.transform(s, lambda x, i: F.when(
-                (i == 0) | (b(F.get(s, i - 1)) != b(x)),
-                F.struct(b(x).alias("b"), x.bitwiseXOR(flip).alias("x"),
-                         F.when(b(F.get(s, i + 1)) == b(x), F.get(s, i + 1).bitwiseXOR(flip)).alias("y")))),
-                lambda t: t.isNotNull())
-            in_order = lambda t: F.when(t["y"].isNull(), F.xxhash64(t["x"])).when(
-                F.array_position(h, t["x"]) < F.array_position(h, t["y"]),
-                F.xxhash64(t["x"], t["y"])).otherwise(F.xxhash64(t["y"], t["x"]))
-            return F.transform(firsts, lambda t: F.concat(
-                F.lpad(F.hex(t["b"]), 2, "0"), F.lpad(F.hex(in_order(t).bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")))
-
-        return let(ordered, pick)
+        # sorted, a bin's hashes lie together and ascend: its first two differ in bin from the second last
+        least = let(F.sort_array(h), lambda s: F.filter(s, lambda x, i: F.coalesce(
+            _bin(x.bitwiseXOR(F.get(s, i - 2)), bins) != 0, F.lit(True))))
+        # the first array's order, so the text's
+        return let(F.array_intersect(h, least), in_bins)
+
+    def in_bins(t: Column) -> Column:
+        # bin and place in one number: a bin's one or two places follow each other in text order
+        places = F.sort_array(F.transform(t, lambda x, i: _bin(x, bins) * (2 * bins) + i))
+
+        def pick(q: Column) -> Column:
+            b = lambda p: F.shiftright(p, bins.bit_length())
+            x = lambda p: F.get(t, p.bitwiseAND(2 * bins - 1).cast("int"))
+            return F.filter(F.transform(q, lambda p, j: F.when(
+                (j == 0) | (b(F.get(q, j - 1)) != b(p)),
+                F.concat(F.lpad(F.hex(b(p)), 2, "0"), F.lpad(F.hex(F.when(
+                    b(F.get(q, j + 1)) == b(p), F.xxhash64(x(p), x(F.get(q, j + 1)))).otherwise(
+                    F.xxhash64(x(p))).bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")))), lambda v: v.isNotNull())
+
+        return let(places, pick)
 
     return let(words, lambda w: let(kmers(w), lambda h: let(
         F.when(F.size(F.array_distinct(h)) == F.size(h), h).otherwise(_numbered(h)), chosen)))
