@@ -4,49 +4,92 @@ Documents lie one after another in parallel lanes; a window covers some steps
 of all lanes, and a lane's state passes from window to window, so a document
 of any length is scored as a whole and trained by truncated backpropagation.
 The output is class-factored: a softmax over word classes, then one over the
-words of the class. Words outside the short list are one class, whose words
-have their add-one unigram shares.
+words of the class. Words outside the short list are in classes of their own
+(``Shape.rest``), each with an input id; inside one of these, words have their
+add-one unigram shares.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+from dataclasses import dataclass
 
 import numpy as np
 
 HIDDEN = 16
-CLASSES, PER_CLASS = 32, 32
-SHORT = CLASSES * PER_CLASS   # short list; id SHORT is any other word
-START = SHORT + 1             # input of a document's first step
 LANES, STEPS = 512, 32
+MOST_WORDS = 1 << 17  # bound of the short list: about 34 MB of weights a copy
+GROWTH = 64           # short list words per square root of the distinct training words
+
+
+@dataclass(frozen=True)
+class Shape:
+    """Ids: the short list by class, then the ``rest`` classes of other words, then START."""
+
+    classes: int = 32
+    per_class: int = 32
+    rest: int = 1
+
+    @classmethod
+    def of(cls, distinct: int, rest: int, most: int = MOST_WORDS) -> Shape:
+        """Square shape for V distinct words: about min(V, GROWTH * sqrt(V), most, MOST_WORDS) of them."""
+        side = math.ceil(math.sqrt(min(distinct, GROWTH * math.sqrt(distinct), most, MOST_WORDS)))
+        return cls(max(1, side), max(1, side), rest)
+
+    @property
+    def short(self) -> int:
+        return self.classes * self.per_class
+
+    @property
+    def start(self) -> int:  # input of a document's first step
+        return self.short + self.rest
+
+    def sizes(self) -> dict[str, tuple[int, ...]]:
+        c, w, out = self.classes, self.per_class, self.classes + self.rest
+        return {"inp": (self.start + 1, 3 * HIDDEN), "rec": (HIDDEN, 3 * HIDDEN), "cls": (HIDDEN, out),
+                "cls_b": (out,), "word": (c, HIDDEN, w), "word_b": (c, w)}
+
+
+SMALL = Shape()
+SHORT = SMALL.short
 
 
 class Params:
     """Weights as views of one flat float32 vector, so they add and average."""
 
-    SHAPES = {"inp": (SHORT + 2, 3 * HIDDEN), "rec": (HIDDEN, 3 * HIDDEN), "cls": (HIDDEN, CLASSES + 1),
-              "cls_b": (CLASSES + 1,), "word": (CLASSES, HIDDEN, PER_CLASS), "word_b": (CLASSES, PER_CLASS)}
-    SIZE = sum(int(np.prod(s)) for s in SHAPES.values())
+    SHAPES = SMALL.sizes()
 
-    def __init__(self, flat: np.ndarray | None = None):
-        self.flat = np.zeros(self.SIZE, np.float32) if flat is None else flat
+    def __init__(self, flat: np.ndarray | None = None, shape: Shape = SMALL):
+        sizes = shape.sizes()
+        self.shape = shape
+        self.flat = np.zeros(sum(math.prod(x) for x in sizes.values()), np.float32) if flat is None else flat
         at = 0
-        for name, shape in self.SHAPES.items():
-            n = int(np.prod(shape))
-            setattr(self, name, self.flat[at:at + n].reshape(shape))
+        for name, size in sizes.items():
+            n = math.prod(size)
+            setattr(self, name, self.flat[at:at + n].reshape(size))
             at += n
 
     @classmethod
-    def first(cls, counts: np.ndarray, rest: int, seed: int = 5) -> Params:
-        """Start at the unigram model of the short list counts and the rest."""
-        p, rng = cls(), np.random.default_rng(seed)
+    def first(cls, counts: np.ndarray, rest: int | np.ndarray, seed: int = 5, shape: Shape = SMALL) -> Params:
+        """Start at the unigram model of the short list counts and the counts of the rest classes."""
+        p, rng = cls(shape=shape), np.random.default_rng(seed)
         p.inp[:] = rng.normal(0, 0.1, p.inp.shape)
         p.rec[:] = rng.normal(0, HIDDEN ** -0.5, p.rec.shape)
-        by_class = counts.astype(np.float64).reshape(CLASSES, PER_CLASS) + 1e-3
+        by_class = counts.astype(np.float64).reshape(shape.classes, shape.per_class) + 1e-3
         p.word_b[:] = np.log(by_class / by_class.sum(1, keepdims=True))
-        p.cls_b[:] = np.log(np.r_[by_class.sum(1), rest + 1.0] / (by_class.sum() + rest + 1.0))
+        by_class = np.r_[by_class.sum(1), np.broadcast_to(rest, shape.rest) + 1.0]
+        p.cls_b[:] = np.log(by_class / by_class.sum())
         return p
 
+    def clear(self, inputs: np.ndarray, classes: np.ndarray) -> None:
+        """Zero a gradient that touched these rows."""
+        self.inp[inputs] = 0
+        self.word[classes] = 0
+        self.word_b[classes] = 0
+        for x in (self.rec, self.cls, self.cls_b):
+            x[:] = 0
+
 
 def lanes_of(docs: list[np.ndarray], lanes: int = LANES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Tokens dealt to lanes, longest documents first: ids, document numbers (-1: none), start flags.
@@ -62,7 +105,7 @@ def lanes_of(docs: list[np.ndarray], lanes: int = LANES) -> tuple[np.ndarray, np
         heapq.heappush(heap, (n + len(docs[i]), k))
     own.sort(key=lambda x: -sum(len(docs[i]) for i in x))
     length = sum(len(docs[i]) for i in own[0]) if own else 0
-    ids = np.full((len(own), length), SHORT, np.int32)
+    ids = np.zeros((len(own), length), np.int32)
     number = np.full((len(own), length), -1, np.int64)
     start = np.zeros((len(own), length), bool)
     for k, mine in enumerate(own):
@@ -80,9 +123,19 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(1, keepdims=True)
-    return x - np.log(np.exp(x).sum(1, keepdims=True))
+def _softmax(x: np.ndarray, target: np.ndarray, slope: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """Log-probabilities of the targets, and with ``slope`` the gradient of their negative sum (``x`` is overwritten)."""
+    rows = np.arange(len(x))
+    x -= x.max(1, keepdims=True)
+    got = x[rows, target]
+    np.exp(x, out=x)
+    total = x.sum(1, keepdims=True)
+    got = got - np.log(total[:, 0])
+    if not slope:
+        return got, None
+    x /= total
+    x[rows, target] -= 1
+    return got, x
 
 
 class Window:
@@ -91,7 +144,7 @@ class Window:
     def __init__(self, p: Params, ids: np.ndarray, start: np.ndarray, before: np.ndarray, state: np.ndarray):
         steps, lanes = ids.shape
         self.ids, self.start = ids, start
-        self.inputs = np.where(start, START, np.vstack((before[None], ids[:-1])))
+        self.inputs = np.where(start, p.shape.start, np.vstack((before[None], ids[:-1])))
         x = p.inp[self.inputs]
         h = HIDDEN
         self.zr = np.empty((steps, lanes, 2 * h), np.float32)
@@ -111,31 +164,26 @@ class Window:
     def losses(self, p: Params, valid: np.ndarray, grads: Params | None):
         """Natural log-probabilities of the targets (tail words: of their class),
         and with ``grads`` the gradient of their negative sum by state."""
+        shape = p.shape
         flat = np.flatnonzero(valid.ravel())
         h = self.out.reshape(-1, HIDDEN)[flat]
         ids = self.ids.ravel()[flat]
-        cls = ids // PER_CLASS
-        log_p = _log_softmax(h @ p.cls + p.cls_b)
-        got = log_p[np.arange(len(flat)), cls]
+        cls = np.where(ids < shape.short, ids // shape.per_class, ids - shape.short + shape.classes)
+        got, d = _softmax(h @ p.cls + p.cls_b, cls, grads is not None)
         dh = None
         if grads is not None:
-            d = np.exp(log_p)
-            d[np.arange(len(flat)), cls] -= 1
             grads.cls += h.T @ d
             grads.cls_b += d.sum(0)
             dh = d @ p.cls.T
         order = np.argsort(cls, kind="stable")
-        bounds = np.searchsorted(cls[order], np.arange(CLASSES + 1))
-        for c in range(CLASSES):
+        bounds = np.searchsorted(cls[order], np.arange(shape.classes + 1))
+        self.classes = np.flatnonzero(np.diff(bounds))
+        for c in self.classes:
             rows = order[bounds[c]:bounds[c + 1]]
-            if not len(rows):
-                continue
-            hc, w = h[rows], ids[rows] % PER_CLASS
-            lp = _log_softmax(hc @ p.word[c] + p.word_b[c])
-            got[rows] += lp[np.arange(len(rows)), w]
+            hc = h[rows]
+            lp, d = _softmax(hc @ p.word[c] + p.word_b[c], ids[rows] % shape.per_class, grads is not None)
+            got[rows] += lp
             if grads is not None:
-                d = np.exp(lp)
-                d[np.arange(len(rows)), w] -= 1
                 grads.word[c] += hc.T @ d
                 grads.word_b[c] += d.sum(0)
                 dh[rows] += d @ p.word[c].T
@@ -166,20 +214,41 @@ class Window:
         ids = self.inputs.ravel()
         order = np.argsort(ids, kind="stable")
         first = np.flatnonzero(np.r_[True, np.diff(ids[order]) > 0])
-        grads.inp[ids[order][first]] += np.add.reduceat(dx.reshape(-1, 3 * h)[order], first, axis=0)
+        self.rows = ids[order][first]
+        grads.inp[self.rows] += np.add.reduceat(dx.reshape(-1, 3 * h)[order], first, axis=0)
 
 
 class Adam:
+    """Adam whose input rows and word classes move only when a window touches them.
+
+    ``EPS`` is above the mean gradients of rare words, which so move in
+    proportion to them and keep their frequencies.
+    """
+
+    EPS = 1e-5
+
     def __init__(self, rate: float = 0.01):
         self.rate, self.t = rate, 0
-        self.m, self.v = np.zeros(Params.SIZE, np.float32), np.zeros(Params.SIZE, np.float32)
+        self.m = self.v = None
 
-    def step(self, p: Params, g: np.ndarray) -> None:
+    def step(self, p: Params, grads: Params, inputs: np.ndarray, classes: np.ndarray, n: int, part: float) -> None:
+        """A ``part`` of a step against ``grads / n``, clipped to norm 1."""
+        if self.m is None:
+            self.m, self.v = Params(shape=p.shape), Params(shape=p.shape)
+        touched = {"inp": inputs, "word": classes, "word_b": classes}
+        g = {k: getattr(grads, k)[touched.get(k, slice(None))] / np.float32(n) for k in p.shape.sizes()}
+        norm = math.sqrt(sum(float((x * x).sum()) for x in g.values()))
         self.t += 1
-        self.m += 0.1 * (g - self.m)
-        self.v += 0.01 * (g * g - self.v)
         a, b = 1 - 0.9 ** self.t, 1 - 0.99 ** self.t
-        p.flat -= self.rate * (self.m / a) / (np.sqrt(self.v / b) + 1e-8)
+        for k, x in g.items():
+            at = touched.get(k, slice(None))
+            x *= np.float32(min(1.0, 1.0 / max(norm, 1e-9)))
+            weights, m, v = getattr(p, k), getattr(self.m, k), getattr(self.v, k)
+            m1, v1 = m[at], v[at]
+            m1 = m1 + np.float32(0.1) * (x - m1)
+            v1 = v1 + np.float32(0.01) * (x * x - v1)
+            m[at], v[at] = m1, v1
+            weights[at] -= np.float32(self.rate * part / a) * m1 / (np.sqrt(v1 / np.float32(b)) + np.float32(self.EPS))
 
 
 def windows(docs: list[np.ndarray], p: Params, lanes: int, steps: int):
@@ -189,7 +258,7 @@ def windows(docs: list[np.ndarray], p: Params, lanes: int, steps: int):
         return
     lengths = (number >= 0).sum(1)
     state = np.zeros((len(ids), HIDDEN), np.float32)
-    before = np.full(len(ids), START, np.int32)
+    before = np.full(len(ids), p.shape.start, np.int32)
     for t in range(0, ids.shape[1], steps):
         live = int((lengths > t).sum())
         part = np.s_[:live, t:t + steps]
@@ -200,14 +269,14 @@ def windows(docs: list[np.ndarray], p: Params, lanes: int, steps: int):
 
 def train(docs: list[np.ndarray], p: Params, adam: Adam, lanes: int = LANES, steps: int = STEPS) -> int:
     """One pass of truncated backpropagation over the documents; tokens seen."""
-    seen = 0
+    seen, grads = 0, Params(shape=p.shape)
     for w, number in windows(docs, p, lanes, steps):
-        grads = Params()
         flat, _, dh = w.losses(p, number >= 0, grads)
         w.backward(p, flat, dh, grads)
-        g = grads.flat / max(1, len(flat))
-        norm = float(np.sqrt((g * g).sum()))
-        adam.step(p, g * min(1.0, 1.0 / max(norm, 1e-9)))
+        # windows of under a quarter (the ends of long documents) move the weights by their share
+        part = min(1.0, 4 * len(flat) / (lanes * steps))
+        adam.step(p, grads, w.rows, w.classes, max(1, len(flat)), part)
+        grads.clear(w.rows, w.classes)
         seen += len(flat)
     return seen
 

@@ -9,6 +9,7 @@ look up their counts through a join.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -26,6 +27,8 @@ ROUNDS = 2            # averagings; every training document is used in one of th
 CHUNK = 400_000       # tokens put into lanes together (a longer document goes alone)
 FLUSH = 400_000       # distinct words that a counting task holds
 BLOCK = 8192          # numbers of a parameter block
+OCTAVES = 16          # classes of head words outside the short list, by powers of 2 of their counts
+HASHED = 16           # classes of words outside the head, by crc32
 END = b""             # the end token; no word is empty
 
 
@@ -83,24 +86,48 @@ def head_words(counts: DataFrame, most: int = HEAD) -> list[tuple[bytes, int]]:
 
 
 class Vocabulary:
-    """Head words by rank; the first are the model's short list."""
+    """Head words by rank; the first are the model's short list.
 
-    def __init__(self, head: list[tuple[bytes, int]], tokens: int, distinct: int):
+    The other head words are classes by counts, words outside the head by
+    hash. ``crc``: (crc32 % HASHED) -> (tokens, distinct) of all training words.
+    """
+
+    def __init__(self, head: list[tuple[bytes, int]], tokens: int, distinct: int, crc: dict[int, tuple[int, int]]):
         self.words = [w for w, _ in head]
         self.counts = np.array([n for _, n in head], np.int64)
         self.tokens, self.distinct = tokens, distinct
-        short = self.counts[:lm.SHORT]
-        self.tail_tokens = tokens - int(short.sum())
-        self.tail_distinct = distinct - len(short)
+        self.shape = lm.Shape.of(distinct, OCTAVES + HASHED, len(head))
+        short = self.shape.short
+        octave = np.minimum(np.log2(np.maximum(self.counts, 1)).astype(np.int64), OCTAVES - 1)
+        self.id_of = np.r_[np.arange(min(short, len(head))), short + octave[short:]].astype(np.int64)
+        self.hashed = short + OCTAVES
+        # tokens and distinct words of the rest classes
+        size = np.zeros((OCTAVES + HASHED, 2), np.int64)
+        np.add.at(size, octave[short:], np.c_[self.counts[short:], np.ones_like(self.counts[short:])])
+        for k, (n, d) in crc.items():
+            size[OCTAVES + k] += (n, d)
+        if head:
+            mine = [OCTAVES + zlib.crc32(w) % HASHED for w in self.words]
+            np.add.at(size, mine, -np.c_[self.counts, np.ones_like(self.counts)])
+        self.rest_tokens = size[:, 0]
+        # one more for words that training never saw
+        self.rest_log = np.log10(np.maximum(size.sum(1) + np.repeat([0, 1], [OCTAVES, HASHED]), 1))
 
     def first(self) -> lm.Params:
-        short = np.zeros(lm.SHORT, np.int64)
-        short[:min(lm.SHORT, len(self.counts))] = self.counts[:lm.SHORT]
-        return lm.Params.first(short, self.tail_tokens)
+        short = np.zeros(self.shape.short, np.int64)
+        short[:min(len(short), len(self.counts))] = self.counts[:len(short)]
+        return lm.Params.first(short, self.rest_tokens, shape=self.shape)
 
     def lookup(self) -> dict[bytes, int]:
         return {w: i for i, w in enumerate(self.words)}
 
+    def ids(self, words: list[bytes], rank: np.ndarray) -> np.ndarray:
+        """The model's ids of words with these ranks (len(self.words): outside the head)."""
+        out = np.r_[self.id_of, 0][rank]
+        for i in np.flatnonzero(rank == len(self.words)):
+            out[i] = self.hashed + zlib.crc32(words[i]) % HASHED
+        return out
+
 
 def _ranks(text: bytes | None, lookup: dict[bytes, int], other: int) -> tuple[list[bytes], np.ndarray]:
     words = _words(text)
@@ -123,53 +150,53 @@ def _chunks(batches: Iterator[pa.RecordBatch], size: int = CHUNK):
         yield held
 
 
-def train_round(texts: DataFrame, params: np.ndarray, short: list[bytes]) -> np.ndarray | None:
+def train_round(texts: DataFrame, params: np.ndarray, vocabulary: Vocabulary) -> np.ndarray | None:
     """Average (by tokens) of the models that tasks train on their rows; None without rows."""
-    start = texts.sparkSession.sparkContext.broadcast((params, short))  # the model: a fixed size
+    start = texts.sparkSession.sparkContext.broadcast((params, vocabulary))  # bounded by HEAD and the model's size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat, words = start.value
-        p, adam, seen = lm.Params(flat.copy()), lm.Adam(), 0
-        lookup = {w: i for i, w in enumerate(words)}
+        flat, v = start.value
+        p, adam, seen = lm.Params(flat.copy(), v.shape), lm.Adam(), 0
+        lookup, size = v.lookup(), len(v.words)
         for rows in _chunks(batches):
-            seen += lm.train([_ranks(r[-1], lookup, lm.SHORT)[1] for r in rows], p, adam)
+            seen += lm.train([v.ids(*_ranks(r[-1], lookup, size)) for r in rows], p, adam)
         if seen:
-            x = p.flat.astype(np.float64) * seen
-            blocks = [x[i:i + BLOCK].tobytes() for i in range(0, len(x), BLOCK)]
+            moved = (p.flat - flat).astype(np.float16)  # models pass the shuffle as their differences, halved
+            blocks = [moved[i:i + BLOCK].tobytes() for i in range(0, len(moved), BLOCK)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(len(blocks)), pa.int32()), pa.array([seen] * len(blocks), pa.int64()),
                  pa.array(blocks, pa.binary())], names=["block", "tokens", "x"])
 
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, list] = {}
         for b in batches:
             for i, n, x in zip(*(c.to_pylist() for c in b.columns)):
-                x = np.frombuffer(x, np.float64)
+                x = np.frombuffer(x, np.float16).astype(np.float64) * n
                 if i in total:
                     total[i][0] += n
-                    total[i][1] = total[i][1] + x
+                    total[i][1] += x
                 else:
                     total[i] = [n, x]
         for i, (n, x) in total.items():
             yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([n], pa.int64()),
-                                              pa.array([x.tobytes()], pa.binary())], names=["block", "tokens", "x"])
+                                              pa.array([(x / n).astype(np.float16).tobytes()], pa.binary())],
+                                             names=["block", "tokens", "x"])
 
     schema = "block int, tokens long, x binary"
-    # partial sums by a salt first, so that no task adds all tasks' models
-    part = (texts.select("text").mapInArrow(run, schema).withColumn("salt", F.spark_partition_id() % 64)
-            .repartition("block", "salt").select("block", "tokens", "x").mapInArrow(add, schema)
-            .repartition("block").mapInArrow(add, schema))
-    out = np.zeros(lm.Params.SIZE)
-    n = 0
-    for r in part.collect():  # the model: a fixed size
-        x = np.frombuffer(r["x"], np.float64)
-        out[r["block"] * BLOCK:r["block"] * BLOCK + len(x)] = x / r["tokens"]
+    # averages of 32 tasks each first, so that no task adds all tasks' models
+    part = (texts.select("text").mapInArrow(run, schema).withColumn("salt", F.floor(F.spark_partition_id() / 32))
+            .repartition("block", "salt").select("block", "tokens", "x").mapInArrow(average, schema)
+            .repartition("block").mapInArrow(average, schema))
+    out, n = params.copy(), 0
+    for r in part.collect():  # the model: a bounded size
+        x = np.frombuffer(r["x"], np.float16)
+        out[r["block"] * BLOCK:r["block"] * BLOCK + len(x)] += x
         n = r["tokens"]
-    return out.astype(np.float32) if n else None
+    return out if n else None
 
 
 ROW_SCHEMA = ("row_no long, doc_id long, held_out boolean, n_tokens long, known long, base double, tail_log double, "
-              "tail_n long, model double, misses array<struct<word:binary,n:int>>")
+              "model double, misses array<struct<word:binary,n:int>>")
 
 
 def _score_rows(rows: DataFrame, params: np.ndarray, vocabulary: Vocabulary) -> DataFrame:
@@ -178,10 +205,10 @@ def _score_rows(rows: DataFrame, params: np.ndarray, vocabulary: Vocabulary) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, v = sent.value
-        p, lookup, size = lm.Params(flat), v.lookup(), len(v.words)
+        p, lookup, size = lm.Params(flat, v.shape), v.lookup(), len(v.words)
         logs = np.r_[np.log10(v.counts + 1.0), 0.0]
         for chunk in _chunks(batches):
-            out = {k: [] for k in ("n_tokens", "known", "base", "tail_log", "tail_n", "misses")}
+            out = {k: [] for k in ("n_tokens", "known", "base", "tail_log", "misses")}
             ids = []
             for *_, text in chunk:
                 words, rank = _ranks(text, lookup, size)
@@ -190,19 +217,19 @@ def _score_rows(rows: DataFrame, params: np.ndarray, vocabulary: Vocabulary) ->
                 out["n_tokens"].append(len(words))
                 out["known"].append(int(head.sum()))
                 out["base"].append(float(logc.sum()))
-                tail = rank >= lm.SHORT if size > lm.SHORT else ~head
-                out["tail_log"].append(float(logc[tail].sum()))
-                out["tail_n"].append(int(tail.sum()))
+                ids.append(v.ids(words, rank))
+                tail = ids[-1] >= v.shape.short
+                shares = logc[tail] - v.rest_log[ids[-1][tail] - v.shape.short]
+                out["tail_log"].append(float(shares.sum()))
                 lost = Counter(words[i] for i in np.flatnonzero(~head))
                 out["misses"].append([{"word": w, "n": n} for w, n in lost.items()])
-                ids.append(np.where(tail, lm.SHORT, rank))
             model = lm.score(ids, p)
             kind = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in chunk], pa.int64()), pa.array([r[1] for r in chunk], pa.int64()),
                  pa.array([r[2] for r in chunk], pa.bool_()), pa.array(out["n_tokens"], pa.int64()),
                  pa.array(out["known"], pa.int64()), pa.array(out["base"], pa.float64()),
-                 pa.array(out["tail_log"], pa.float64()), pa.array(out["tail_n"], pa.int64()),
+                 pa.array(out["tail_log"], pa.float64()),
                  pa.array(model, pa.float64()), pa.array(out["misses"], kind)],
                 names=[c.split()[0] for c in ROW_SCHEMA.split(", ")])
 
@@ -229,11 +256,13 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS, head: int = HEAD) ->
     learn = rows.where(~F.col("held_out"))
     counts = cut_lineage(word_counts(learn), "lm-counts")
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    v = Vocabulary(head_words(counts, head), tokens, distinct)
+    hashed = counts.groupBy((F.crc32("word") % HASHED).cast("int").alias("k")).agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("d")).collect()  # at most HASHED rows
+    v = Vocabulary(head_words(counts, head), tokens, distinct, {r["k"]: (r["n"], r["d"]) for r in hashed})
     params = v.first().flat
     for i in range(rounds):
         share = learn.where(F.floor(F.col("crc") / 7) % rounds == i)
-        new = train_round(share, params, v.words[:lm.SHORT])
+        new = train_round(share, params, v)
         params = params if new is None else new
     # row numbers are fixed by being written
     numbered = rows.select(F.monotonically_increasing_id().alias("row_no"), "doc_id", "held_out", "text")
@@ -244,9 +273,8 @@ def score_documents(docs: DataFrame, rounds: int = ROUNDS, head: int = HEAD) ->
                                         F.sum("times").alias("more_known"))
     zero = lambda c, x: F.coalesce(F.col(c), F.lit(x))
     all_log = float(np.log10(tokens + distinct + 1.0))
-    tail_log = float(np.log10(v.tail_tokens + v.tail_distinct + 1.0))
     return scored.drop("misses").join(extra, "row_no", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + zero("more_known", 0)).alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
         (F.col("base") + zero("more", 0.0) - F.col("n_tokens") * F.lit(all_log)).alias("base_score"),
-        (F.col("model") + F.col("tail_log") + zero("more", 0.0) - F.col("tail_n") * F.lit(tail_log)).alias("score"))
+        (F.col("model") + F.col("tail_log") + zero("more", 0.0)).alias("score"))
