@@ -102,13 +102,15 @@ def round_fractions(rows: DataFrame, n_most: int, seed: int) -> list[DataFrame]:
         rows, level = left, level + 1
 
 
-def _mixed(docs: DataFrame, weights: tuple[int, ...], cap: int, seed: int) -> DataFrame:
+def _mixed(docs: DataFrame, weights: tuple[int, ...], cap: int, seed: int, row_no: Column | None = None) -> DataFrame:
+    """Rows of ``mix`` with a row number: ``row_no``, or else one given here."""
     spark = docs.sparkSession
     prepare(spark)
+    row_no = F.monotonically_increasing_id() if row_no is None else row_no
     base = docs.select(
         docs["doc_id"].cast("long").alias("doc_id"), docs["source"].cast("string").alias("source"),
         F.coalesce(F.regexp_count(docs["text"], F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.monotonically_increasing_id().alias("row_no"))
+        row_no.alias("row_no"))
     base = cut_lineage(base, "mix-sizes")
     sizes = base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
     targets = cut_lineage(source_targets(sizes, weights, cap), "mix-targets")
@@ -151,11 +153,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, see
 def take_mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, seed: int = 17) -> DataFrame:
     """The mixed documents: each row of ``docs`` as often as it is taken.
 
-    ``docs`` must be read from files: its rows are numbered by file split and
-    place, alike in every scan. Columns are those of ``docs``.
+    Rows are numbered once, by being written with their numbers, so that sizes
+    and documents agree however ``docs`` is read. Columns are those of ``docs``.
     """
-    mixed = _mixed(docs, weights, cap, seed).where("copies > 0").select("row_no", "copies")
-    rows = docs.select(F.monotonically_increasing_id().alias("row_no"),
-                       F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
-    return (rows.join(mixed, "row_no").select("doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    prepare(docs.sparkSession)
+    numbered = cut_lineage(docs.select(F.monotonically_increasing_id().alias("row_no"),
+                                       F.struct(*[docs[c] for c in docs.columns]).alias("doc")), "mix-rows")
+    mixed = (_mixed(numbered.select("row_no", "doc.doc_id", "doc.source", "doc.text"), weights, cap, seed, F.col("row_no"))
+             .where("copies > 0").select("row_no", "copies"))
+    return (numbered.join(mixed, "row_no").select("doc", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
             .select("doc.*"))

@@ -1,0 +1,46 @@
+"""Mixed documents are the right ones, however the table is split when it is read."""
+
+from collections import Counter
+
+from llm_cases import nasty, empty  # noqa: F401
+from tabforge.llm import mixing
+
+
+def test_copies_agree_when_splits_change(spark, tmp_path, monkeypatch):
+    """The table is read in other splits after the first write."""
+    path = str(tmp_path / "docs")
+    (spark.range(4000).selectExpr("id AS doc_id", "repeat('w ', CAST(1 + id % 17 AS INT)) AS text",
+                                  "concat('s', id % 3) AS source", "uuid() AS more")
+     .repartition(6).write.option("parquet.block.size", 4096).parquet(path))
+    docs = spark.read.parquet(path)
+    want = Counter({r.doc_id: r.copies for r in mixing.mix(docs).collect() if r.copies})
+    text = {r.doc_id: tuple(r) for r in docs.collect()}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    write = mixing.cut_lineage
+    seen = []
+
+    def changed(df, name="materialized"):
+        out = write(df, name)
+        seen.append(name)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        return out
+
+    monkeypatch.setattr(mixing, "cut_lineage", changed)
+    try:
+        rows = mixing.take_mix(docs).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert seen and Counter(r.doc_id for r in rows) == want
+    assert all(tuple(r) == text[r.doc_id] for r in rows)
+
+
+def test_take_mix_nasty_and_empty(nasty, empty):
+    rows = mixing.take_mix(nasty)
+    assert rows.columns == nasty.columns
+    want = Counter()
+    for r in mixing.mix(nasty).collect():
+        want[r.doc_id] += r.copies
+    assert Counter(r.doc_id for r in rows.collect()) == +want
+    assert mixing.take_mix(empty).collect() == []
