@@ -91,8 +91,8 @@ class Params:
             x[:] = 0
 
 
-def lanes_of(docs: list[np.ndarray], lanes: int = LANES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens dealt to lanes, longest documents first: ids, document numbers (-1: none), start flags.
+def lanes_of(docs: list[np.ndarray], lanes: int = LANES) -> list[np.ndarray]:
+    """Documents (their numbers, in order) dealt to lanes, longest first.
 
     Lanes are sorted by length, so the active ones are always the first.
     """
@@ -104,19 +104,7 @@ def lanes_of(docs: list[np.ndarray], lanes: int = LANES) -> tuple[np.ndarray, np
         own[k].append(i)
         heapq.heappush(heap, (n + len(docs[i]), k))
     own.sort(key=lambda x: -sum(len(docs[i]) for i in x))
-    length = sum(len(docs[i]) for i in own[0]) if own else 0
-    ids = np.zeros((len(own), length), np.int32)
-    number = np.full((len(own), length), -1, np.int64)
-    start = np.zeros((len(own), length), bool)
-    for k, mine in enumerate(own):
-        at = 0
-        for i in mine:
-            n = len(docs[i])
-            ids[k, at:at + n] = docs[i]
-            number[k, at:at + n] = i
-            start[k, at] = True
-            at += n
-    return ids, number, start
+    return [np.array(x, np.int64) for x in own]
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -252,19 +240,34 @@ class Adam:
 
 
 def windows(docs: list[np.ndarray], p: Params, lanes: int, steps: int):
-    """Windows over the documents in order, with the lanes' states carried on."""
-    ids, number, start = lanes_of(docs, lanes)
-    if not len(ids):
-        return
-    lengths = (number >= 0).sum(1)
-    state = np.zeros((len(ids), HIDDEN), np.float32)
-    before = np.full(len(ids), p.shape.start, np.int32)
-    for t in range(0, ids.shape[1], steps):
+    """Windows over the documents in order, with the lanes' states carried on.
+
+    A window is filled from its lanes' documents, so beside the documents
+    there are only lanes x steps cells, however long a document is.
+    """
+    own = lanes_of(docs, lanes)
+    ends = [np.cumsum([len(docs[i]) for i in mine]) for mine in own]
+    lengths = np.array([e[-1] for e in ends], np.int64)
+    state = np.zeros((len(own), HIDDEN), np.float32)
+    before = np.full(len(own), p.shape.start, np.int32)
+    for t in range(0, int(lengths.max(initial=0)), steps):
         live = int((lengths > t).sum())
-        part = np.s_[:live, t:t + steps]
-        w = Window(p, ids[part].T, start[part].T, before[:live], state[:live])
-        state, before = w.state, ids[:live, min(t + steps, ids.shape[1]) - 1]
-        yield w, number[part].T
+        width = min(steps, int(lengths[0]) - t)
+        ids, number = np.zeros((live, width), np.int32), np.full((live, width), -1, np.int64)
+        start = np.zeros((live, width), bool)
+        for k in range(live):
+            stop = min(t + width, int(lengths[k]))
+            at, j = t, int(np.searchsorted(ends[k], t, "right"))
+            while at < stop:
+                i, end = own[k][j], int(ends[k][j])
+                first, to = end - len(docs[i]), min(end, stop)
+                ids[k, at - t:to - t] = docs[i][at - first:to - first]
+                number[k, at - t:to - t] = i
+                start[k, at - t] = at == first
+                at, j = to, j + 1
+        w = Window(p, ids.T, start.T, before[:live], state[:live])
+        state, before = w.state, ids[:, -1]
+        yield w, number.T
 
 
 def train(docs: list[np.ndarray], p: Params, adam: Adam, lanes: int = LANES, steps: int = STEPS) -> int:

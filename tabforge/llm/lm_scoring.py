@@ -137,12 +137,16 @@ def _ranks(text: bytes | None, lookup: dict[bytes, int], other: int) -> tuple[li
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], size: int = CHUNK):
-    """Rows (as tuples of a batch's columns) gathered up to ``size`` bytes / 6 of text."""
+    """Rows (as tuples of a batch's columns) gathered up to ``size`` bytes / 6 of text; a longer one alone."""
     held, n = [], 0
     for b in batches:
         for row in zip(*(c.to_pylist() for c in b.columns)):
+            more = len(row[-1] or b"") // 6 + 1
+            if held and n + more > size:
+                yield held
+                held, n = [], 0
             held.append(row)
-            n += len(row[-1] or b"") // 6 + 1
+            n += more
             if n >= size:
                 yield held
                 held, n = [], 0
