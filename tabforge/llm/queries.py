@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tabforge.llm import (bpe_codec, chat, fingerprints, jaccard_join, lm_scoring, mixing, quality_rules, secrets,
-                          shards, token_counts)
+                          shards, token_counts, warc)
 from tabforge.llm.common import table
 
 WORD_BPE, BYTE_RANKS = "word_bpe_49k.json", "byte_bpe_50k.tiktoken"
@@ -64,9 +64,14 @@ def op10_order_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf, "documents"))
 
 
+def op11_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_bpe_codec, op3_shards, op4_mix_sources, op5_quality_rules, op6_jaccard_join,
-    op7_secret_scan, op8_chat_format, op9_lm_scores, op10_order_minhash)}
+    op7_secret_scan, op8_chat_format, op9_lm_scores, op10_order_minhash, op11_warc)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -143,4 +148,18 @@ SELECT conv_id, count(*) AS n_turns,
 FROM t GROUP BY conv_id
 """
 
+# base32 of a SHA-1 from its hex digits: every 5 hex digits are 4 letters
+_B32 = """list_aggregate(list_transform(range(0, 8), lambda k: list_aggregate(list_transform(range(0, 4), lambda j:
+       substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(CAST('0x' || substr(h, CAST(k * 5 + 1 AS INTEGER), 5) AS BIGINT) // (32768 // (CAST(1 AS BIGINT) << CAST(5 * j AS INTEGER))) % 32 AS INTEGER) + 1, 1)),
+       'string_agg', '')), 'string_agg', '')"""
+
+OP11_SQL = f"""
+WITH p AS (SELECT row_number() OVER () AS rid, page_id, url, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h FROM pages),
+r AS (SELECT *, last_value(page_id) OVER w AS top, last_value(rid) OVER w AS top_rid FROM p
+      WINDOW w AS (PARTITION BY t ORDER BY page_id NULLS FIRST, rid ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+SELECT page_id, CAST(strlen(t) AS BIGINT) AS payload_bytes, {_B32} AS payload_digest,
+       CASE WHEN rid = top_rid THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN rid <> top_rid THEN top END AS refers_to FROM r
+"""
+
 ORACLE = {"op5_quality_rules": OP5_SQL, "op6_jaccard_join": OP6_SQL, "op8_chat_format": OP8_SQL}

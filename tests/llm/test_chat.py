@@ -7,7 +7,6 @@ import public_tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from llm_cases import   # noqa: F401
 from tabforge.llm import chat
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
