@@ -162,4 +162,5 @@ SELECT page_id, CAST(strlen(t) AS BIGINT) AS payload_bytes, {_B32} AS payload_di
        CASE WHEN rid <> top_rid THEN top END AS refers_to FROM r
 """
 
-ORACLE = {"op5_quality_rules": OP5_SQL, "op6_jaccard_join": OP6_SQL, "op8_chat_format": OP8_SQL}
+ORACLE = {"op5_quality_rules": OP5_SQL, "op6_jaccard_join": OP6_SQL, "op8_chat_format": OP8_SQL,
+          "op11_warc": OP11_SQL}
