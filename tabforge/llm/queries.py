@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabforge.llm import (bpe_codec, chat, fingerprints, jaccard_join, lm_scoring, mixing, quality_rules, secrets,
-                          shards, token_counts, warc)
+from tabforge.llm import (bpe_codec, chat, fingerprints, hard_negatives, jaccard_join, lm_scoring, mixing,
+                          quality_rules, secrets, shards, token_counts, warc)
 from tabforge.llm.common import table
 
 WORD_BPE, BYTE_RANKS = "word_bpe_49k.json", "byte_bpe_50k.tiktoken"
@@ -69,9 +69,14 @@ def op11_warc(spark: SparkSession, sf: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_bpe_codec, op3_shards, op4_mix_sources, op5_quality_rules, op6_jaccard_join,
-    op7_secret_scan, op8_chat_format, op9_lm_scores, op10_order_minhash, op11_warc)}
+    op7_secret_scan, op8_chat_format, op9_lm_scores, op10_order_minhash, op11_warc,
+    op12_hard_negatives)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -162,5 +167,29 @@ SELECT page_id, CAST(strlen(t) AS BIGINT) AS payload_bytes, {_B32} AS payload_di
        CASE WHEN rid <> top_rid THEN top END AS refers_to FROM r
 """
 
+OP12_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), s AS (
+  SELECT a.rid AS arid, a.vec_id AS anchor_id, b.vec_id, b.rid, a.label = b.label AS same,
+         CAST(list_dot_product(a.x, b.x) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.rid <> b.rid WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT arid, anchor_id, vec_id AS positive_id, rid, score AS positive_score FROM (
+    SELECT *, row_number() OVER (PARTITION BY arid ORDER BY score DESC, vec_id, rid) AS k FROM s WHERE same)
+  WHERE k <= 5
+), n AS (
+  SELECT p.anchor_id, positive_id, s.vec_id AS negative_id, positive_score, s.score AS negative_score,
+         CAST(row_number() OVER (PARTITION BY p.arid, p.rid ORDER BY s.score DESC, s.vec_id, s.rid) AS INTEGER) AS rank
+  FROM p JOIN s ON s.arid = p.arid AND NOT s.same
+  WHERE 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
 ORACLE = {"op5_quality_rules": OP5_SQL, "op6_jaccard_join": OP6_SQL, "op8_chat_format": OP8_SQL,
-          "op11_warc": OP11_SQL}
+          "op11_warc": OP11_SQL, "op12_hard_negatives": OP12_SQL}
