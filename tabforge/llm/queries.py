@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tabforge.llm import (bpe_codec, chat, fingerprints, hard_negatives, jaccard_join, lm_scoring, mixing,
-                          quality_rules, secrets, shards, token_counts, warc)
+                          quality_rules, secrets, shards, token_counts, warc, whitening)
 from tabforge.llm.common import table
 
 WORD_BPE, BYTE_RANKS = "word_bpe_49k.json", "byte_bpe_50k.tiktoken"
@@ -73,10 +73,14 @@ def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
     return hard_negatives.mine(table(spark, sf, "embeddings"))
 
 
+def op13_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_counts, op2_bpe_codec, op3_shards, op4_mix_sources, op5_quality_rules, op6_jaccard_join,
     op7_secret_scan, op8_chat_format, op9_lm_scores, op10_order_minhash, op11_warc,
-    op12_hard_negatives)}
+    op12_hard_negatives, op13_whitening)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
