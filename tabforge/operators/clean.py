@@ -73,9 +73,9 @@ def impute_median(df: DataFrame, cols: Iterable[str], approx: bool = False,
                   accuracy: int = 100_000, fit_df: DataFrame | None = None) -> DataFrame:
     """Fill NULLs with the median (exact, interpolated, by default).
 
-    The exact median is found by distributed band narrowing (see
-    ``quantile.exact_quantile``); like an estimator's fit, it runs eagerly and
-    the value is plugged in as a literal. ``approx=True`` stays lazy and uses
+    The exact medians of all columns are found together by radix selection
+    (see ``quantile.exact_quantiles``); like an estimator's fit, it runs eagerly
+    and the values are plugged in as literals. ``approx=True`` stays lazy and uses
     ``percentile_approx`` in one aggregate.
     """
     cols = list(cols)
@@ -88,9 +88,10 @@ def impute_median(df: DataFrame, cols: Iterable[str], approx: bool = False,
                               .cast("double") for c in cols})
         fills = {c: s.getField(c) for c in cols}
     else:
-        from tabforge.operators.quantile import exact_median
+        from tabforge.operators.quantile import exact_quantiles
 
-        fills = {c: F.lit(exact_median(src, c)).cast("double") for c in cols}
+        found = exact_quantiles(src, {c: [0.5] for c in cols})
+        fills = {c: F.lit(found[c][0]).cast("double") for c in cols}
     return df.withColumns(
         {c: F.coalesce(nan_to_null(F.col(c).cast("double")), fills[c].cast("double")) for c in cols}
     )

@@ -164,6 +164,10 @@ SELECT avg(frontage) AS mean_frontage, avg(veneer_area) AS mean_veneer_area FROM
     "agg_median": _with(COERCED) + """
 SELECT median(frontage) AS median_frontage, CAST(median(year_built) AS DOUBLE) AS median_year_built
 FROM coerced""",
+    "agg_quantiles": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{label}' AS quantile, quantile_cont(CAST({c} AS DOUBLE), {q}) AS value FROM lineitem"
+        for c in ("l_extendedprice", "l_quantity", "l_discount")
+        for label, q in (("p00", 0.0), ("p01", 0.01), ("p25", 0.25), ("p50", 0.5), ("p75", 0.75), ("p99", 0.99), ("p100", 1.0))),
     "null_counts": _with(COERCED) + """
 SELECT column_name, n_missing FROM (
   SELECT 'id' AS column_name, CAST(count_if(id IS NULL) AS BIGINT) AS n_missing FROM coerced

@@ -16,7 +16,7 @@ from pyspark.sql.types import StructType
 from tabforge.functions.numeric import age_from_year, round_cents, scale_round
 from tabforge.functions.sql_udf import register_age_function
 from tabforge.operators import clean, encode, lookup, metrics, model, quality, runs, split
-from tabforge.operators.quantile import exact_median
+from tabforge.operators.quantile import exact_quantiles
 from tabforge.plans import derived as D
 from tabforge.session import scratch_path
 from tabforge.sources import catalog, files
@@ -104,12 +104,20 @@ def q_agg_mean(spark, sf):
 
 def q_agg_median(spark, sf):
     df = clean.coerce_numeric(D.raw_orders(spark, sf), ["frontage"])
-    m1 = exact_median(df, "frontage")
-    m2 = exact_median(df, "year_built")
-    # one-row result (a global aggregate) carrying the two exact scalars
-    return df.agg(F.count(F.lit(1)).alias("_n")).select(
-        F.lit(m1).cast("double").alias("median_frontage"),
-        F.lit(m2).cast("double").alias("median_year_built"))
+    m = exact_quantiles(df, {"frontage": [0.5], "year_built": [0.5]})
+    return spark.range(1).select(*[F.lit(v[0]).cast("double").alias(f"median_{c}") for c, v in m.items()])
+
+
+# quantiles asked for in one go, as (label, fraction)
+QUANTILES = [("p00", 0.0), ("p01", 0.01), ("p25", 0.25), ("p50", 0.5), ("p75", 0.75), ("p99", 0.99), ("p100", 1.0)]
+
+
+def q_agg_quantiles(spark, sf):
+    """Exact quantiles of three columns of the largest table, found together."""
+    cols = ["l_extendedprice", "l_quantity", "l_discount"]
+    m = exact_quantiles(D.table(spark, sf, "lineitem"), {c: [q for _, q in QUANTILES] for c in cols})
+    rows = [(c, label, v) for c in cols for (label, _), v in zip(QUANTILES, m[c])]
+    return spark.createDataFrame(rows, "column_name string, quantile string, value double")
 
 
 def q_null_counts(spark, sf):
@@ -539,6 +547,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "schema_conform": q_schema_conform,
     "agg_mean": q_agg_mean,
     "agg_median": q_agg_median,
+    "agg_quantiles": q_agg_quantiles,
     "null_counts": q_null_counts,
     "conditional_counts": q_conditional_counts,
     "table_shape": q_table_shape,

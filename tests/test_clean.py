@@ -71,20 +71,6 @@ def test_audit_stamp_fixed_and_now(spark):
     assert abs((utc_now - now).total_seconds()) < 120
 
 
-def test_exact_quantile_band_narrowing_matches_numpy(spark):
-    import numpy as np
-
-    from tabforge.operators.quantile import exact_quantile
-
-    rng = np.random.default_rng(1)
-    vals = np.concatenate([rng.normal(0, 1, 3000), np.full(2000, 0.25), rng.integers(0, 5, 1000)])
-    df = spark.createDataFrame([(float(v),) for v in vals], "x double")
-    for q in (0.5, 0.1, 0.9, 0.0, 1.0):
-        # a tiny band limit forces several narrowing rounds
-        assert exact_quantile(df, "x", q, band_limit=50) == pytest.approx(float(np.quantile(vals, q)), abs=1e-12)
-    assert exact_quantile(df.limit(0), "x") is None
-
-
 def test_impute_median_approx_mode(spark):
     df = spark.createDataFrame([(1, 1.0), (2, 2.0), (3, 4.0), (4, None)], "id int, x double")
     out = clean.impute_median(df, ["x"], approx=True).where("id = 4").first().x
@@ -103,12 +89,3 @@ def test_impute_mean_fit_on_other_frame(spark):
     train = df.where("id = 1")
     assert clean.impute_mean(df, ["x"], fit_df=train).where("id = 3").first().x == 1.0
     assert clean.impute_median(df, ["x"], fit_df=train).where("id = 3").first().x == 1.0
-
-
-def test_exact_quantile_edge_values(spark):
-    from tabforge.operators.quantile import exact_quantile
-
-    one = spark.createDataFrame([(5.0,), (None,), (float("nan"),)], "x double")
-    assert exact_quantile(one, "x") == 5.0
-    two = spark.createDataFrame([(1.0,), (2.0,)], "x double")
-    assert exact_quantile(two, "x") == 1.5
