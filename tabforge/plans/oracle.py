@@ -118,17 +118,73 @@ m AS (
 )"""
 
 
+def _with(*blocks: str) -> str:
+    return "WITH " + ",".join(b.strip() for b in blocks) + "\n"
+
+
+def _stumps(train: str, rows: str, key: str, label: str, num: list[str], cat: list[str], rounds: int = 1,
+            rate: float = 0.1, missing: str = "-1.0e15") -> str:
+    """CTEs of squared-error boosting with one split a round; ``scored`` has ``prediction`` per row of ``rows``.
+
+    The first tree fits the label and weighs 1, later ones fit twice the
+    residual and weigh ``rate``. Every round takes the split with the largest
+    sum of squares over counts of both sides: numbers at midpoints between neighbouring values,
+    categories one against the rest. A missing number lies below all others.
+    """
+    value = "CASE b.col " + " ".join(f"WHEN '{c}' THEN coalesce(CAST({c} AS DOUBLE), {missing})" for c in num) + " END"
+    name = "CASE b.col " + " ".join(f"WHEN '{c}' THEN {c}" for c in cat) + " END"
+    right = f"CASE WHEN b.cat IS NULL THEN {value} > b.thr ELSE coalesce({name} = b.cat, false) END"
+    out = [f"f0 AS (SELECT *, CAST(0 AS DOUBLE) AS margin FROM {train})", f"s0 AS (SELECT *, CAST(0 AS DOUBLE) AS margin FROM {rows})"]
+    for k in range(1, rounds + 1):
+        target = label if k == 1 else f"2 * ({label} - margin)"
+        weight = "1.0" if k == 1 else str(rate)
+        out.append(f"t{k} AS (SELECT *, CAST({target} AS DOUBLE) AS r FROM f{k - 1})")
+        out.append(f"tot{k} AS (SELECT count(*) AS n, sum(r) AS s FROM t{k})")
+        parts = []
+        for c in num:
+            parts.append(f"""SELECT '{c}' AS col, CAST(NULL AS VARCHAR) AS cat, (x + lead(x) OVER (ORDER BY x)) / 2 AS thr,
+                 sum(n) OVER (ORDER BY x) AS nl, sum(s) OVER (ORDER BY x) AS sl
+          FROM (SELECT coalesce(CAST({c} AS DOUBLE), {missing}) AS x, count(*) AS n, sum(r) AS s FROM t{k} GROUP BY 1)""")
+        for c in cat:
+            parts.append(f"""SELECT '{c}', {c}, CAST(NULL AS DOUBLE), (SELECT n FROM tot{k}) - count(*), (SELECT s FROM tot{k}) - sum(r)
+          FROM t{k} WHERE {c} IS NOT NULL GROUP BY {c}""")
+        out.append(f"c{k} AS (" + " UNION ALL ".join(parts) + ")")
+        out.append(f"""b{k} AS (SELECT col, cat, thr, sl / nl AS lm, (t.s - sl) / (t.n - nl) AS rm FROM c{k}, tot{k} t
+          WHERE nl > 0 AND nl < t.n AND (thr IS NOT NULL OR cat IS NOT NULL)
+          ORDER BY sl * sl / nl + (t.s - sl) * (t.s - sl) / (t.n - nl) DESC LIMIT 1)""")
+        for x in ("f", "s"):
+            out.append(f"{x}{k} AS (SELECT d.* EXCLUDE (margin), margin + {weight} * CASE WHEN {right} THEN b.rm ELSE b.lm END "
+                       f"AS margin FROM {x}{k - 1} d, b{k} b)")
+    out.append(f"scored AS (SELECT *, margin AS prediction FROM s{rounds})")
+    return ",\n".join(out)
+
 
 def _na(x: str) -> str:
     toks = ", ".join("'" + t.replace("'", "''") + "'" for t in PANDAS_NA_TOKENS)
     return f"CASE WHEN trim({x}) IN ({toks}) THEN NULL ELSE {x} END"
 
 
-def _with(*blocks: str) -> str:
-    return "WITH " + ",".join(b.strip() for b in blocks) + "\n"
-
+PART_TRAIN = ("ptrain AS (SELECT p_partkey, p_size, p_brand, p_type, p_retailprice FROM ptagged WHERE split = 'train'), "
+              "ptest AS (SELECT p_partkey, p_size, p_brand, p_type, p_retailprice FROM ptagged WHERE split = 'test')")
+_PART_TREE = ("p_partkey", "p_retailprice", ["p_size"], ["p_brand", "p_type"])
+PART_SCORED = _with(PART_SPLIT, PART_TRAIN, _stumps("ptrain", "ptest", *_PART_TREE))
 
 ORACLE: dict[str, str] = {
+    "train_gbt": _with(PART_SPLIT, PART_TRAIN, _stumps("ptrain", "ptrain", *_PART_TREE)) + """
+SELECT p_partkey, p_retailprice, round(prediction, 6) AS prediction FROM scored""",
+    "boost_blocks": _with(_stumps("part", "part", *_PART_TREE, rounds=4, rate=0.5)) + """
+SELECT p_partkey, p_retailprice, round(prediction, 6) AS prediction FROM scored""",
+    "batch_score": PART_SCORED + "SELECT p_partkey, p_retailprice, round(prediction, 6) AS prediction FROM scored",
+    "model_roundtrip": PART_SCORED + "SELECT p_partkey, round(prediction, 6) AS prediction FROM scored",
+    "score_latest": PART_SCORED + "SELECT p_partkey, round(prediction, 6) AS prediction FROM scored",
+    "score_adjusted": PART_SCORED + """
+SELECT p_partkey, CAST(round_even(prediction * CAST(100 AS DOUBLE), 0) AS DOUBLE) / CAST(100 AS DOUBLE) AS prediction
+FROM scored""",
+    "model_metrics": PART_SCORED + """
+SELECT count(*) AS n, round(avg((p_retailprice - prediction) * (p_retailprice - prediction)), 4) AS mse,
+       round(avg(abs(p_retailprice - prediction)), 6) AS mae,
+       round(1 - sum((p_retailprice - prediction) * (p_retailprice - prediction)) / (var_pop(p_retailprice) * count(*)), 9) AS r2
+FROM scored""",
     "prepare_training": _with(SPLIT) + """
 SELECT t.id, t.priority, t.status, t.frontage, t.veneer_area, t.year_built,
        CAST(2025 - t.year_built AS INTEGER) AS house_age,

@@ -353,49 +353,64 @@ def q_assemble(spark, sf):
     )
 
 
-SMALL_GBT = {"learning_rate": 0.1, "n_estimators": 5, "max_depth": 4}
+# One tree with one split: its best split and leaf means can be computed by SQL.
+ONE_SPLIT = {"learning_rate": 0.1, "n_estimators": 1, "max_depth": 1, "maxBins": 64}
+# Four rounds of one split each, fitted in blocks of two rounds.
+FOUR_ROUNDS = {**ONE_SPLIT, "learning_rate": 0.5, "n_estimators": 4}
+
+
+def _rounded(scored: DataFrame) -> DataFrame:
+    return scored.withColumn("prediction", F.round("prediction", 6))
 
 
 def q_train_gbt(spark, sf):
     train, _ = _part_split(spark, sf)
-    m = model.train_gbt(train, P, SMALL_GBT)
-    return model.batch_score(m, train, P, keep=[P.target])
+    m = model.train_gbt(train, P, ONE_SPLIT)
+    return _rounded(model.batch_score(m, train, P, keep=[P.target]))
+
+
+def q_boost_blocks(spark, sf):
+    """Four boosting rounds in two stored blocks, over all parts."""
+    part = D.table(spark, sf, "part")
+    m = model.train_gbt(part, P, FOUR_ROUNDS, block_rounds=2)
+    return _rounded(model.batch_score(m, part, P, keep=[P.target]))
 
 
 def q_batch_score(spark, sf):
     train, test = _part_split(spark, sf)
-    m = model.train_gbt(train, P, SMALL_GBT)
-    return model.batch_score(m, test, P, keep=[P.target])
+    m = model.train_gbt(train, P, ONE_SPLIT)
+    return _rounded(model.batch_score(m, test, P, keep=[P.target]))
 
 
 def q_score_adjusted(spark, sf):
     train, test = _part_split(spark, sf)
-    m = model.train_gbt(train, P, SMALL_GBT)
+    m = model.train_gbt(train, P, ONE_SPLIT)
     return model.score_adjusted(m, test, P)
 
 
 def q_model_roundtrip(spark, sf):
     train, test = _part_split(spark, sf)
-    m = model.train_gbt(train, P, SMALL_GBT)
+    m = model.train_gbt(train, P, ONE_SPLIT)
     path = model.save_model(m, scratch_path(spark, "model"))
-    return model.batch_score(model.load_model(path), test, P)
+    return _rounded(model.batch_score(model.load_model(path), test, P))
 
 
 def q_score_latest(spark, sf):
     train, test = _part_split(spark, sf)
-    m = model.train_gbt(train, P, SMALL_GBT)
+    m = model.train_gbt(train, P, ONE_SPLIT)
     path = model.save_model(m, scratch_path(spark, "model"))
     reg = runs.next_version_row(spark, None, "part_price", "run-0", path)
     from tabforge.sources.models import load_latest
 
-    return model.batch_score(load_latest(reg, "part_price"), test, P)
+    return _rounded(model.batch_score(load_latest(reg, "part_price"), test, P))
 
 
 def q_model_metrics(spark, sf):
     train, test = _part_split(spark, sf)
-    m = model.train_gbt(train, P, SMALL_GBT)
+    m = model.train_gbt(train, P, ONE_SPLIT)
     scored = model.batch_score(m, test, P, keep=[P.target])
-    return metrics.regression_metrics(scored, P.target)
+    return metrics.regression_metrics(scored, P.target).select(
+        "n", F.round("mse", 4).alias("mse"), F.round("mae", 6).alias("mae"), F.round("r2", 9).alias("r2"))
 
 
 # ----------------------------------------------------------- run history
@@ -579,6 +594,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "one_hot_large": q_one_hot_large,
     "assemble": q_assemble,
     "train_gbt": q_train_gbt,
+    "boost_blocks": q_boost_blocks,
     "batch_score": q_batch_score,
     "score_adjusted": q_score_adjusted,
     "model_roundtrip": q_model_roundtrip,
