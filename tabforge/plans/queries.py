@@ -212,8 +212,8 @@ def q_split_check(spark, sf):
 
 
 # ----------------------------------------------------- joins and features
-# Share of rows from which a lookup key is treated as hot (split off and
-# joined by broadcast); at most 1 / HOT_KEY_FRACTION keys qualify.
+# Share of rows from which a lookup key is treated as hot (its features are
+# broadcast); at most 1 / HOT_KEY_FRACTION keys qualify.
 HOT_KEY_FRACTION = 0.01
 
 
@@ -242,7 +242,7 @@ def q_feature_table(spark, sf):
     return catalog.create_feature_table(spark, name, FEATURE_COLS, "id", [train, test])
 
 
-def _training_set(spark, train: DataFrame, features: DataFrame) -> DataFrame:
+def _training_set(spark, train: DataFrame, features: DataFrame, hot_key_fraction: float | None = None) -> DataFrame:
     fn = register_age_function(spark, "house_age", as_of_year=D.AS_OF_YEAR)
     base = train.drop("frontage", "veneer_area", "year_built")
     return lookup.training_set(
@@ -251,13 +251,14 @@ def _training_set(spark, train: DataFrame, features: DataFrame) -> DataFrame:
         lookups=[lookup.Lookup(features, ("frontage", "veneer_area", "year_built"), "id")],
         functions=[lookup.FunctionFeature(fn, "house_age", {"year_built": "year_built"})],
         exclude_columns=["update_timestamp_utc"],
+        hot_key_fraction=hot_key_fraction,
     )
 
 
 def q_training_set(spark, sf):
     train, test = _parts(spark, sf)
     features = lookup.feature_union([train, test], [c for c, _ in FEATURE_COLS])
-    return _training_set(spark, train, features)
+    return _training_set(spark, train, features, HOT_KEY_FRACTION)
 
 
 def q_score_lookup(spark, sf):
@@ -269,6 +270,7 @@ def q_score_lookup(spark, sf):
         request,
         [lookup.Lookup(features, ("frontage", "veneer_area", "year_built"), "id")],
         [lookup.FunctionFeature(fn, "house_age", {"year_built": "year_built"})],
+        hot_key_fraction=HOT_KEY_FRACTION,
     )
 
 

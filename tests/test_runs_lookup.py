@@ -83,28 +83,75 @@ def test_lookup_hot_key_split_same_result(spark):
     feats = spark.createDataFrame([(k, float(k) * 10) for k in range(40)], "k int, f double")
     lk = lookup.Lookup(feats, ("f",), "k")
     plain = sorted(tuple(r) for r in lookup.feature_lookup(base, lk).select("rid", "k", "f").collect())
-    split_ = sorted(tuple(r) for r in lookup.feature_lookup(base, lk, hot_key_fraction=0.05, salt_buckets=8)
+    split_ = sorted(tuple(r) for r in lookup.feature_lookup(base, lk, hot_key_fraction=0.05)
                     .select("rid", "k", "f").collect())
     assert plain == split_ and len(plain) == 3000
     hot = {r.k for r in lookup.hot_keys(base, "k", 0.05).collect()}
     assert 7 in hot and len(hot) <= 20
 
 
-def test_salted_lookup_with_map_column(spark):
+def test_hot_lookup_with_map_column(spark):
     base = spark.createDataFrame([(i, 1 if i % 2 else i, {"a": "b"}) for i in range(200)],
                                  "rid int, k int, m map<string,string>")
     feats = spark.createDataFrame([(1, 5.0)], "k int, f double")
-    out = lookup.feature_lookup(base, lookup.Lookup(feats, ("f",), "k"), hot_key_fraction=0.2,
-                                salt_buckets=4)
+    out = lookup.feature_lookup(base, lookup.Lookup(feats, ("f",), "k"), hot_key_fraction=0.2)
     assert out.count() == 200 and out.where("f = 5.0").count() == 100
 
 
-def test_salted_lookup_null_keys_stay_unmatched(spark):
+def test_hot_lookup_null_keys_stay_unmatched(spark):
     rows = [(i, None if i % 4 == 0 else (3 if i % 2 else i % 10)) for i in range(400)]
     base = spark.createDataFrame(rows, "rid int, k int")
     feats = spark.createDataFrame([(k, float(k)) for k in range(10)], "k int, f double")
-    out = lookup.feature_lookup(base, lookup.Lookup(feats, ("f",), "k"), hot_key_fraction=0.1,
-                                salt_buckets=4)
+    out = lookup.feature_lookup(base, lookup.Lookup(feats, ("f",), "k"), hot_key_fraction=0.1)
     assert out.count() == 400
     assert out.where("k IS NULL AND f IS NOT NULL").count() == 0
     assert out.where("k = 3").where("f = 3.0").count() == 200
+
+
+def _lookup_frames(spark):
+    """Half of the keys NULL, a third of the rest one key, some unmatched."""
+    rows = [(i, None if i % 2 else (7 if i % 3 == 0 else i % 60)) for i in range(6000)]
+    base = spark.createDataFrame(rows, "rid int, k int")
+    feats = spark.createDataFrame([(k, float(k) * 10, str(k)) for k in range(40)] + [(None, -1.0, "no key")],
+                                  "k int, f double, g string")
+    return rows, base, feats
+
+
+def test_hot_and_missing_keys_are_spread(spark):
+    rows, base, feats = _lookup_frames(spark)
+    prev = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = lookup.feature_lookup(base, lookup.Lookup(feats, ("f", "g"), "k"), hot_key_fraction=0.05)
+        got = out.withColumn("task", F.spark_partition_id()).collect()
+        plain = lookup.feature_lookup(base, lookup.Lookup(feats, ("f", "g"), "k")).withColumn(
+            "task", F.spark_partition_id()).collect()
+    finally:
+        for c, v in prev.items():
+            spark.conf.set(c, v)
+    want = sorted(((i, k, float(k) * 10 if k is not None and k < 40 else None) for i, k in rows))
+    assert sorted((r.rid, r.k, r.f) for r in got) == want == sorted((r.rid, r.k, r.f) for r in plain)
+    from collections import Counter
+
+    per = Counter(r.task for r in got)
+    assert len(per) == 4 and max(per.values()) < 1.3 * 6000 / 4  # even over the tasks
+    assert max(Counter(r.task for r in plain).values()) > 3000  # without it one task holds the NULL keys
+
+
+def test_lookup_inner_and_bad_kinds(spark):
+    rows, base, feats = _lookup_frames(spark)
+    lk = lookup.Lookup(feats, ("f",), "k")
+    n = sum(k is not None and k < 40 for _, k in rows)
+    assert lookup.feature_lookup(base, lk, "inner").count() == n
+    assert lookup.feature_lookup(base, lk, "inner", hot_key_fraction=0.05).count() == n
+    with pytest.raises(ValueError):
+        lookup.feature_lookup(base, lk, "full")
+
+
+def test_repeated_feature_keys_are_refused(spark):
+    _, base, feats = _lookup_frames(spark)
+    twice = feats.unionByName(spark.createDataFrame([(7, 0.0, "again")], "k int, f double, g string"))
+    for fraction in (None, 0.05):
+        with pytest.raises(Exception, match="repeats key 7"):
+            lookup.feature_lookup(base, lookup.Lookup(twice, ("f",), "k"), hot_key_fraction=fraction).collect()
