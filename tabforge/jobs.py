@@ -4,6 +4,9 @@
 ONE partitioned table write (``split`` column) + ``train``/``test`` views
 that prune to their partition. Computed once, written once.
 
+``train_register_lookup`` / ``score_latest_lookup``: the same for a model that
+looks up its own features; requests bring keys only.
+
 ``train_register``: train/test tables -> fit -> score -> metrics (one
 aggregate) -> model files -> run rows and a new model version appended to
 the run-history tables. Scoring stays a lazy ``transform``.
@@ -13,14 +16,17 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabforge.functions.names import qualified_name
+from tabforge.functions.numeric import round_cents
 from tabforge.operators.clean import audit_stamp, preprocess, schema_conform
+from tabforge.operators.lookup_model import (SqlFunctionFeature, TableLookup, fit_lookup_model, recipe_text,
+                                             request_columns)
 from tabforge.operators.metrics import regression_metrics
 from tabforge.operators.model import batch_score, save_model, train_gbt
 from tabforge.operators.runs import latest_version, next_version_row, record_run
@@ -88,6 +94,13 @@ def train_register(spark: SparkSession, spec: FeatureSpec, params: Mapping[str,
     path = save_model(model, f"{model_root.rstrip('/')}/{model_name}/{run_id}")
     # the input contract (features only) is stored next to the model
     save_schema(spark, train.select(spec.id_col, *spec.num, *spec.cat).schema, schema_path(path))
+    version = _register(spark, ns, run_id, model_name, path, params, metrics, tags)
+    return run_id, version, spark.table(ns.name(ns.metrics)).where(F.col("run_id") == run_id)
+
+
+def _register(spark: SparkSession, ns: Namespace, run_id: str, model_name: str, path: str,
+              params: Mapping[str, object], metrics: DataFrame, tags: Mapping[str, str] | None) -> int:
+    """Append the run's rows and the next version of the model; the version."""
     runs, met, par = record_run(spark, run_id, dict(params), metrics, tags, run_name=model_name)
     _append(runs, ns.name(ns.runs))
     _append(met, ns.name(ns.metrics))
@@ -97,7 +110,53 @@ def train_register(spark: SparkSession, spec: FeatureSpec, params: Mapping[str,
     row = next_version_row(spark, existing, model_name, run_id, path)
     version = row.select("version").first()[0]
     _append(row, versions_name)
-    return run_id, int(version), spark.table(ns.name(ns.metrics)).where(F.col("run_id") == run_id)
+    return int(version)
+
+
+def _latest_path(spark: SparkSession, ns: Namespace, model_name: str) -> str:
+    path = latest_version(spark.table(ns.name(ns.versions)), model_name).select("path").first()
+    if path is None:
+        raise ValueError(f"no registered versions for {model_name!r}")
+    return path[0]
+
+
+def train_register_lookup(spark: SparkSession, train: DataFrame, test: DataFrame, spec: FeatureSpec,
+                          lookups: Sequence[TableLookup], functions: Sequence[SqlFunctionFeature],
+                          params: Mapping[str, object], model_root: str, model_name: str, ns: Namespace = Namespace(),
+                          exclude: Sequence[str] = (), tags: Mapping[str, str] | None = None,
+                          run_id: str | None = None) -> tuple[str, int, DataFrame]:
+    """Fit, evaluate, save and register a model that looks up its features.
+
+    ``train`` and ``test`` hold the lookup keys, the label and the columns a
+    caller knows; features come from the tables the lookups name. Training,
+    evaluation and later scoring assemble rows with the same stages. Returns
+    ``(run_id, version, metrics_frame)``.
+    """
+    run_id = run_id or uuid.uuid4().hex
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {qualified_name(ns.schema)}")
+    model = fit_lookup_model(train, spec, lookups, functions, exclude, params)
+    path = save_model(model, f"{model_root.rstrip('/')}/{model_name}/{run_id}")
+    wanted = request_columns(train, spec, model)
+    save_schema(spark, train.select(*wanted).schema, schema_path(path))
+    scored = model.transform(test.select(*dict.fromkeys([*wanted, spec.target])))
+    metrics = regression_metrics(scored, spec.target).select("mse", "mae", "r2")
+    recorded = {**params, **{f"recipe.{i}": line for i, line in enumerate(recipe_text(model))}}
+    version = _register(spark, ns, run_id, model_name, path, recorded, metrics, tags)
+    return run_id, version, spark.table(ns.name(ns.metrics)).where(F.col("run_id") == run_id)
+
+
+def score_latest_lookup(spark: SparkSession, model_name: str, df: DataFrame, key: str,
+                        ns: Namespace = Namespace(), adjust_cents: bool = False) -> DataFrame:
+    """``(key, prediction)`` of every request row by the latest version.
+
+    The request is conformed to the stored input contract (missing column ->
+    error, extras such as an old feature value dropped, types cast); the loaded model fetches and computes the
+    rest. Unmatched and NULL keys are scored with missing features.
+    """
+    path = _latest_path(spark, ns, model_name)
+    contract = load_schema(spark, schema_path(path))
+    scored = load_model(path).transform(schema_conform(df, contract)).select(key, "prediction")
+    return scored.withColumn("prediction", round_cents("prediction")) if adjust_cents else scored
 
 
 def score_latest(spark: SparkSession, spec: FeatureSpec, model_name: str, df: DataFrame,
@@ -105,15 +164,8 @@ def score_latest(spark: SparkSession, spec: FeatureSpec, model_name: str, df: Da
     """Resolve the latest version, conform ``df`` to its stored input
     contract (missing column -> error, extras dropped, types cast) and score
     it lazily."""
-    versions = spark.table(ns.name(ns.versions))
-    path = latest_version(versions, model_name).select("path").first()
-    if path is None:
-        raise ValueError(f"no registered versions for {model_name!r}")
-    model = load_model(path[0])
-    contract = load_schema(spark, schema_path(path[0]))
+    path = _latest_path(spark, ns, model_name)
+    model = load_model(path)
+    contract = load_schema(spark, schema_path(path))
     scored = batch_score(model, schema_conform(df, contract), spec)
-    if adjust_cents:
-        from tabforge.functions.numeric import round_cents
-
-        scored = scored.withColumn("prediction", round_cents("prediction"))
-    return scored
+    return scored.withColumn("prediction", round_cents("prediction")) if adjust_cents else scored

@@ -33,6 +33,14 @@ PART_SPEC = FeatureSpec(
     id_col="p_partkey",
 )
 
+# Roles for the model that looks part features up by key.
+LOOKUP_SPEC = FeatureSpec(
+    num=("p_size", "house_age"),
+    cat=("p_brand", "p_mfgr_group"),
+    target="p_retailprice",
+    id_col="p_partkey",
+)
+
 AS_OF_YEAR = 2025
 SPLIT_SEED = 42
 TEST_SIZE = 0.2
@@ -66,6 +74,24 @@ def customer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def part_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyed part features. Every tenth part has none (its lookup finds no
+    row), every 7th has no size and every 11th no brand."""
+    return table(spark, sf_dir, "part").where("p_partkey % 10 <> 3").selectExpr(
+        "CAST(p_partkey AS STRING) AS p_partkey",
+        "CASE WHEN p_partkey % 7 <> 0 THEN CAST(p_size AS INT) END AS p_size",
+        "CASE WHEN p_partkey % 11 <> 0 THEN p_brand END AS p_brand",
+        "CAST(1950 + (p_partkey % 1000) DIV 20 AS INT) AS year_built",
+    )
+
+
+def part_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a caller knows of a part: its key, a group, and (for training) the price."""
+    return table(spark, sf_dir, "part").selectExpr(
+        "CAST(p_partkey AS STRING) AS p_partkey", "concat('g', CAST(p_partkey % 3 AS STRING)) AS p_mfgr_group",
+        "TIMESTAMP_NTZ '2025-01-01 00:00:00' AS update_timestamp_utc", "p_retailprice")
+
+
 def _ntz(s: str):
     return F.lit(s).cast("timestamp_ntz")
 

@@ -169,7 +169,34 @@ PART_TRAIN = ("ptrain AS (SELECT p_partkey, p_size, p_brand, p_type, p_retailpri
 _PART_TREE = ("p_partkey", "p_retailprice", ["p_size"], ["p_brand", "p_type"])
 PART_SCORED = _with(PART_SPLIT, PART_TRAIN, _stumps("ptrain", "ptest", *_PART_TREE))
 
+LOOKUP_SCORED = _with("""
+req AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS p_partkey, p_partkey AS k, 'g' || CAST(p_partkey % 3 AS VARCHAR) AS p_mfgr_group,
+         p_retailprice FROM part
+),
+ranked AS (
+  SELECT *, row_number() OVER (ORDER BY md5('42:' || p_partkey), p_partkey) AS rn, count(*) OVER () AS n FROM req
+),
+full_rows AS (
+  SELECT r.p_partkey, r.p_mfgr_group, r.p_retailprice, r.rn <= ceil(CAST(0.2 AS DOUBLE) * r.n) AS is_test,
+         CASE WHEN p.p_partkey % 7 <> 0 THEN p.p_size END AS p_size,
+         CASE WHEN p.p_partkey % 11 <> 0 THEN p.p_brand END AS p_brand,
+         2025 - (1950 + (p.p_partkey % 1000) // 20) AS house_age
+  FROM ranked r LEFT JOIN (SELECT * FROM part WHERE p_partkey % 10 <> 3) p ON p.p_partkey = r.k
+),
+ltrain AS (SELECT * EXCLUDE (is_test) FROM full_rows WHERE NOT is_test),
+ltest AS (SELECT * EXCLUDE (is_test) FROM full_rows WHERE is_test)""",
+    _stumps("ltrain", "ltest", "p_partkey", "p_retailprice", ["p_size", "house_age"], ["p_brand", "p_mfgr_group"]))
+
 ORACLE: dict[str, str] = {
+    "score_latest_lookup": LOOKUP_SCORED + "SELECT p_partkey, round(prediction, 6) AS prediction FROM scored",
+    "train_register_lookup": LOOKUP_SCORED + """,
+e AS (SELECT avg((p_retailprice - prediction) * (p_retailprice - prediction)) AS mse,
+             avg(abs(p_retailprice - prediction)) AS mae,
+             1 - sum((p_retailprice - prediction) * (p_retailprice - prediction)) / (var_pop(p_retailprice) * count(*)) AS r2
+      FROM scored)
+SELECT 'mse' AS key, round(mse, 4) AS value, CAST(1 AS INTEGER) AS version FROM e
+UNION ALL SELECT 'mae', round(mae, 6), 1 FROM e UNION ALL SELECT 'r2', round(r2, 6), 1 FROM e""",
     "train_gbt": _with(PART_SPLIT, PART_TRAIN, _stumps("ptrain", "ptrain", *_PART_TREE)) + """
 SELECT p_partkey, p_retailprice, round(prediction, 6) AS prediction FROM scored""",
     "boost_blocks": _with(_stumps("part", "part", *_PART_TREE, rounds=4, rate=0.5)) + """

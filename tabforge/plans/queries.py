@@ -415,6 +415,43 @@ def q_model_metrics(spark, sf):
         "n", F.round("mse", 4).alias("mse"), F.round("mae", 6).alias("mae"), F.round("r2", 9).alias("r2"))
 
 
+PART_FEATURES = (("p_partkey", "STRING"), ("p_size", "INT"), ("p_brand", "STRING"), ("year_built", "INT"))
+
+
+def _lookup_job(spark, sf):
+    """Part features as a feature table, and a registered model that looks them up."""
+    from tabforge.jobs import Namespace, train_register_lookup
+    from tabforge.operators.lookup_model import TableLookup, age_feature
+
+    ns = Namespace(schema=_uid("tf_job"))
+    spark.sql(f"CREATE DATABASE {ns.schema}")
+    features = ns.name("part_features")
+    catalog.create_feature_table(spark, features, PART_FEATURES, "p_partkey", [D.part_features(spark, sf)])
+    train, test = split.train_test(D.part_requests(spark, sf), "p_partkey", D.TEST_SIZE, D.SPLIT_SEED, materialize=True)
+    run = train_register_lookup(
+        spark, train, test, D.LOOKUP_SPEC,
+        [TableLookup(table=features, key="p_partkey", features=["p_size", "p_brand", "year_built"])],
+        [age_feature("year_built", as_of_year=D.AS_OF_YEAR)], ONE_SPLIT, scratch_path(spark, "models"), "part_price", ns,
+        exclude=["update_timestamp_utc"])
+    return ns, test, run
+
+
+def q_train_register_lookup(spark, sf):
+    """Version and test metrics of a registered feature-lookup model."""
+    _, _, (_, version, met) = _lookup_job(spark, sf)
+    value = F.when(F.col("key") == "mse", F.round("value", 4)).otherwise(F.round("value", 6))
+    return met.select("key", value.alias("value"), F.lit(version).cast("int").alias("version"))
+
+
+def q_score_latest_lookup(spark, sf):
+    """Scores by the latest version from keys and the caller's own column only."""
+    from tabforge.jobs import score_latest_lookup
+
+    ns, test, _ = _lookup_job(spark, sf)
+    request = test.select("p_partkey", "p_mfgr_group")
+    return _rounded(score_latest_lookup(spark, "part_price", request, "p_partkey", ns))
+
+
 # ----------------------------------------------------------- run history
 def q_metric_latest(spark, sf):
     return runs.metric_latest(D.run_metrics(spark, sf))
@@ -602,6 +639,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "model_roundtrip": q_model_roundtrip,
     "score_latest": q_score_latest,
     "model_metrics": q_model_metrics,
+    "train_register_lookup": q_train_register_lookup,
+    "score_latest_lookup": q_score_latest_lookup,
     "metric_latest": q_metric_latest,
     "run_maps": q_run_maps,
     "run_search": q_run_search,
