@@ -67,6 +67,23 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def text_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders`` as the text cells of a raw file: every kind of column a reader must tell apart."""
+    return table(spark, sf_dir, "orders").selectExpr(
+        "CAST(o_orderkey AS STRING) AS id",
+        "CASE WHEN o_orderkey % 6 = 0 THEN 'NA' WHEN o_orderkey % 13 = 0 THEN '10d' "
+        "ELSE CAST(o_custkey % 97 + 20 AS STRING) END AS frontage",
+        "CASE WHEN o_orderkey % 11 = 0 THEN '' ELSE CAST(o_custkey % 500 AS STRING) END AS veneer_area",
+        "lpad(CAST(o_custkey % 1000 AS STRING), 4, '0') AS code",
+        "CASE WHEN o_orderkey % 13 = 0 THEN 'n/a' WHEN o_orderkey % 2 = 0 THEN 'TRUE' ELSE 'false' END AS flag",
+        "CASE WHEN o_orderkey % 5 = 0 THEN ' NA ' WHEN o_orderkey % 7 = 0 THEN 'null' ELSE o_orderpriority END AS note",
+        "CASE WHEN o_orderkey % 4 = 0 THEN concat(' ', o_custkey, ' ') ELSE CAST(o_custkey AS STRING) END AS padded",
+        "CASE WHEN o_orderkey % 3 = 0 THEN '#N/A' ELSE CAST(o_totalprice AS STRING) END AS price",
+        "concat('99999999999999999999', o_orderkey) AS ident",
+        "CASE WHEN o_orderkey % 2 = 0 THEN 'NaN' ELSE 'None' END AS nothing",
+    )
+
+
 def customer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyed customer feature table (one row per customer)."""
     return table(spark, sf_dir, "customer").select(

@@ -8,7 +8,6 @@ are pre-registered under their table names.
 from __future__ import annotations
 
 from tabforge.functions.numeric import NUMERIC_PATTERN
-from tabforge.sources.files import PANDAS_NA_TOKENS
 
 RAW_ORDERS = """
 raw AS (
@@ -159,9 +158,13 @@ def _stumps(train: str, rows: str, key: str, label: str, num: list[str], cat: li
     return ",\n".join(out)
 
 
+# Text cells that a pandas CSV reader takes as missing.
+_NA_CELLS = ("'', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN', '<NA>', "
+             "'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null'")
+
+
 def _na(x: str) -> str:
-    toks = ", ".join("'" + t.replace("'", "''") + "'" for t in PANDAS_NA_TOKENS)
-    return f"CASE WHEN trim({x}) IN ({toks}) THEN NULL ELSE {x} END"
+    return f"CASE WHEN {x} IN ({_NA_CELLS}) THEN NULL ELSE {x} END"
 
 
 PART_TRAIN = ("ptrain AS (SELECT p_partkey, p_size, p_brand, p_type, p_retailprice FROM ptagged WHERE split = 'train'), "
@@ -444,6 +447,29 @@ SELECT 'eval-lineitem' AS run_id, key, value, CAST(0 AS BIGINT) AS step FROM (
     "na_tokens": _with(RAW_ORDERS) + f"""
 SELECT id, {_na('frontage')} AS frontage, {_na('priority')} AS priority, {_na('status')} AS status
 FROM raw""",
+    "csv_types": """
+WITH n AS (SELECT count(*) AS n FROM orders), m AS (
+  SELECT count(*) FILTER (o_orderkey % 6 = 0) AS frontage, count(*) FILTER (o_orderkey % 11 = 0) AS veneer_area,
+         count(*) FILTER (o_orderkey % 13 = 0) AS flag, count(*) FILTER (o_orderkey % 7 = 0 AND o_orderkey % 5 <> 0) AS note,
+         count(*) FILTER (o_orderkey % 3 = 0) AS price, count(*) AS nothing FROM orders)
+SELECT column_name, type, n AS n_rows, CAST(n_missing AS BIGINT) AS n_missing FROM n, (
+  SELECT 'id' AS column_name, 'bigint' AS type, 0 AS n_missing UNION ALL SELECT 'frontage', 'string', frontage FROM m
+  UNION ALL SELECT 'veneer_area', 'double', veneer_area FROM m UNION ALL SELECT 'code', 'bigint', 0
+  UNION ALL SELECT 'flag', 'boolean', flag FROM m UNION ALL SELECT 'note', 'string', note FROM m
+  UNION ALL SELECT 'padded', 'bigint', 0 UNION ALL SELECT 'price', 'double', price FROM m
+  UNION ALL SELECT 'ident', 'string', 0 UNION ALL SELECT 'nothing', 'double', nothing FROM m)""",
+    "csv_inferred": """
+SELECT o_orderkey AS id,
+       CASE WHEN o_orderkey % 6 = 0 THEN NULL WHEN o_orderkey % 13 = 0 THEN '10d'
+            ELSE CAST(o_custkey % 97 + 20 AS VARCHAR) END AS frontage,
+       CASE WHEN o_orderkey % 11 <> 0 THEN CAST(o_custkey % 500 AS DOUBLE) END AS veneer_area,
+       CAST(o_custkey % 1000 AS BIGINT) AS code,
+       CASE WHEN o_orderkey % 13 <> 0 THEN o_orderkey % 2 = 0 END AS flag,
+       CASE WHEN o_orderkey % 5 = 0 THEN ' NA ' WHEN o_orderkey % 7 <> 0 THEN o_orderpriority END AS note,
+       CAST(o_custkey AS BIGINT) AS padded,
+       CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice END AS price,
+       '99999999999999999999' || CAST(o_orderkey AS VARCHAR) AS ident, CAST(NULL AS DOUBLE) AS nothing
+FROM orders""",
     "table_scan": "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer",
     "table_exists": "SELECT count(*) AS n_rows, true AS table_exists FROM customer",
     "save_overwrite": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",

@@ -19,7 +19,7 @@ from tabforge.operators import clean, encode, lookup, metrics, model, quality, r
 from tabforge.operators.quantile import exact_quantiles
 from tabforge.plans import derived as D
 from tabforge.session import scratch_path
-from tabforge.sources import catalog, files
+from tabforge.sources import catalog, files, infer
 
 S = D.ORDERS_SPEC
 P = D.PART_SPEC
@@ -518,6 +518,18 @@ def q_na_tokens(spark, sf):
     return back.select(F.col("id").cast("bigint").alias("id"), "frontage", "priority", "status")
 
 
+def q_csv_types(spark, sf):
+    """Types of a raw text file's columns, decided after its missing-value tokens."""
+    path = files.write_csv(D.text_orders(spark, sf), scratch_path(spark, "csv"))
+    return infer.column_types(files.read_csv(spark, path))
+
+
+def q_csv_inferred(spark, sf):
+    """The same file's rows with the inferred types."""
+    path = files.write_csv(D.text_orders(spark, sf), scratch_path(spark, "csv"))
+    return infer.read_csv_inferred(spark, path)
+
+
 def q_table_scan(spark, sf):
     name = _uid("tf_customer")
     catalog.save_table(D.table(spark, sf, "customer"), name)
@@ -650,6 +662,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "record_run": q_record_run,
     "csv_scan": q_csv_scan,
     "na_tokens": q_na_tokens,
+    "csv_types": q_csv_types,
+    "csv_inferred": q_csv_inferred,
     "table_scan": q_table_scan,
     "table_exists": q_table_exists,
     "save_overwrite": q_save_overwrite,

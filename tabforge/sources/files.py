@@ -39,13 +39,12 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
 
 def normalize_na_tokens(df: DataFrame, tokens: Sequence[str] = PANDAS_NA_TOKENS,
                         cols: Sequence[str] | None = None) -> DataFrame:
-    """Text cells equal (after trimming blanks) to any token -> NULL."""
+    """Text cells equal to any token -> NULL; a token with blanks around it is text."""
     cols = [c for c in (cols or df.columns)
             if isinstance(df.schema[c].dataType, T.StringType)]
     toks = list(tokens)
     return df.withColumns(
-        {c: F.when(F.trim(F.col(c)).isin(toks) | F.col(c).isNull(), F.lit(None).cast("string"))
-             .otherwise(F.col(c)) for c in cols}
+        {c: F.when(F.col(c).isin(toks), F.lit(None).cast("string")).otherwise(F.col(c)) for c in cols}
     )
 
 
@@ -64,7 +63,8 @@ def read_csv_na(spark: SparkSession, path: str | Sequence[str],
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", null_value: str = "",
               header: bool = True) -> str:
-    """CSV sink: a directory of part files written in parallel."""
+    """CSV sink: a directory of part files written in parallel, cells kept as they are."""
     (df.write.mode(mode).option("header", header).option("nullValue", null_value)
-       .option("emptyValue", "\"\"").csv(path))
+       .option("emptyValue", "\"\"").option("ignoreLeadingWhiteSpace", False)
+       .option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
