@@ -142,7 +142,8 @@ def q_category_domains(spark, sf):
 
 
 def q_category_domains_large(spark, sf):
-    return encode.category_domains(q_preprocess(spark, sf), S.cat, large=True)
+    """Domains through the written dictionary (sizes counted)."""
+    return encode.fit_dictionary(q_preprocess(spark, sf), S.cat).domains
 
 
 def q_dictionary_encode(spark, sf):
@@ -151,8 +152,9 @@ def q_dictionary_encode(spark, sf):
 
 
 def q_dictionary_encode_large(spark, sf):
+    """The path of large dictionaries: one long-form join for all columns."""
     df = q_preprocess(spark, sf)
-    return encode.dictionary_encode(df, S.cat, large=True).select("id", *S.cat)
+    return encode.dictionary_encode(df, S.cat, broadcast_entries=0).select("id", *S.cat)
 
 
 def q_regression_metrics(spark, sf):
@@ -330,29 +332,22 @@ def _part_split(spark, sf):
 
 def q_one_hot(spark, sf):
     train, test = _part_split(spark, sf)
-    m = encode.fit_one_hot(train, P.cat)
-    return encode.one_hot_long(test, P.id_col, P.cat, m)
+    dictionary = encode.fit_dictionary(train, P.cat)
+    return encode.one_hot_cells(test, P.id_col, P.cat, dictionary).drop("idx")
 
 
 def q_one_hot_large(spark, sf):
+    """The path of large dictionaries: one shuffled join for all columns."""
     train, test = _part_split(spark, sf)
-    dom = encode.category_domains(train, P.cat, large=True)
-    return encode.one_hot_long_from_domains(test, P.id_col, P.cat, dom)
+    dictionary = encode.fit_dictionary(train, P.cat)
+    return encode.one_hot_cells(test, P.id_col, P.cat, dictionary, broadcast_entries=0).drop("idx")
 
 
 def q_assemble(spark, sf):
+    """Non-zero slots of each assembled vector, long form (position, value)."""
     train, test = _part_split(spark, sf)
-    stages = encode.one_hot_stages(P.cat) + [encode.assembler(P.cat, P.num)]
-    from pyspark.ml import Pipeline
-    from pyspark.ml.functions import vector_to_array
-
-    m = Pipeline(stages=stages).fit(train)
-    # non-zero slots of each assembled vector, long form (position, value)
-    return (
-        m.transform(test)
-        .select(P.id_col, F.posexplode(vector_to_array("features")).alias("pos", "value"))
-        .where(F.col("value") != 0)
-    )
+    dictionary = encode.fit_dictionary(train, P.cat)
+    return encode.assemble_cells(test, P.id_col, P.cat, P.num, dictionary)
 
 
 # One tree with one split: its best split and leaf means can be computed by SQL.
