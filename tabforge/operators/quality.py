@@ -184,46 +184,74 @@ def snapshot_diff_join(old: DataFrame, new: DataFrame, key: str,
     )
 
 
-def canonical_text(df: DataFrame, c: str, null_marker: str = "\\N") -> Column:
-    """Engine-stable text of a value: floats via DECIMAL(38,6), NULL -> marker."""
+def double_text(x: Column) -> Column:
+    """Exact text of a double, equal for equal values only and the same on every engine.
+
+    ``<mantissa>p<exponent>`` with a 53-bit integer mantissa: scaling by powers
+    of two is exact, so no digit depends on how an engine prints numbers.
+    -0.0 is 0.
+    """
+    a = F.abs(x)
+    e = F.least(F.floor(F.log2(a)).cast("int"), F.lit(1023))  # the logarithm of the largest doubles rounds up to 1024
+    m = a / F.pow(F.lit(2.0), e.cast("double"))  # about [1, 2); the logarithm may be off by one
+    e = F.when(m >= 2, e + 1).when(m < 1, e - 1).otherwise(e)
+    m = F.when(m >= 2, m / 2).when(m < 1, m * 2).otherwise(m)
+    mantissa = (m * F.lit(float(1 << 52))).cast("bigint").cast("string")
+    return (F.when(F.isnan(x), F.lit("NaN")).when(a == F.lit(float("inf")), F.when(x > 0, F.lit("inf")).otherwise(F.lit("-inf")))
+            .when(x == 0, F.lit("0"))
+            .otherwise(F.concat(F.when(x < 0, F.lit("-")).otherwise(F.lit("")), mantissa, F.lit("p"), e.cast("string"))))
+
+
+def canonical_text(df: DataFrame, c: str) -> Column:
+    """Engine-stable text of a value, equal for equal values only (NULL stays NULL)."""
     dt = df.schema[c].dataType
     col = F.col(c)
     if isinstance(dt, _FLOATING):
-        text = nan_safe_decimal_text(col)
-    elif isinstance(dt, T.BooleanType):
-        text = F.when(col, F.lit("true")).when(~col, F.lit("false"))
-    else:
-        text = col.cast("string")
-    return F.coalesce(text, F.lit(null_marker))
-
-
-def nan_safe_decimal_text(col: Column) -> Column:
-    """Fixed-point text of a double; values beyond DECIMAL(38,6) (|x| >= 1e32)
-    and infinities fall back to Spark's own text instead of failing."""
-    return F.when(F.isnan(col), F.lit("NaN")).otherwise(
-        F.coalesce(col.try_cast("decimal(38,6)").cast("string"), col.cast("string")))
+        return double_text(col.cast("double"))
+    if isinstance(dt, T.BooleanType):
+        return F.when(col, F.lit("true")).when(~col, F.lit("false"))
+    if isinstance(dt, T.BinaryType):
+        return F.hex(col)
+    if isinstance(dt, (T.ArrayType, T.StructType, T.MapType)):
+        return F.to_json(col)
+    if isinstance(dt, T.TimestampType):  # an instant, whatever the session's zone
+        return F.unix_micros(col).cast("string")
+    return col.cast("string")
+
+
+def row_text(df: DataFrame, cols: Sequence[str]) -> Column:
+    """One text per row that tells all fields apart.
+
+    Every field is its column's name and either ``N`` (NULL) or ``V`` and
+    its text, each text behind its length, so no value can look like a
+    separator, a NULL or its neighbour's part.
+    """
+    parts = []
+    for c in cols:
+        text = canonical_text(df, c)
+        value = F.concat(F.lit("V"), F.length(text).cast("string"), F.lit(":"), text)
+        parts += [F.lit(f"{len(c)}:{c}="), F.coalesce(value, F.lit("N")), F.lit(";")]
+    return F.concat(*parts)
 
 
 def dataset_fingerprint(df: DataFrame, cols: Sequence[str] | None = None,
                         name: str | None = None, version: str | None = None) -> DataFrame:
-    """Order-free identity of a table: row count + sum of per-row md5 prefixes.
+    """Order-free identity of a table: row count + sums of all 128 bits of each row's md5.
 
-    One aggregation of long sums; the exact total is rendered as text.
+    Rows are a multiset: their order and partitioning do not matter, their
+    number, values, NULLs and column names do. One aggregation of long sums;
+    the four exact totals (one per 32 bits) are rendered as text.
     """
     cols = list(cols or df.columns)
     require_columns(df, cols)
-    row_text = F.concat_ws("|", *[canonical_text(df, c) for c in cols])
-    h = F.conv(F.substring(F.md5(row_text), 1, 8), 16, 10).cast("long")
-    # Two 16-bit halves summed as longs: no overflow below 2^47 rows, and the
-    # exact total is assembled once, on the single aggregated row.
-    agg = df.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.coalesce(F.sum(F.shiftright(h, 16)), F.lit(0)).alias("_hi"),
-        F.coalesce(F.sum(h.bitwiseAND(F.lit(0xFFFF))), F.lit(0)).alias("_lo"),
-    )
-    total = F.col("_hi").cast("decimal(38,0)") * F.lit(65536).cast("decimal(38,0)") + F.col("_lo").cast(
-        "decimal(38,0)")
-    out = agg.select("n_rows", total.cast("decimal(38,0)").cast("string").alias("fingerprint"))
+    digest = df.select(F.md5(row_text(df, cols)).alias("_h"))
+    # Eight 16-bit parts summed as longs: no overflow below 2^47 rows.
+    agg = digest.agg(F.count(F.lit(1)).alias("n_rows"), *[
+        F.coalesce(F.sum(F.conv(F.substring("_h", 1 + 4 * i, 4), 16, 10).cast("long")), F.lit(0)).alias(f"_s{i}")
+        for i in range(8)])
+    total = lambda i: (F.col(f"_s{2 * i}").cast("decimal(38,0)") * F.lit(65536).cast("decimal(10,0)")
+                       + F.col(f"_s{2 * i + 1}")).cast("decimal(38,0)").cast("string")
+    out = agg.select("n_rows", F.concat_ws("-", *[total(i) for i in range(4)]).alias("fingerprint"))
     if name is not None:
         out = out.withColumn("dataset_name", F.lit(name))
     if version is not None:

@@ -292,22 +292,27 @@ ds AS (SELECT status AS v, CAST(row_number() OVER (ORDER BY status) - 1 AS INTEG
 SELECT c.id, dp.i AS priority, ds.i AS status
 FROM clean c JOIN dp ON c.priority = dp.v JOIN ds ON c.status = ds.v""",
     "regression_metrics": _with(METRICS_LINEITEM) + "SELECT n, mse, mae, r2 FROM m",
-    "dataset_fingerprint": """
-WITH rows_text AS (
-  SELECT concat_ws('|',
-           coalesce(CAST(o_orderkey AS VARCHAR), '\\N'),
-           coalesce(CAST(o_custkey AS VARCHAR), '\\N'),
-           coalesce(o_orderstatus, '\\N'),
-           coalesce(CASE WHEN isnan(o_totalprice) THEN 'NaN'
-                         ELSE CAST(CAST(o_totalprice AS DECIMAL(38,6)) AS VARCHAR) END, '\\N'),
-           coalesce(CAST(o_orderdate AS VARCHAR), '\\N'),
-           coalesce(o_orderpriority, '\\N')) AS t
-  FROM orders
+    "dataset_fingerprint": f"""
+WITH parts AS (
+  SELECT *, CAST(floor(log2(abs(nullif(o_totalprice, 0)))) AS INTEGER) AS e0 FROM orders
+), scaled AS (
+  SELECT *, abs(o_totalprice) / pow(2.0, CAST(e0 AS DOUBLE)) AS m0 FROM parts
+), price AS (
+  SELECT *, CASE WHEN o_totalprice = 0 THEN '0' ELSE (CASE WHEN o_totalprice < 0 THEN '-' ELSE '' END)
+         || CAST(CAST(CASE WHEN m0 >= 2 THEN m0 / 2 WHEN m0 < 1 THEN m0 * 2 ELSE m0 END * CAST(4503599627370496 AS DOUBLE) AS BIGINT) AS VARCHAR)
+         || 'p' || CAST(CASE WHEN m0 >= 2 THEN e0 + 1 WHEN m0 < 1 THEN e0 - 1 ELSE e0 END AS VARCHAR) END AS price_text
+  FROM scaled
+), h AS (
+  SELECT md5({" || ".join(
+      f"'{len(c)}:{c}=' || coalesce('V' || CAST(length({t}) AS VARCHAR) || ':' || {t}, 'N') || ';'"
+      for c, t in (("o_orderkey", "CAST(o_orderkey AS VARCHAR)"), ("o_custkey", "CAST(o_custkey AS VARCHAR)"),
+                   ("o_orderstatus", "o_orderstatus"), ("o_totalprice", "price_text"),
+                   ("o_orderdate", "CAST(o_orderdate AS VARCHAR)"), ("o_orderpriority", "o_orderpriority")))}) AS h
+  FROM price
 )
-SELECT count(*) AS n_rows,
-       CAST(coalesce(sum(CAST(CAST('0x' || substr(md5(t), 1, 8) AS BIGINT) AS DECIMAL(38,0))),
-                     CAST(0 AS DECIMAL(38,0))) AS VARCHAR) AS fingerprint
-FROM rows_text""",
+SELECT count(*) AS n_rows, {" || '-' || ".join(
+    f"CAST(sum(CAST('0x' || substr(h, {1 + 8 * i}, 8) AS BIGINT)) AS VARCHAR)" for i in range(4))} AS fingerprint
+FROM h""",
     "key_violations": """
 SELECT l_orderkey, l_linenumber, count(*) AS n_rows,
        CASE WHEN l_orderkey IS NULL OR l_linenumber IS NULL THEN 'null_key' ELSE 'duplicate_key' END AS violation
