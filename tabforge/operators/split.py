@@ -1,37 +1,38 @@
 """Repeatable train/test splits keyed on a row id.
 
 ``hash_split`` gives an exact-size split: rows are ordered by
-``md5("<seed>:<key>")`` (ties broken by the key) and the first
-``ceil(test_size * n)`` rows form the test part. The result does not depend
-on partitioning, and the table is never sorted or shuffled:
-
-1. level 1: a histogram of the first 12 hash bits (key column only; every
-   task emits at most 4096 partial counts) locates the bucket holding the
-   k-th row and how many of its rows are still needed;
-2. level 2: the same on the next 12 bits, for that bucket's rows only;
-3. the remaining ~n / 2^24 keys of the level-2 bucket are aggregated per
-   distinct key and ranked by a running row count to find the cutoff
-   ``(hash, key)`` of the k-th row;
-4. the main pass is a narrow projection: ``(hash, key) <= cutoff`` -> test.
-
-Steps 1-3 are one scalar subquery over the key column (each level's single
-boundary row is broadcast-joined; its size is one row by definition), so the
-full rows are read exactly once and shuffle volume is bounded by 4096 rows
-per task and level. Rows sharing a key always land in the same part; with a
-unique key the test size is exact, and if the k-th row falls inside a
-duplicated key, that whole key group goes to test (nothing is dropped, and a
-hot key never has to be ranked row by row in one task).
+``md5("<seed>:<key>")`` and the first ``ceil(test_size * n)`` rows form the
+test part. The result does not depend on partitioning, and the table is never
+sorted or shuffled:
+
+1. the hash of the last test row is found by radix selection on its hex
+   digits: a histogram of the first 12 bits (16 for very long tables; key
+   column only) locates the bucket that holds that row, the same on the next
+   bits while the bucket is not small, and the few hashes left are counted;
+2. the main pass is a narrow projection: ``hash < cutoff`` -> test.
+
+Rows without a key are rows like any other: their place comes from a hash of
+the whole row, so they count and spread over both parts. Where the last test row falls among
+several rows of one key, these (and only these) rows are placed by the hash
+of the whole row, and among rows equal in every column by their number in the
+frame, so the size is exact. ``keep_groups`` sends such a key's rows to test
+together instead (and the rows without a key, having no group, one by one).
 
 ``bucket_split`` is the one-pass approximate-fraction variant.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_H = "_split_hash"
-_LEVEL_HEX = 3  # 12 bits per histogram level -> at most 4096 buckets
+from tabforge.operators.quality import row_text
+
+_H, _ROW, _NO = "_split_hash", "_split_row", "_split_no"
+_LONG = 100_000_000  # beyond so many rows a level has 16 bits (65,536 counters), below 12 (4,096)
+_FEW = 10_000  # a bucket of at most so many rows is read by value
 
 
 def split_hash(key: str, seed: int) -> Column:
@@ -39,55 +40,54 @@ def split_hash(key: str, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
-def _bucket(level: int) -> Column:
-    return F.conv(F.substring(_H, 1 + level * _LEVEL_HEX, _LEVEL_HEX), 16, 10).cast("int")
-
-
-def _boundary(rows: DataFrame, bucket: str, need: Column | None = None,
-              test_size: float | None = None) -> DataFrame:
-    """The one bucket (as a row) where the running count reaches the need.
-
-    The need is a column carried by ``rows`` or, at the first level,
-    ``ceil(test_size * n)`` with n summed from the histogram itself. The
-    histogram has at most 4096 rows, so its running count is one small task.
-    """
-    hist = rows.groupBy(bucket).agg(
-        F.count(F.lit(1)).alias("_cnt"), *([F.max(need).alias("_k")] if need is not None else [])
-    )
-    w_run = Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    if need is None:
-        hist = hist.withColumn(
-            "_k", F.ceil(F.lit(float(test_size)) * F.sum("_cnt").over(Window.partitionBy()))
-        )
-    hist = hist.withColumn("_before", F.coalesce(F.sum("_cnt").over(w_run), F.lit(0)))
-    return hist.where(
-        (F.col("_before") < F.col("_k")) & (F.col("_before") + F.col("_cnt") >= F.col("_k"))
-    ).select(F.col(bucket).alias(f"{bucket}_at"), (F.col("_k") - F.col("_before")).alias(f"{bucket}_need"))
-
-
-def split_cutoff(df: DataFrame, key: str, test_size: float, seed: int) -> Column:
-    """Scalar ``struct(h, k)`` of the last test row in hash order (NULL if none)."""
-    keys = (
-        df.select(F.col(key).alias("_k")).where(F.col("_k").isNotNull())
-        .withColumn(_H, split_hash("_k", seed))
-        .withColumns({"_b1": _bucket(0), "_b2": _bucket(1)})
-    )
-    # Level 1 over all keys, level 2 inside the level-1 boundary bucket.
-    b1 = _boundary(keys, "_b1", test_size=test_size)
-    in1 = keys.join(F.broadcast(b1), F.col("_b1") == F.col("_b1_at"), "inner")
-    b2 = _boundary(in1, "_b2", F.col("_b1_need"))
-    in2 = in1.join(F.broadcast(b2), F.col("_b2") == F.col("_b2_at"), "inner")
-    # Distinct keys of the final bucket with their row counts (partially
-    # aggregated, so a duplicated hot key collapses to one row), ranked by a
-    # running count: the cutoff is the first key reaching the need.
-    grouped = in2.groupBy(_H, "_k").agg(F.count(F.lit(1)).alias("_c"), F.max("_b2_need").alias("_need"))
-    w = Window.orderBy(F.col(_H), F.col("_k")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = grouped.withColumn("_run", F.sum("_c").over(w))
-    return (
-        ranked.where((F.col("_run") >= F.col("_need")) & (F.col("_run") - F.col("_c") < F.col("_need")))
-        .select(F.struct(F.col(_H).alias("h"), F.col("_k").alias("k")).alias("c"))
-        .scalar()
-    )
+def _select(rows: DataFrame, col: str, digits: int, rank: int, n: int | None = None) -> tuple[str, int, int]:
+    """Value of the hex text ``col`` at 1-based ``rank``: (value, rows before it, rows with it)."""
+    prefix, before = "", 0
+    level = 3 if n is not None and n <= _LONG else 4
+    while True:
+        inside = rows.where(F.col(col).startswith(prefix)) if prefix else rows
+        left = digits - len(prefix)
+        whole = left <= level or (n is not None and n <= _FEW)
+        # few rows: their values; else a histogram of the next digits
+        part = F.col(col) if whole else F.substring(col, 1, len(prefix) + level)
+        counts = inside.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n")).collect()
+        for r in sorted(counts, key=lambda r: r["_p"]):
+            if before + r["_n"] >= rank:
+                break
+            before += r["_n"]
+        if whole:
+            return r["_p"], before, r["_n"]
+        prefix, n = r["_p"], r["_n"]
+
+
+def _marked(df: DataFrame, key: str, seed: int) -> DataFrame:
+    """``df`` with its split hash, the hash of the whole row, and its number."""
+    row = F.md5(F.concat(F.lit(f"{seed}#"), row_text(df, df.columns)))
+    return df.withColumns({_ROW: row, _NO: F.lpad(F.hex(F.monotonically_increasing_id()), 16, "0")}).withColumn(
+        _H, F.coalesce(split_hash(key, seed), F.col(_ROW)))
+
+
+def is_test_row(df: DataFrame, key: str, test_size: float, seed: int, keep_groups: bool = False) -> Column:
+    """Condition on :func:`_marked` rows that holds for exactly the test rows."""
+    marked = _marked(df, key, seed)
+    n = marked.select(F.count(F.lit(1))).first()[0]
+    k = math.ceil(test_size * n)
+    if k == 0:
+        return F.lit(False)
+    cut, before, size = _select(marked.select(_H), _H, 32, k, n)
+    if before + size == k or (keep_groups and marked.where((F.col(_H) == cut) & F.col(key).isNotNull()).limit(1).count()):
+        return F.col(_H) <= cut
+    # the last test row lies among rows of one key: whole-row hashes decide there
+    tied = marked.where(F.col(_H) == cut)
+    row_cut, row_before, row_size = _select(tied.select(_ROW), _ROW, 32, k - before, size)
+    among = F.col(_ROW) < row_cut
+    if before + row_before + row_size == k:
+        among = F.col(_ROW) <= row_cut
+    else:  # equal in every column: the first ones of the frame
+        same = tied.where(F.col(_ROW) == row_cut)
+        number, _, _ = _select(same.select(_NO), _NO, 16, k - before - row_before, row_size)
+        among = among | ((F.col(_ROW) == row_cut) & (F.col(_NO) <= number))
+    return (F.col(_H) < cut) | ((F.col(_H) == cut) & among)
 
 
 def hash_split(
@@ -96,21 +96,22 @@ def hash_split(
     test_size: float = 0.2,
     seed: int = 42,
     label_col: str = "split",
+    keep_groups: bool = False,
 ) -> DataFrame:
     """Tag every row ``'train'`` or ``'test'`` (exact test size, repeatable).
 
-    Rows with a NULL key are not counted and always go to train.
+    The cutoff is found eagerly (two or three passes over the key column);
+    tagging is lazy. Among rows that are equal in every column the choice
+    follows the frame's row order, so tag a saved frame where such rows may
+    straddle the cutoff.
     """
     if not 0.0 <= test_size <= 1.0:
         raise ValueError("test_size must be within [0, 1]")
     if key not in df.columns:
         raise ValueError(f"missing required columns: [{key!r}]")
-    cut = split_cutoff(df, key, test_size, seed)
-    # Struct order = (hash, key) lexicographic; NULL cutoff (no test rows) or
-    # NULL key (not counted in n) -> train.
-    row = F.struct(split_hash(key, seed).alias("h"), F.col(key).alias("k"))
-    is_test = F.coalesce(F.col(key).isNotNull() & (row <= cut), F.lit(False))
-    return df.withColumn(label_col, F.when(is_test, F.lit("test")).otherwise(F.lit("train")))
+    test = is_test_row(df, key, test_size, seed, keep_groups)
+    return _marked(df, key, seed).withColumn(label_col, F.when(test, F.lit("test")).otherwise(F.lit("train"))).drop(
+        _H, _ROW, _NO)
 
 
 def train_test(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42,

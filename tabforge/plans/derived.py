@@ -84,6 +84,13 @@ def text_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def keyless_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders`` under a key that repeats (the customer) and is missing on every fourth row."""
+    return table(spark, sf_dir, "orders").selectExpr(
+        "CASE WHEN o_orderkey % 4 <> 0 THEN CAST(o_custkey % 400 AS STRING) END AS cust", "o_orderkey AS id",
+        "o_orderpriority AS priority")
+
+
 def customer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keyed customer feature table (one row per customer)."""
     return table(spark, sf_dir, "customer").select(

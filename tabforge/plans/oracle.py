@@ -351,6 +351,17 @@ SELECT n.id, n.status, n.total, 'update_postimage'
 FROM old_s o JOIN new_s n ON o.id = n.id
 WHERE o.status IS DISTINCT FROM n.status OR o.total IS DISTINCT FROM n.total""",
     "train_test_split": _with(SPLIT) + f"SELECT {CLEAN_COLS}, split FROM tagged",
+    "split_missing_keys": """
+WITH k AS (
+  SELECT CASE WHEN o_orderkey % 4 <> 0 THEN CAST(o_custkey % 400 AS VARCHAR) END AS cust, o_orderkey AS id,
+         o_orderpriority AS priority FROM orders
+), h AS (
+  SELECT *, md5('42#4:cust=' || coalesce('V' || length(cust) || ':' || cust, 'N') || ';2:id=V' || length(CAST(id AS VARCHAR))
+                || ':' || id || ';8:priority=' || coalesce('V' || length(priority) || ':' || priority, 'N') || ';') AS row_hash FROM k
+), r AS (
+  SELECT *, row_number() OVER (ORDER BY coalesce(md5('42:' || cust), row_hash), row_hash) AS rn, count(*) OVER () AS n FROM h
+)
+SELECT cust, id, priority, CASE WHEN rn <= ceil(CAST(0.2 AS DOUBLE) * n) THEN 'test' ELSE 'train' END AS split FROM r""",
     "bucket_split": _with(CLEAN) + f"""
 SELECT {CLEAN_COLS},
        CASE WHEN CAST(('0x' || substr(md5('42:' || id), 1, 8)) AS BIGINT) % 100 < 20

@@ -203,6 +203,11 @@ def q_train_test_split(spark, sf):
     return split.hash_split(q_preprocess(spark, sf), "id", D.TEST_SIZE, D.SPLIT_SEED)
 
 
+def q_split_missing_keys(spark, sf):
+    """Exact split by a key that repeats and is missing on a quarter of the rows."""
+    return split.hash_split(D.keyless_orders(spark, sf), "cust", D.TEST_SIZE, D.SPLIT_SEED)
+
+
 def q_bucket_split(spark, sf):
     return split.bucket_split(q_preprocess(spark, sf), "id", 20, D.SPLIT_SEED)
 
@@ -623,6 +628,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snapshot_diff": q_snapshot_diff,
     "snapshot_diff_bucketed": q_snapshot_diff_bucketed,
     "train_test_split": q_train_test_split,
+    "split_missing_keys": q_split_missing_keys,
     "bucket_split": q_bucket_split,
     "split_check": q_split_check,
     "feature_lookup": q_feature_lookup,

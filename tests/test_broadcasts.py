@@ -10,7 +10,6 @@ CALL = re.compile(r"F\.broadcast\(")
 
 # file -> (count, why each broadcast side is bounded independently of the data size)
 ALLOWED = {
-    "operators/split.py": (2, "one boundary row per histogram level"),
     "operators/lookup.py": (2, "hot keys, and their one feature row each: at most ceil(1 / fraction) rows"),
     "operators/encode.py": (4, "one offset row per partition; one start row per feature; dictionaries counted small, twice"),
     "plans/queries.py": (1, "a fixed five-row label table"),

@@ -73,7 +73,7 @@ def test_duplicated_hot_key_stays_together(spark):
     df = spark.range(0, 3000).select(
         F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
         F.col("id"))
-    out = split.hash_split(df, "k", 0.2)
+    out = split.hash_split(df, "k", 0.2, keep_groups=True)
     sides = out.groupBy("k").agg(F.countDistinct("split").alias("n")).where("n > 1").count()
     assert sides == 0
     assert out.count() == 3000
@@ -81,9 +81,49 @@ def test_duplicated_hot_key_stays_together(spark):
     assert n_test >= 600
 
 
-def test_null_keys_go_to_train_and_are_not_counted(spark):
-    df = spark.range(0, 110).select(
-        F.when(F.col("id") < 100, F.col("id").cast("string")).alias("k"))
+def test_null_keys_are_rows_like_any_other(spark):
+    df = spark.range(0, 100).select(F.when(F.col("id") < 50, F.col("id").cast("string")).alias("k"), "id")
     out = split.hash_split(df, "k", 0.2)
-    assert out.where("k IS NULL AND split = 'test'").count() == 0
-    assert out.where("split = 'test'").count() == 20
+    test = out.where("split = 'test'")
+    assert test.count() == 20 and 0 < test.where("k IS NULL").count() < 20
+    again = split.hash_split(df.repartition(7), "k", 0.2).where("split = 'test'")
+    assert {r.id for r in again.collect()} == {r.id for r in test.collect()}
+
+
+def test_repeated_keys_give_the_exact_size(spark):
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"), "id")
+    for size in (0.05, 0.2, 0.5, 0.9):
+        out = split.hash_split(df, "k", size)
+        assert out.where("split = 'test'").count() == math.ceil(size * 3000)
+        # at most one key has rows on both sides
+        assert out.groupBy("k").agg(F.countDistinct("split").alias("n")).where("n > 1").count() <= 1
+
+
+def test_rows_equal_in_every_column(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.range(0, 1000).select(F.lit("same").alias("k"), F.lit(None).cast("int").alias("v")).repartition(5).write.parquet(path)
+    df = spark.read.parquet(path)
+    for size in (0.001, 0.25, 0.999):
+        assert split.hash_split(df, "k", size).where("split = 'test'").count() == math.ceil(size * 1000)
+    nulls = df.withColumn("k", F.lit(None).cast("string"))
+    assert split.hash_split(nulls, "k", 0.3).where("split = 'test'").count() == 300
+
+
+def test_brute_force_with_null_and_repeated_keys(spark):
+    from tabforge.operators.quality import row_text
+
+    df = spark.range(0, 600).select(
+        F.when(F.col("id") % 4 != 0, (F.col("id") % 9).cast("string")).alias("k"), "id")
+    rows = df.select("id", "k", F.md5(F.concat(F.lit("5#"), row_text(df, df.columns))).alias("r")).collect()
+    order = sorted((hashlib.md5(f"5:{r.k}".encode()).hexdigest() if r.k is not None else r.r, r.r, r.id) for r in rows)
+    for size in (0.1, 0.33, 0.77):
+        got = {r.id for r in split.hash_split(df, "k", size, 5).where("split = 'test'").collect()}
+        assert got == {x[2] for x in order[:math.ceil(size * 600)]}
+
+
+def test_large_buckets_take_more_levels(spark, monkeypatch):
+    monkeypatch.setattr(split, "_FEW", 3)
+    df = spark.range(0, 2000).select(F.col("id").cast("string").alias("id"))
+    got = {r.id for r in split.hash_split(df, "id").where("split = 'test'").collect()}
+    assert got == _brute([str(i) for i in range(2000)])
