@@ -87,7 +87,8 @@ def param_conflicts(params: DataFrame, run_col: str = "run_id", key_col: str = "
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str | Sequence[str],
-                  cols: Sequence[str] | None = None, materialize: bool = True) -> DataFrame:
+                  cols: Sequence[str] | None = None, materialize: bool = True,
+                  counted: bool = False) -> DataFrame:
     """Row-level change feed between two snapshots of a keyed table.
 
     Output: key, compared columns, ``_change_type`` in ``insert``, ``delete``,
@@ -99,6 +100,9 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str | Sequence[str],
     ones - are classified by a second, small aggregation on the key. No join
     of the two snapshots, so duplicate keys can never multiply into pairs.
 
+    A row that occurs m times more on one side is reported m times, or once
+    with its count in ``_count`` where ``counted``.
+
     With ``materialize`` the changed rows are checkpointed to the shared
     checkpoint folder (eagerly), so the full netting shuffle runs exactly
     once although both the key classification and the output read it.
@@ -135,10 +139,13 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str | Sequence[str],
     joined = net.join(kinds, cond, "inner").select(
         *[net[c] for c in allc], change.alias("_change_type"), F.abs(net["_net"]).alias("_mult")
     )
-    # A row that occurs m times more on one side is reported m times.
-    return joined.withColumn("_rep", F.explode(F.sequence(F.lit(1), F.col("_mult")))).drop(
-        "_rep", "_mult"
-    )
+    if counted:
+        return joined.withColumnRenamed("_mult", "_count")
+    # repeats in two steps, so that no array is longer than the root of a count
+    step = F.lit(4096)
+    many = joined.withColumn("_part", F.explode(F.sequence(F.lit(0), F.floor((F.col("_mult") - 1) / step))))
+    return many.withColumn("_rep", F.explode(F.sequence(F.lit(1), F.least(step, F.col("_mult") - F.col("_part") * step)))).drop(
+        "_rep", "_part", "_mult")
 
 
 def snapshot_diff_join(old: DataFrame, new: DataFrame, key: str,
@@ -149,7 +156,8 @@ def snapshot_diff_join(old: DataFrame, new: DataFrame, key: str,
     For snapshots whose key is unique on each side (check with
     ``key_violations``) and that are stored bucketed by the key with the same
     bucket count: the join then reads both sides co-located, with no shuffle.
-    Each key meets at most one row per side, so no pairs can multiply;
+    Each key meets at most one row per side, so no pairs can multiply; rows
+    without a key (any number) are netted by :func:`snapshot_diff` and united.
     ``check_keys`` verifies that first (a key-only aggregation per side, no
     shuffle on bucketed tables) and refuses duplicated keys, for which the
     netting form :func:`snapshot_diff` is the right tool.
@@ -165,8 +173,9 @@ def snapshot_diff_join(old: DataFrame, new: DataFrame, key: str,
                    .where(F.col("_n") > 1).limit(1).collect())
             if dup:
                 raise ValueError(f"{side} snapshot repeats key {dup[0][key]!r}; use snapshot_diff")
-    o = old.select(F.col(key), F.struct(*cols).alias("_o"))
-    n = new.select(F.col(key), F.struct(*cols).alias("_n"))
+    keyless = snapshot_diff(old.where(F.col(key).isNull()), new.where(F.col(key).isNull()), key, cols, materialize=False)
+    o = old.where(F.col(key).isNotNull()).select(F.col(key), F.struct(*cols).alias("_o"))
+    n = new.where(F.col(key).isNotNull()).select(F.col(key), F.struct(*cols).alias("_n"))
     j = o.join(n, key, "full_outer")
     same = F.lit(True)
     for c in cols:
@@ -181,6 +190,7 @@ def snapshot_diff_join(old: DataFrame, new: DataFrame, key: str,
         j.where(F.col("_o").isNull() | F.col("_n").isNull() | ~same)
         .select(key, F.explode(changes).alias("_c"))
         .select(key, *[F.col(f"_c.r.{c}").alias(c) for c in cols], F.col("_c.t").alias("_change_type"))
+        .unionByName(keyless)
     )
 
 
@@ -245,10 +255,11 @@ def dataset_fingerprint(df: DataFrame, cols: Sequence[str] | None = None,
     cols = list(cols or df.columns)
     require_columns(df, cols)
     digest = df.select(F.md5(row_text(df, cols)).alias("_h"))
-    # Eight 16-bit parts summed as longs: no overflow below 2^47 rows.
-    agg = digest.agg(F.count(F.lit(1)).alias("n_rows"), *[
-        F.coalesce(F.sum(F.conv(F.substring("_h", 1 + 4 * i, 4), 16, 10).cast("long")), F.lit(0)).alias(f"_s{i}")
-        for i in range(8)])
+    words = digest.select(*[F.conv(F.substring("_h", 1 + 8 * i, 8), 16, 10).cast("long").alias(f"_w{i}") for i in range(4)])
+    # 16-bit halves summed as longs: no overflow below 2^47 rows.
+    agg = words.agg(F.count(F.lit(1)).alias("n_rows"), *[
+        F.coalesce(F.sum(half), F.lit(0)).alias(f"_s{2 * i + j}") for i in range(4)
+        for j, half in enumerate((F.shiftright(f"_w{i}", 16), F.col(f"_w{i}").bitwiseAND(F.lit(0xFFFF))))])
     total = lambda i: (F.col(f"_s{2 * i}").cast("decimal(38,0)") * F.lit(65536).cast("decimal(10,0)")
                        + F.col(f"_s{2 * i + 1}")).cast("decimal(38,0)").cast("string")
     out = agg.select("n_rows", F.concat_ws("-", *[total(i) for i in range(4)]).alias("fingerprint"))

@@ -60,23 +60,24 @@ def _select(rows: DataFrame, col: str, digits: int, rank: int, n: int | None = N
         prefix, n = r["_p"], r["_n"]
 
 
-def _marked(df: DataFrame, key: str, seed: int) -> DataFrame:
-    """``df`` with its split hash, the hash of the whole row, and its number."""
+def _marked(df: DataFrame, key: str, seed: int, missing: bool) -> DataFrame:
+    """``df`` with its split hash (of the row where keys are ``missing``), the hash of the whole row, and its number."""
     row = F.md5(F.concat(F.lit(f"{seed}#"), row_text(df, df.columns)))
-    return df.withColumns({_ROW: row, _NO: F.lpad(F.hex(F.monotonically_increasing_id()), 16, "0")}).withColumn(
-        _H, F.coalesce(split_hash(key, seed), F.col(_ROW)))
+    out = df.withColumns({_ROW: row, _NO: F.lpad(F.hex(F.monotonically_increasing_id()), 16, "0")})
+    return out.withColumn(_H, F.coalesce(split_hash(key, seed), F.col(_ROW)) if missing else split_hash(key, seed))
 
 
-def is_test_row(df: DataFrame, key: str, test_size: float, seed: int, keep_groups: bool = False) -> Column:
-    """Condition on :func:`_marked` rows that holds for exactly the test rows."""
-    marked = _marked(df, key, seed)
-    n = marked.select(F.count(F.lit(1))).first()[0]
+def _test_rows(df: DataFrame, key: str, test_size: float, seed: int, keep_groups: bool) -> tuple[DataFrame, Column]:
+    """:func:`_marked` rows and the condition that holds for exactly the test rows."""
+    n, keyed = df.agg(F.count(F.lit(1)), F.count(key)).first()
+    # without missing keys no pass reads more than the key column
+    marked = _marked(df, key, seed, keyed < n)
     k = math.ceil(test_size * n)
     if k == 0:
-        return F.lit(False)
+        return marked, F.lit(False)
     cut, before, size = _select(marked.select(_H), _H, 32, k, n)
     if before + size == k or (keep_groups and marked.where((F.col(_H) == cut) & F.col(key).isNotNull()).limit(1).count()):
-        return F.col(_H) <= cut
+        return marked, F.col(_H) <= cut
     # the last test row lies among rows of one key: whole-row hashes decide there
     tied = marked.where(F.col(_H) == cut)
     row_cut, row_before, row_size = _select(tied.select(_ROW), _ROW, 32, k - before, size)
@@ -87,7 +88,7 @@ def is_test_row(df: DataFrame, key: str, test_size: float, seed: int, keep_group
         same = tied.where(F.col(_ROW) == row_cut)
         number, _, _ = _select(same.select(_NO), _NO, 16, k - before - row_before, row_size)
         among = among | ((F.col(_ROW) == row_cut) & (F.col(_NO) <= number))
-    return (F.col(_H) < cut) | ((F.col(_H) == cut) & among)
+    return marked, (F.col(_H) < cut) | ((F.col(_H) == cut) & among)
 
 
 def hash_split(
@@ -100,8 +101,8 @@ def hash_split(
 ) -> DataFrame:
     """Tag every row ``'train'`` or ``'test'`` (exact test size, repeatable).
 
-    The cutoff is found eagerly (two or three passes over the key column);
-    tagging is lazy. Among rows that are equal in every column the choice
+    The cutoff is found eagerly (a count and two or three passes over the key
+    column); tagging is lazy. Among rows that are equal in every column the choice
     follows the frame's row order, so tag a saved frame where such rows may
     straddle the cutoff.
     """
@@ -109,9 +110,8 @@ def hash_split(
         raise ValueError("test_size must be within [0, 1]")
     if key not in df.columns:
         raise ValueError(f"missing required columns: [{key!r}]")
-    test = is_test_row(df, key, test_size, seed, keep_groups)
-    return _marked(df, key, seed).withColumn(label_col, F.when(test, F.lit("test")).otherwise(F.lit("train"))).drop(
-        _H, _ROW, _NO)
+    marked, test = _test_rows(df, key, test_size, seed, keep_groups)
+    return marked.withColumn(label_col, F.when(test, F.lit("test")).otherwise(F.lit("train"))).drop(_H, _ROW, _NO)
 
 
 def train_test(df: DataFrame, key: str, test_size: float = 0.2, seed: int = 42,

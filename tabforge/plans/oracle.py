@@ -350,6 +350,15 @@ UNION ALL
 SELECT n.id, n.status, n.total, 'update_postimage'
 FROM old_s o JOIN new_s n ON o.id = n.id
 WHERE o.status IS DISTINCT FROM n.status OR o.total IS DISTINCT FROM n.total""",
+    "snapshot_diff_keyless": _with(SNAPSHOTS) + """,
+oo AS (SELECT CASE WHEN id % 10 <> 0 THEN id END AS id, status, total FROM old_s),
+nn AS (SELECT CASE WHEN id % 10 <> 0 THEN id END AS id, status, total FROM new_s),
+gone AS (SELECT * FROM oo EXCEPT ALL SELECT * FROM nn), come AS (SELECT * FROM nn EXCEPT ALL SELECT * FROM oo)
+SELECT g.*, CASE WHEN EXISTS (SELECT 1 FROM come c WHERE c.id IS NOT DISTINCT FROM g.id) THEN 'update_preimage' ELSE 'delete' END AS _change_type
+FROM gone g
+UNION ALL
+SELECT c.*, CASE WHEN EXISTS (SELECT 1 FROM gone g WHERE g.id IS NOT DISTINCT FROM c.id) THEN 'update_postimage' ELSE 'insert' END
+FROM come c""",
     "train_test_split": _with(SPLIT) + f"SELECT {CLEAN_COLS}, split FROM tagged",
     "split_missing_keys": """
 WITH k AS (

@@ -23,8 +23,6 @@ from tabforge.sources import catalog, files, infer
 
 S = D.ORDERS_SPEC
 P = D.PART_SPEC
-# bucket count for tables laid out for co-located joins on the key
-BUCKETS = 8
 
 
 def _uid(prefix: str) -> str:
@@ -187,13 +185,24 @@ def q_snapshot_diff(spark, sf):
     return quality.snapshot_diff(old, new, "id")
 
 
+def q_snapshot_diff_keyless(spark, sf):
+    """Change feed by the co-located join where every tenth row has no key."""
+    names = []
+    frames = [df.withColumn("id", F.when(F.col("id") % 10 != 0, F.col("id"))) for df in D.order_snapshots(spark, sf)]
+    buckets = catalog.bucket_count(*frames)
+    for part, df in zip(("old", "new"), frames):
+        names.append(catalog.save_table(df, _uid(f"tf_keyless_{part}"), bucket_by=(buckets, "id")))
+    return quality.snapshot_diff_join(spark.table(names[0]), spark.table(names[1]), "id")
+
+
 def q_snapshot_diff_bucketed(spark, sf):
     """Both snapshots saved bucketed by id; the full outer join is co-located."""
     old, new = D.order_snapshots(spark, sf)
+    buckets = catalog.bucket_count(old, new)
     names = []
     for part, df in (("old", old), ("new", new)):
         name = _uid(f"tf_snapshot_{part}")
-        catalog.save_table(df, name, bucket_by=(BUCKETS, "id"))
+        catalog.save_table(df, name, bucket_by=(buckets, "id"))
         names.append(name)
     return quality.snapshot_diff_join(spark.table(names[0]), spark.table(names[1]), "id")
 
@@ -287,11 +296,12 @@ def q_training_set_bucketed(spark, sf):
     from tabforge.jobs import Namespace, process_data
 
     ns = Namespace(schema=_uid("tf_job"))
-    train_v, test_v = process_data(spark, D.raw_orders(spark, sf), S, ns, D.TEST_SIZE, D.SPLIT_SEED,
-                                   as_of=D.as_of_ts(), buckets=BUCKETS)
+    raw = D.raw_orders(spark, sf)
+    buckets = catalog.bucket_count(raw)
+    train_v, test_v = process_data(spark, raw, S, ns, D.TEST_SIZE, D.SPLIT_SEED, as_of=D.as_of_ts(), buckets=buckets)
     train, test = spark.table(train_v), spark.table(test_v)
     features = catalog.create_feature_table(spark, ns.name("order_features"), FEATURE_COLS, "id",
-                                            [train, test], buckets=BUCKETS)
+                                            [train, test], buckets=buckets)
     return _training_set(spark, train, features)
 
 
@@ -627,6 +637,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "param_conflicts": q_param_conflicts,
     "snapshot_diff": q_snapshot_diff,
     "snapshot_diff_bucketed": q_snapshot_diff_bucketed,
+    "snapshot_diff_keyless": q_snapshot_diff_keyless,
     "train_test_split": q_train_test_split,
     "split_missing_keys": q_split_missing_keys,
     "bucket_split": q_bucket_split,

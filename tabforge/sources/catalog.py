@@ -58,6 +58,17 @@ def save_table(df: DataFrame, name: str, mode: str = "overwrite",
     return name
 
 
+def bucket_count(*frames: DataFrame, bucket_bytes: int = 256 << 20) -> int:
+    """Buckets for tables that will be joined with each other.
+
+    From the largest frame's estimated size, and never fewer than two tasks
+    per core; give all tables of a join the same count.
+    """
+    size = max(int(str(f._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) for f in frames)
+    cores = frames[0].sparkSession.sparkContext.defaultParallelism
+    return max(2 * cores, 16, -(-size // bucket_bytes))
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 

@@ -107,3 +107,48 @@ def test_snapshot_diff_join_refuses_duplicate_keys(spark):
     n = spark.createDataFrame([(1, "a")], "id int, s string")
     with pytest.raises(ValueError):
         quality.snapshot_diff_join(o, n, "id")
+
+
+def test_snapshot_diff_join_rows_without_a_key(spark):
+    schema = "id int, s string"
+    old = [(1, "a"), (2, "b"), (None, "x"), (None, "x"), (None, "y"), (3, "c")]
+    new = [(1, "a"), (2, "B"), (None, "x"), (None, "z"), (4, "d")]
+    o, n = spark.createDataFrame(old, schema), spark.createDataFrame(new, schema)
+    got = Counter(tuple(r) for r in quality.snapshot_diff_join(o, n, "id").collect())
+    assert got == Counter(tuple(r) for r in quality.snapshot_diff(o, n, "id").collect())
+    same = spark.createDataFrame([(None, "x"), (5, "q")], schema)
+    assert quality.snapshot_diff_join(same, same, "id").collect() == []
+
+
+def test_many_repeats_are_counted_or_repeated(spark):
+    old = spark.range(10_000).select(F.lit(1).alias("id"), F.lit("x").alias("s"))
+    new = old.limit(0)
+    assert [tuple(r) for r in quality.snapshot_diff(old, new, "id", counted=True).collect()] == [(1, "x", "delete", 10_000)]
+    assert quality.snapshot_diff(old, new, "id").groupBy("id", "s", "_change_type").count().collect()[0]["count"] == 10_000
+
+
+def test_bucketed_change_feed_has_no_exchange_and_many_tasks(spark):
+    import contextlib
+    import io
+
+    from tabforge.sources import catalog
+
+    df = spark.range(1000).select("id", (F.col("id") % 7).alias("v"))
+    n = catalog.bucket_count(df, df)
+    assert n > 8 and catalog.bucket_count(df, bucket_bytes=100) >= 100
+    for name in ("t_bucket_old", "t_bucket_new"):
+        catalog.save_table(df, name, bucket_by=(n, "id"))
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = quality.snapshot_diff_join(spark.table("t_bucket_old"), spark.table("t_bucket_new"), "id")
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            out.explain("formatted")
+        join = buf.getvalue().split("Union")[1].split("HashAggregate")[0]  # the keyed branch
+        assert out.count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+        for name in ("t_bucket_old", "t_bucket_new"):
+            spark.sql(f"DROP TABLE {name}")
+    assert "SortMergeJoin" in join and "Exchange" not in join
