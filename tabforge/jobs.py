@@ -29,10 +29,11 @@ from tabforge.operators.lookup_model import (SqlFunctionFeature, TableLookup, fi
                                              request_columns)
 from tabforge.operators.metrics import regression_metrics
 from tabforge.operators.model import batch_score, save_model, train_gbt
-from tabforge.operators.runs import latest_version, next_version_row, record_run
+from tabforge.operators.runs import duplicate_versions, latest_version, next_version_row, record_dataset, record_run
 from tabforge.operators.split import hash_split
 from tabforge.sources.catalog import save_table
-from tabforge.sources.models import load_model, load_schema, save_schema, schema_path
+from tabforge.sources.models import (example_path, load_model, load_schema, output_schema_path, save_example,
+                                     save_schema, schema_path)
 from tabforge.spec import FeatureSpec
 
 
@@ -47,6 +48,7 @@ class Namespace:
     runs: str = "runs"
     metrics: str = "run_metrics"
     params: str = "run_params"
+    datasets: str = "run_datasets"
     versions: str = "model_versions"
 
     def name(self, table: str) -> str:
@@ -75,6 +77,12 @@ def process_data(spark: SparkSession, raw: DataFrame, spec: FeatureSpec, ns: Nam
     return ns.name(ns.train), ns.name(ns.test)
 
 
+def _save_contract(spark: SparkSession, path: str, inputs: DataFrame, key: str, output) -> None:
+    save_schema(spark, inputs.schema, schema_path(path))
+    save_schema(spark, output, output_schema_path(path))
+    save_example(inputs, key, example_path(path))
+
+
 def _append(df: DataFrame, name: str) -> None:
     save_table(df, name, "append")
 
@@ -92,8 +100,11 @@ def train_register(spark: SparkSession, spec: FeatureSpec, params: Mapping[str,
     scored = batch_score(model, test, spec, keep=[spec.target])
     metrics = regression_metrics(scored, spec.target).select("mse", "mae", "r2")
     path = save_model(model, f"{model_root.rstrip('/')}/{model_name}/{run_id}")
-    # the input contract (features only) is stored next to the model
-    save_schema(spark, train.select(spec.id_col, *spec.num, *spec.cat).schema, schema_path(path))
+    # contract and example of the input (features only) and the output's schema lie next to the model
+    inputs = train.select(spec.id_col, *spec.num, *spec.cat)
+    output = scored.select(spec.id_col, "prediction").schema
+    _save_contract(spark, path, inputs, spec.id_col, output)
+    _append(record_dataset(run_id, train, ns.name(ns.train), "0", inputs.columns, output), ns.name(ns.datasets))
     version = _register(spark, ns, run_id, model_name, path, params, metrics, tags)
     return run_id, version, spark.table(ns.name(ns.metrics)).where(F.col("run_id") == run_id)
 
@@ -108,9 +119,12 @@ def _register(spark: SparkSession, ns: Namespace, run_id: str, model_name: str,
     versions_name = ns.name(ns.versions)
     existing = spark.table(versions_name) if spark.catalog.tableExists(versions_name) else None
     row = next_version_row(spark, existing, model_name, run_id, path)
-    version = row.select("version").first()[0]
+    version = int(row.select("version").first()[0])
     _append(row, versions_name)
-    return int(version)
+    mine = spark.table(versions_name).where((F.col("name") == model_name) & (F.col("version") == version))
+    if duplicate_versions(mine).limit(1).collect():
+        raise RuntimeError(f"version {version} of {model_name!r} was registered by two runs at a time")
+    return version
 
 
 def _latest_path(spark: SparkSession, ns: Namespace, model_name: str) -> str:
@@ -137,8 +151,8 @@ def train_register_lookup(spark: SparkSession, train: DataFrame, test: DataFrame
     model = fit_lookup_model(train, spec, lookups, functions, exclude, params)
     path = save_model(model, f"{model_root.rstrip('/')}/{model_name}/{run_id}")
     wanted = request_columns(train, spec, model)
-    save_schema(spark, train.select(*wanted).schema, schema_path(path))
     scored = model.transform(test.select(*dict.fromkeys([*wanted, spec.target])))
+    _save_contract(spark, path, train.select(*wanted), spec.id_col, scored.select(spec.id_col, "prediction").schema)
     metrics = regression_metrics(scored, spec.target).select("mse", "mae", "r2")
     recorded = {**params, **{f"recipe.{i}": line for i, line in enumerate(recipe_text(model))}}
     version = _register(spark, ns, run_id, model_name, path, recorded, metrics, tags)

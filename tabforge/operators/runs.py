@@ -5,7 +5,10 @@ Tables (long form, append-only):
   runs(run_id, run_name, status, start_time, end_time, tags map<string,string>)
   run_metrics(run_id, key, value double, step bigint, ts timestamp)
   run_params(run_id, key, value string)
+  run_datasets(run_id, context, dataset_name, dataset_version, n_rows, fingerprint, input_schema, output_schema)
   model_versions(name, version int, run_id, path, created_at timestamp)
+
+Times are instants; a time given without a zone is UTC.
 """
 
 from __future__ import annotations
@@ -18,6 +21,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabforge.operators.clean import require_columns
+from tabforge.operators.quality import dataset_fingerprint
+
+
+def _utc(t: _dt.datetime | None) -> _dt.datetime:
+    """An instant: now, or the given time (UTC where it has no zone)."""
+    t = t or _dt.datetime.now(_dt.timezone.utc)
+    return t if t.tzinfo else t.replace(tzinfo=_dt.timezone.utc)
+
 
 RUNS_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType(), False),
@@ -66,9 +77,9 @@ def record_run(
     output of ``regression_metrics``): it is unpivoted on the executors, so
     the metric values never pass through the driver.
     """
-    now = start_time or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+    now = _utc(start_time)
     runs = spark.createDataFrame(
-        [(run_id, run_name, status, now, end_time or now, dict(tags or {}))], RUNS_SCHEMA
+        [(run_id, run_name, status, now, _utc(end_time) if end_time else now, dict(tags or {}))], RUNS_SCHEMA
     )
     if isinstance(metrics, DataFrame):
         num = [f.name for f in metrics.schema.fields
@@ -90,6 +101,55 @@ def record_run(
     return runs, met, par
 
 
+def record_dataset(run_id: str, df: DataFrame, name: str, version: str, input_cols: Sequence[str] | None = None,
+                   output_schema: T.StructType | None = None, context: str = "training") -> DataFrame:
+    """The row of ``run_datasets`` that ties a run to the data it used.
+
+    The data's identity (row count and fingerprint over all its columns) is
+    one aggregate on the executors; schemas are kept as JSON text.
+    """
+    inputs = df.select(*input_cols) if input_cols else df
+    text = lambda s: F.lit(None if s is None else s.json()).cast("string")
+    return dataset_fingerprint(df).select(
+        F.lit(run_id).alias("run_id"), F.lit(context).alias("context"), F.lit(name).alias("dataset_name"),
+        F.lit(version).alias("dataset_version"), "n_rows", "fingerprint", text(inputs.schema).alias("input_schema"),
+        text(output_schema).alias("output_schema"))
+
+
+def run_dataset(spark: SparkSession, datasets: DataFrame, run_id: str, context: str = "training",
+                check: bool = True) -> DataFrame:
+    """The table a run used, read back as a frame.
+
+    With ``check`` the table's identity is computed again, and a table that
+    has changed since the run is refused.
+    """
+    rows = datasets.where((F.col("run_id") == run_id) & (F.col("context") == context)).limit(2).collect()
+    if len(rows) != 1:
+        raise ValueError(f"{len(rows) or 'no'} recorded {context} dataset(s) for run {run_id!r}")
+    df = spark.table(rows[0]["dataset_name"])
+    if check:
+        now = dataset_fingerprint(df).first()
+        if (now["n_rows"], now["fingerprint"]) != (rows[0]["n_rows"], rows[0]["fingerprint"]):
+            raise ValueError(f"{rows[0]['dataset_name']} is not the data of run {run_id!r} any more")
+    return df
+
+
+def run_record(runs: DataFrame, metrics: DataFrame, params: DataFrame, datasets: DataFrame) -> DataFrame:
+    """Everything recorded of runs as ``(run_id, kind, key, value text)`` rows."""
+    parts = [
+        runs.select("run_id", F.explode("tags").alias("key", "value")).select("run_id", F.lit("tag").alias("kind"), "key", "value"),
+        metrics.select("run_id", F.lit("metric").alias("kind"), "key", F.col("value").cast("string").alias("value")),
+        params.select("run_id", F.lit("param").alias("kind"), "key", "value"),
+        datasets.select("run_id", F.lit("dataset").alias("kind"), F.explode(F.create_map(*[
+            x for c in ("context", "dataset_name", "dataset_version", "n_rows", "fingerprint")
+            for x in (F.lit(c), F.col(c).cast("string"))])).alias("key", "value")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def metric_latest(metrics: DataFrame, run_col: str = "run_id", key_col: str = "key",
                   value_col: str = "value", step_col: str = "step") -> DataFrame:
     """Last value of every stepped metric per run/key.
@@ -158,24 +218,24 @@ def latest_per_group(runs: DataFrame, group_col: str, time_col: str = "start_tim
 
 
 def latest_version(versions: DataFrame, name: str | None = None) -> DataFrame:
-    """Per model name: the highest version and its path (the 'latest' alias)."""
+    """Per model name: the highest version with its own path and run (the 'latest' alias)."""
     v = versions if name is None else versions.where(F.col("name") == F.lit(name))
-    return v.groupBy("name").agg(
-        F.max("version").alias("version"),
-        F.max_by("path", "version").alias("path"),
-        F.max_by("run_id", "version").alias("run_id"),
-    )
+    return v.groupBy("name").agg(F.max(F.struct("version", "path", "run_id")).alias("_v")).select("name", "_v.*")
+
+
+def duplicate_versions(versions: DataFrame) -> DataFrame:
+    """``(name, version, n_rows)`` registered more than once (two writers at a time)."""
+    return versions.groupBy("name", "version").agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
 
 
 def next_version_row(spark: SparkSession, versions: DataFrame | None, name: str, run_id: str,
                      path: str, created_at: _dt.datetime | None = None) -> DataFrame:
     """The row registering a new version: ``max(version) + 1`` for the name."""
-    created_at = created_at or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     current = 0
     if versions is not None:
         v = versions.where(F.col("name") == F.lit(name)).select(F.max("version")).first()[0]
         current = int(v or 0)
-    return spark.createDataFrame([(name, current + 1, run_id, path, created_at)], VERSIONS_SCHEMA)
+    return spark.createDataFrame([(name, current + 1, run_id, path, _utc(created_at))], VERSIONS_SCHEMA)
 
 
 def preview(df: DataFrame, n: int = 10, order: Sequence[str] | None = None) -> DataFrame:

@@ -191,7 +191,39 @@ ltrain AS (SELECT * EXCLUDE (is_test) FROM full_rows WHERE NOT is_test),
 ltest AS (SELECT * EXCLUDE (is_test) FROM full_rows WHERE is_test)""",
     _stumps("ltrain", "ltest", "p_partkey", "p_retailprice", ["p_size", "house_age"], ["p_brand", "p_mfgr_group"]))
 
+ORDERS_IDENTITY = f"""
+WITH parts AS (
+  SELECT *, CAST(floor(log2(abs(nullif(o_totalprice, 0)))) AS INTEGER) AS e0 FROM orders
+), scaled AS (
+  SELECT *, abs(o_totalprice) / pow(2.0, CAST(e0 AS DOUBLE)) AS m0 FROM parts
+), price AS (
+  SELECT *, CASE WHEN o_totalprice = 0 THEN '0' ELSE (CASE WHEN o_totalprice < 0 THEN '-' ELSE '' END)
+         || CAST(CAST(CASE WHEN m0 >= 2 THEN m0 / 2 WHEN m0 < 1 THEN m0 * 2 ELSE m0 END * CAST(4503599627370496 AS DOUBLE) AS BIGINT) AS VARCHAR)
+         || 'p' || CAST(CASE WHEN m0 >= 2 THEN e0 + 1 WHEN m0 < 1 THEN e0 - 1 ELSE e0 END AS VARCHAR) END AS price_text
+  FROM scaled
+), h AS (
+  SELECT md5({" || ".join(
+      f"'{len(c)}:{c}=' || coalesce('V' || CAST(length({t}) AS VARCHAR) || ':' || {t}, 'N') || ';'"
+      for c, t in (("o_orderkey", "CAST(o_orderkey AS VARCHAR)"), ("o_custkey", "CAST(o_custkey AS VARCHAR)"),
+                   ("o_orderstatus", "o_orderstatus"), ("o_totalprice", "price_text"),
+                   ("o_orderdate", "CAST(o_orderdate AS VARCHAR)"), ("o_orderpriority", "o_orderpriority")))}) AS h
+  FROM price
+)
+SELECT count(*) AS n_rows, {" || '-' || ".join(
+    f"CAST(sum(CAST('0x' || substr(h, {1 + 8 * i}, 8) AS BIGINT)) AS VARCHAR)" for i in range(4))} AS fingerprint
+FROM h"""
+
 ORACLE: dict[str, str] = {
+    "record_run_full": "WITH d AS (" + ORDERS_IDENTITY + """)
+SELECT 'eval-orders' AS run_id, kind, key, value FROM (
+  SELECT 'tag' AS kind, 'branch' AS key, 'main' AS value UNION ALL SELECT 'param', 'model_type', 'formula'
+  UNION ALL SELECT 'param', 'factor', '1500'
+  UNION ALL SELECT 'metric', 'n', CAST(count(*) AS VARCHAR) || '.0' FROM lineitem
+  UNION ALL SELECT 'dataset', 'context', 'training' UNION ALL SELECT 'dataset', 'dataset_name', 'orders'
+  UNION ALL SELECT 'dataset', 'dataset_version', '0' UNION ALL SELECT 'dataset', 'n_rows', CAST(n_rows AS VARCHAR) FROM d
+  UNION ALL SELECT 'dataset', 'fingerprint', fingerprint FROM d)""",
+    "feature_table_replaced": _with(SPLIT) + """
+SELECT id, frontage + CASE WHEN split = 'test' THEN 1 ELSE 0 END AS frontage, veneer_area, year_built FROM tagged""",
     "score_latest_lookup": LOOKUP_SCORED + "SELECT p_partkey, round(prediction, 6) AS prediction FROM scored",
     "train_register_lookup": LOOKUP_SCORED + """,
 e AS (SELECT avg((p_retailprice - prediction) * (p_retailprice - prediction)) AS mse,
@@ -292,27 +324,7 @@ ds AS (SELECT status AS v, CAST(row_number() OVER (ORDER BY status) - 1 AS INTEG
 SELECT c.id, dp.i AS priority, ds.i AS status
 FROM clean c JOIN dp ON c.priority = dp.v JOIN ds ON c.status = ds.v""",
     "regression_metrics": _with(METRICS_LINEITEM) + "SELECT n, mse, mae, r2 FROM m",
-    "dataset_fingerprint": f"""
-WITH parts AS (
-  SELECT *, CAST(floor(log2(abs(nullif(o_totalprice, 0)))) AS INTEGER) AS e0 FROM orders
-), scaled AS (
-  SELECT *, abs(o_totalprice) / pow(2.0, CAST(e0 AS DOUBLE)) AS m0 FROM parts
-), price AS (
-  SELECT *, CASE WHEN o_totalprice = 0 THEN '0' ELSE (CASE WHEN o_totalprice < 0 THEN '-' ELSE '' END)
-         || CAST(CAST(CASE WHEN m0 >= 2 THEN m0 / 2 WHEN m0 < 1 THEN m0 * 2 ELSE m0 END * CAST(4503599627370496 AS DOUBLE) AS BIGINT) AS VARCHAR)
-         || 'p' || CAST(CASE WHEN m0 >= 2 THEN e0 + 1 WHEN m0 < 1 THEN e0 - 1 ELSE e0 END AS VARCHAR) END AS price_text
-  FROM scaled
-), h AS (
-  SELECT md5({" || ".join(
-      f"'{len(c)}:{c}=' || coalesce('V' || CAST(length({t}) AS VARCHAR) || ':' || {t}, 'N') || ';'"
-      for c, t in (("o_orderkey", "CAST(o_orderkey AS VARCHAR)"), ("o_custkey", "CAST(o_custkey AS VARCHAR)"),
-                   ("o_orderstatus", "o_orderstatus"), ("o_totalprice", "price_text"),
-                   ("o_orderdate", "CAST(o_orderdate AS VARCHAR)"), ("o_orderpriority", "o_orderpriority")))}) AS h
-  FROM price
-)
-SELECT count(*) AS n_rows, {" || '-' || ".join(
-    f"CAST(sum(CAST('0x' || substr(h, {1 + 8 * i}, 8) AS BIGINT)) AS VARCHAR)" for i in range(4))} AS fingerprint
-FROM h""",
+    "dataset_fingerprint": ORDERS_IDENTITY,
     "key_violations": """
 SELECT l_orderkey, l_linenumber, count(*) AS n_rows,
        CASE WHEN l_orderkey IS NULL OR l_linenumber IS NULL THEN 'null_key' ELSE 'duplicate_key' END AS violation

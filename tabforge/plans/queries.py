@@ -514,6 +514,27 @@ def q_record_run(spark, sf):
     return met.select("run_id", "key", "value", "step")
 
 
+def q_record_run_full(spark, sf):
+    """Tags, params, metrics and the identity of the data of one evaluation run."""
+    li = D.table(spark, sf, "lineitem").select(
+        F.col("l_extendedprice").alias("y"), (F.col("l_quantity") * 1500).alias("prediction"))
+    m = metrics.regression_metrics(li, "y", "prediction").select("n")
+    run, met, par = runs.record_run(spark, "eval-orders", {"model_type": "formula", "factor": 1500}, m,
+                                    {"branch": "main"}, start_time=D.as_of_ts())
+    o = D.table(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    return runs.run_record(run, met, par, runs.record_dataset("eval-orders", o, "orders", "0"))
+
+
+def q_feature_table_replaced(spark, sf):
+    """A feature table loaded again from its own former rows and newer ones."""
+    train, test = _parts(spark, sf)
+    name = _uid("tf_features")
+    first = catalog.create_feature_table(spark, name, FEATURE_COLS, "id", [train])
+    raised = test.withColumn("frontage", F.col("frontage") + 1)
+    return catalog.create_feature_table(spark, name, FEATURE_COLS, "id", [first, raised])
+
+
 # ----------------------------------------------------- sources and sinks
 def q_csv_scan(spark, sf):
     cust = D.table(spark, sf, "customer")
@@ -645,6 +666,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feature_lookup": q_feature_lookup,
     "feature_union": q_feature_union,
     "feature_table": q_feature_table,
+    "feature_table_replaced": q_feature_table_replaced,
     "training_set": q_training_set,
     "training_set_bucketed": q_training_set_bucketed,
     "score_lookup": q_score_lookup,
@@ -672,6 +694,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_per_status": q_latest_per_status,
     "latest_version": q_latest_version,
     "record_run": q_record_run,
+    "record_run_full": q_record_run_full,
     "csv_scan": q_csv_scan,
     "na_tokens": q_na_tokens,
     "csv_types": q_csv_types,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 import pandas as pd
@@ -86,13 +87,14 @@ def create_feature_table(
     buckets: int | None = None,
     check_key: bool = True,
 ) -> DataFrame:
-    """Declare a keyed feature table and fill it from several frames.
+    """Declare a keyed feature table, fill it from several frames, and put it in place.
 
     ``columns`` are ``(name, sql_type)`` pairs; the key is declared NOT NULL.
-    The file format does not enforce NOT NULL or a primary key, so with
-    ``check_key`` the written key column is checked (one aggregation) and
-    the table is dropped again if the rule is violated.
-    Inserts go through ANSI store assignment (lossy casts are errors).
+    Rows are written to a staging table of the declared schema (ANSI store
+    assignment: lossy casts are errors). The file format does not enforce NOT
+    NULL or a primary key, so with ``check_key`` the written key column is
+    checked (one aggregation). Only then does the new table take the name: a refused
+    load leaves the former table as it was, and a source may be the former table.
     """
     for part in name.split("."):
         qualified_name(part)
@@ -100,19 +102,41 @@ def create_feature_table(
         f"{c} {t}{' NOT NULL' if c == key else ''}" for c, t in columns
     )
     bucket = f" CLUSTERED BY ({key}) INTO {int(buckets)} BUCKETS" if buckets else ""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({ddl_cols}) USING parquet{bucket}")
     names = [c for c, _ in columns]
     union = sources[0].select(*names)
     for s in sources[1:]:
         union = union.unionByName(s.select(*names))
-    union.write.insertInto(name)
-    table = spark.table(name)
-    if check_key:
-        # Checked on the written table: a columnar read of the key only,
-        # instead of computing the sources a second time.
-        bad = key_violations(table.select(key), key).limit(1).collect()
-        if bad:
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
-            raise ValueError(f"key rule violated on {key!r}: {bad[0].asDict()}")
-    return table
+    staging = f"{name}__new_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE TABLE {staging} ({ddl_cols}) USING parquet{bucket}")
+    try:
+        union.write.insertInto(staging)
+        if check_key:
+            # Checked on the written table: a columnar read of the key only,
+            # instead of computing the sources a second time.
+            bad = key_violations(spark.table(staging).select(key), key).limit(1).collect()
+            if bad:
+                raise ValueError(f"key rule violated on {key!r}: {bad[0].asDict()}")
+        replace_table(spark, name, staging)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {staging}")
+    return spark.table(name)
+
+
+def replace_table(spark: SparkSession, name: str, staging: str) -> None:
+    """Give the table ``staging`` the name ``name``; the former table is dropped after that.
+
+    Both are renames in the catalog. If the second one fails, the former
+    table gets its name back.
+    """
+    former = f"{name}__old_{uuid.uuid4().hex[:8]}"
+    had = table_exists(spark, name)
+    if had:
+        spark.sql(f"ALTER TABLE {name} RENAME TO {former}")
+    try:
+        spark.sql(f"ALTER TABLE {staging} RENAME TO {name}")
+    except Exception:
+        if had:
+            spark.sql(f"ALTER TABLE {former} RENAME TO {name}")
+        raise
+    if had:
+        spark.sql(f"DROP TABLE {former}")

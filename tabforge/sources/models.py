@@ -43,3 +43,22 @@ def load_schema(spark: SparkSession, path: str) -> T.StructType:
 
 def schema_path(model_path: str) -> str:
     return model_path.rstrip("/") + "_input_schema"
+
+
+def output_schema_path(model_path: str) -> str:
+    return model_path.rstrip("/") + "_output_schema"
+
+
+def example_path(model_path: str) -> str:
+    return model_path.rstrip("/") + "_input_example"
+
+
+def save_example(rows: DataFrame, key: str, path: str) -> str:
+    """Store the first row by ``key`` as the model's input example (JSON)."""
+    rows.orderBy(key).limit(1).coalesce(1).write.mode("overwrite").json(path)
+    return path
+
+
+def load_example(spark: SparkSession, model_path: str) -> DataFrame:
+    """The stored example with the types of the input contract."""
+    return spark.read.schema(load_schema(spark, schema_path(model_path))).json(example_path(model_path))

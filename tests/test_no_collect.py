@@ -12,8 +12,8 @@ ACTION = re.compile(r"\.(collect|toPandas|first|take|head|count|toLocalIterator)
 # file -> number of allowed actions (all return a single row or scalar)
 ALLOWED = {
     "operators/clean.py": 1,      # fit_preprocess: one aggregate row of means
-    "jobs.py": 2,                 # the new version number; the latest model path (one row each)
-    "operators/runs.py": 1,       # max(version) for one model name (scalar)
+    "jobs.py": 3,                 # the new version number; the latest model path; limit(1) of a doubled version
+    "operators/runs.py": 3,       # max(version) of one model name; limit(2) of a run's datasets; one identity row
     "operators/quality.py": 1,    # snapshot_diff_join key check: limit(1) of duplicates
     "operators/boosting.py": 3,   # one feature vector, one row of validation errors, a one-line state file
     "operators/encode.py": 1,     # one size per column
