@@ -39,9 +39,10 @@ from tabforge.spec import FeatureSpec
 
 @dataclass(frozen=True)
 class Namespace:
-    """Where a job's tables live (``schema.table`` in the session catalog)."""
+    """Where a job's tables live: ``[catalog.]schema.table``."""
 
     schema: str = "default"
+    catalog: str | None = None
     train: str = "train_set"
     test: str = "test_set"
     splits: str = "split_set"
@@ -51,8 +52,12 @@ class Namespace:
     datasets: str = "run_datasets"
     versions: str = "model_versions"
 
+    @property
+    def database(self) -> str:
+        return qualified_name(*([self.catalog] if self.catalog else []), self.schema)
+
     def name(self, table: str) -> str:
-        return qualified_name(self.schema, table)
+        return qualified_name(*self.database.split("."), table)
 
 
 def process_data(spark: SparkSession, raw: DataFrame, spec: FeatureSpec, ns: Namespace = Namespace(),
@@ -64,7 +69,7 @@ def process_data(spark: SparkSession, raw: DataFrame, spec: FeatureSpec, ns: Nam
     later joins on the key with a table bucketed the same way (e.g. the
     feature table) need no shuffle.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {qualified_name(ns.schema)}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {ns.database}")
     clean = preprocess(raw, spec)
     tagged = audit_stamp(hash_split(clean, spec.id_col, test_size, seed, label_col="split"), as_of)
     splits = ns.name(ns.splits)
@@ -147,7 +152,7 @@ def train_register_lookup(spark: SparkSession, train: DataFrame, test: DataFrame
     ``(run_id, version, metrics_frame)``.
     """
     run_id = run_id or uuid.uuid4().hex
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {qualified_name(ns.schema)}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {ns.database}")
     model = fit_lookup_model(train, spec, lookups, functions, exclude, params)
     path = save_model(model, f"{model_root.rstrip('/')}/{model_name}/{run_id}")
     wanted = request_columns(train, spec, model)

@@ -36,6 +36,21 @@ def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return wide.unpivot([], cols, "column_name", "n_missing")
 
 
+def column_report(df: DataFrame, expected: Sequence[str]) -> DataFrame:
+    """``(column_name, expected, present, n_missing)`` of the expected and the actual columns.
+
+    A set of columns is as expected where ``expected`` and ``present`` agree
+    on every row. ``n_missing`` counts NULL or NaN cells (NULL for an absent column);
+    all counts come from one pass.
+    """
+    names = list(dict.fromkeys([*expected, *df.columns]))
+    wide = df.agg(*[(F.count_if(_is_missing(df, c)) if c in df.columns else F.max(F.lit(None).cast("long"))).alias(f"c{i}")
+                    for i, c in enumerate(names)])
+    return wide.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.lit(c in expected).alias("expected"), F.lit(c in df.columns).alias("present"),
+                 F.col(f"c{i}").alias("n_missing")) for i, c in enumerate(names)])).alias("r")).select("r.*")
+
+
 def conditional_counts(df: DataFrame, predicates: Mapping[str, Column]) -> DataFrame:
     """``count_if`` for several named predicates in one pass (one row)."""
     return df.agg(*[F.count_if(p).alias(name) for name, p in predicates.items()])

@@ -507,6 +507,27 @@ SELECT o_orderkey AS id,
        CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice END AS price,
        '99999999999999999999' || CAST(o_orderkey AS VARCHAR) AS ident, CAST(NULL AS DOUBLE) AS nothing
 FROM orders""",
+    "table_properties": """
+SELECT key, value, n_rows FROM (
+  SELECT 'feed.enabled' AS key, 'true' AS value UNION ALL SELECT 'owner''s note', 'kept as it''s') t,
+  (SELECT count(*) AS n_rows FROM customer) c""",
+    "catalog_tables": _with(SPLIT) + """
+SELECT 'spark_catalog.' || split || '_set' AS table_name, count(*) AS n_rows, CAST(sum(CAST(id AS BIGINT)) AS BIGINT) AS id_sum
+FROM tagged GROUP BY split""",
+    "column_check": _with(RAW_ORDERS) + """
+SELECT * FROM (
+  SELECT 'priority' AS column_name, true AS expected, true AS present, CAST(count_if(priority IS NULL) AS BIGINT) AS n_missing FROM raw
+  UNION ALL SELECT 'status', true, true, CAST(count_if(status IS NULL) AS BIGINT) FROM raw
+  UNION ALL SELECT 'frontage', true, true, CAST(count_if(frontage IS NULL) AS BIGINT) FROM raw
+  UNION ALL SELECT 'veneer_area', true, true, CAST(count_if(veneer_area IS NULL) AS BIGINT) FROM raw
+  UNION ALL SELECT 'year_built', true, true, CAST(count_if(year_built IS NULL) AS BIGINT) FROM raw
+  UNION ALL SELECT 'target', true, true, CAST(count_if(target IS NULL) AS BIGINT) FROM raw
+  UNION ALL SELECT 'id', true, true, CAST(count_if(id IS NULL) AS BIGINT) FROM raw
+  UNION ALL SELECT 'garage_year', true, false, NULL)""",
+    "tree_numbers": _with(COERCED) + """
+SELECT id, coalesce(frontage, CAST(-1.0e15 AS DOUBLE)) AS frontage, coalesce(veneer_area, CAST(-1.0e15 AS DOUBLE)) AS veneer_area,
+       CAST(frontage IS NULL AS INTEGER) AS frontage_missing, CAST(veneer_area IS NULL AS INTEGER) AS veneer_area_missing
+FROM coerced""",
     "table_scan": "SELECT c_custkey, c_mktsegment, c_acctbal FROM customer",
     "table_exists": "SELECT count(*) AS n_rows, true AS table_exists FROM customer",
     "save_overwrite": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",

@@ -122,6 +122,19 @@ def q_null_counts(spark, sf):
     return quality.null_counts(clean.coerce_numeric(D.raw_orders(spark, sf), ["frontage"]))
 
 
+def q_column_check(spark, sf):
+    """Expected against actual columns of the raw orders."""
+    raw = D.raw_orders(spark, sf).drop("cust_id")
+    return quality.column_report(raw, [*S.contract_columns, "garage_year"])
+
+
+def q_tree_numbers(spark, sf):
+    """Numbers as trees take them: missing ones replaced and marked."""
+    df = clean.coerce_numeric(D.raw_orders(spark, sf), ["frontage"])
+    return encode.fill_for_trees(df, ["frontage", "veneer_area"], indicator=True).select(
+        "id", "frontage", "veneer_area", "frontage_missing", "veneer_area_missing")
+
+
 def q_conditional_counts(spark, sf):
     df = q_preprocess(spark, sf)
     return quality.conditional_counts(df, {
@@ -575,6 +588,26 @@ def q_table_exists(spark, sf):
         "table_exists", F.lit(catalog.table_exists(spark, name)))
 
 
+def q_table_properties(spark, sf):
+    """Properties of a saved table, set and read back beside its row count."""
+    name = _uid("tf_customer")
+    catalog.save_table(D.table(spark, sf, "customer"), name)
+    catalog.set_table_properties(spark, name, {"feed.enabled": "true", "owner's note": "kept as it's"})
+    rows = catalog.table_properties(spark, name).where(F.col("key").isin("feed.enabled", "owner's note"))
+    return rows.select("key", "value", spark.table(name).select(F.count(F.lit(1))).scalar().alias("n_rows"))
+
+
+def q_catalog_tables(spark, sf):
+    """The split job's views, read by their three-part names."""
+    from tabforge.jobs import Namespace, process_data
+
+    ns = Namespace(schema=_uid("tf_job"), catalog="spark_catalog")
+    train, test = process_data(spark, D.raw_orders(spark, sf), S, ns, D.TEST_SIZE, D.SPLIT_SEED, as_of=D.as_of_ts())
+    parts = [spark.table(t).groupBy(F.lit(t.split(".")[0] + "." + t.split(".")[-1]).alias("table_name")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("id").cast("bigint")).alias("id_sum")) for t in (train, test)]
+    return parts[0].unionByName(parts[1])
+
+
 def q_save_overwrite(spark, sf):
     name = _uid("tf_orders")
     o = D.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
@@ -647,6 +680,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "agg_quantiles": q_agg_quantiles,
     "null_counts": q_null_counts,
     "conditional_counts": q_conditional_counts,
+    "column_check": q_column_check,
+    "tree_numbers": q_tree_numbers,
     "table_shape": q_table_shape,
     "category_domains": q_category_domains,
     "category_domains_large": q_category_domains_large,
@@ -701,6 +736,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_inferred": q_csv_inferred,
     "table_scan": q_table_scan,
     "table_exists": q_table_exists,
+    "table_properties": q_table_properties,
+    "catalog_tables": q_catalog_tables,
     "save_overwrite": q_save_overwrite,
     "save_append": q_save_append,
     "local_rows": q_local_rows,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -74,7 +74,17 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
+def set_table_properties(spark: SparkSession, name: str, properties: Mapping[str, str]) -> None:
+    """Set properties of a catalog table (such as the one that asks for a change feed)."""
+    qualified_name(*name.split("."))
+    quoted = lambda x: "'" + str(x).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    pairs = ", ".join(f"{quoted(k)} = {quoted(v)}" for k, v in properties.items())
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
+
+
 def table_properties(spark: SparkSession, name: str) -> DataFrame:
+    """``(key, value)`` of a catalog table's properties."""
+    qualified_name(*name.split("."))
     return spark.sql(f"SHOW TBLPROPERTIES {name}")
 
 

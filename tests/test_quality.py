@@ -152,3 +152,20 @@ def test_bucketed_change_feed_has_no_exchange_and_many_tasks(spark):
         for name in ("t_bucket_old", "t_bucket_new"):
             spark.sql(f"DROP TABLE {name}")
     assert "SortMergeJoin" in join and "Exchange" not in join
+
+
+def test_column_report(spark):
+    df = spark.createDataFrame([(1, None, 2.0), (2, "x", float("nan"))], "a int, b string, extra double")
+    got = {tuple(r) for r in quality.column_report(df, ["a", "b", "gone"]).collect()}
+    assert got == {("a", True, True, 0), ("b", True, True, 1), ("gone", True, False, None), ("extra", False, True, 1)}
+
+
+def test_table_properties_round_trip(spark):
+    from tabforge.sources import catalog
+
+    catalog.save_table(spark.range(3), "t_props")
+    catalog.set_table_properties(spark, "t_props", {"feed": "true", "it's": "a 'note'"})
+    catalog.set_table_properties(spark, "t_props", {"feed": "false"})
+    got = {r.key: r.value for r in catalog.table_properties(spark, "t_props").collect()}
+    assert got["feed"] == "false" and got["it's"] == "a 'note'"
+    spark.sql("DROP TABLE t_props")
