@@ -27,13 +27,16 @@ from tabforge.session import cut_lineage
 
 SHINGLE = 5
 PERCENT = 75
-CELLS = 1 << 22       # count sketch: fixed size whatever the input
+CELLS = 1 << 24       # count sketch for the order: fixed size, counts up to 255
+CROWDS = 1 << 20      # count sketch for crowded tiles: fixed size
 BLOCK = 1 << 14       # cells per sketch row
 MARKS = 1 << 24       # hash marks of asked-for documents: fixed size
 WORDS = 32            # 64-bit words of a bitmap signature
 FOLDS = 8             # words of the folded bitmap that tiles compare first
+ROWS = 256            # rows of a batch that are prepared together
 SLICE = 1 << 20       # bytes of text prepared together in a task (a longer text goes alone)
 LOOKS = 512           # pairs a row that cost less to look at than another round of neighbours
+SMALL_PAIRS = 1_000_000  # pairs up to this number are broadcast (16 bytes each)
 TILE = 10_000         # rows of a tile before it is salted, above the mean load
 
 _rng = np.random.default_rng(20240501)
@@ -104,50 +107,65 @@ def prefix_length(n: int, percent: int) -> int:
     return n - (-(-percent * n // 100)) + 1
 
 
-def _fixed_array(rows: DataFrame, fill, size: int, kind: str, merge) -> np.ndarray:
-    """An array of ``size`` numbers that tasks fill and merge block by block.
+def _fixed_arrays(rows: DataFrame, fill, kinds: list[tuple[int, str]], merge) -> list[np.ndarray]:
+    """Arrays of fixed sizes and types that tasks fill and merge block by block.
 
-    ``fill(array, batch)`` works on a task's own array; equal blocks of all
+    ``fill(arrays, batch)`` works on a task's own arrays; equal blocks of all
     tasks meet in one place and are merged as they stream by. The result has
     the same size whatever the input, so the driver may hold it.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, kind)
-        for b in batches:
-            fill(total, b)
-        for i in range(0, size, BLOCK):
-            if total[i:i + BLOCK].any():
-                yield pa.RecordBatch.from_pydict({"block": pa.array([i // BLOCK], pa.int32()),
-                                                  "n": [zlib.compress(total[i:i + BLOCK].tobytes(), 1)]})
+        totals = [np.zeros(size, kind) for size, kind in kinds]
+        for b in _parts(batches):
+            fill(totals, b)
+        for a, total in enumerate(totals):
+            for i in range(0, len(total), BLOCK):
+                if total[i:i + BLOCK].any():
+                    yield pa.RecordBatch.from_pydict({
+                        "a": pa.array([a], pa.int32()), "block": pa.array([i // BLOCK], pa.int32()),
+                        "n": [zlib.compress(total[i:i + BLOCK].tobytes(), 1)]})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
+        held: dict[tuple[int, int], np.ndarray] = {}
         for b in batches:
-            for i, x in zip(b.column("block").to_pylist(), b.column("n").to_pylist()):
-                x = np.frombuffer(zlib.decompress(x), kind)
-                total[i] = merge(total[i], x) if i in total else x
-        for i, x in total.items():
-            yield pa.RecordBatch.from_pydict({"block": pa.array([i], pa.int32()), "n": [zlib.compress(x.tobytes(), 1)]})
-
-    blocks = rows.mapInArrow(run, "block int, n binary").repartition("block").mapInArrow(add, "block int, n binary")
-    out = np.zeros(size, kind)
-    for r in blocks.collect():  # `size` numbers in all
-        x = np.frombuffer(zlib.decompress(r["n"]), kind)
-        out[r["block"] * BLOCK:r["block"] * BLOCK + len(x)] = x
+            for a, i, x in zip(b.column("a").to_pylist(), b.column("block").to_pylist(), b.column("n").to_pylist()):
+                x = np.frombuffer(zlib.decompress(x), kinds[a][1])
+                held[a, i] = merge(held[a, i], x) if (a, i) in held else x
+        for (a, i), x in held.items():
+            yield pa.RecordBatch.from_pydict({"a": pa.array([a], pa.int32()), "block": pa.array([i], pa.int32()),
+                                              "n": [zlib.compress(x.tobytes(), 1)]})
+
+    schema = "a int, block int, n binary"
+    blocks = rows.mapInArrow(run, schema).repartition("a", "block").mapInArrow(add, schema)
+    out = [np.zeros(size, kind) for size, kind in kinds]
+    for r in blocks.collect():  # the arrays' sizes in all
+        x = np.frombuffer(zlib.decompress(r["n"]), kinds[r["a"]][1])
+        out[r["a"]][r["block"] * BLOCK:r["block"] * BLOCK + len(x)] = x
     return out
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches in slices of a few rows, so that arrays made of them stay small."""
+    for b in batches:
+        for i in range(0, b.num_rows, ROWS):
+            yield b.slice(i, ROWS)
+
+
 def _add_counts(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return np.minimum(x.astype(np.uint64) + y, 0xFFFFFFFF).astype(np.uint32)  # enough for an order
+    return np.minimum(x.astype(np.uint64) + y, np.iinfo(x.dtype).max).astype(x.dtype)  # enough for an order
 
 
-def count_sketch(docs: DataFrame, k: int, cells: int) -> np.ndarray:
-    """Shingle counts by hash cell over all documents; ``cells`` numbers in all."""
-    def fill(total: np.ndarray, batch: pa.RecordBatch) -> None:
+def count_sketches(docs: DataFrame, k: int, kinds: list[tuple[int, str]]) -> list[np.ndarray]:
+    """Shingle counts by hash cell over all documents, in one pass: an array
+    for each (cells, type), whose counts stop at the type's largest number."""
+    def fill(totals: list[np.ndarray], batch: pa.RecordBatch) -> None:
         for s in shingle_sets(batch.column("text").to_pylist(), k):
-            np.add.at(total, (s % np.uint64(cells)).astype(np.int64), 1)
+            for total in totals:
+                at = (s % np.uint64(len(total))).astype(np.int64)
+                now = total[at]
+                total[at] = now + (now < np.iinfo(total.dtype).max)
 
-    return _fixed_array(docs.select("text"), fill, cells, "u4", _add_counts)
+    return _fixed_arrays(docs.select("text"), fill, kinds, _add_counts)
 
 
 def _cell(ids: np.ndarray) -> np.ndarray:
@@ -157,10 +175,10 @@ def _cell(ids: np.ndarray) -> np.ndarray:
 
 def id_marks(ids: DataFrame) -> np.ndarray:
     """Hash marks of the column ``node``: a text without a mark is not asked for."""
-    def fill(total: np.ndarray, batch: pa.RecordBatch) -> None:
-        total[_cell(batch.column("node").to_numpy(zero_copy_only=False))] = 1
+    def fill(totals: list[np.ndarray], batch: pa.RecordBatch) -> None:
+        totals[0][_cell(batch.column("node").to_numpy(zero_copy_only=False))] = 1
 
-    return _fixed_array(ids.select("node"), fill, MARKS, "u1", np.maximum)
+    return _fixed_arrays(ids.select("node"), fill, [(MARKS, "u1")], np.maximum)[0]
 
 
 PRINT_SCHEMA = ("row_no long, doc_id long, n_shingles long, s1 long, s2 long, bits array<long>, keys array<long>, "
@@ -177,15 +195,15 @@ def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, kind))
 
 
-def signatures(docs: DataFrame, sketch: np.ndarray, k: int, percent: int) -> DataFrame:
+def signatures(docs: DataFrame, sketch: np.ndarray, crowds: np.ndarray, k: int, percent: int) -> DataFrame:
     """Per document: set size, set digest, bitmap, and the shingles of its tiles."""
-    cells = len(sketch)
-    loads = docs.sparkSession.sparkContext.broadcast(sketch)  # fixed size: 4 bytes a cell
-    crowd = TILE + 4 * int(sketch.sum(dtype=np.uint64)) // cells
+    cells, wide = len(sketch), len(crowds)
+    loads = docs.sparkSession.sparkContext.broadcast((sketch, crowds))  # fixed size: 1 and 4 bytes a cell
+    crowd = TILE + 4 * int(crowds.sum(dtype=np.uint64)) // wide
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        load = loads.value
-        for b in batches:
+        load, heavy = loads.value
+        for b in _parts(batches):
             n, s1, s2, bits, keys, salts = [], [], [], [], [], []
             with np.errstate(over="ignore"):
                 for s in shingle_sets(b.column("text").to_pylist(), k):
@@ -198,9 +216,11 @@ def signatures(docs: DataFrame, sketch: np.ndarray, k: int, percent: int) -> Dat
                     bits.append(np.packbits(sig).view(np.int64))
                     take = prefix_length(len(s), percent) if len(s) else 0
                     own = load[(s % np.uint64(cells)).astype(np.int64)]
-                    first = np.lexsort((s, own))[:take]
+                    held = heavy[(s % np.uint64(wide)).astype(np.int64)].astype(np.int64)
+                    # full counters are told apart by the wide ones
+                    first = np.lexsort((s, np.where(own < 255, 0, held), own))[:take]
                     keys.append(s[first].view(np.int64))
-                    parts = own[first].astype(np.int64) // crowd + 1
+                    parts = held[first] // crowd + 1
                     salts.append((int(a >> np.uint64(11)) % parts).astype(np.int32) + np.where(parts > 1, 1, 0))
             yield pa.RecordBatch.from_arrays(
                 [b.column("row_no"), b.column("doc_id"), pa.array(n, pa.int64()), _signed(np.array(s1, np.uint64)),
@@ -217,8 +237,8 @@ def full_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
     marks = docs.sparkSession.sparkContext.broadcast(np.packbits(id_marks(ids)))  # fixed size: MARKS bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked = np.unpackbits(marks.value).astype(bool)
-        for b in batches:
+        asked = np.unpackbits(marks.value).view(bool)
+        for b in _parts(batches):
             b = b.filter(b.column("doc_id").is_valid())
             b = b.filter(pa.array(asked[_cell(b.column("doc_id").to_numpy(zero_copy_only=False))], pa.bool_()))
             sets = [s.view(np.int64) for s in shingle_sets(b.column("text").to_pylist(), k)]
@@ -241,10 +261,18 @@ def size_band(n: Column, percent: int) -> Column:
     return F.floor(F.log(n.cast("double")) / float(np.log(100 / percent)) + 1e-9).cast("int")
 
 
-def exact_links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sorted shingle arrays intersect enough, as u, v."""
-    both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
-            .join(sets.select(F.col("node").alias("b"), F.col("items").alias("y")), "b"))
+def exact_links(pairs: DataFrame, sets: DataFrame, percent: int, small: int = SMALL_PAIRS) -> DataFrame:
+    """The pairs (a, b) whose sorted shingle arrays intersect enough, as u, v.
+
+    ``pairs`` is a written table; where it is counted small, it is broadcast to
+    the sets, so that a set is shuffled once for each of its pairs and no other set at all.
+    """
+    x = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
+    y = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
+    if pairs.count() <= small:  # at most `small` rows of two numbers
+        y = y.join(F.broadcast(pairs.select("b").distinct()), "b", "left_semi")
+        pairs = F.broadcast(pairs)
+    both = x.join(pairs, "a").join(y, "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -283,7 +311,8 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     spark = docs.sparkSession
     prepare(spark)
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("binary").alias("text"))
-    prints = cut_lineage(signatures(texts, count_sketch(texts, k, cells), k, percent), "jaccard-prints")
+    order, crowds = count_sketches(texts, k, [(cells, "u1"), (CROWDS, "u4")])
+    prints = cut_lineage(signatures(texts, order, crowds, k, percent), "jaccard-prints")
     digest = ["s1", "s2", "n_shingles"]
     named = prints.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = cut_lineage(named.groupBy(*digest).agg(F.min(F.struct("doc_id", "row_no")).alias("r"))
@@ -323,7 +352,7 @@ def _link_classes(texts: DataFrame, classes: DataFrame, k: int, percent: int) ->
         pairs = cut_lineage(pairs, "jaccard-pairs")
         ids = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         ids = ids if sets is None else ids.join(sets.select("node"), "node", "left_anti")
-        new = cut_lineage(full_sets(texts, ids, k).dropDuplicates(["node"]), "jaccard-sets")
+        new = cut_lineage(full_sets(texts, ids, k), "jaccard-sets")
         sets = new if sets is None else sets.unionByName(new)
         return cut_lineage(exact_links(pairs, sets, percent), "jaccard-links")
 
