@@ -69,6 +69,10 @@ def decode(bpe: Bpe, ids: list[int]) -> str:
     return " ".join(bpe.tokens[i] for i in ids)
 
 
+# Longer chunks and pre-tokens are computed each time: at most about 500 bytes a remembered entry.
+LONG = 64
+
+
 class Codec:
     """Encoder and decoder with a bounded memory by chunk."""
 
@@ -80,20 +84,26 @@ class Codec:
     def encode(self, chunk: str) -> list[int]:
         """Ids of one chunk; its pre-tokens are often known from other chunks."""
         pre = self.bpe.pre_tokens(chunk)
-        for p in self.parts.missing({p for p in pre if isinstance(p, bytes)}):
+        long: dict[bytes, list[int]] = {}
+        for p in self.parts.missing({p for p in pre if isinstance(p, bytes) and len(p) <= LONG}):
             self.parts.young[p] = merge(self.bpe.symbols(p), self.bpe.merges)
-        return [i for p in pre for i in (self.parts.young[p] if isinstance(p, bytes) else (p,))]
+        young = self.parts.young
+        for p in pre:
+            if isinstance(p, bytes) and len(p) > LONG and p not in long:
+                long[p] = merge(self.bpe.symbols(p), self.bpe.merges)
+        return [i for p in pre for i in ((young.get(p) or long[p]) if isinstance(p, bytes) else (p,))]
 
     def pieces(self, text: str) -> list[tuple[bytes, str]]:
         """Per chunk with tokens: ids as little-endian uint32, decoded string."""
         chunks = self.bpe.chunks(text)
         need = self.memo.missing(set(chunks))
-        young = self.memo.young
+        young, long = self.memo.young, {}
         for c in need:
             ids = self.encode(c)
-            young[c] = (np.array(ids, "<u4").tobytes(), decode(self.bpe, ids))
-        get = young.__getitem__
-        return [p for p in map(get, chunks) if p[0]]
+            # only short chunks are remembered, so the memory is bounded in bytes too
+            (young if len(c) <= LONG else long)[c] = (np.array(ids, "<u4").tobytes(), decode(self.bpe, ids))
+        found = [young.get(c) or long[c] for c in chunks] if long else map(young.__getitem__, chunks)
+        return [p for p in found if p[0]]
 
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(b"".join(p[0] for p in self.pieces(text)), "<u4")
@@ -114,7 +124,7 @@ def _rows(docs: DataFrame, tokenizer_path: str, memo: int, make, schema: str) ->
     return narrow.mapInArrow(run, schema)
 
 
-def encode(docs: DataFrame, tokenizer_path: str, memo: int = 400_000) -> DataFrame:
+def encode(docs: DataFrame, tokenizer_path: str, memo: int = 150_000) -> DataFrame:
     """Token ids of every whole text, and their decoded text's digest.
 
     Result: doc_id, n_tokens, input_ids array<int>, decoded_sha256. NULL and empty texts give an empty list; NULL doc_ids stay; repeated rows

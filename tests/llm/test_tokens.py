@@ -54,3 +54,11 @@ def test_odd_strings():
     assert token_counts.Counter(RAW, 50).counts(texts, group=20) == [len(w) for w in want]  # memory turns over
     codec = bpe_codec.Codec(RAW, 50)
     assert [codec.ids(t).tolist() for t in texts] == want
+
+
+def test_long_chunks_are_not_remembered():
+    codec = bpe_codec.Codec(RAW, 1000)
+    texts = ["x" * 5000, "\u65e5\u672c\u8a9e" * 100, "short words and " + "y" * 70, "a" * 64 + " " + "b" * 65]
+    for t in texts * 2:
+        assert codec.ids(t).tolist() == LIBRARY.encode(t, add_special_tokens=False).ids
+    assert max(map(len, codec.memo.young)) <= bpe_codec.LONG and max(map(len, codec.parts.young)) <= bpe_codec.LONG
