@@ -1,8 +1,10 @@
 """Document fingerprints by Order MinHash over word k-mers.
 
-A text's k-mers are numbered by occurrence and hashed once. The hash range is
-cut into bins; each bin keeps its smallest hashes, puts them back into text
-order and hashes that tuple. Texts share a tuple if they share the k-mers in
+A text's k-mers are numbered by occurrence and hashed once. Tuple t takes the
+k-mers with the smallest hashes under its own hash function, the common hash
+less t times a fixed step modulo 2^64 (circulant minima), puts them back into
+text order and hashes them. Each tuple so is an Order MinHash of the whole
+text, however short it is. Texts share a tuple if they share the k-mers in
 the same order, so moved passages count, unlike with sets of k-mers.
 """
 
@@ -19,7 +21,8 @@ KEEP = 2       # k-mers a tuple
 
 
 def _bin(h: Column, bins: int) -> Column:
-    return F.shiftrightunsigned(h, 64 - (bins.bit_length() - 1))
+    """Which step a hash lies behind, 0 to ``bins`` - 1; rises with the signed hash."""
+    return (F.shiftright(h, 64 - (bins.bit_length() - 1)) + bins // 2).cast("int")
 
 
 def _numbered(h: Column) -> Column:
@@ -46,7 +49,12 @@ def _numbered(h: Column) -> Column:
 
 
 def tuples(text: Column, k: int = K, bins: int = BINS, keep: int = KEEP) -> Column:
-    """Array of "bin:tuple hash" strings of a text (NULL: the empty text)."""
+    """Array of "tuple number, tuple hash" strings of a text (NULL: the empty text).
+
+    Tuple t holds the two hashes that follow step t on the circle of hashes,
+    which are the two smallest of hash - step modulo 2^64. A text with one
+    k-mer has that alone in each tuple; one without words has no tuples.
+    """
     if keep != 2:
         raise ValueError("tuples hold two k-mers")
     words = words_of(text)
@@ -59,26 +67,29 @@ def tuples(text: Column, k: int = K, bins: int = BINS, keep: int = KEEP) -> Colu
         return F.when(F.size(w) == 0, F.array().cast("array<bigint>")).when(F.size(w) < k, few).otherwise(many)
 
     def chosen(h: Column) -> Column:
-        # sorted, a bin's hashes lie together and ascend: its first two differ in bin from the second last
+        # the first two hashes between two steps: no tuple takes another one
         least = let(F.sort_array(h), lambda s: F.filter(s, lambda x, i: F.coalesce(
-            _bin(x.bitwiseXOR(F.get(s, i - 2)), bins) != 0, F.lit(True))))
-        # the first array's order, so the text's
-        return let(F.array_intersect(h, least), in_bins)
-
-    def in_bins(t: Column) -> Column:
-        # bin and place in one number: a bin's one or two places follow each other in text order
-        places = F.sort_array(F.transform(t, lambda x, i: _bin(x, bins) * (2 * bins) + i))
-
-        def pick(q: Column) -> Column:
-            b = lambda p: F.shiftright(p, bins.bit_length())
-            x = lambda p: F.get(t, p.bitwiseAND(2 * bins - 1).cast("int"))
-            return F.filter(F.transform(q, lambda p, j: F.when(
-                (j == 0) | (b(F.get(q, j - 1)) != b(p)),
-                F.concat(F.lpad(F.hex(b(p)), 2, "0"), F.lpad(F.hex(F.when(
-                    b(F.get(q, j + 1)) == b(p), F.xxhash64(x(p), x(F.get(q, j + 1)))).otherwise(
-                    F.xxhash64(x(p))).bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")))), lambda v: v.isNotNull())
-
-        return let(places, pick)
+            _bin(x, bins) != _bin(F.get(s, i - 2), bins), F.lit(True))))
+        return let(least, lambda q: let(F.array_intersect(h, q), lambda t: let(
+            F.transform(q, lambda x: F.array_position(t, x)), lambda at: picked(q, at))))
+
+    def picked(q: Column, at: Column) -> Column:
+        """Tuples from the sorted hashes ``q`` and their places ``at`` in the text's order."""
+        own = lambda i: _bin(F.get(q, i), bins)
+        # the first hash behind each step; behind the last hash the circle goes on with the first
+        first = F.concat(
+            F.flatten(F.transform(q, lambda x, i: F.array_repeat(
+                i, _bin(x, bins) - F.coalesce(own(i - 1), F.lit(-1))))),
+            F.array_repeat(F.lit(0), bins - 1 - own(F.size(q) - 1)))
+
+        def one(i: Column, t: Column) -> Column:
+            j = F.when(i + 1 < F.size(q), i + 1).otherwise(F.lit(0))
+            a, b = F.get(q, i), F.get(q, j)
+            both = F.when(i == j, F.xxhash64(a)).when(F.get(at, i) < F.get(at, j), F.xxhash64(a, b)).otherwise(
+                F.xxhash64(b, a))
+            return F.concat(F.lpad(F.hex(t), 2, "0"), F.lpad(F.hex(both.bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0"))
+
+        return F.when(F.size(q) == 0, F.array().cast("array<string>")).otherwise(F.transform(first, one))
 
     return let(words, lambda w: let(kmers(w), lambda h: let(
         F.when(F.size(F.array_distinct(h)) == F.size(h), h).otherwise(_numbered(h)), chosen)))
@@ -87,46 +98,87 @@ def tuples(text: Column, k: int = K, bins: int = BINS, keep: int = KEEP) -> Colu
 def likeness(a: Column, b: Column, keep: int = KEEP) -> Column:
     """Estimated share of common ordered k-mers, 0 to 1.
 
-    Equal tuples over bins that either text fills; as a tuple agrees only if
-    all its k-mers do, the ``keep``-th root brings it to the scale of single
-    k-mers. Two texts without words are alike (1).
+    Share of equal tuples; as a tuple agrees only if all its k-mers do, the
+    ``keep``-th root brings it to the scale of single k-mers. Two texts
+    without words are alike (1), one without words is like no other (0).
     """
-    bins = lambda t: F.transform(t, lambda x: F.substring(x, 1, 2))
-    either = F.size(F.array_union(bins(a), bins(b)))
+    either = F.greatest(F.size(a), F.size(b))
     return F.when(either == 0, F.lit(1.0)).otherwise(
         F.pow(F.size(F.array_intersect(a, b)) / either, F.lit(1.0 / keep)))
 
 
-def with_next(docs: DataFrame, own: Column, groups: int | None = None) -> DataFrame:
-    """doc_id, text, own, next_text, next_own: text and ``own`` (a column of
-    the text) of each document and of the next in ascending doc_id order.
+def ranges(docs: DataFrame, groups: int | None = None) -> DataFrame:
+    """doc_id, text, hash, row_no and ``grp``, a struct that rises with doc_id.
 
-    The last document is followed by the first. Documents are cut into ranges
-    of doc_id by approximate quantiles (any cut gives the same result), each
-    range is one window group, and a copy of each range's first row closes
-    the range before it. NULL doc_ids come last; equal doc_ids follow the
-    order of their texts.
+    Documents are cut into ranges of doc_id by approximate quantiles. NULL
+    doc_ids come last; equal doc_ids follow the order of their texts' hashes.
+    A doc_id (or NULL) with far more rows than a range is a range of its own,
+    cut further by its texts' hashes, and rows equal in both, whose order
+    cannot matter, by their place in the input.
     """
     spark = docs.sparkSession
-    base = docs.select(docs["doc_id"].cast("long").alias("doc_id"),
-                       F.coalesce(docs["text"], F.lit("")).alias("text"), own.alias("own"))
+    base = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.coalesce(docs["text"], F.lit("")).alias("text"))
     groups = groups or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = base.agg(F.percentile_approx("doc_id", [i / groups for i in range(1, groups)], 10 * groups)).first()[0]
-    cuts = sorted(set(cuts or []))  # at most `groups` numbers
-    above = F.aggregate(F.lit(cuts).cast("array<bigint>"), F.lit(0),
-                        lambda n, c: n + (F.col("doc_id") >= c).cast("int")) if cuts else F.lit(0)
-    ranged = base.withColumn("grp", F.when(F.col("doc_id").isNull(), F.lit(len(cuts) + 1)).otherwise(above))
-    # one row per range, at most groups + 1; which of them follow depends on the ranges that have rows
-    heads = ranged.groupBy("grp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id")).alias("o"),
-                                      F.min_by(F.struct("text", "own"), F.struct(
-                                          F.col("doc_id").isNull(), "doc_id", "text")).alias("head"))
+    cuts, total = base.agg(F.percentile_approx("doc_id", [i / groups for i in range(1, groups)], 10 * groups),
+                           F.count(F.lit(1))).first()
+    many = 4 * total // groups + 1000
+    # at most groups / 4 doc_ids have so many rows
+    hot = [r["doc_id"] for r in base.groupBy("doc_id").count().where(F.col("count") > many).collect()]
+    cuts = sorted({*(cuts or []), *(x + d for x in hot if x is not None for d in (0, 1) if x + d < 1 << 63)})
+    steps = [1 << i for i in reversed(range(len(cuts).bit_length()))]
+    # binary search for the number of cuts at or below the doc_id
+    cut = F.lit(cuts).cast("array<bigint>")
+    above = F.aggregate(F.lit(steps), F.lit(0), lambda n, step: F.when(
+        F.get(cut, n + step - 1) <= F.col("doc_id"), n + step).otherwise(n)) if cuts else F.lit(0)
+    base = base.withColumn("hash", F.xxhash64("text")).withColumn("row_no", F.monotonically_increasing_id())
+    apart, rows_apart = F.lit(False), F.lit(False)
+    if hot:
+        apart = F.col("doc_id").isin([x for x in hot if x is not None]) if hot != [None] else F.lit(False)
+        apart = F.coalesce(apart, F.lit(None in hot))
+        twins = [r["hash"] for r in base.where(apart).groupBy("doc_id", "hash").count()
+                 .where(F.col("count") > many).collect()]  # again at most groups / 4
+        if twins:
+            rows_apart = apart & F.col("hash").isin(twins)
+    top = max(groups.bit_length(), 1)
+    # ranges in order: by doc_id, within a hot one by the hash's leading bits, within equal rows by place
+    place = F.struct(
+        F.when(F.col("doc_id").isNull(), F.lit(len(cuts) + 1)).otherwise(above).alias("r"),
+        F.when(rows_apart, F.col("hash")).when(apart, F.shiftleft(F.shiftright("hash", 64 - top), 64 - top))
+        .otherwise(F.lit(0).cast("long")).alias("h"),
+        F.when(rows_apart, F.lit(1)).otherwise(F.lit(0)).alias("t"),
+        F.when(rows_apart, F.shiftright("row_no", 33)).otherwise(F.lit(0).cast("long")).alias("p"))
+    ranged = base.withColumn("grp", place)
+    # hashes above a split-off one in the same leading bits would come before it: they go by its side
+    if hot and twins:
+        bound = F.lit(sorted(twins)).cast("array<bigint>")
+        below = F.aggregate(bound, F.lit(None).cast("long"), lambda s, x: F.when(
+            (x < F.col("hash")) & (F.shiftright(x, 64 - top) == F.shiftright("hash", 64 - top)), x).otherwise(s))
+        moved = F.struct(F.col("grp.r").alias("r"), F.coalesce(below, F.col("grp.h")).alias("h"),
+                         F.when(below.isNull(), F.lit(0)).otherwise(F.lit(2)).alias("t"), F.col("grp.p").alias("p"))
+        ranged = ranged.withColumn("grp", F.when(apart & ~rows_apart, moved).otherwise(F.col("grp")))
+    return ranged
+
+
+def with_next(docs: DataFrame, own=lambda text: text, groups: int | None = None) -> DataFrame:
+    """doc_id, text, own, next_text, next_own: text and ``own(text)`` of each
+    document and of the next in ascending doc_id order.
+
+    The last document is followed by the first. Each of the ``ranges`` is one
+    window group, and a copy of each range's first row closes the range before
+    it, so any cut gives the same result.
+    """
+    ranged = ranges(docs, groups)
+    # one row per range; which of them follow depends on the ranges that have rows
+    heads = ranged.groupBy("grp").agg(F.min_by("text", F.struct(
+        F.col("doc_id").isNull(), "doc_id", "hash", "row_no")).alias("text"))
     order = Window.orderBy("grp")
     back = Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ghosts = heads.select(
         F.coalesce(F.lag("grp").over(order), F.max("grp").over(back)).alias("grp"),
-        F.lit(None).cast("long").alias("doc_id"), "head.text", "head.own", F.lit(True).alias("ghost"))
-    every = ranged.withColumn("ghost", F.lit(False)).unionByName(ghosts)
-    inside = Window.partitionBy("grp").orderBy("ghost", F.col("doc_id").asc_nulls_last(), "text")
+        F.lit(None).cast("long").alias("doc_id"), "text", F.lit(None).cast("long").alias("hash"),
+        F.lit(None).cast("long").alias("row_no"), F.lit(True).alias("ghost"))
+    every = ranged.withColumn("ghost", F.lit(False)).unionByName(ghosts).withColumn("own", own(F.col("text")))
+    inside = Window.partitionBy("grp").orderBy("ghost", F.col("doc_id").asc_nulls_last(), "hash", "row_no")
     return (every.withColumn("next_text", F.lead("text").over(inside))
             .withColumn("next_own", F.lead("own").over(inside)).where(~F.col("ghost"))
             .select("doc_id", "text", "own", "next_text", "next_own"))
@@ -149,7 +201,7 @@ def edited_fingerprints(docs: DataFrame, k: int = K, bins: int = BINS) -> DataFr
     ignored. Texts move once, by range of doc_id.
     """
     prepare(docs.sparkSession)
-    rows = with_next(docs, tuples(docs["text"], k, bins))
+    rows = with_next(docs, lambda text: tuples(text, k, bins))
     n = F.length("text")
     edited = F.concat(F.substring("text", F.lit(1), n - F.floor(n / 4).cast("int")),
                       F.substring("next_text", F.lit(1), F.floor(n / 4).cast("int")))
