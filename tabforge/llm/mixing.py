@@ -121,7 +121,7 @@ def _mixed(docs: DataFrame, weights: tuple[int, ...], cap: int, seed: int, row_n
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     whole = F.floor(ratio + EPS)
     rows = (base.join(targets, base["source"].eqNullSafe(targets["source"])).drop(targets["source"])
-            .join(many, "doc_id", "left")
+            .join(many, base["doc_id"].eqNullSafe(many["doc_id"]), "left").drop(many["doc_id"])
             .withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "size",
                                         F.when(F.col("often"), F.col("row_no"))))
             .withColumn("base", F.when(F.col("size") > 0, whole).otherwise(F.lit(0)).cast("long"))
@@ -146,6 +146,9 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, see
     source, the last; repeated rows are rounded one by one; an empty table
     gives an empty result; further columns are ignored. Equal inputs with
     equal rows give equal results: the randomness is a hash of row and seed.
+    Only rows of a doc_id (or NULL) that more than ``BUCKET`` / 8 rows share
+    also hash their place in the input, so which of them are taken may change
+    with its partitions; how many does not.
     """
     return _mixed(docs, weights, cap, seed).drop("row_no")
 
