@@ -2,8 +2,8 @@
 
 Records hash into a fixed number of virtual slots. Bytes and rows are summed
 per slot, and a small map (one row per slot, with a version) says which shard
-holds a slot. Rebalancing writes a new version that moves few slots; records
-never change their slot.
+holds a slot. Rebalancing writes a new version that moves few slots; it never
+changes a record's virtual slot.
 """
 
 from __future__ import annotations
@@ -24,8 +24,11 @@ MAP_SCHEMA = "version int, virtual_slot int, shard int, bytes long, n_rows long,
 def records(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     """doc_id, size, text_crc32, virtual_slot per row, written once.
 
-    A slot far above the mean can only come from a doc_id that repeats; its
-    rows are dealt by row number over as many further slots.
+    A slot far above the mean in rows, or in bytes with more rows than one,
+    comes from a doc_id (or NULL) that repeats, or from very long texts; its
+    rows are dealt by row number over as many further slots, so their places
+    may change with the partitions of the input. All other rows' slots follow
+    from doc_id alone.
     """
     text = F.coalesce(docs["text"], F.lit(""))
     base = docs.select(
@@ -36,9 +39,9 @@ def records(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
         F.monotonically_increasing_id().alias("row_no"),
     )
     base = cut_lineage(base, "shard-records")
-    per = base.groupBy("virtual_slot").agg(F.count(F.lit(1)).alias("n")).collect()  # at most `slots` rows
-    mean = sum(r["n"] for r in per) / slots
-    hot = [r["virtual_slot"] for r in per if r["n"] > 8 * mean + 1000]
+    per = slot_sizes(base)  # at most `slots` rows
+    rows, weight = (sum(x[i] for x in per) / slots for i in (2, 1))
+    hot = [s for s, size, n in per if n > 8 * rows + 1000 or n > 1 and size > 8 * weight + (1 << 20)]
     if hot:
         spread = (F.lit(slots) + F.pmod(F.xxhash64("doc_id", "row_no"), F.lit(slots))).cast("int")
         base = base.withColumn("virtual_slot", F.when(F.col("virtual_slot").isin(hot), spread)
@@ -104,14 +107,33 @@ def map_rows(mapping: dict[int, int], sizes: list[tuple[int, int, int]], version
 
 
 def write_map(spark: SparkSession, rows: list[tuple]) -> DataFrame:
-    """Store one version of the map in the shared folder and read it back."""
+    """Store map versions in the shared folder and read them back."""
     return cut_lineage(spark.createDataFrame(rows, MAP_SCHEMA).coalesce(1), "shard-map")
 
 
-def place(recs: DataFrame, mapping: DataFrame) -> DataFrame:
-    """shard and gapless ``slot`` (place in the shard, from 0) of each record."""
+def read_map(mapping: DataFrame, version: int) -> tuple[dict[int, int], list[tuple[int, int, int]]]:
+    """One stored version: the slots' shards and their (slot, bytes, rows); bounded by the slots."""
+    rows = mapping.where(F.col("version") == version).collect()
+    return ({r["virtual_slot"]: r["shard"] for r in rows},
+            sorted((r["virtual_slot"], r["bytes"], r["n_rows"]) for r in rows))
+
+
+def edit_map(mapping: DataFrame, shards: int, tolerance: float = 0.01) -> DataFrame:
+    """All stored versions and the next one, the latest rebalanced to ``shards`` shards, stored anew."""
+    latest = mapping.agg(F.max("version")).first()[0]
+    if latest is None:
+        return mapping
+    old, sizes = read_map(mapping, latest)
+    rows = map_rows(rebalance(old, sizes, shards, tolerance), sizes, latest + 1)
+    spark = mapping.sparkSession
+    return cut_lineage(mapping.unionByName(spark.createDataFrame(rows, MAP_SCHEMA)).coalesce(1), "shard-map")
+
+
+def place(recs: DataFrame, mapping: DataFrame, version: int) -> DataFrame:
+    """shard and gapless ``slot`` (place in the shard, from 0) of each record by one map version."""
     # the map has at most twice the fixed number of slots
-    joined = recs.join(F.broadcast(mapping.drop("bytes", "n_rows")), "virtual_slot")
+    current = mapping.where(F.col("version") == version).drop("bytes", "n_rows")
+    joined = recs.join(F.broadcast(current), "virtual_slot")
     within = Window.partitionBy("virtual_slot").orderBy("doc_id", "text_crc32", "size", "row_no")
     return joined.withColumn("slot", F.col("first_slot") + F.row_number().over(within) - 1)
 
@@ -122,20 +144,23 @@ def shard_documents(docs: DataFrame, shards: int = 8, slots: int = SLOTS) -> Dat
     Law ``bytes``: size is the text's UTF-8 bytes plus 1 (NULL text: 1).
     Result: doc_id, size, text_crc32 (NULL text: 0), law, shard, slot (place
     in the shard, 0, 1, ... without gaps), grown_shard (NULL under this law),
-    virtual_slot, map_version. Repeated rows get places of their own; NULL
-    doc_ids share a slot; an empty table gives an empty result; further
-    columns are ignored. Only narrow rows are shuffled, by virtual slot.
+    virtual_slot, map_version, next_shard (by the stored map's next version,
+    edited for one more shard: only moved slots differ, and move into it or
+    to a lighter shard). Repeated rows get places of their own; an empty
+    table gives an empty result; further columns are ignored. Only narrow
+    rows are shuffled, by virtual slot.
     """
     spark = docs.sparkSession
     prepare(spark)
     recs = records(docs, slots)
     sizes = slot_sizes(recs)
-    mapping = write_map(spark, map_rows(assign(sizes, shards), sizes, 1))
+    mapping = edit_map(write_map(spark, map_rows(assign(sizes, shards), sizes, 1)), shards + 1)
+    following = mapping.where("version = 2").select("virtual_slot", F.col("shard").alias("next_shard"))
     null: Column = F.lit(None).cast("int")
-    return place(recs, mapping).select(
+    return place(recs, mapping, 1).join(F.broadcast(following), "virtual_slot").select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
         F.col("slot").cast("long").alias("slot"), null.alias("grown_shard"),
-        "virtual_slot", F.col("version").alias("map_version"))
+        "virtual_slot", F.col("version").alias("map_version"), "next_shard")
 
 
 def shard_spread(placed: DataFrame) -> DataFrame:

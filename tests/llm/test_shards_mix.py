@@ -25,10 +25,17 @@ def test_shards_small(small):
     docs = [(r.doc_id, r.text) for r in small.collect()]
     rows = shards.shard_documents(small).collect()
     check_shards(rows, docs)
-    load = Counter()
+    load, grown, homes = Counter(), Counter(), {}
     for r in rows:
         load[r.shard] += r["size"]
     assert shards.near_equal([load[s] for s in range(8)], 0.03)
+    # the edited map: nine near equal shards, few records moved, whole virtual slots at a time
+    for r in rows:
+        grown[r.next_shard] += r["size"]
+        homes.setdefault(r.virtual_slot, set()).add((r.shard, r.next_shard))
+    assert shards.near_equal([grown[s] for s in range(9)], 0.03) and len(grown) == 9
+    assert all(len(h) == 1 for h in homes.values())
+    assert sum(r["size"] for r in rows if r.next_shard != r.shard) <= 0.15 * sum(load.values())
     again = shards.shard_documents(small.repartition(3)).collect()
     assert {(r.doc_id, r.shard, r.slot) for r in rows} == {(r.doc_id, r.shard, r.slot) for r in again}
 
@@ -46,6 +53,32 @@ def test_hot_key_is_spread(spark):
     assert max(load.values()) <= 1.05 * 30_000 / 8
 
 
+def test_heavy_texts_without_an_id_are_spread(spark):
+    """Few rows of many bytes in one slot go to further slots too."""
+    docs = spark.range(2000).selectExpr("CASE WHEN id < 400 THEN NULL ELSE id END AS doc_id",
+                                        "repeat('x', CASE WHEN id < 400 THEN 20000 ELSE 10 END) AS text")
+    rows = shards.shard_documents(docs).collect()
+    check_shards(rows, [(r.doc_id, r.text) for r in docs.collect()])
+    load = Counter()
+    for r in rows:
+        load[r.shard] += r["size"]
+    assert shards.near_equal([load[s] for s in range(8)], 0.05)
+
+
+def test_map_versions_are_kept(spark):
+    sizes = [(i, 50 + i % 5, 1 + i % 3) for i in range(64)]
+    stored = shards.write_map(spark, shards.map_rows(shards.assign(sizes, 4), sizes, 1))
+    grown = shards.edit_map(stored, 5)
+    assert shards.read_map(grown, 1) == shards.read_map(stored, 1)
+    mapping, same = shards.read_map(grown, 2)
+    assert same == sizes and mapping == shards.rebalance(shards.assign(sizes, 4), sizes, 5)
+    recs = spark.range(64).selectExpr("id AS doc_id", "id AS size", "id AS text_crc32",
+                                      "CAST(id AS INT) AS virtual_slot", "id AS row_no")
+    for version in (1, 2):
+        placed = shards.place(recs, grown, version).collect()
+        assert {r.virtual_slot: r.shard for r in placed} == shards.read_map(grown, version)[0]
+
+
 def test_rebalance_moves_little():
     sizes = [(i, 100 + i % 7, 1) for i in range(512)]
     first = shards.assign(sizes, 8)
@@ -123,3 +156,19 @@ def test_mix_nasty_and_empty(nasty, empty):
 def test_mix_repeated_rows(spark):
     docs = spark.range(4000).selectExpr("1 AS doc_id", "'a b c' AS text", "concat('s', id % 2) AS source")
     check_mix(mixing.mix(docs).collect(), [(r.doc_id, r.text, r.source) for r in docs.collect()], lambda s: 3)
+
+
+def test_mix_rows_without_ids_stay_in_bounded_groups(spark, monkeypatch):
+    """Equal rows without a doc_id, or of one, do not meet in one group."""
+    seen = []
+    real = mixing.cut_lineage
+    def watched(df, name):
+        out = real(df, name)
+        if name.startswith("mix-level"):
+            seen.append(out.selectExpr("max(size(f.done))").first()[0])
+        return out
+    monkeypatch.setattr(mixing, "cut_lineage", watched)
+    docs = spark.range(24_000).selectExpr("CASE WHEN id < 16000 THEN NULL WHEN id < 20000 THEN 5 ELSE id END AS doc_id",
+                                          "'a b c' AS text", "concat('s', id % 2) AS source")
+    check_mix(mixing.mix(docs).collect(), [(r.doc_id, r.text, r.source) for r in docs.collect()], lambda s: 3)
+    assert max(seen) <= 640
