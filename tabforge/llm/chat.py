@@ -29,6 +29,9 @@ ESC = "\x1a"
 # every ESC of an escaped text is followed by 0 (a real one) or 1 (put into a control string)
 _CONTROL = re.compile("|".join(re.escape(c) for c in sorted(CONTROL, key=len, reverse=True)))
 _ESCAPED = re.compile(ESC + "([01])")
+# the tokenizer's pattern backtracks over a run of white space and overflows near a million characters
+RUN = 10_000
+_LONG_GAP = re.compile(r"(?<!\s)\s{%d,}" % (RUN + 1))
 
 TURN_SCHEMA = ("conv_id long, turn_no long, role string, input_ids array<int>, loss_mask array<byte>, "
                "first_token long, formatted string")
@@ -64,17 +67,33 @@ def encoding(raw: bytes):
     return _ENCODINGS[key]
 
 
-def turn_tokens(enc, role: str, text: str, learn: bool) -> tuple[np.ndarray, np.ndarray, str]:
-    """Ids, loss mask and rendered string of one turn."""
-    marks = [enc.encode_single_token(m) for m in MARKERS]
-    who, what = escape(role), escape(text)
-    a, b = enc.encode_ordinary(who), enc.encode_ordinary(what)
-    ids = np.array([marks[0], *a, marks[1], *b, marks[2]], np.int32)
+def encode(enc, text: str) -> list[int]:
+    """Ids of a text; every ``RUN`` characters inside a longer run of white space end a piece."""
+    ids, start = [], 0
+    for gap in _LONG_GAP.finditer(text):
+        for cut in range(gap.start() + RUN, gap.end(), RUN):
+            ids += enc.encode_ordinary(text[start:cut])
+            start = cut
+    return ids + enc.encode_ordinary(text[start:])
+
+
+def turn_ids(enc, role: str, text: str) -> np.ndarray:
+    """Ids of one turn: role and text, escaped and encoded apart, between the markers."""
+    turn, says, end = (enc.encode_single_token(m) for m in MARKERS)
+    return np.array([turn, *encode(enc, escape(role)), says, *encode(enc, escape(text)), end], np.int32)
+
+
+def loss_mask(ids: np.ndarray, says: int, learn: bool) -> np.ndarray:
+    """1 on the text's tokens of a turn to learn from, by prefix sums of marks at its borders."""
     edges = np.zeros(len(ids) + 1, np.int8)
     if learn:
-        edges[len(a) + 2] += 1
-        edges[len(a) + 2 + len(b)] -= 1
-    return ids, np.cumsum(edges[:-1], dtype=np.int8), TURN + who + SAYS + what + END
+        edges[np.argmax(ids == says) + 1] += 1
+        edges[len(ids) - 1] -= 1
+    return np.cumsum(edges[:-1], dtype=np.int8)
+
+
+def rendered(role: str, text: str) -> str:
+    return TURN + escape(role) + SAYS + escape(text) + END
 
 
 def _broadcast(df: DataFrame, path: str):
@@ -91,8 +110,11 @@ def format_turns(turns: DataFrame, tokenizer_path: str, learn_role: str = "assis
     formatted (the rendered turn). A conversation is its rows in order of
     turn_no. NULL role or text: empty; NULL conv_ids are one conversation;
     NULL turns come first; repeated rows stay; further columns are ignored.
-    Turns are encoded where they are; one shuffle brings conversations
-    together, and a task passes through its sorted rows holding one batch.
+    Turns are encoded where they are read, before the one shuffle that brings
+    conversations together; behind it a task passes through its sorted rows
+    holding one batch, and only numbers, masks and renders them. White space
+    of more than ``RUN`` characters in a row is encoded in pieces, whose ids
+    decode to the same text.
     """
     spark = turns.sparkSession
     prepare(spark)
@@ -100,27 +122,37 @@ def format_turns(turns: DataFrame, tokenizer_path: str, learn_role: str = "assis
     narrow = turns.select(
         turns["conv_id"].cast("long").alias("conv_id"), turns["turn"].cast("long").alias("turn"),
         F.coalesce(turns["role"], F.lit("")).alias("role"), F.coalesce(turns["text"], F.lit("")).alias("text"))
-    ordered = narrow.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoding(raw.value)
+        for b in batches:
+            ids = [turn_ids(enc, r, t) for r, t in zip(b.column("role").to_pylist(), b.column("text").to_pylist())]
+            yield pa.RecordBatch.from_arrays(
+                [*b.columns, pa.array(ids, pa.list_(pa.int32()))], names=[*b.schema.names, "input_ids"])
+
+    ordered = (narrow.mapInArrow(encoded, "conv_id long, turn long, role string, text string, input_ids array<int>")
+               .repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        says = encoding(raw.value).encode_single_token(SAYS)
         last, number, place = object(), 0, 0
         for b in batches:
             convs, roles, texts = (b.column(c).to_pylist() for c in ("conv_id", "role", "text"))
-            made = [turn_tokens(enc, r, t, r == learn_role) for r, t in zip(roles, texts)]
-            numbers, places = [], []
-            for c, (ids, _, _) in zip(convs, made):
+            column = b.column("input_ids")
+            flat, ends = column.flatten().to_numpy(), np.cumsum(column.value_lengths().to_numpy())
+            numbers, places, masks = [], [], []
+            for c, r, stop, start in zip(convs, roles, ends, [0, *ends[:-1]]):
                 if c != last:
                     last, number, place = c, 0, 0
                 numbers.append(number)
                 places.append(place)
+                masks.append(loss_mask(flat[start:stop], says, r == learn_role))
                 number += 1
-                place += len(ids)
+                place += int(stop - start)
             yield pa.RecordBatch.from_arrays(
-                [b.column("conv_id"), pa.array(numbers, pa.int64()), b.column("role"),
-                 pa.array([m[0] for m in made], pa.list_(pa.int32())),
-                 pa.array([m[1] for m in made], pa.list_(pa.int8())),
-                 pa.array(places, pa.int64()), pa.array([m[2] for m in made], pa.string())],
+                [b.column("conv_id"), pa.array(numbers, pa.int64()), b.column("role"), column,
+                 pa.array(masks, pa.list_(pa.int8())), pa.array(places, pa.int64()),
+                 pa.array([rendered(r, t) for r, t in zip(roles, texts)], pa.string())],
                 names=["conv_id", "turn_no", "role", "input_ids", "loss_mask", "first_token", "formatted"])
 
     return ordered.mapInArrow(run, TURN_SCHEMA)

@@ -56,6 +56,29 @@ def test_offsets_and_masks(spark):
         assert (sum(r.loss_mask) > 0) == (r.role == "assistant")
 
 
+def test_very_long_runs(spark):
+    """A million blanks, letters or line ends in a turn are encoded and read back whole."""
+    long = [(1, i, "assistant" if i % 2 else "user", t, "x") for i, t in enumerate((
+        " " * 1_000_000, "a" * 1_000_000, "x" + "\n" * 300_000 + "y", "\t \u3000" * 100_000 + "z"))]
+    rows = chat.read_back(chat.format_turns(spark.createDataFrame(long, TURNS), PATH), PATH).collect()
+    assert {tuple(r)[:5] for r in rows} == expected(long)
+
+
+def test_shorter_runs_as_the_library():
+    with open(PATH, "rb") as f:
+        enc = chat.encoding(f.read())
+    for text in ("a" + " " * chat.RUN, " " * chat.RUN + "a", "a b  c \n d"):
+        assert chat.encode(enc, text) == enc.encode_ordinary(text)
+    gap = "a" + " " * (3 * chat.RUN + 5) + "b"
+    assert enc.decode(chat.encode(enc, gap)) == gap
+
+
+def test_turns_are_encoded_before_the_shuffle(spark):
+    plan = chat.format_turns(spark.createDataFrame(ROWS, TURNS), PATH)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 2
+    assert plan.index("MapInArrow") < plan.index("Exchange") < plan.rindex("MapInArrow")
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from([*chat.CONTROL, chat.ESC, "0", "1", "<", "|", "x", "é"])).map("".join))
 def test_escape_is_reversible(text):
