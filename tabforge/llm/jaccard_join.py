@@ -32,7 +32,9 @@ CROWDS = 1 << 20      # count sketch for crowded tiles: fixed size
 BLOCK = 1 << 14       # cells per sketch row
 MARKS = 1 << 24       # hash marks of asked-for documents: fixed size
 WORDS = 32            # 64-bit words of a bitmap signature
-FOLDS = 8             # words of the folded bitmap that tiles compare first
+FOLDS = 16            # words of the folded bitmap that tiles compare first
+LARGEST = 4           # tiles a class names, so that pairs meet in a named common one only
+BANDED = 32           # classes of a tile above which it is cut into size bands
 ROWS = 256            # rows of a batch that are prepared together
 SLICE = 1 << 20       # bytes of text prepared together in a task (a longer text goes alone)
 LOOKS = 512           # pairs a row that cost less to look at than another round of neighbours
@@ -342,6 +344,7 @@ def _link_classes(texts: DataFrame, classes: DataFrame, k: int, percent: int) ->
         .where("before IS NOT NULL OR next IS NOT NULL OR salt > 0").select("key", "salt", "node", "n"),
         "jaccard-shared")
     shared = cut_lineage(_widest(_distinct_tiles(shared)), "jaccard-tiles")
+    named = _largest(shared)
     sizes = cut_lineage(classes.select("node", "n", "bits").join(shared.select("node").distinct(), "node", "left_semi"),
                         "jaccard-bits")
     sets = None
@@ -382,7 +385,7 @@ def _link_classes(texts: DataFrame, classes: DataFrame, k: int, percent: int) ->
         last = bool(turn) and (cross <= LOOKS * left or cross > before / 2)
         before = cross
         if last:
-            pairs = bounded(_cross_pairs(rows, sizes, percent))
+            pairs = bounded(_cross_pairs(rows, sizes, named, percent))
         else:
             # by size first, then in random orders that differ from round to round
             order = [F.col("n"), F.col("node")] if not turn else [F.xxhash64(F.lit(turn), "node")]
@@ -430,20 +433,37 @@ def _heads(rows: DataFrame) -> DataFrame:
         F.min(F.struct("node", "n", "component")).alias("h")).select("key", "salt", "h.*")
 
 
-def _cross_pairs(rows: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+def _largest(rows: DataFrame, most: int = LARGEST) -> DataFrame:
+    """(node, named): the largest tiles of each class as structs (m, key), at most ``most``."""
+    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
+    order = Window.partitionBy("node").orderBy(F.desc("m"), F.desc("key"))
+    return (rows.select("key", "node").distinct().join(sizes, "key").withColumn("place", F.row_number().over(order))
+            .where(F.col("place") <= most).groupBy("node").agg(F.collect_list(F.struct("m", "key")).alias("named")))
+
+
+def _cross_pairs(rows: DataFrame, sizes: DataFrame, named: DataFrame, percent: int, distinct: bool = True) -> DataFrame:
     """All pairs of a tile in different components that size and bits allow.
 
     A tile's largest component never stands on the left, so its own pairs
-    (all connected already) are not met. Classes meet in size bands: each
-    stands in its own, and is a guest in the neighbouring ones.
+    (all connected already) are not met. Two classes that both name a larger
+    tile than this one meet there: the largest of all tiles that hold a pair
+    never leaves it to another. In tiles of more than ``BANDED`` classes,
+    these meet in size bands: each stands in its own, and is a guest in the
+    neighbouring ones.
     """
     per = rows.groupBy("key", "component").agg(F.count(F.lit(1)).alias("m"))
     main = per.groupBy("key").agg(F.max_by("component", F.struct("m", "component")).alias("main"))
+    # a tile is open with all its rows or none, so this counts what ``named`` has counted
+    sized = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
     # bitmaps folded to FOLDS words: a condition this short is compiled to machine code
     folds = [F.expr(" | ".join(f"bits[{j}]" for j in range(i, WORDS, FOLDS))).alias(f"w{i}") for i in range(FOLDS)]
-    full = (rows.select("key", "node", "n", "component").join(sizes.select("node", *folds), "node").join(main, "key")
-            .withColumn("band", size_band(F.col("n"), percent)).withColumn("in_main", F.col("component") == F.col("main")))
-    guest = full.withColumn("band", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)))
+    full = (rows.select("key", "node", "n", "component").join(main.join(sized, "key"), "key")
+            .join(sizes.select("node", *folds).join(named, "node"), "node")
+            .withColumn("larger", F.expr("transform(filter(named, t -> t.m > m OR (t.m = m AND t.key > key)), t -> t.key)"))
+            .withColumn("band", F.when(F.col("m") > BANDED, size_band(F.col("n"), percent)).otherwise(-2))
+            .withColumn("in_main", F.col("component") == F.col("main")).drop("m", "main", "named"))
+    bands = F.when(F.col("band") >= 0, F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).otherwise(F.array("band"))
+    guest = full.withColumn("band", F.explode(bands))
     x, y = full.where(~F.col("in_main")).alias("x"), guest.alias("y")
 
     def missing(p: str, q: str) -> str:
@@ -453,9 +473,10 @@ def _cross_pairs(rows: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
         AND (y.in_main OR y.n < x.n OR (y.n = x.n AND y.node < x.node))
         AND 100 * x.n >= {percent} * y.n AND 100 * y.n >= {percent} * x.n
         AND {100 + percent} * (x.n - {missing("x", "y")}) >= {percent} * (x.n + y.n)
-        AND {100 + percent} * (y.n - {missing("y", "x")}) >= {percent} * (x.n + y.n)""")
-    return x.join(y, meet).select(F.least("x.node", "y.node").alias("a"),
-                                  F.greatest("x.node", "y.node").alias("b")).distinct()
+        AND {100 + percent} * (y.n - {missing("y", "x")}) >= {percent} * (x.n + y.n)
+        AND NOT arrays_overlap(x.larger, y.larger)""")
+    met = x.join(y, meet).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+    return met.distinct() if distinct else met
 
 
 def keep_one(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:

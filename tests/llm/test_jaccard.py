@@ -118,3 +118,30 @@ def test_components_of_a_path(spark):
     edges = spark.range(n - 1).selectExpr("id + 1 AS u", "id AS v")
     assert {tuple(r) for r in components(edges).collect()} == {(i, 0) for i in range(n)}
     assert components(edges.where("false")).collect() == []
+
+
+def test_pairs_meet_once(spark):
+    """A pair in many tiles is looked at in the largest of them, whatever the size bands."""
+    tiles = [(k, 0, i, 100, i) for k in range(20) for i in range(6) if k < 10 or i < 4]
+    rows = spark.createDataFrame(tiles, "key long, salt int, node long, n long, component long")
+    sizes = spark.createDataFrame([(i, 100, [0] * jj.WORDS) for i in range(6)], "node long, n long, bits array<long>")
+    plan = jj._cross_pairs(rows, sizes, jj._largest(rows), 75)
+    assert sorted(map(tuple, plan.collect())) == [(a, b) for a in range(6) for b in range(a + 1, 6)]
+    met = jj._cross_pairs(rows, sizes, jj._largest(rows), 75, distinct=False)
+    assert met.count() == 15  # 15 pairs, in 260 places
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_pairs_of_overlapping_tiles(spark, seed, monkeypatch):
+    """Every pair of a tile is met, with few named tiles and with bands in all of them."""
+    monkeypatch.setattr(jj, "BANDED", 4 * (seed - 3))
+    r = random.Random(seed)
+    tiles = {(k, i) for k in range(30) for i in range(40) if r.random() < 0.3}
+    size = {i: r.randint(50, 120) for i in range(40)}
+    rows = spark.createDataFrame([(k, 0, i, size[i], i // 2) for k, i in tiles],
+                                 "key long, salt int, node long, n long, component long")
+    sizes = spark.createDataFrame([(i, n, [0] * jj.WORDS) for i, n in size.items()], "node long, n long, bits array<long>")
+    want = {(a, b) for k, a in tiles for l, b in tiles if k == l and a < b and a // 2 != b // 2
+            and 100 * min(size[a], size[b]) >= 75 * max(size[a], size[b])}
+    got = jj._cross_pairs(rows, sizes, jj._largest(rows, seed - 2), 75).collect()
+    assert sorted(map(tuple, got)) == sorted(want)
