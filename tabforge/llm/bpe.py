@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import unicodedata
 from dataclasses import dataclass
+from itertools import filterfalse
 
 import numpy as np
 
@@ -129,9 +130,7 @@ class Memo:
         if len(self.young) + len(chunks) > self.limit:
             self.old, self.young = self.young, {}
         need, young = [], self.young
-        for c in chunks:
-            if c in young:
-                continue
+        for c in filterfalse(young.__contains__, chunks):
             v = self.old.get(c)
             if v is None:
                 need.append(c)
@@ -139,6 +138,12 @@ class Memo:
                 young[c] = v
         return need
 
+    def has(self, chunk) -> bool:
+        """``not missing({chunk})``."""
+        if chunk in self.young:
+            return True
+        return not self.missing({chunk})
+
 
 class PairRanks:
     """Merge ranks as sorted arrays, looked up for whole arrays of pairs."""

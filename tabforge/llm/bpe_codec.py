@@ -8,8 +8,10 @@ changed since are stale and skipped. Decoding joins vocabulary strings.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import struct
+from collections.abc import Iterator, Sequence
 from heapq import heapify, heappop, heappush
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -31,48 +33,57 @@ def merge(ids: list[int], merges: dict[int, int]) -> list[int]:
     if n < 2:
         return ids
     get = merges.get
+    # merge of each symbol with the next one, -1 without: an entry of the queue is stale if its place has another
+    now = [get(left << 16 | right, -1) for left, right in zip(ids, ids[1:])]
+    queue = [m << 32 | i for i, m in enumerate(now) if m >= 0]
+    if not queue:
+        return ids
+    now.append(-1)
     after = [*range(1, n), -1]
     before = [*range(-1, n - 1)]
-    queue = []
-    left = ids[0]
-    for i in range(1, n):
-        right = ids[i]
-        m = get(left << 16 | right)
-        if m is not None:
-            queue.append(m << 32 | i - 1)
-        left = right
     heapify(queue)
     while queue:
         entry = heappop(queue)
         i, m = entry & 0xFFFFFFFF, entry >> 32
-        j = after[i]
-        if j < 0 or ids[i] < 0 or get(ids[i] << 16 | ids[j]) != m:  # stale
+        if now[i] != m:  # stale
             continue
+        j = after[i]
         new = ids[i] = m & 0xFFFF
-        ids[j] = -1
+        ids[j] = now[j] = -1
         k = after[i] = after[j]
         if k >= 0:
             before[k] = i
-            m = get(new << 16 | ids[k])
-            if m is not None:
+            m = now[i] = get(new << 16 | ids[k], -1)
+            if m >= 0:
                 heappush(queue, m << 32 | i)
+        else:
+            now[i] = -1
         h = before[i]
         if h >= 0:
-            m = get(ids[h] << 16 | new)
-            if m is not None:
+            m = now[h] = get(ids[h] << 16 | new, -1)
+            if m >= 0:
                 heappush(queue, m << 32 | h)
     return [x for x in ids if x >= 0]
 
 
-def decode(bpe: Bpe, ids: list[int]) -> str:
+def decode(bpe: Bpe, ids: Sequence[int]) -> str:
     """Vocabulary strings with a blank between: what a file without decoder means."""
-    return " ".join(bpe.tokens[i] for i in ids)
+    return " ".join(map(bpe.tokens.__getitem__, ids))
 
 
 # Longer chunks and pre-tokens are computed each time: at most about 500 bytes a remembered entry.
 LONG = 64
 
 
+_ids_of = itemgetter(0)
+
+
+def _joined(pieces: list[tuple[bytes, str]]) -> tuple[bytes, str]:
+    """Ids and decoded text of a whole text."""
+    ids, shown = zip(*pieces) if pieces else ((), ())
+    return b"".join(ids), " ".join(shown)
+
+
 class Codec:
     """Encoder and decoder with a bounded memory by chunk."""
 
@@ -81,9 +92,14 @@ class Codec:
         self.memo = Memo(memo)
         self.parts = Memo(memo)
 
-    def encode(self, chunk: str) -> list[int]:
+    def encode(self, chunk: str) -> Sequence[int]:
         """Ids of one chunk; its pre-tokens are often known from other chunks."""
         pre = self.bpe.pre_tokens(chunk)
+        if len(pre) == 1 and isinstance(pre[0], bytes) and len(pre[0]) <= LONG:  # most chunks
+            p = pre[0]
+            if not self.parts.has(p):
+                self.parts.young[p] = merge(self.bpe.symbols(p), self.bpe.merges)
+            return self.parts.young[p]
         long: dict[bytes, list[int]] = {}
         for p in self.parts.missing({p for p in pre if isinstance(p, bytes) and len(p) <= LONG}):
             self.parts.young[p] = merge(self.bpe.symbols(p), self.bpe.merges)
@@ -101,9 +117,9 @@ class Codec:
         for c in need:
             ids = self.encode(c)
             # only short chunks are remembered, so the memory is bounded in bytes too
-            (young if len(c) <= LONG else long)[c] = (np.array(ids, "<u4").tobytes(), decode(self.bpe, ids))
+            (young if len(c) <= LONG else long)[c] = (struct.pack(f"<{len(ids)}I", *ids), decode(self.bpe, ids))
         found = [young.get(c) or long[c] for c in chunks] if long else map(young.__getitem__, chunks)
-        return [p for p in found if p[0]]
+        return list(filter(_ids_of, found))
 
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(b"".join(p[0] for p in self.pieces(text)), "<u4")
@@ -133,9 +149,9 @@ def encode(docs: DataFrame, tokenizer_path: str, memo: int = 150_000) -> DataFra
     def make(codec: Codec, texts: list) -> dict:
         ids, dec = [], []
         for t in texts:
-            pieces = codec.pieces(t or "")
-            ids.append(np.frombuffer(b"".join(p[0] for p in pieces), "<u4").astype(np.int32))
-            dec.append(hashlib.sha256(" ".join(p[1] for p in pieces).encode()).hexdigest())
+            packed, shown = _joined(codec.pieces(t or ""))
+            ids.append(np.frombuffer(packed, "<u4").astype(np.int32))
+            dec.append(hashlib.sha256(shown.encode()).hexdigest())
         return {"n_tokens": pa.array([len(x) for x in ids], pa.int64()),
                 "input_ids": pa.array(ids, pa.list_(pa.int32())), "decoded_sha256": pa.array(dec, pa.string())}
 
@@ -153,11 +169,10 @@ def round_trip(docs: DataFrame, tokenizer_path: str, memo: int = 400_000) -> Dat
     def make(codec: Codec, texts: list) -> dict:
         n, enc, dec = [], [], []
         for t in texts:
-            pieces = codec.pieces(t or "")
-            ids = b"".join(p[0] for p in pieces)
+            ids, shown = _joined(codec.pieces(t or ""))
             n.append(len(ids) // 4)
             enc.append(hashlib.sha256(ids).hexdigest())
-            dec.append(hashlib.sha256(" ".join(p[1] for p in pieces).encode()).hexdigest())
+            dec.append(hashlib.sha256(shown.encode()).hexdigest())
         return {"n_tokens": pa.array(n, pa.int64()), "ids_sha256": pa.array(enc, pa.string()),
                 "decoded_sha256": pa.array(dec, pa.string())}
 

@@ -62,3 +62,37 @@ def test_long_chunks_are_not_remembered():
     for t in texts * 2:
         assert codec.ids(t).tolist() == LIBRARY.encode(t, add_special_tokens=False).ids
     assert max(map(len, codec.memo.young)) <= bpe_codec.LONG and max(map(len, codec.parts.young)) <= bpe_codec.LONG
+
+
+def test_merge_keeps_the_first_of_equal_ranks():
+    """Queue entries whose place has changed since are stale; a run of one symbol merges from the left."""
+    from tabforge.llm.bpe_codec import merge
+
+    merges = {1 << 16 | 1: 0 << 16 | 2, 2 << 16 | 1: 1 << 16 | 3, 2 << 16 | 2: 2 << 16 | 4, 4 << 16 | 3: 3 << 16 | 5}
+    for n, want in ((1, [1]), (2, [2]), (3, [3]), (4, [4]), (5, [2, 3]), (7, [5]), (8, [4, 4]), (9, [4, 2, 3])):
+        assert merge([1] * n, merges) == want
+
+
+def test_memo_moves_entries_back():
+    from tabforge.llm.bpe import Memo
+
+    m = Memo(3)
+    for c in m.missing({"a", "b"}):
+        m.young[c] = c
+    assert sorted(m.missing({"a", "c", "d"})) == ["c", "d"] and m.has("a") and m.has("b") and not m.has("c")
+
+
+def test_merge_looks_up_each_pair_once():
+    """Stale queue entries are told by their place alone: two lookups a merge beside the first ones."""
+    from tabforge.llm.bpe_codec import merge
+
+    class Counted(dict):
+        looked = 0
+
+        def get(self, *a):
+            self.looked += 1
+            return super().get(*a)
+
+    merges = Counted({1 << 16 | 1: 0 << 16 | 2, 2 << 16 | 2: 1 << 16 | 3})
+    assert merge([1] * 16, merges) == [3] * 4
+    assert merges.looked <= 15 + 2 * 12
