@@ -15,6 +15,7 @@ from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from tabforge.llm.bpe import Bpe, Memo, parsed
@@ -73,6 +74,7 @@ def decode(bpe: Bpe, ids: Sequence[int]) -> str:
 
 # Longer chunks and pre-tokens are computed each time: at most about 500 bytes a remembered entry.
 LONG = 64
+SLICE = 1 << 20  # bytes of text encoded together: what a batch's lists and columns take beside the batch
 
 
 _ids_of = itemgetter(0)
@@ -92,22 +94,26 @@ class Codec:
         self.memo = Memo(memo)
         self.parts = Memo(memo)
 
-    def encode(self, chunk: str) -> Sequence[int]:
-        """Ids of one chunk; its pre-tokens are often known from other chunks."""
+    def _piece(self, ids: Sequence[int]) -> tuple[bytes, str]:
+        return struct.pack(f"<{len(ids)}I", *ids), decode(self.bpe, ids)
+
+    def encode(self, chunk: str) -> tuple[bytes, str]:
+        """One chunk's ids as little-endian uint32 and decoded string; its pre-tokens
+        are often known from other chunks, and a chunk that is one shares its piece."""
         pre = self.bpe.pre_tokens(chunk)
         if len(pre) == 1 and isinstance(pre[0], bytes) and len(pre[0]) <= LONG:  # most chunks
             p = pre[0]
             if not self.parts.has(p):
-                self.parts.young[p] = merge(self.bpe.symbols(p), self.bpe.merges)
+                self.parts.young[p] = self._piece(merge(self.bpe.symbols(p), self.bpe.merges))
             return self.parts.young[p]
-        long: dict[bytes, list[int]] = {}
+        long: dict[bytes, tuple[bytes, str]] = {}
         for p in self.parts.missing({p for p in pre if isinstance(p, bytes) and len(p) <= LONG}):
-            self.parts.young[p] = merge(self.bpe.symbols(p), self.bpe.merges)
+            self.parts.young[p] = self._piece(merge(self.bpe.symbols(p), self.bpe.merges))
         young = self.parts.young
         for p in pre:
             if isinstance(p, bytes) and len(p) > LONG and p not in long:
-                long[p] = merge(self.bpe.symbols(p), self.bpe.merges)
-        return [i for p in pre for i in ((young.get(p) or long[p]) if isinstance(p, bytes) else (p,))]
+                long[p] = self._piece(merge(self.bpe.symbols(p), self.bpe.merges))
+        return _joined([(young.get(p) or long[p]) if isinstance(p, bytes) else self._piece((p,)) for p in pre])
 
     def pieces(self, text: str) -> list[tuple[bytes, str]]:
         """Per chunk with tokens: ids as little-endian uint32, decoded string."""
@@ -115,9 +121,8 @@ class Codec:
         need = self.memo.missing(set(chunks))
         young, long = self.memo.young, {}
         for c in need:
-            ids = self.encode(c)
             # only short chunks are remembered, so the memory is bounded in bytes too
-            (young if len(c) <= LONG else long)[c] = (struct.pack(f"<{len(ids)}I", *ids), decode(self.bpe, ids))
+            (young if len(c) <= LONG else long)[c] = self.encode(c)
         found = [young.get(c) or long[c] for c in chunks] if long else map(young.__getitem__, chunks)
         return list(filter(_ids_of, found))
 
@@ -125,6 +130,16 @@ class Codec:
         return np.frombuffer(b"".join(p[0] for p in self.pieces(text)), "<u4")
 
 
+def _slices(batch: pa.RecordBatch, size: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of at most ``size`` bytes of text (a longer text goes alone)."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(), dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right")))
+        yield batch.slice(at, stop - at)
+        at = stop
+
+
 def _rows(docs: DataFrame, tokenizer_path: str, memo: int, make, schema: str) -> DataFrame:
     prepare(docs.sparkSession)
     with open(tokenizer_path, "rb") as f:
@@ -132,7 +147,7 @@ def _rows(docs: DataFrame, tokenizer_path: str, memo: int, make, schema: str) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(raw.value, memo)
-        for b in batches:
+        for b in (part for whole in batches for part in _slices(whole)):
             cols = make(codec, b.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *cols.values()], names=["doc_id", *cols])
 
@@ -150,10 +165,12 @@ def encode(docs: DataFrame, tokenizer_path: str, memo: int = 150_000) -> DataFra
         ids, dec = [], []
         for t in texts:
             packed, shown = _joined(codec.pieces(t or ""))
-            ids.append(np.frombuffer(packed, "<u4").astype(np.int32))
+            ids.append(packed)
             dec.append(hashlib.sha256(shown.encode()).hexdigest())
-        return {"n_tokens": pa.array([len(x) for x in ids], pa.int64()),
-                "input_ids": pa.array(ids, pa.list_(pa.int32())), "decoded_sha256": pa.array(dec, pa.string())}
+        n = np.array([len(x) // 4 for x in ids], np.int64)
+        flat = np.frombuffer(b"".join(ids), "<u4").astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)], pa.int32()), pa.array(flat, pa.int32()))
+        return {"n_tokens": pa.array(n), "input_ids": lists, "decoded_sha256": pa.array(dec, pa.string())}
 
     return _rows(docs, tokenizer_path, memo, make,
                  "doc_id long, n_tokens long, input_ids array<int>, decoded_sha256 string")

@@ -96,3 +96,21 @@ def test_merge_looks_up_each_pair_once():
     merges = Counted({1 << 16 | 1: 0 << 16 | 2, 2 << 16 | 2: 1 << 16 | 3})
     assert merge([1] * 16, merges) == [3] * 4
     assert merges.looked <= 15 + 2 * 12
+
+
+def test_batches_are_encoded_in_slices():
+    """What a task makes of a batch is bounded by bytes of text, and a longer text goes alone."""
+    import pyarrow as pa
+
+    texts = ["a b", None, "", "x" * 40, "c d", "e" * 9, "f"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(texts)], names=["doc_id", "text"])
+    parts = [p.column("text").to_pylist() for p in bpe_codec._slices(batch, 10)]
+    assert [t for p in parts for t in p] == texts and parts == [["a b", None, ""], ["x" * 40], ["c d"], ["e" * 9, "f"]]
+    assert list(bpe_codec._slices(batch.slice(0, 0), 10)) == []
+
+
+def test_a_chunk_of_one_pre_token_is_remembered_once():
+    codec = bpe_codec.Codec(RAW, 1000)
+    codec.ids("internationalization words")
+    for c in ("internationalization", "words"):
+        assert codec.memo.young[c] is codec.parts.young[c.encode()]
