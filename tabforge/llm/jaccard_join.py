@@ -38,7 +38,8 @@ BANDED = 32           # classes of a tile above which it is cut into size bands
 ROWS = 256            # rows of a batch that are prepared together
 SLICE = 1 << 20       # bytes of text prepared together in a task (a longer text goes alone)
 LOOKS = 512           # pairs a row that cost less to look at than another round of neighbours
-SMALL_PAIRS = 1_000_000  # pairs up to this number are broadcast (16 bytes each)
+SMALL_PAIRS = 1_000_000  # pairs up to this number have their cells broadcast (16 bytes a class)
+GROUP = 1 << 18       # shingles (8 bytes each) of pairs that are intersected together
 TILE = 10_000         # rows of a tile before it is salted, above the mean load
 
 _rng = np.random.default_rng(20240501)
@@ -109,6 +110,12 @@ def prefix_length(n: int, percent: int) -> int:
     return n - (-(-percent * n // 100)) + 1
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """zlib with or without matches: dense small counts repeat by chance only, sparse ones in long runs."""
+    z = zlib.compressobj(1, strategy=zlib.Z_HUFFMAN_ONLY)
+    return min(zlib.compress(x.tobytes(), 1), z.compress(x.tobytes()) + z.flush(), key=len)
+
+
 def _fixed_arrays(rows: DataFrame, fill, kinds: list[tuple[int, str]], merge) -> list[np.ndarray]:
     """Arrays of fixed sizes and types that tasks fill and merge block by block.
 
@@ -125,7 +132,7 @@ def _fixed_arrays(rows: DataFrame, fill, kinds: list[tuple[int, str]], merge) ->
                 if total[i:i + BLOCK].any():
                     yield pa.RecordBatch.from_pydict({
                         "a": pa.array([a], pa.int32()), "block": pa.array([i // BLOCK], pa.int32()),
-                        "n": [zlib.compress(total[i:i + BLOCK].tobytes(), 1)]})
+                        "n": [_packed(total[i:i + BLOCK])]})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[tuple[int, int], np.ndarray] = {}
@@ -135,7 +142,7 @@ def _fixed_arrays(rows: DataFrame, fill, kinds: list[tuple[int, str]], merge) ->
                 held[a, i] = merge(held[a, i], x) if (a, i) in held else x
         for (a, i), x in held.items():
             yield pa.RecordBatch.from_pydict({"a": pa.array([a], pa.int32()), "block": pa.array([i], pa.int32()),
-                                              "n": [zlib.compress(x.tobytes(), 1)]})
+                                              "n": [_packed(x)]})
 
     schema = "a int, block int, n binary"
     blocks = rows.mapInArrow(run, schema).repartition("a", "block").mapInArrow(add, schema)
@@ -183,8 +190,8 @@ def id_marks(ids: DataFrame) -> np.ndarray:
     return _fixed_arrays(ids.select("node"), fill, [(MARKS, "u1")], np.maximum)[0]
 
 
-PRINT_SCHEMA = ("row_no long, doc_id long, n_shingles long, s1 long, s2 long, bits array<long>, keys array<long>, "
-                "salts array<int>")
+PRINT_SCHEMA = "row_no long, doc_id long, n_shingles long, s1 long, s2 long, bits array<long>"
+TILE_SCHEMA = "doc_id long, n_shingles long, s1 long, s2 long, keys array<long>, salts array<int>"
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -197,8 +204,38 @@ def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, kind))
 
 
-def signatures(docs: DataFrame, sketch: np.ndarray, crowds: np.ndarray, k: int, percent: int) -> DataFrame:
-    """Per document: set size, set digest, bitmap, and the shingles of its tiles."""
+def _digest(s: np.ndarray) -> tuple[np.uint64, np.uint64]:
+    return np.bitwise_xor.reduce(_mix(s)), np.add.reduce(_mix(s ^ _JOIN))
+
+
+def signatures(docs: DataFrame, k: int) -> DataFrame:
+    """Per document: set size, set digest and bitmap."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _parts(batches):
+            n, s1, s2, bits = [], [], [], []
+            with np.errstate(over="ignore"):
+                for s in shingle_sets(b.column("text").to_pylist(), k):
+                    n.append(len(s))
+                    a, c = _digest(s)
+                    s1.append(a)
+                    s2.append(c)
+                    sig = np.zeros(WORDS * 64, np.uint8)
+                    sig[(s >> np.uint64(48)) % np.uint64(WORDS * 64)] = 1
+                    bits.append(np.packbits(sig).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("row_no"), b.column("doc_id"), pa.array(n, pa.int64()), _signed(np.array(s1, np.uint64)),
+                 _signed(np.array(s2, np.uint64)), _lists(bits, pa.int64())],
+                names=["row_no", "doc_id", "n_shingles", "s1", "s2", "bits"])
+
+    return docs.select(F.monotonically_increasing_id().alias("row_no"), "doc_id", "text").mapInArrow(run, PRINT_SCHEMA)
+
+
+def tile_keys(docs: DataFrame, sketch: np.ndarray, crowds: np.ndarray, k: int, percent: int) -> DataFrame:
+    """Per document with words: set size, set digest, and the shingles of its tiles.
+
+    They are made from the texts where they are needed: a stored column of
+    them would be larger than all other columns together.
+    """
     cells, wide = len(sketch), len(crowds)
     loads = docs.sparkSession.sparkContext.broadcast((sketch, crowds))  # fixed size: 1 and 4 bytes a cell
     crowd = TILE + 4 * int(crowds.sum(dtype=np.uint64)) // wide
@@ -206,16 +243,13 @@ def signatures(docs: DataFrame, sketch: np.ndarray, crowds: np.ndarray, k: int,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         load, heavy = loads.value
         for b in _parts(batches):
-            n, s1, s2, bits, keys, salts = [], [], [], [], [], []
+            n, s1, s2, keys, salts = [], [], [], [], []
             with np.errstate(over="ignore"):
                 for s in shingle_sets(b.column("text").to_pylist(), k):
                     n.append(len(s))
-                    a, c = np.bitwise_xor.reduce(_mix(s)), np.add.reduce(_mix(s ^ _JOIN))
+                    a, c = _digest(s)
                     s1.append(a)
                     s2.append(c)
-                    sig = np.zeros(WORDS * 64, np.uint8)
-                    sig[(s >> np.uint64(48)) % np.uint64(WORDS * 64)] = 1
-                    bits.append(np.packbits(sig).view(np.int64))
                     take = prefix_length(len(s), percent) if len(s) else 0
                     own = load[(s % np.uint64(cells)).astype(np.int64)]
                     held = heavy[(s % np.uint64(wide)).astype(np.int64)].astype(np.int64)
@@ -225,12 +259,30 @@ def signatures(docs: DataFrame, sketch: np.ndarray, crowds: np.ndarray, k: int,
                     parts = held[first] // crowd + 1
                     salts.append((int(a >> np.uint64(11)) % parts).astype(np.int32) + np.where(parts > 1, 1, 0))
             yield pa.RecordBatch.from_arrays(
-                [b.column("row_no"), b.column("doc_id"), pa.array(n, pa.int64()), _signed(np.array(s1, np.uint64)),
-                 _signed(np.array(s2, np.uint64)), _lists(bits, pa.int64()), _lists(keys, pa.int64()),
-                 _lists(salts, pa.int32())],
-                names=["row_no", "doc_id", "n_shingles", "s1", "s2", "bits", "keys", "salts"])
+                [b.column("doc_id"), pa.array(n, pa.int64()), _signed(np.array(s1, np.uint64)),
+                 _signed(np.array(s2, np.uint64)), _lists(keys, pa.int64()), _lists(salts, pa.int32())],
+                names=["doc_id", "n_shingles", "s1", "s2", "keys", "salts"])
 
-    return docs.select(F.monotonically_increasing_id().alias("row_no"), "doc_id", "text").mapInArrow(run, PRINT_SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(run, TILE_SCHEMA).where("n_shingles > 0")
+
+
+def _class_tiles(texts: DataFrame, classes: DataFrame, repeats: DataFrame, order: np.ndarray, crowds: np.ndarray,
+                 k: int, percent: int) -> DataFrame:
+    """(node, n, keys, salts): the tiles of each class once, from its least doc_id.
+
+    Documents whose doc_id no row of ``repeats`` has are classes; others leave
+    by an anti join. A doc_id with other rows beside its class's first one (a
+    repeated row, another text) comes back by its classes' digests.
+    """
+    row = ["doc_id", "s1", "s2", "n_shingles"]
+    rows, ids = texts.where("doc_id IS NOT NULL"), repeats.select("doc_id")
+    mixed = cut_lineage(classes.select(F.col("node").alias("doc_id"), *row[1:]).join(ids, "doc_id", "left_semi"),
+                        "jaccard-mixed")
+    once = tile_keys(rows.join(ids, "doc_id", "left_anti"), order, crowds, k, percent)
+    again = (tile_keys(rows.join(mixed.select("doc_id"), "doc_id", "left_semi"), order, crowds, k, percent)
+             .join(mixed, row, "left_semi")
+             .groupBy(*row).agg(F.first("keys").alias("keys"), F.first("salts").alias("salts")))
+    return once.unionByName(again).select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "keys", "salts")
 
 
 def full_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
@@ -263,33 +315,70 @@ def size_band(n: Column, percent: int) -> Column:
     return F.floor(F.log(n.cast("double")) / float(np.log(100 / percent)) + 1e-9).cast("int")
 
 
-def exact_links(pairs: DataFrame, sets: DataFrame, percent: int, small: int = SMALL_PAIRS) -> DataFrame:
+def _dealt(pairs: DataFrame, sizes: DataFrame, small: bool, group: int) -> DataFrame:
+    """(a, b, cell): pairs dealt to cells, so that pairs with a class in common mostly share one.
+
+    A component of the pairs is a cell. One of more than ``group`` shingles is
+    cut into blocks by hash, and a cell holds the pairs of two blocks.
+    """
+    labels = components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    held = labels.join(sizes.select("node", "n"), "node")
+    large = held.groupBy("component").agg(F.sum("n").alias("s")).where(F.col("s") > group)
+    blocks = labels.join(large, "component", "left").select(
+        "node", "component", F.pmod(F.xxhash64("node"), F.ceil(F.coalesce("s", F.lit(1)) / group)).alias("block"))
+    blocks = cut_lineage(blocks, "jaccard-blocks")
+    if small:  # at most two rows a pair
+        blocks = F.broadcast(blocks)
+    x = blocks.select(F.col("node").alias("a"), "component", F.col("block").alias("i"))
+    y = blocks.select(F.col("node").alias("b"), F.col("block").alias("j"))
+    # components whose hashes are equal share a cell: each pair still finds its own sets there
+    cell = F.xxhash64("component", F.least("i", "j"), F.greatest("i", "j")).alias("cell")
+    return cut_lineage(pairs.join(x, "a").join(y, "b").select("a", "b", cell), "jaccard-dealt")
+
+
+def exact_links(pairs: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int, small: int = SMALL_PAIRS,
+                group: int = GROUP) -> DataFrame:
     """The pairs (a, b) whose sorted shingle arrays intersect enough, as u, v.
 
-    ``pairs`` is a written table; where it is counted small, it is broadcast to
-    the sets, so that a set is shuffled once for each of its pairs and no other set at all.
+    ``pairs`` is a written table. A set is shuffled once for each cell with a
+    pair of its class (``_dealt``), mostly once in all. Where the pairs are
+    counted small, the cells are broadcast to the sets, so that no other set
+    is shuffled.
     """
-    x = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
-    y = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
-    if pairs.count() <= small:  # at most `small` rows of two numbers
-        y = y.join(F.broadcast(pairs.select("b").distinct()), "b", "left_semi")
-        pairs = F.broadcast(pairs)
-    both = x.join(pairs, "a").join(y, "b")
+    few = pairs.count() <= small  # at most `small` rows of two numbers
+    dealt = _dealt(pairs, sizes, few, group)
+    nodes = dealt.select("cell", F.col("a").alias("node")).union(dealt.select("cell", "b")).distinct()
+    sent = sets.join(F.broadcast(nodes) if few else nodes, "node")
+    rows = (sent.select("cell", F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "items")
+            .unionByName(dealt.withColumn("items", F.lit(None).cast("array<long>")))
+            # a cell's sets come before its pairs
+            .repartition("cell").sortWithinPartitions("cell", F.col("b").isNotNull()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            keep = []
-            xs, ys = b.column("x"), b.column("y")
-            for i in range(b.num_rows):
-                x = xs[i].values.to_numpy(zero_copy_only=False)
-                y = ys[i].values.to_numpy(zero_copy_only=False)
-                # arrays hold each hash once, so a hit on both sides is a shared shingle
-                z = np.sort(np.concatenate((x, y)))
-                common = int((z[1:] == z[:-1]).sum())
-                keep.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], names=["u", "v"]).filter(pa.array(keep))
-
-    return both.select("a", "b", "x", "y").mapInArrow(run, "u long, v long")
+        now, held = None, {}
+        for batch in batches:
+            u, v, items = [], [], batch.column("items")
+            numbers = (batch.column(c).to_pylist() for c in ("cell", "a", "b"))
+            for i, (cell, a, b) in enumerate(zip(*numbers)):
+                if cell != now:
+                    now, held = cell, {}
+                if b is None:
+                    # repeated rows of a doc_id are held once
+                    x = items[i].values.to_numpy(zero_copy_only=False)
+                    held.setdefault(a, {}).setdefault((len(x), int(np.bitwise_xor.reduce(x))), x.copy())
+                elif any(_linked(x, y, percent) for x in held.get(a, {}).values() for y in held.get(b, {}).values()):
+                    u.append(a)
+                    v.append(b)
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+    return rows.select("cell", "a", "b", "items").mapInArrow(run, "u long, v long")
+
+
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    # arrays hold each hash once, so a hit on both sides is a shared shingle
+    z = np.sort(np.concatenate((x, y)))
+    common = int((z[1:] == z[:-1]).sum())
+    return 100 * common >= percent * (len(x) + len(y) - common)
 
 
 def _neighbours(rows: DataFrame, by: list[str], order: list) -> DataFrame:
@@ -314,18 +403,18 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     prepare(spark)
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].cast("binary").alias("text"))
     order, crowds = count_sketches(texts, k, [(cells, "u1"), (CROWDS, "u4")])
-    prints = cut_lineage(signatures(texts, order, crowds, k, percent), "jaccard-prints")
+    prints = cut_lineage(signatures(texts, k), "jaccard-prints")
     digest = ["s1", "s2", "n_shingles"]
     named = prints.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = cut_lineage(named.groupBy(*digest).agg(F.min(F.struct("doc_id", "row_no")).alias("r"))
                           .select(*digest, F.col("r.doc_id").alias("node"), F.col("r.row_no").alias("first_row")),
                           "jaccard-classes")
-    # rows that only repeat a class; usually few, so the anti join can leave the prints where they are
-    repeats = cut_lineage(named.select("row_no", *digest).join(classes, digest).where("row_no <> first_row")
-                          .select("row_no"), "jaccard-repeats")
-    firsts = (named.join(repeats, "row_no", "left_anti")
-              .select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "bits", "keys", "salts"))
-    linked = _link_classes(texts, firsts, k, percent)
+    # rows that only repeat a class; usually few, so the anti joins can leave the prints and texts where they are
+    repeats = cut_lineage(named.select("row_no", "doc_id", *digest).join(classes, digest).where("row_no <> first_row")
+                          .select("row_no", "doc_id"), "jaccard-repeats")
+    firsts = (named.join(repeats.select("row_no"), "row_no", "left_anti")
+              .select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "bits"))
+    linked = _link_classes(texts, firsts, _class_tiles(texts, classes, repeats, order, crowds, k, percent), k, percent)
     by_digest = classes.select(*digest, "node").join(linked, "node", "left").select(
         *digest, F.coalesce("component", "node").alias("component_id"))
     labelled = prints.select("doc_id", *digest).join(by_digest, digest, "left")
@@ -333,9 +422,9 @@ def jaccard_components(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT
     return labelled.select("doc_id", "n_shingles", own.alias("component_id"))
 
 
-def _link_classes(texts: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+def _link_classes(texts: DataFrame, classes: DataFrame, tiles: DataFrame, k: int, percent: int) -> DataFrame:
     """(node, component) of all classes that link with another one."""
-    tiles = (classes.select("node", "n", F.explode(F.arrays_zip("keys", "salts")).alias("t"))
+    tiles = (tiles.select("node", "n", F.explode(F.arrays_zip("keys", "salts")).alias("t"))
              .select(F.col("t.keys").alias("key"), F.col("t.salts").alias("salt"), "node", "n"))
     # tiles of one class have no pairs; salted ones are judged as a whole later
     within = Window.partitionBy("key", "salt").orderBy("n", "node")
@@ -357,7 +446,7 @@ def _link_classes(texts: DataFrame, classes: DataFrame, k: int, percent: int) ->
         ids = ids if sets is None else ids.join(sets.select("node"), "node", "left_anti")
         new = cut_lineage(full_sets(texts, ids, k), "jaccard-sets")
         sets = new if sets is None else sets.unionByName(new)
-        return cut_lineage(exact_links(pairs, sets, percent), "jaccard-links")
+        return cut_lineage(exact_links(pairs, sizes, sets, percent), "jaccard-links")
 
     def bounded(pairs: DataFrame) -> DataFrame:
         x = sizes.select(F.col("node").alias("a"), F.struct("n", "bits").alias("x"))

@@ -145,3 +145,47 @@ def test_pairs_of_overlapping_tiles(spark, seed, monkeypatch):
             and 100 * min(size[a], size[b]) >= 75 * max(size[a], size[b])}
     got = jj._cross_pairs(rows, sizes, jj._largest(rows, seed - 2), 75).collect()
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+def clique(spark, m, words=200):
+    """(texts, sizes, sets, all pairs) of m texts that differ in their last word."""
+    body = " ".join(f"w{i}" for i in range(words))
+    texts = [(10 + i, f"{body} end{i}".encode()) for i in range(m)]
+    sets = [(i, [int(x) for x in s.view(np.int64)]) for (i, _), s in zip(texts, jj.shingle_sets([t for _, t in texts]))]
+    sizes = spark.createDataFrame([(i, len(s)) for i, s in sets], "node long, n long")
+    pairs = [(a, b) for a, _ in texts for b, _ in texts if a < b]
+    return sizes, spark.createDataFrame(sets, "node long, items array<long>"), spark.createDataFrame(pairs, "a long, b long")
+
+
+@pytest.mark.parametrize("small", [0, 1000])
+def test_a_set_is_sent_once_for_all_its_pairs(spark, small):
+    sizes, sets, pairs = clique(spark, 12)
+    dealt = jj._dealt(pairs, sizes, small > 0, jj.GROUP).collect()
+    assert len(dealt) == 66 and len({r.cell for r in dealt}) == 1  # 12 sets, not 66 + 11
+    # a component over the bound is cut into blocks, and no pair is lost
+    cut = jj._dealt(pairs, sizes, small > 0, 600).collect()
+    assert {(r.a, r.b) for r in cut} == {(r.a, r.b) for r in dealt} and 1 < len({r.cell for r in cut}) <= 10
+    for group in (jj.GROUP, 600, 1):
+        got = jj.exact_links(pairs, sizes, sets.unionByName(sets), 75, small, group).collect()
+        assert sorted(map(tuple, got)) == sorted((r.a, r.b) for r in dealt)
+    assert jj.exact_links(pairs, sizes, sets, 100, small).collect() == []
+
+
+def test_tiles_of_repeated_ids(spark):
+    """Each class has its tiles once, also where its doc_id has repeated rows, other texts, or other classes' texts."""
+    body = " ".join(f"v{i}" for i in range(60))
+    docs = [(1, body), (1, body), (2, body), (1, body + " x"), (3, body + " y"), (3, body + " y"), (2, "q r s t u v"),
+            (None, body), (4, None), (5, "  "), (6, body.upper()), (6, body + " z")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in jj.jaccard_components(df, cells=1 << 14).collect()}
+    assert got == {(1, 56): 1, (2, 56): 1, (1, 57): 1, (3, 57): 1, (2, 2): 2, (None, 56): None, (4, 0): 4, (5, 0): 5,
+                   (6, 56): 1, (6, 57): 1}
+    texts = df.select("doc_id", df["text"].cast("binary").alias("text"))
+    classes = spark.createDataFrame(
+        [(r.doc_id, r.s1, r.s2, r.n_shingles) for r in jj.signatures(texts, 5).where("doc_id IN (1, 2, 3)").collect()],
+        "node long, s1 long, s2 long, n_shingles long").groupBy("s1", "s2", "n_shingles").agg({"node": "min"}).withColumnRenamed("min(node)", "node")
+    repeats = spark.createDataFrame([(1,), (2,), (3,), (6,)], "doc_id long")
+    sketch, crowds = jj.count_sketches(texts, 5, [(1 << 10, "u1"), (1 << 8, "u4")])
+    tiles = jj._class_tiles(texts.where("doc_id < 4"), classes, repeats, sketch, crowds, 5, 75).collect()
+    assert sorted((r.node, r.n) for r in tiles) == [(1, 56), (1, 57), (2, 2), (3, 57)]
+    assert all(len(r["keys"]) == len(r.salts) == jj.prefix_length(r.n, 75) for r in tiles)
