@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -230,18 +231,16 @@ def signatures(docs: DataFrame, k: int) -> DataFrame:
     return docs.select(F.monotonically_increasing_id().alias("row_no"), "doc_id", "text").mapInArrow(run, PRINT_SCHEMA)
 
 
-def tile_keys(docs: DataFrame, sketch: np.ndarray, crowds: np.ndarray, k: int, percent: int) -> DataFrame:
-    """Per document with words: set size, set digest, and the shingles of its tiles.
+def tile_keys(docs: DataFrame, loads: Broadcast, k: int, percent: int) -> DataFrame:
+    """Per document with words: set size, set digest, and the shingles of its tiles by the sketches ``loads``.
 
     They are made from the texts where they are needed: a stored column of
     them would be larger than all other columns together.
     """
-    cells, wide = len(sketch), len(crowds)
-    loads = docs.sparkSession.sparkContext.broadcast((sketch, crowds))  # fixed size: 1 and 4 bytes a cell
-    crowd = TILE + 4 * int(crowds.sum(dtype=np.uint64)) // wide
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         load, heavy = loads.value
+        cells, wide = len(load), len(heavy)
+        crowd = TILE + 4 * int(heavy.sum(dtype=np.uint64)) // wide
         for b in _parts(batches):
             n, s1, s2, keys, salts = [], [], [], [], []
             with np.errstate(over="ignore"):
@@ -274,12 +273,13 @@ def _class_tiles(texts: DataFrame, classes: DataFrame, repeats: DataFrame, order
     by an anti join. A doc_id with other rows beside its class's first one (a
     repeated row, another text) comes back by its classes' digests.
     """
+    loads = texts.sparkSession.sparkContext.broadcast((order, crowds))  # fixed size: 1 and 4 bytes a cell
     row = ["doc_id", "s1", "s2", "n_shingles"]
     rows, ids = texts.where("doc_id IS NOT NULL"), repeats.select("doc_id")
     mixed = cut_lineage(classes.select(F.col("node").alias("doc_id"), *row[1:]).join(ids, "doc_id", "left_semi"),
                         "jaccard-mixed")
-    once = tile_keys(rows.join(ids, "doc_id", "left_anti"), order, crowds, k, percent)
-    again = (tile_keys(rows.join(mixed.select("doc_id"), "doc_id", "left_semi"), order, crowds, k, percent)
+    once = tile_keys(rows.join(ids, "doc_id", "left_anti"), loads, k, percent)
+    again = (tile_keys(rows.join(mixed.select("doc_id"), "doc_id", "left_semi"), loads, k, percent)
              .join(mixed, row, "left_semi")
              .groupBy(*row).agg(F.first("keys").alias("keys"), F.first("salts").alias("salts")))
     return once.unionByName(again).select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "keys", "salts")
@@ -318,22 +318,25 @@ def size_band(n: Column, percent: int) -> Column:
 def _dealt(pairs: DataFrame, sizes: DataFrame, small: bool, group: int) -> DataFrame:
     """(a, b, cell): pairs dealt to cells, so that pairs with a class in common mostly share one.
 
-    A component of the pairs is a cell. One of more than ``group`` shingles is
-    cut into blocks by hash, and a cell holds the pairs of two blocks.
+    A pair's cell is the least class next to one of its two. Where a cell's
+    classes have more than ``group`` shingles, they are cut into blocks by
+    hash, and a cell holds the pairs of two blocks.
     """
-    labels = components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    held = labels.join(sizes.select("node", "n"), "node")
-    large = held.groupBy("component").agg(F.sum("n").alias("s")).where(F.col("s") > group)
-    blocks = labels.join(large, "component", "left").select(
-        "node", "component", F.pmod(F.xxhash64("node"), F.ceil(F.coalesce("s", F.lit(1)) / group)).alias("block"))
-    blocks = cut_lineage(blocks, "jaccard-blocks")
+    both = pairs.select(F.col("a").alias("node"), "b").union(pairs.select("b", "a"))
+    least = both.groupBy("node").agg(F.least("node", F.min("b")).alias("least"))
     if small:  # at most two rows a pair
-        blocks = F.broadcast(blocks)
-    x = blocks.select(F.col("node").alias("a"), "component", F.col("block").alias("i"))
-    y = blocks.select(F.col("node").alias("b"), F.col("block").alias("j"))
-    # components whose hashes are equal share a cell: each pair still finds its own sets there
-    cell = F.xxhash64("component", F.least("i", "j"), F.greatest("i", "j")).alias("cell")
-    return cut_lineage(pairs.join(x, "a").join(y, "b").select("a", "b", cell), "jaccard-dealt")
+        least = F.broadcast(least)
+    named = (pairs.join(least.toDF("a", "i"), "a").join(least.toDF("b", "j"), "b")
+             .select("a", "b", F.least("i", "j").alias("least")))
+    named = cut_lineage(named, "jaccard-named")
+    held = named.select("least", F.col("a").alias("node")).union(named.select("least", "b")).distinct()
+    large = (held.join(sizes.select("node", "n"), "node").groupBy("least").agg(F.sum("n").alias("s"))
+             .where(F.col("s") > group))
+    blocks = F.ceil(F.coalesce("s", F.lit(1)) / group)
+    i, j = (F.pmod(F.xxhash64(c), blocks) for c in "ab")
+    # classes whose hashes are equal share a cell: each pair still finds its own sets there
+    cell = F.xxhash64("least", F.least(i, j), F.greatest(i, j)).alias("cell")
+    return cut_lineage(named.join(large, "least", "left").select("a", "b", cell), "jaccard-dealt")
 
 
 def exact_links(pairs: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int, small: int = SMALL_PAIRS,
