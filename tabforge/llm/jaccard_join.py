@@ -16,6 +16,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
@@ -191,6 +192,18 @@ def id_marks(ids: DataFrame) -> np.ndarray:
     return _fixed_arrays(ids.select("node"), fill, [(MARKS, "u1")], np.maximum)[0]
 
 
+def _marked(ids: DataFrame):
+    """Column function: whether a doc_id (not NULL) has the mark of one in ``ids`` (node)."""
+    marks = ids.sparkSession.sparkContext.broadcast(np.packbits(id_marks(ids)))  # fixed size: MARKS bits
+
+    @F.pandas_udf("boolean")
+    def marked(column: pd.Series) -> pd.Series:
+        at = _cell(column.to_numpy())
+        return pd.Series((marks.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool))
+
+    return marked
+
+
 PRINT_SCHEMA = "row_no long, doc_id long, n_shingles long, s1 long, s2 long, bits array<long>"
 TILE_SCHEMA = "doc_id long, n_shingles long, s1 long, s2 long, keys array<long>, salts array<int>"
 
@@ -578,11 +591,17 @@ def keep_one(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataF
     doc_id all stay.
     """
     found = cut_lineage(jaccard_components(docs, k, percent), "jaccard-result")
-    lost = found.where("component_id <> doc_id").select("doc_id").distinct()
-    twice = (found.where("n_shingles > 0 AND component_id = doc_id").groupBy("doc_id")
-             .agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("doc_id"))
+    counted = F.col("n_shingles") > 0
+    fates = (found.groupBy("doc_id").agg(F.max(F.col("component_id") != F.col("doc_id")).alias("lost"),
+                                         F.count_if(counted & (F.col("component_id") == F.col("doc_id"))).alias("c"))
+             .where("lost OR c > 1").select("doc_id", "lost"))
+    fates = cut_lineage(fates, "jaccard-fates")
+    marked = _marked(fates.select(F.col("doc_id").alias("node")))
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
-    rows = rows.join(lost, "doc_id", "left_anti")
-    once = rows.join(twice, "doc_id", "left_anti").select("doc.*")
-    again = rows.join(twice, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("doc").alias("doc")).select("doc.*")
-    return once.unionByName(again)
+    rows = rows.withColumn("asked", F.col("doc_id").isNotNull() & marked(F.coalesce("doc_id", F.lit(0))))
+    # only texts with a mark are shuffled
+    asked = rows.where("asked").drop("asked")
+    once = asked.join(fates, "doc_id", "left_anti").select("doc.*")
+    again = (asked.join(fates.where("NOT lost"), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("doc").alias("doc"))
+             .select("doc.*"))
+    return rows.where("NOT asked").select("doc.*").unionByName(once).unionByName(again)

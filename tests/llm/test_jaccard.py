@@ -99,6 +99,20 @@ def test_keep_one(spark, nasty):
     assert ids[5] == 1 and ids[6] == 0 and len(NASTY) - sum(ids.values()) == 2
 
 
+def test_keep_one_joins_marked_rows_only(spark):
+    ids = np.arange(30000)
+    cells = jj._cell(ids)
+    order = np.argsort(cells, kind="stable")
+    at = np.flatnonzero(np.diff(cells[order]) == 0)[0]
+    y, x = sorted(map(int, ids[order][at:at + 2]))  # two ids with one mark: x is lost, y is not
+    docs = spark.createDataFrame([(x, "a b c d e f"), (-1, "a b c d e f"), (y, "u v w x y z"), (7, "x y z"), (7, "x y z"),
+                                  (40000, "other words than these"), (None, "a b c d e f")], "doc_id long, text string")
+    kept = jj.keep_one(docs)
+    assert sorted((r.doc_id if r.doc_id is not None else -9) for r in kept.collect()) == sorted([-9, -1, y, 7, 40000])
+    # most texts leave by a branch that joins nothing, so they are not shuffled
+    assert "Join" not in kept._jdf.queryExecution().optimizedPlan().children().head().toString()
+
+
 def test_prefix_law():
     for n in range(1, 400):
         take = jj.prefix_length(n, 75)
