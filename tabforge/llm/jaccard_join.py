@@ -18,14 +18,16 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
+from pyspark.sql.types import BinaryType
 
 from tabforge.llm.common import prepare
 from tabforge.llm.components import components
-from tabforge.session import cut_lineage
+from tabforge.session import cut_lineage, released_scratch, scratch_path
 
 SHINGLE = 5
 PERCENT = 75
@@ -298,9 +300,11 @@ def _class_tiles(texts: DataFrame, classes: DataFrame, repeats: DataFrame, order
     return once.unionByName(again).select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"), "keys", "salts")
 
 
-def full_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """(node, items): sorted shingle arrays of the documents in ``ids`` (node),
-    and of a few others whose hash mark is the same; no text is moved."""
+def asked_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(node, items): the texts of the documents in ``ids`` (node), and of a few others whose hash mark is the same.
+
+    A text is sent instead of its shingles: it packs to a fraction of their 8 bytes each.
+    """
     marks = docs.sparkSession.sparkContext.broadcast(np.packbits(id_marks(ids)))  # fixed size: MARKS bits
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,10 +312,10 @@ def full_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
         for b in _parts(batches):
             b = b.filter(b.column("doc_id").is_valid())
             b = b.filter(pa.array(asked[_cell(b.column("doc_id").to_numpy(zero_copy_only=False))], pa.bool_()))
-            sets = [s.view(np.int64) for s in shingle_sets(b.column("text").to_pylist(), k)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), _lists(sets, pa.int64())], names=["node", "items"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pc.fill_null(b.column("text"), b"")],
+                                             names=["node", "items"])
 
-    return docs.mapInArrow(run, "node long, items array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "node long, items binary")
 
 
 def overlap_possible(x: str, y: str, percent: int) -> Column:
@@ -353,10 +357,11 @@ def _dealt(pairs: DataFrame, sizes: DataFrame, small: bool, group: int) -> DataF
 
 
 def exact_links(pairs: DataFrame, sizes: DataFrame, sets: DataFrame, percent: int, small: int = SMALL_PAIRS,
-                group: int = GROUP) -> DataFrame:
+                group: int = GROUP, k: int = SHINGLE) -> DataFrame:
     """The pairs (a, b) whose sorted shingle arrays intersect enough, as u, v.
 
-    ``pairs`` is a written table. A set is shuffled once for each cell with a
+    ``pairs`` is a written table. ``sets`` has the column items: sorted shingle
+    arrays, or texts, whose arrays are made where they meet. A set is shuffled once for each cell with a
     pair of its class (``_dealt``), mostly once in all. Where the pairs are
     counted small, the cells are broadcast to the sets, so that no other set
     is shuffled.
@@ -365,22 +370,25 @@ def exact_links(pairs: DataFrame, sizes: DataFrame, sets: DataFrame, percent: in
     dealt = _dealt(pairs, sizes, few, group)
     nodes = dealt.select("cell", F.col("a").alias("node")).union(dealt.select("cell", "b")).distinct()
     sent = sets.join(F.broadcast(nodes) if few else nodes, "node")
+    kind = sets.schema["items"].dataType
+    whole = isinstance(kind, BinaryType)
     rows = (sent.select("cell", F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), "items")
-            .unionByName(dealt.withColumn("items", F.lit(None).cast("array<long>")))
+            .unionByName(dealt.withColumn("items", F.lit(None).cast(kind)))
             # a cell's sets come before its pairs
             .repartition("cell").sortWithinPartitions("cell", F.col("b").isNotNull()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, {}
-        for batch in batches:
+        for batch in _parts(batches):
             u, v, items = [], [], batch.column("items")
+            made = shingle_sets([x for x in items.to_pylist() if x is not None], k) if whole else None
             numbers = (batch.column(c).to_pylist() for c in ("cell", "a", "b"))
             for i, (cell, a, b) in enumerate(zip(*numbers)):
                 if cell != now:
                     now, held = cell, {}
                 if b is None:
                     # repeated rows of a doc_id are held once
-                    x = items[i].values.to_numpy(zero_copy_only=False)
+                    x = next(made) if whole else items[i].values.to_numpy(zero_copy_only=False)
                     held.setdefault(a, {}).setdefault((len(x), int(np.bitwise_xor.reduce(x))), x.copy())
                 elif any(_linked(x, y, percent) for x in held.get(a, {}).values() for y in held.get(b, {}).values()):
                     u.append(a)
@@ -455,14 +463,14 @@ def _link_classes(texts: DataFrame, classes: DataFrame, tiles: DataFrame, k: int
     sets = None
 
     def linked(pairs: DataFrame) -> DataFrame:
-        """Exact links among the pairs, fetching sets not yet at hand."""
+        """Exact links among the pairs, fetching texts not yet at hand."""
         nonlocal sets
         pairs = cut_lineage(pairs, "jaccard-pairs")
         ids = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
         ids = ids if sets is None else ids.join(sets.select("node"), "node", "left_anti")
-        new = cut_lineage(full_sets(texts, ids, k), "jaccard-sets")
+        new = cut_lineage(asked_texts(texts, ids), "jaccard-sets")
         sets = new if sets is None else sets.unionByName(new)
-        return cut_lineage(exact_links(pairs, sizes, sets, percent), "jaccard-links")
+        return cut_lineage(exact_links(pairs, sizes, sets, percent, k=k), "jaccard-links")
 
     def bounded(pairs: DataFrame) -> DataFrame:
         x = sizes.select(F.col("node").alias("a"), F.struct("n", "bits").alias("x"))
@@ -590,7 +598,11 @@ def keep_one(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataF
     Of repeated rows one stays; documents without words and rows with a NULL
     doc_id all stay.
     """
-    found = cut_lineage(jaccard_components(docs, k, percent), "jaccard-result")
+    spark = docs.sparkSession
+    path = scratch_path(spark, "jaccard-result")
+    with released_scratch(spark):
+        jaccard_components(docs, k, percent).write.parquet(path)
+    found = spark.read.parquet(path)
     counted = F.col("n_shingles") > 0
     fates = (found.groupBy("doc_id").agg(F.max(F.col("component_id") != F.col("doc_id")).alias("lost"),
                                          F.count_if(counted & (F.col("component_id") == F.col("doc_id"))).alias("c"))

@@ -6,6 +6,9 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,6 +76,8 @@ def build_session(
 
 
 _SHIPPED: set[str] = set()
+# paths staged inside the innermost ``released_scratch`` block
+_HELD: ContextVar[list[str] | None] = ContextVar("held_scratch", default=None)
 
 
 def _context(spark: SparkSession):
@@ -149,4 +154,30 @@ def cut_lineage(df: DataFrame, name: str = "materialized") -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A unique path under the shared checkpoint folder for staged writes."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    if (held := _HELD.get()) is not None:
+        held.append(path)
+    return path
+
+
+@contextmanager
+def released_scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the staged writes made inside the block when it ends.
+
+    Frames that read them must have been written elsewhere by then. Sessions
+    without a SparkContext (Spark Connect) keep the files.
+    """
+    outer, held = _HELD.get(), []
+    token = _HELD.set(held)
+    try:
+        yield
+    finally:
+        _HELD.reset(token)
+        sc = _context(spark)
+        if sc is None:
+            if outer is not None:
+                outer.extend(held)
+        else:
+            for name in held:
+                path = sc._jvm.org.apache.hadoop.fs.Path(name)
+                path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,5 +1,6 @@
 """Jaccard join against brute force."""
 
+import os
 import random
 from collections import Counter
 
@@ -185,6 +186,29 @@ def test_a_set_is_sent_once_for_all_its_pairs(spark, small):
     assert jj.exact_links(pairs, sizes, sets, 100, small).collect() == []
 
 
+@pytest.mark.parametrize("small", [0, 1000])
+def test_links_of_texts_are_those_of_their_arrays(spark, small):
+    sizes, sets, pairs = clique(spark, 6)
+    body = " ".join(f"w{i}" for i in range(200))
+    texts = spark.createDataFrame([(10 + i, f"{body} end{i}".encode()) for i in range(6)] + [(10, b"")],
+                                  "node long, items binary")
+    want = sorted(map(tuple, jj.exact_links(pairs, sizes, sets, 75, small).collect()))
+    assert sorted(map(tuple, jj.exact_links(pairs, sizes, texts, 75, small).collect())) == want and len(want) == 15
+    assert jj.exact_links(pairs, sizes, texts, 100, small).collect() == []
+
+
+def test_asked_texts_and_released_scratch(spark):
+    docs = spark.createDataFrame([(1, b"A b"), (2, b"c"), (1, None), (None, b"d")], "doc_id long, text binary")
+    got = jj.asked_texts(docs, spark.createDataFrame([(1,)], "node long")).collect()
+    assert sorted((r.node, bytes(r["items"])) for r in got) == [(1, b""), (1, b"A b")]
+    base = jj.scratch_path(spark, "x").rsplit("/", 1)[0].removeprefix("file:")
+    before = set(os.listdir(base))
+    kept = jj.keep_one(spark.createDataFrame([(1, "a b c d e f"), (2, "A b c d e f"), (3, "x")], "doc_id long, text string"))
+    left = {x.rsplit("-", 1)[0] for x in set(os.listdir(base)) - before}
+    assert left == {"jaccard-result", "jaccard-fates"}  # what the join itself staged is gone
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
+
+
 def test_tiles_of_repeated_ids(spark):
     """Each class has its tiles once, also where its doc_id has repeated rows, other texts, or other classes' texts."""
     body = " ".join(f"v{i}" for i in range(60))
