@@ -194,9 +194,13 @@ def id_marks(ids: DataFrame) -> np.ndarray:
     return _fixed_arrays(ids.select("node"), fill, [(MARKS, "u1")], np.maximum)[0]
 
 
+def _sent_marks(ids: DataFrame) -> Broadcast:
+    return ids.sparkSession.sparkContext.broadcast(np.packbits(id_marks(ids)))  # fixed size: MARKS bits
+
+
 def _marked(ids: DataFrame):
     """Column function: whether a doc_id (not NULL) has the mark of one in ``ids`` (node)."""
-    marks = ids.sparkSession.sparkContext.broadcast(np.packbits(id_marks(ids)))  # fixed size: MARKS bits
+    marks = _sent_marks(ids)
 
     @F.pandas_udf("boolean")
     def marked(column: pd.Series) -> pd.Series:
@@ -305,7 +309,7 @@ def asked_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
     A text is sent instead of its shingles: it packs to a fraction of their 8 bytes each.
     """
-    marks = docs.sparkSession.sparkContext.broadcast(np.packbits(id_marks(ids)))  # fixed size: MARKS bits
+    marks = _sent_marks(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked = np.unpackbits(marks.value).view(bool)
