@@ -10,11 +10,11 @@ look up their counts through a join.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +24,8 @@ from tabforge.session import cut_lineage
 
 HEAD = 1 << 17        # words whose counts travel with the tasks: a fixed bound
 ROUNDS = 2            # averagings; every training document is used in one of them
-CHUNK = 400_000       # tokens put into lanes together (a longer document goes alone)
+CHUNK = 400_000       # tokens split into words together (a longer document goes alone)
+LANED = 3_000_000     # tokens put into lanes together: long documents leave few lanes empty
 FLUSH = 400_000       # distinct words that a counting task holds
 BLOCK = 8192          # numbers of a parameter block
 OCTAVES = 16          # classes of head words outside the short list, by powers of 2 of their counts
@@ -37,30 +38,43 @@ def remainder(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")))
 
 
-def _words(text: bytes | None) -> list[bytes]:
-    return (text or b"").lower().split()  # bytes: A-Z and ASCII white space only
+def _split(texts: list[bytes | None]) -> tuple[pa.Array, np.ndarray]:
+    """Words of all texts, one after another, and how many each has (bytes: A-Z and ASCII white space only)."""
+    # a view checks no UTF-8, and the ascii functions leave other bytes alone
+    text = pc.ascii_lower(pa.array([t or b"" for t in texts], pa.binary()).view(pa.string()))
+    parts = pc.ascii_split_whitespace(text)
+    words, ends = parts.flatten(), np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False))
+    some = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0  # white space in front or behind leaves empty ones
+    if not some.all():
+        words = words.filter(pa.array(some))
+    return words.view(pa.binary()), np.diff(np.r_[0, np.cumsum(some)][ends], prepend=0)
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """(word, n) over the rows' texts and their ends."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
-
-        def out() -> pa.RecordBatch:
-            b = pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())],
-                                           names=["word", "n"])
-            held.clear()
-            return b
-
-        for b in batches:
-            for t in b.column("text").to_pylist():
-                held.update(_words(t))
-                held[END] += 1
+        held, ends = None, 0
+        new: list[pa.Table] = []
+
+        def merged() -> pa.Table:
+            t = pa.concat_tables(new if held is None else [held, *new])
+            new.clear()
+            return t.group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns(["word", "n"])
+
+        for rows in _chunks(b.select(["text"]) for b in batches):
+            words, _ = _split([r[0] for r in rows])
+            ends += len(rows)
+            counted = pc.value_counts(words)
+            new.append(pa.table({"word": counted.field("values"), "n": counted.field("counts")}))
+            if sum(map(len, new)) > FLUSH:
+                held = merged()
                 if len(held) > FLUSH:
-                    yield out()
-        yield out()
+                    yield from held.to_batches()
+                    held = None
+        new.append(pa.table({"word": pa.array([END], pa.binary()), "n": pa.array([ends], pa.int64())}))
+        yield from merged().to_batches()
 
-    return (texts.select("text").mapInArrow(run, "word binary, n long")
+    return (texts.select("text").mapInArrow(run, "word binary, n long").where("n > 0")
             .groupBy("word").agg(F.sum("n").alias("n")))
 
 
@@ -101,6 +115,7 @@ class Vocabulary:
         octave = np.minimum(np.log2(np.maximum(self.counts, 1)).astype(np.int64), OCTAVES - 1)
         self.id_of = np.r_[np.arange(min(short, len(head))), short + octave[short:]].astype(np.int64)
         self.hashed = short + OCTAVES
+        self.end = next((i for i, w in enumerate(self.words) if w == END), len(self.words))  # its rank
         # tokens and distinct words of the rest classes
         size = np.zeros((OCTAVES + HASHED, 2), np.int64)
         np.add.at(size, octave[short:], np.c_[self.counts[short:], np.ones_like(self.counts[short:])])
@@ -129,11 +144,64 @@ class Vocabulary:
         return out
 
 
-def _ranks(text: bytes | None, lookup: dict[bytes, int], other: int) -> tuple[list[bytes], np.ndarray]:
-    words = _words(text)
-    words.append(END)
-    get = lookup.get
-    return words, np.fromiter((get(w, other) for w in words), np.int64, len(words))
+CRC_TABLE = np.arange(256, dtype=np.uint32)
+for _ in range(8):
+    CRC_TABLE = (CRC_TABLE >> 1) ^ np.where(CRC_TABLE & 1, np.uint32(0xEDB88320), np.uint32(0))
+
+
+def crc32s(words: pa.Array, most: int = 64) -> np.ndarray:
+    """crc32 of each word: the k-th bytes of all words at once, words over ``most`` bytes one by one."""
+    sizes = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+    first = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words)].astype(np.int64)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+    by = np.argsort(-sizes, kind="stable")
+    long = int((sizes > most).sum())
+    out = np.full(len(by), 0xFFFFFFFF, np.uint32)
+    at, live = first[by], np.cumsum(np.bincount(np.minimum(sizes, most), minlength=most + 1)[::-1])[::-1]
+    for k in range(most):
+        if not (n := int(live[k + 1])):
+            break
+        c = out[:n]
+        out[:n] = CRC_TABLE[(c ^ data[at[:n] + k]) & 255] ^ (c >> 8)
+    out ^= np.uint32(0xFFFFFFFF)
+    for i in range(long):
+        out[i] = zlib.crc32(data[at[i]:at[i] + sizes[by[i]]])
+    place = np.empty_like(out)
+    place[by] = out
+    return place
+
+
+class Numbered:
+    """Ranks and the model's ids of texts' words and ends, and the words outside the head.
+
+    ``ends``: where each text's tokens end. ``at``: tokens outside the head;
+    each is word ``code`` of ``lost``.
+    """
+
+    def __init__(self, texts: list[bytes | None], v: Vocabulary, head: pa.Array):
+        words, sizes = _split(texts)
+        size, ends = len(v.words), np.cumsum(sizes)
+        rank = pc.index_in(words, value_set=head).fill_null(size).to_numpy(zero_copy_only=False)
+        self.rank = np.insert(rank, ends, v.end)
+        self.ends = ends + np.arange(1, len(ends) + 1)
+        self.at = np.flatnonzero(self.rank == size)
+        word = np.insert(np.arange(len(words)), ends, len(words))[self.at]
+        lost = pa.concat_arrays([words, pa.array([END], pa.binary())]).take(pa.array(word)).dictionary_encode()
+        self.lost, self.code = lost.dictionary, lost.indices.to_numpy(zero_copy_only=False)
+        self.ids = np.append(v.id_of, 0).astype(np.int32)[self.rank]
+        self.ids[self.at] = v.hashed + (crc32s(self.lost) % HASHED).astype(np.int32)[self.code]
+
+    def docs(self) -> list[np.ndarray]:
+        return np.split(self.ids, self.ends[:-1])
+
+    def misses(self) -> pa.Array:
+        """Each text's words outside the head, and how often it has them."""
+        kinds = max(1, len(self.lost))
+        row = np.searchsorted(self.ends, self.at, "right")
+        pair, n = np.unique(row * kinds + self.code, return_counts=True)
+        to = np.searchsorted(pair // kinds, np.arange(len(self.ends) + 1))
+        return pa.ListArray.from_arrays(pa.array(to, pa.int32()), pa.StructArray.from_arrays(
+            [self.lost.take(pa.array(pair % kinds)), pa.array(n, pa.int32())], names=["word", "n"]))
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], size: int = CHUNK):
@@ -154,6 +222,19 @@ def _chunks(batches: Iterator[pa.RecordBatch], size: int = CHUNK):
         yield held
 
 
+def _laned(parts: Iterator[Numbered], size: int = LANED) -> Iterator[list[Numbered]]:
+    """Parts gathered up to ``size`` tokens; a longer one alone."""
+    held, n = [], 0
+    for x in parts:
+        if held and n + len(x.ids) > size:
+            yield held
+            held, n = [], 0
+        held.append(x)
+        n += len(x.ids)
+    if held:
+        yield held
+
+
 def train_round(texts: DataFrame, params: np.ndarray, vocabulary: Vocabulary) -> np.ndarray | None:
     """Average (by tokens) of the models that tasks train on their rows; None without rows."""
     start = texts.sparkSession.sparkContext.broadcast((params, vocabulary))  # bounded by HEAD and the model's size
@@ -161,9 +242,9 @@ def train_round(texts: DataFrame, params: np.ndarray, vocabulary: Vocabulary) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, v = start.value
         p, adam, seen = lm.Params(flat.copy(), v.shape), lm.Adam(), 0
-        lookup, size = v.lookup(), len(v.words)
-        for rows in _chunks(batches):
-            seen += lm.train([v.ids(*_ranks(r[-1], lookup, size)) for r in rows], p, adam)
+        head = pa.array(v.words, pa.binary())
+        for part in _laned(Numbered([r[-1] for r in rows], v, head) for rows in _chunks(batches)):
+            seen += lm.train([d for x in part for d in x.docs()], p, adam)
         if seen:
             moved = (p.flat - flat).astype(np.float16)  # models pass the shuffle as their differences, halved
             blocks = [moved[i:i + BLOCK].tobytes() for i in range(0, len(moved), BLOCK)]
@@ -209,33 +290,32 @@ def _score_rows(rows: DataFrame, params: np.ndarray, vocabulary: Vocabulary) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         flat, v = sent.value
-        p, lookup, size = lm.Params(flat, v.shape), v.lookup(), len(v.words)
+        p, size, head = lm.Params(flat, v.shape), len(v.words), pa.array(v.words, pa.binary())
         logs = np.r_[np.log10(v.counts + 1.0), 0.0]
-        for chunk in _chunks(batches):
-            out = {k: [] for k in ("n_tokens", "known", "base", "tail_log", "misses")}
-            ids = []
-            for *_, text in chunk:
-                words, rank = _ranks(text, lookup, size)
-                head = rank < size
-                logc = logs[rank]
-                out["n_tokens"].append(len(words))
-                out["known"].append(int(head.sum()))
-                out["base"].append(float(logc.sum()))
-                ids.append(v.ids(words, rank))
-                tail = ids[-1] >= v.shape.short
-                shares = logc[tail] - v.rest_log[ids[-1][tail] - v.shape.short]
-                out["tail_log"].append(float(shares.sum()))
-                lost = Counter(words[i] for i in np.flatnonzero(~head))
-                out["misses"].append([{"word": w, "n": n} for w, n in lost.items()])
-            model = lm.score(ids, p)
-            kind = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int32())]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in chunk], pa.int64()), pa.array([r[1] for r in chunk], pa.int64()),
-                 pa.array([r[2] for r in chunk], pa.bool_()), pa.array(out["n_tokens"], pa.int64()),
-                 pa.array(out["known"], pa.int64()), pa.array(out["base"], pa.float64()),
-                 pa.array(out["tail_log"], pa.float64()),
-                 pa.array(model, pa.float64()), pa.array(out["misses"], kind)],
-                names=[c.split()[0] for c in ROW_SCHEMA.split(", ")])
+
+        def numbered() -> Iterator[Numbered]:
+            for rows in _chunks(batches):
+                x = Numbered([r[-1] for r in rows], v, head)
+                begin = np.r_[0, x.ends[:-1]]
+                logc = logs[x.rank]
+                tail = np.maximum(x.ids - v.shape.short, 0)
+                shares = np.where(x.ids < v.shape.short, 0.0, logc - v.rest_log[tail])
+                x.columns = [*(pa.array([r[i] for r in rows], k) for i, k in enumerate((pa.int64(), pa.int64(), pa.bool_()))),
+                             pa.array(x.ends - begin, pa.int64()),
+                             pa.array(np.add.reduceat(x.rank < size, begin, dtype=np.int64), pa.int64()),
+                             pa.array(np.add.reduceat(logc, begin), pa.float64()),
+                             pa.array(np.add.reduceat(shares, begin), pa.float64())]
+                x.lists = x.misses()
+                x.rank = x.at = x.code = x.lost = None
+                yield x
+
+        for part in _laned(numbered()):
+            docs = [d for x in part for d in x.docs()]
+            model = lm.score(docs, p)
+            for x in part:
+                own, model = model[:len(x.ends)], model[len(x.ends):]
+                yield pa.RecordBatch.from_arrays([*x.columns, pa.array(own, pa.float64()), x.lists],
+                                                 names=[c.split()[0] for c in ROW_SCHEMA.split(", ")])
 
     return rows.mapInArrow(run, ROW_SCHEMA)
 
