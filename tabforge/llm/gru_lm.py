@@ -347,7 +347,7 @@ class Adam:
             self.m.inp[at], self.v.inp[at] = m, v
 
 
-def windows(docs: list[np.ndarray], p: Params, lanes: int, steps: int):
+def windows(docs: list[np.ndarray], p: Params, lanes: int, steps: int, wide: bool = False):
     """Windows over the documents in order, with the lanes' states carried on.
 
     A window is taken from its lanes' tokens, so beside the tokens there are
@@ -369,8 +369,8 @@ def windows(docs: list[np.ndarray], p: Params, lanes: int, steps: int):
     t, longest = 0, int(lengths[0])
     while t < longest:
         live = int((lengths > t).sum())
-        # few lanes (the ends of long documents) go on for more steps, to a quarter of a window
-        width = max(steps, lanes * steps // (4 * live))
+        # with ``wide``, few lanes (the ends of long documents) go on for more steps, to a quarter of a window
+        width = max(steps, lanes * steps // (4 * live)) if wide else steps
         at = np.arange(t, min(t + width, longest))[:, None]
         valid = at < lengths[:live]
         cells = np.where(valid, begin[:live] + at, len(tokens) - 1)
@@ -397,7 +397,7 @@ def train(docs: list[np.ndarray], p: Params, adam: Adam, lanes: int = LANES, ste
 def score(docs: list[np.ndarray], p: Params, lanes: int = LANES, steps: int = STEPS) -> np.ndarray:
     """Log10 probability of each whole document (tail words: of their class)."""
     out = np.zeros(len(docs))
-    for w, number in windows(docs, p, lanes, steps):
+    for w, number in windows(docs, p, lanes, steps, wide=True):
         flat, got, _ = w.losses(p, number >= 0, None)
         out += np.bincount(number.ravel()[flat], got.astype(np.float64), len(docs))
     return out / np.log(10)

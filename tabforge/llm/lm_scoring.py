@@ -59,7 +59,8 @@ def word_counts(texts: DataFrame) -> DataFrame:
         def merged() -> pa.Table:
             t = pa.concat_tables(new if held is None else [held, *new])
             new.clear()
-            return t.group_by("word", use_threads=False).aggregate([("n", "sum")]).rename_columns(["word", "n"])
+            t = t.group_by("word", use_threads=False).aggregate([("n", "sum")])
+            return t.select(["word", "n_sum"]).rename_columns(["word", "n"])
 
         for rows in _chunks(b.select(["text"]) for b in batches):
             words, _ = _split([r[0] for r in rows])

@@ -10,12 +10,21 @@ from tabforge.llm import gru_lm as lm
 from tabforge.llm import lm_scoring as ls
 
 
-def test_a_long_document_needs_few_windows():
-    """The end of a long document is taken in windows of a quarter, not one for every ``steps`` tokens."""
+def test_a_long_document_is_scored_in_few_windows(monkeypatch):
+    """Its end is taken in windows of a quarter, not one for every ``steps`` tokens; scores stay."""
     r = np.random.default_rng(1)
     docs = [r.integers(0, lm.SHORT, 40) for _ in range(200)] + [r.integers(0, lm.SHORT, 20_000)]
     p = lm.Params.first(np.ones(lm.SHORT, int), 9)
-    cells = [number.size for _, number in lm.windows(docs, p, 64, 16)]
+    p.flat[:] += r.normal(0, 0.2, p.flat.shape).astype(np.float32)
+    alone, cells, window = lm.score(docs[-1:], p, 1, 1000), [], lm.Window
+
+    def counted(p, ids, *more):
+        cells.append(ids.size)
+        return window(p, ids, *more)
+
+    monkeypatch.setattr(lm, "Window", counted)
+    got = lm.score(docs, p, 64, 16)
+    assert got[-1] == pytest.approx(alone[0], rel=1e-4)
     assert sum(cells) >= 28_000 and len(cells) <= 2 + 4 * 28_000 / (64 * 16)
     assert max(cells) <= 64 * 16
 
